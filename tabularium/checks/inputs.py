@@ -99,13 +99,31 @@ MUNICIPALITIES_SQL = (
     "select lpad(cast(s_suppkey as string), 4, '0') as codigo, s_name as descricao from {supplier}"
 )
 
-# Index pages: month folders as anchors, one anchor that must not match, one without href.
+# Index pages: the order's month and its neighbours as folders in changing order, two folders of one
+# month, and links that must not count: commented out, impossible month, no month, no href.
 INDEX_PAGES_SQL = """
-select o_custkey as page_id,
-  concat('<html>', array_join(sort_array(collect_list(concat('<a href="',
-    substr(cast(cast(o_orderdate as date) as string), 1, 7), '/">x</a>'))), ''),
-    '<a href="/docs/">d</a><a name="q">n</a></html>') as html
-from {orders} group by o_custkey
+select page_id,
+  '<html><!-- <a href="9999-12/">x</a> --><a name="9998-01">n</a><a href="/docs/">d</a>' ||
+  '<a href="9997-13/">x</a><p><a class="m" href="' ||
+  case cast(page_id % 3 as int)
+    when 0 then before || '/">x</a><A HREF=''' || after || '/''>x</A><a href="' || during
+    when 1 then after || '/">x</a><a href=' || during || '/>x</a><a href="' || before
+    else during || '/">x</a><a href="' || during || '/b/">x</a><a href="' || before end ||
+  '/">x</a></p></html>' as html
+from (select o_orderkey as page_id,
+    substr(cast(cast(o_orderdate as date) - 40 as string), 1, 7) as before,
+    substr(cast(cast(o_orderdate as date) as string), 1, 7) as during,
+    substr(cast(cast(o_orderdate as date) + 40 as string), 1, 7) as after
+  from {orders}) t
+"""
+
+# Links by site, with a third of all links on one site, and links without a month.
+SITE_LINKS_SQL = """
+select case when o_orderkey % 3 = 0 then 0 else o_custkey end as site, o_orderkey as pos,
+  case when o_orderkey % 10 = 1 then '/docs/'
+    else substr(cast(cast(o_orderdate as date) as string), 1, 7) || '/' ||
+      cast(o_orderkey as string) || '/' end as href
+from {orders}
 """
 
 # Download links with case and suffix traps.

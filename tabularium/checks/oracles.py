@@ -113,6 +113,8 @@ ORACLES: dict[str, str] = {
     "parquet_by_state": _with(**_SILVER_PARTS) + _SILVER_35,
     "archive_expand": _with(r=inputs.REASONS_SQL, a=inputs.ACTIVITIES_SQL)
     + "select 'Motivos' as entity, * from r union all select 'Cnaes' as entity, * from a",
+    "archive_extract": """select 'Estabelecimentos' as entity, count(*) as n from orders
+        union all select 'Motivos', count(*) from nation union all select 'Cnaes', count(*) from part""",
     "row_count": "select count(*) as n from orders",
     "preview": f"{_facts()} {_TYPED} order by cep limit 20",
     "full_id": _facts("id", "cnpj_basico", "cnpj_ordem", "cnpj_dv")
@@ -147,10 +149,17 @@ ORACLES: dict[str, str] = {
     "lookup_hot_code": _COUNTRY,
     "filter_activity": f"{_facts()} {_TYPED} where cd_cnae_fiscal in ({_CHOSEN})",
     "extract_links": _EXTRACT_LINKS,
-    "latest_snapshot": f"""select o_custkey as page_id,
-        cast(max(date_trunc('month', o_orderdate)) as date) as snapshot,
-        '{INDEX_BASE}' || max(strftime(o_orderdate, '%Y-%m')) || '/' as url
-        from orders group by o_custkey""",
+    "latest_snapshot": f"""select o_orderkey as page_id,
+        cast(date_trunc('month', d) as date) as snapshot,
+        '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as url
+        from (select o_orderkey, cast(o_orderdate as date)
+            + cast(case when o_orderkey % 3 = 2 then 0 else 40 end as int) as d from orders)""",
+    "newest_link_by_site": _with(links=inputs.SITE_LINKS_SQL)
+    + f"""select site, cast(substr(href, 1, 7) || '-01' as date) as snapshot,
+        '{INDEX_BASE}' || href as url
+        from (select *, row_number() over (partition by site order by substr(href, 1, 7) desc, pos) as n
+            from links where href not like '/docs%')
+        where n = 1""",
     "manifest_filter": _with(f5=inputs.LINKS_SQL)
     + f"""select link_id, href, '{INDEX_BASE}' || href as url, href as file_name
         from f5 where {_WANTED}""",

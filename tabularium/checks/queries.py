@@ -24,15 +24,15 @@ from tabularium.operators import (
     latest_snapshot,
     lookup,
     missing_files,
+    newest_link,
     wanted_files,
 )
-from tabularium.plans import silver_from_folder
+from tabularium.plans import refresh_silver, silver_from_folder
 from tabularium.sources import (
     archived_rows,
     extract_archives,
     read_delimited,
     read_entity,
-    read_members,
     write_silver,
 )
 
@@ -75,9 +75,10 @@ def silver_filtered(spark, sf_dir):
 
 @query
 def archive_to_silver(spark, sf_dir):
+    silver = new_folder(spark, "silver_from_archives")
     extracted = new_folder(spark, "extracted")
-    extract_archives(spark, inputs.archive_folder(spark, sf_dir), extracted)
-    return silver_from_folder(spark, extracted)
+    refresh_silver(spark, inputs.archive_folder(spark, sf_dir), extracted, silver)
+    return spark.read.parquet(silver)
 
 
 # Sources and sinks
@@ -128,9 +129,19 @@ def parquet_by_state(spark, sf_dir):
 
 @query
 def archive_expand(spark, sf_dir):
-    members = read_members(spark, inputs.archive_folder(spark, sf_dir))
-    reasons = archived_rows(members, REASONS, keep=("entity",))
-    return reasons.unionByName(archived_rows(members, ACTIVITIES, keep=("entity",)))
+    folder = inputs.archive_folder(spark, sf_dir)
+    tables = [
+        archived_rows(spark, folder, entity).select(F.lit(entity.folder).alias("entity"), "*")
+        for entity in (REASONS, ACTIVITIES)
+    ]
+    return tables[0].unionByName(tables[1])
+
+
+@query
+def archive_extract(spark, sf_dir):
+    extracted = new_folder(spark, "extracted_all")
+    extract_archives(spark, inputs.archive_folder(spark, sf_dir), extracted)
+    return spark.read.text(extracted).groupBy("entity").agg(F.count("*").alias("n"))
 
 
 @query
@@ -259,6 +270,11 @@ def latest_snapshot_(spark, sf_dir):
     return latest_snapshot(pages, INDEX_BASE)
 
 
+@query
+def newest_link_by_site(spark, sf_dir):
+    return newest_link(inputs.in_spark(spark, sf_dir, inputs.SITE_LINKS_SQL), INDEX_BASE, "site")
+
+
 @query
 def manifest_filter(spark, sf_dir):
     return wanted_files(inputs.in_spark(spark, sf_dir, inputs.LINKS_SQL), INDEX_BASE)

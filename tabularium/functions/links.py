@@ -6,34 +6,40 @@ from pyspark.sql import Column, functions as F
 
 from tabularium.layouts import ARCHIVE_TAIL_PATTERN, SNAPSHOT_PATTERN
 
-# Markup whose content is not page content.
-_HIDDEN = (
-    r"(?is)<!--.*?-->"
-    r"|<script[\s/>].*?(?:</script\s*>|\z)"
-    r"|<style[\s/>].*?(?:</style\s*>|\z)"
+# One attribute. Possessive quantifiers keep the matcher from recursing on long or broken tags, and
+# without "<" in a name each tag is scanned once.
+_VALUE = r"""(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+)"""
+_ATTRIBUTE = rf"[^\s/><][^\s/=><]*+(?:\s*+=++\s*+{_VALUE})?+"
+# The attributes of each anchor, in one pass; comments, scripts and styles match without them.
+_ANCHOR = (
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|script[\s/>].*?(?:</script\s*>|\z)"
+    r"|style[\s/>].*?(?:</style\s*>|\z)"
+    rf"|a[\s/]((?:[\s/]++|{_ATTRIBUTE})*+)>)"
 )
-# One attribute. Possessive quantifiers keep the matcher from recursing on long or broken tags.
-_ATTRIBUTE = r"""[^\s/>=][^\s/=>]*+(?:\s*+=++\s*+(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+))?+"""
-_ANCHOR = rf"(?i)<a((?:[\s/]++(?:{_ATTRIBUTE})?+)*+)>"
+# One attribute, with its name and value captured if it is an href.
+_HREF = rf"(?is)(href(?=[\s/=]|\z)(?:\s*+=++\s*+{_VALUE})?+)|{_ATTRIBUTE}"
 _HREF_VALUE = r"(?is)^href\s*=+\s*(.*)$"
 # The character references that occur in links; "&amp;" is last so that nothing is decoded twice.
 _REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 
 
+def _last_href(attributes: Column) -> Column:
+    """The href attribute of a tag, the last one if it is repeated; empty if there is none."""
+    found = F.array_remove(F.regexp_extract_all(attributes, F.lit(_HREF), F.lit(1)), "")
+    return F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit(""))
+
+
 def _unquote(value: Column) -> Column:
     quoted = value.startswith('"') | value.startswith("'")
-    bare = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
-    decoded = bare
-    for reference, character in _REFERENCES.items():
-        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
-    return F.when(bare.contains("&"), decoded).otherwise(bare)
+    return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
-def _href(attributes: Column) -> Column:
-    """The raw href among a tag's attributes (the last one, if repeated), or NULL."""
-    tokens = F.regexp_extract_all(attributes, F.lit(f"({_ATTRIBUTE})"), F.lit(1))
-    named = F.filter(tokens, lambda t: t.rlike(r"(?i)^href(\s|=|$)"))
-    return F.try_element_at(named, F.lit(-1))
+def _decode_references(value: Column) -> Column:
+    decoded = value
+    for reference, character in _REFERENCES.items():
+        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
+    return F.when(value.contains("&"), decoded).otherwise(value)
 
 
 def hrefs(html: Column) -> Column:
@@ -41,12 +47,14 @@ def hrefs(html: Column) -> Column:
 
     A scan with regular expressions, not an HTML parser: it follows quoted, unquoted and
     empty values, skips comments, scripts and styles, and decodes the common character
-    references. It does not repair tags with unclosed quotes.
+    references.
     """
-    visible = F.regexp_replace(html, _HIDDEN, "")
-    anchors = F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(1))
-    found = F.filter(F.transform(anchors, _href), lambda t: t.isNotNull())
-    return F.transform(found, lambda t: _unquote(F.regexp_extract(t, _HREF_VALUE, 1)))
+    anchors = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
+    values = F.array_remove(F.transform(anchors, _last_href), "")
+    # One step each, because an expression used twice inside a step is computed twice.
+    for step in (lambda t: F.regexp_extract(t, _HREF_VALUE, 1), _unquote, _decode_references):
+        values = F.transform(values, step)
+    return values
 
 
 def snapshot_month(link: Column) -> Column:

@@ -24,7 +24,7 @@ def status_label(code: Column) -> Column:
 
 
 # Four year digits (not year 0), two month digits, then all remaining digits are the day.
-_RAGGED_DATE = r"^(?!0000)(\d{4})(\d{2})0*([1-9]\d?)(?!\d)"
+_RAGGED_DATE = r"(?s)^(?!0000)(\d{4})(\d{2})0*([1-9]\d?)(?!\d).*$"
 
 
 def compact_date(text: Column, mode: str = "legacy") -> Column:
@@ -46,6 +46,5 @@ def compact_date(text: Column, mode: str = "legacy") -> Column:
     year = F.substring(text, 1, 4)
     iso = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2))
     plain = F.when((F.length(text) == 8) & (year != "0000"), iso.try_cast("date"))
-    year, month, day = (F.regexp_extract(text, _RAGGED_DATE, i) for i in (1, 2, 3))
-    ragged = F.concat_ws("-", year, month, F.lpad(day, 2, "0")).try_cast("date")
-    return F.coalesce(plain, ragged)
+    ragged = F.regexp_replace(text, _RAGGED_DATE, "$1-$2-$3").try_cast("date")
+    return F.coalesce(plain, F.when(text.rlike(_RAGGED_DATE), ragged))

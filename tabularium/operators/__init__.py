@@ -1,5 +1,5 @@
 from tabularium.operators.filters import filter_activity, wanted_files
-from tabularium.operators.listings import extract_links, latest_snapshot
+from tabularium.operators.listings import extract_links, latest_snapshot, newest_link
 from tabularium.operators.loads import is_complete, missing_files
 from tabularium.operators.lookup import hot_codes, lookup
 
@@ -11,5 +11,6 @@ __all__ = [
     "latest_snapshot",
     "lookup",
     "missing_files",
+    "newest_link",
     "wanted_files",
 ]

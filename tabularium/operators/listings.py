@@ -35,3 +35,23 @@ def latest_snapshot(pages: DataFrame, base: str) -> DataFrame:
         F.col("newest.snapshot").alias("snapshot"),
         F.concat(F.lit(base), F.col("newest.href")).alias("url"),
     )
+
+
+def newest_link(links: DataFrame, base: str, *by: str) -> DataFrame:
+    """The newest ``YYYY-MM`` link per ``by``, over links that are rows (``pos``, ``href``).
+
+    The same choice as ``latest_snapshot``, for listings of many pages. Spark keeps one link per key
+    and task before it shuffles, so a site with very many links costs no more than others.
+    """
+    dated = links.withColumn("snapshot", snapshot_month(F.col("href")))
+    order = F.struct("snapshot", -F.col("pos"))
+    newest = (
+        dated.filter(F.col("snapshot").isNotNull())
+        .groupBy(*by)
+        .agg(F.max_by(F.struct("snapshot", "href"), order).alias("newest"))
+    )
+    return newest.select(
+        *by,
+        F.col("newest.snapshot").alias("snapshot"),
+        F.concat(F.lit(base), F.col("newest.href")).alias("url"),
+    )

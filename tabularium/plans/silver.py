@@ -18,6 +18,7 @@ from tabularium.layouts import (
     MUNICIPALITIES,
     REASONS,
     SILVER_COLUMNS,
+    Entity,
 )
 from tabularium.operators.filters import filter_activity
 from tabularium.operators.lookup import lookup
@@ -73,12 +74,17 @@ def build_silver(
     return silver.select(*DOCUMENTED_COLUMNS)
 
 
+def silver_entities(documented: bool = False) -> tuple[Entity, ...]:
+    """What the silver table is made of."""
+    further = (COUNTRIES, MUNICIPALITIES) if documented else ()
+    return (ESTABLISHMENTS, REASONS, ACTIVITIES, *further)
+
+
 def silver_from_folder(
     spark: SparkSession, root: str, documented: bool = False, **options
 ) -> DataFrame:
     """``build_silver`` over the entity folders below ``root``."""
-    further = (COUNTRIES, MUNICIPALITIES) if documented else ()
-    tables = [read_entity(spark, root, e) for e in (ESTABLISHMENTS, REASONS, ACTIVITIES, *further)]
+    tables = [read_entity(spark, root, entity) for entity in silver_entities(documented)]
     return build_silver(*tables, **options)
 
 
@@ -92,5 +98,6 @@ def refresh_silver(
     **options,
 ) -> None:
     """Archives to silver table: extract, derive, enrich, write. Replaces both outputs."""
-    extract_archives(spark, archives, extracted)
+    names = [entity.folder for entity in silver_entities(documented)]
+    extract_archives(spark, archives, extracted, names)
     write_silver(silver_from_folder(spark, extracted, documented, **options), silver, by)

@@ -1,7 +1,8 @@
 from tabularium.sources.archives import (
-    archived_rows,
     archived_lines,
+    archived_rows,
     extract_archives,
+    list_archives,
     read_members,
 )
 from tabularium.sources.delimited import read_delimited, read_entity
@@ -12,6 +13,7 @@ __all__ = [
     "archived_lines",
     "archived_rows",
     "extract_archives",
+    "list_archives",
     "list_files",
     "read_delimited",
     "read_entity",

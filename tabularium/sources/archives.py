@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -83,21 +83,35 @@ def _whole_lines(stream) -> Iterator[bytes]:
         yield b"".join(pending)
 
 
+def list_archives(
+    spark: SparkSession, folder: str, entities: Iterable[str] | None = None, glob: str = "*.zip"
+) -> DataFrame:
+    """One row per archive of all or of some entities: ``archive``, ``entity`` and ``bytes``."""
+    archives = list_files(spark, folder, glob).select(
+        F.col("path").alias("archive"), entity_name(F.col("file_name")).alias("entity"), "bytes"
+    )
+    return archives if entities is None else archives.filter(F.col("entity").isin(list(entities)))
+
+
 def read_members(
-    spark: SparkSession, folder: str, glob: str = "*.zip", tasks: int | None = None
+    spark: SparkSession,
+    folder: str,
+    entities: Iterable[str] | None = None,
+    glob: str = "*.zip",
+    tasks: int | None = None,
 ) -> DataFrame:
-    """The members of all archives in a folder, as blocks of whole lines.
+    """The members of the archives in a folder, of all or of some entities, as blocks of whole lines.
 
-    Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. Only names and directories are read
-    before the members are dealt out round-robin over ``tasks``, four per core by default. The number is
-    given to Spark because the list is tiny and would otherwise be merged into one task.
+    Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. Only names and archive directories
+    are read before the members are dealt out evenly, by name, over ``tasks``. That number is given
+    to Spark because the list is tiny and would otherwise be merged into one task.
     """
-    archives = list_files(spark, folder, glob).select(
-        F.col("path").alias("archive"), entity_name(F.col("file_name")).alias("entity")
-    )
+    archives = list_archives(spark, folder, entities, glob).select("archive", "entity")
     members = archives.mapInArrow(_members, "archive string, entity string, member string")
-    tasks = tasks or 4 * spark.sparkContext.defaultParallelism
-    return members.repartition(tasks).mapInArrow(
+    if tasks is None:
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(4 * spark.sparkContext.defaultParallelism, shuffle)
+    return members.repartitionByRange(tasks, "archive", "member").mapInArrow(
         _blocks,
         "archive string, entity string, member string, block_no bigint, block binary",
     )
@@ -110,40 +124,51 @@ def _text(block: Column, encoding: str) -> Column:
 
 
 def archived_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """One row per non-blank line: ``archive``, ``entity``, ``member``, ``line``."""
-    lines = F.split(_text(F.col("block"), encoding), r"\r\n|\r|\n")
-    return members.select("archive", "entity", "member", F.explode(lines).alias("line")).filter(
-        F.trim("line") != ""
+    """One row per non-blank line, whatever the line break: ``archive``, ``entity``, ``member``, ``line``."""
+    text = F.replace(_text(F.col("block"), encoding), F.lit("\r"), F.lit("\n"))
+    lines = members.select(
+        "archive", "entity", "member", F.explode(F.split(text, "\n")).alias("line")
     )
+    return lines.filter(F.trim("line") != "")
 
 
 def archived_rows(
-    members: DataFrame, entity: Entity, escape: str = "\\", keep: tuple[str, ...] = ()
+    spark: SparkSession, folder: str, entity: Entity, escape: str = "\\", **options
 ) -> DataFrame:
     """The rows of one entity straight from its archives, without extracting them first.
 
     Good for code tables and for many small archives. Extract large ones: an extracted file is
     read in parallel, an archive member is not.
     """
-    lines = archived_lines(members.filter(F.col("entity") == entity.folder), entity.encoding)
+    lines = archived_lines(read_members(spark, folder, [entity.folder], **options), entity.encoding)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entity.schema)
     parsed = F.from_csv("line", fields, {"sep": FIELD_SEPARATOR, "escape": escape})
-    return lines.select(*keep, parsed.alias("row")).select(*keep, "row.*")
+    return lines.select(parsed.alias("row")).select("row.*")
 
 
 def extract_archives(
     spark: SparkSession,
     folder: str,
     target: str,
-    glob: str = "*.zip",
-    tasks: int | None = None,
+    entities: Iterable[str] | None = None,
+    **options,
 ) -> None:
-    """Extract all archives to plain files below ``<target>/entity=<entity>/``, replacing what was there.
+    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing what was there.
+
+    Bytes are kept as they are, in whatever encoding; only a missing last line break is added. Two
+    archives of an entity that hold a member of the same name are both kept.
 
-    Bytes are kept as they are, in whatever encoding; only a missing last line break is added. Two archives
-    of an entity that hold a member of the same name are both kept.
+    Without ``entities`` everything is extracted in one job, for which Spark sorts each task's blocks by
+    entity. With a list, each entity is its own job, without that sort; an entity without archives is an error.
     """
-    members = read_members(spark, folder, glob, tasks)
-    members.select("entity", F.col("block").cast("string").alias("value")).write.partitionBy(
-        "entity"
-    ).mode("overwrite").text(target)
+    if entities is None:
+        members = read_members(spark, folder, **options)
+        text = members.select("entity", F.col("block").cast("string").alias("value"))
+        text.write.partitionBy("entity").mode("overwrite").text(target)
+        return
+    for entity in entities:
+        members = read_members(spark, folder, [entity], **options)
+        text = members.select(F.col("block").cast("string").alias("value"))
+        if list_archives(spark, folder, [entity]).isEmpty():
+            raise FileNotFoundError(f"no archive of {entity} in {folder}")
+        text.write.mode("overwrite").text(f"{target}/entity={entity}")
