@@ -39,12 +39,12 @@ def compact_date(text: Column, mode: str = "legacy") -> Column:
     Nearly all values are well-formed or plainly empty, so the eight-character case goes through the
     cheap ISO date cast, and the regular expressions run only where that yields nothing.
     """
-    if mode == "strict":
-        return F.try_to_date(text, "yyyyMMdd")
-    if mode != "legacy":
+    if mode not in ("legacy", "strict"):
         raise ValueError(f"mode must be 'legacy' or 'strict', not {mode!r}")
     year = F.substring(text, 1, 4)
     iso = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2))
+    if mode == "strict":
+        return F.when(text.rlike(r"^\d{8}\z"), iso.try_cast("date"))
     plain = F.when((F.length(text) == 8) & (year != "0000"), iso.try_cast("date"))
     ragged = F.regexp_replace(text, _RAGGED_DATE, "$1-$2-$3").try_cast("date")
     return F.coalesce(plain, F.when(text.rlike(_RAGGED_DATE), ragged))

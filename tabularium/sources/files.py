@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabularium.functions.links import file_name
 
 
-def list_files(
-    spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False
-) -> DataFrame:
-    """One row per file: ``path``, ``file_name`` and ``bytes``. Contents are not read."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
-        .load(folder)
-    )
+def list_files(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
+    """One row per matching file of a folder: ``path``, ``file_name`` and ``bytes``.
+
+    Contents are not read, nor are subfolders, which may hold what was extracted. No match gives
+    no rows; a missing folder is an error.
+    """
+    reader = spark.read.format("binaryFile")
+    try:
+        found = reader.load(f"{folder}/{glob}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = reader.option("recursiveFileLookup", True).load(folder).limit(0)
     return found.select(
         "path", file_name(F.col("path")).alias("file_name"), F.col("length").alias("bytes")
     )
