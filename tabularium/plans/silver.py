@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -49,29 +49,33 @@ def build_silver(
     municipalities: DataFrame | None = None,
     only_activities: Iterable[str] | None = None,
     dates: str = "legacy",
+    hot: Mapping[str, Iterable[str | None]] | None = None,
 ) -> DataFrame:
     """The silver table, lazily: 35 columns, or the 37 documented ones with both further code tables.
 
-    ``only_activities`` keeps the establishments with one of these main activities.
+    ``only_activities`` keeps the establishments with one of these main activities. ``hot`` is for code
+    tables too large to broadcast: the codes, by column, that hold a large share of the rows.
     """
     if (countries is None) != (municipalities is None):
         raise ValueError("the documented layout needs both countries and municipalities")
     if only_activities is not None:
         facts = filter_activity(facts, only_activities)
     silver = derive(facts, dates)
-    silver = lookup(
-        silver,
-        reasons,
-        "cd_motivo_situacao_cadastral",
-        DERIVED_AFTER["cd_motivo_situacao_cadastral"],
-    )
-    silver = lookup(silver, activities, "cd_cnae_fiscal", DERIVED_AFTER["cd_cnae_fiscal"])
-    if countries is None:
-        return silver.select(*SILVER_COLUMNS)
-    silver = silver.withColumnsRenamed(DOCUMENTED_CODES)
-    for table, label in ((countries, "pais"), (municipalities, "municipio")):
-        silver = lookup(silver, table, DOCUMENTED_CODES[label], label)
-    return silver.select(*DOCUMENTED_COLUMNS)
+    descriptions = [
+        ("cd_motivo_situacao_cadastral", reasons, DERIVED_AFTER["cd_motivo_situacao_cadastral"]),
+        ("cd_cnae_fiscal", activities, DERIVED_AFTER["cd_cnae_fiscal"]),
+    ]
+    columns = SILVER_COLUMNS
+    if countries is not None:
+        silver = silver.withColumnsRenamed(DOCUMENTED_CODES)
+        descriptions += [
+            (DOCUMENTED_CODES["pais"], countries, "pais"),
+            (DOCUMENTED_CODES["municipio"], municipalities, "municipio"),
+        ]
+        columns = DOCUMENTED_COLUMNS
+    for key, codes, label in descriptions:
+        silver = lookup(silver, codes, key, label, hot=(hot or {}).get(key, ()))
+    return silver.select(*columns)
 
 
 def silver_entities(documented: bool = False) -> tuple[Entity, ...]:

@@ -28,7 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def open_file(path: str) -> pa.NativeFile:
-    """Open a file of any file system that both Spark and Arrow know, for random access."""
+    """Open a file for random access: local or mounted, or on HDFS or an object store that Arrow knows."""
     scheme, _, rest = path.partition(":")
     if not rest or scheme == "file":
         return fs.LocalFileSystem().open_input_file("/" + (rest or path).lstrip("/"))
@@ -153,10 +153,11 @@ def extract_archives(
     entities: Iterable[str] | None = None,
     **options,
 ) -> None:
-    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing what was there.
+    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing what that folder held.
 
-    Bytes are kept as they are, in whatever encoding; only a missing last line break is added. Two
-    archives of an entity that hold a member of the same name are both kept.
+    Nothing else in ``target`` is touched, so it may be the folder of the archives itself. Bytes are kept as
+    they are, in whatever encoding; only a missing last line break is added. Two archives of an entity that
+    hold a member of the same name are both kept.
 
     Without ``entities`` everything is extracted in one job, for which Spark sorts each task's blocks by
     entity. With a list, each entity is its own job, without that sort; an entity without archives is an error.
@@ -164,7 +165,8 @@ def extract_archives(
     if entities is None:
         members = read_members(spark, folder, **options)
         text = members.select("entity", F.col("block").cast("string").alias("value"))
-        text.write.partitionBy("entity").mode("overwrite").text(target)
+        writer = text.write.partitionBy("entity").mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").text(target)
         return
     for entity in entities:
         members = read_members(spark, folder, [entity], **options)

@@ -65,6 +65,14 @@ def test_extracted_equals_direct(spark, folder, tmp_path_factory, entities):
         assert extracted == sorted(archived_rows(spark, folder, entity).collect())
 
 
+@pytest.mark.parametrize("entities", [None, ["Motivos", "Cnaes"]])
+def test_extracting_beside_the_archives_spares_them(spark, folder, entities):
+    for _ in range(2):
+        extract_archives(spark, folder, folder, entities)
+    assert list_archives(spark, folder).count() == 3
+    assert read_entity(spark, folder, ACTIVITIES).count() == 2
+
+
 def test_bytes_that_are_not_utf8_read_alike_both_ways(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "Motivos.zip", "w") as archive:
         archive.writestr("a", '"1";"ODONTOLÓGICA"\n'.encode("latin-1"))

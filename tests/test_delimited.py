@@ -112,6 +112,13 @@ def test_write_replaces(spark, tmp_path):
     assert spark.read.parquet(path).groupBy("uf").count().collect() == [("BA", 3)]
 
 
+def test_early_dates_survive_parquet(spark, tmp_path):
+    path = str(tmp_path / "out")
+    days = ["0001-01-01", "1582-10-15", "9999-01-01"]
+    write_silver(spark.createDataFrame([(d,) for d in days], "s string").select(F.to_date("s").alias("d")), path)
+    assert sorted(str(r.d) for r in spark.read.parquet(path).collect()) == days
+
+
 def test_hot_state_is_split_over_tasks(spark, tmp_path):
     states = F.when(F.col("id") % 3 == 0, "BA").otherwise("SP")
     rows = spark.range(400_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x"), states.alias("uf"))

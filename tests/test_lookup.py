@@ -83,6 +83,26 @@ def test_hot_rows_spread_over_tasks(spark, shuffled):
     assert max(r["count"] for r in rows) < 15_000
 
 
+def test_without_hot_codes_spark_splits_the_skewed_partition(spark, shuffled):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        codes = spark.createDataFrame([("hot", "H"), ("2", "two")], "codigo string, descricao string")
+        facts = skewed(spark).repartition(8)
+        joined = lookup(facts, codes, "code", "label")
+        assert sum(r.label == "H" for r in joined.collect()) == 30_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_filter_activity(spark):
     facts = spark.createDataFrame([("8630504",), ("1",), (None,)], "cd_cnae_fiscal string")
     assert filter_activity(facts).count() == 1

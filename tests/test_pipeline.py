@@ -109,6 +109,14 @@ def test_documented_layout_needs_both_tables(spark):
         build_silver(None, None, None, countries=spark.range(1))
 
 
+def test_hot_codes_do_not_change_the_silver_table(spark):
+    root = inputs.raw_folder(spark, SF_DIR)
+    hot = {"cd_pais": [None], "cd_cnae_fiscal": ["0000001"], "cd_motivo_situacao_cadastral": ["00"]}
+    plain = silver_from_folder(spark, root, documented=True)
+    spread = silver_from_folder(spark, root, documented=True, hot=hot)
+    assert plain.exceptAll(spread).isEmpty() and spread.exceptAll(plain).isEmpty()
+
+
 def test_layout_sizes():
     assert (len(SILVER_COLUMNS), len(DOCUMENTED_COLUMNS)) == (35, 37)
 
