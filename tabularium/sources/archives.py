@@ -168,9 +168,11 @@ def extract_archives(
         writer = text.write.partitionBy("entity").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").text(target)
         return
+    entities = list(entities)
+    found = list_archives(spark, folder, entities).select("entity").distinct().collect()
+    if absent := set(entities) - {row.entity for row in found}:
+        raise FileNotFoundError(f"no archive of {', '.join(sorted(absent))} in {folder}")
     for entity in entities:
         members = read_members(spark, folder, [entity], **options)
         text = members.select(F.col("block").cast("string").alias("value"))
-        if list_archives(spark, folder, [entity]).isEmpty():
-            raise FileNotFoundError(f"no archive of {entity} in {folder}")
         text.write.mode("overwrite").text(f"{target}/entity={entity}")
