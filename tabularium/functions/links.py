@@ -6,16 +6,18 @@ from pyspark.sql import Column, functions as F
 
 from tabularium.layouts import ARCHIVE_TAIL_PATTERN, SNAPSHOT_PATTERN
 
-# One attribute. Possessive quantifiers keep the matcher from recursing on long or broken tags, and
-# without "<" in a name each tag is scanned once.
+# One attribute. Possessive quantifiers keep the matcher from recursing on long or broken tags.
 _VALUE = r"""(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+)"""
-_ATTRIBUTE = rf"[^\s/><][^\s/=><]*+(?:\s*+=++\s*+{_VALUE})?+"
-# The attributes of each anchor, in one pass; comments, scripts and styles match without them.
+_ATTRIBUTE = rf"[^\s/>][^\s/=>]*+(?:\s*+=++\s*+{_VALUE})?+"
+_ATTRIBUTES = rf"(?:[\s/]++|{_ATTRIBUTE})*+"
+# All markup is matched, in one pass, so that nothing inside comments, scripts, styles or attributes of
+# other tags is taken for an anchor; only the attributes of an anchor are captured.
 _ANCHOR = (
-    r"(?is)<(?:!--.*?(?:-->|\z)"
-    r"|script[\s/>].*?(?:</script\s*>|\z)"
-    r"|style[\s/>].*?(?:</style\s*>|\z)"
-    rf"|a[\s/]((?:[\s/]++|{_ATTRIBUTE})*+)>)"
+    r"(?is)<(?:!--(?:-?>|.*?(?:--!?>|\z))"
+    rf"|script(?=[\s/>]){_ATTRIBUTES}>.*?(?:</script\s*>|\z)"
+    rf"|style(?=[\s/>]){_ATTRIBUTES}>.*?(?:</style\s*>|\z)"
+    rf"|a(?=[\s/])({_ATTRIBUTES})>"
+    rf"|[a-z][^\s/>]*+{_ATTRIBUTES}(?:>|\z))"
 )
 # One attribute, with its name and value captured if it is an href.
 _HREF = rf"(?is)(href(?=[\s/=]|\z)(?:\s*+=++\s*+{_VALUE})?+)|{_ATTRIBUTE}"
@@ -45,9 +47,9 @@ def _decode_references(value: Column) -> Column:
 def hrefs(html: Column) -> Column:
     """The href of every anchor that has one, in page order, as an array.
 
-    A scan with regular expressions, not an HTML parser: it follows quoted, unquoted and
-    empty values, skips comments, scripts and styles, and decodes the common character
-    references.
+    A scan with one regular expression, not an HTML parser, but it walks tags and attributes as one does:
+    quoted, unquoted and empty values, and no anchors in comments, scripts, styles or attributes.
+    Only the common character references are decoded, and a comment that stays open hides the rest.
     """
     anchors = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
     values = F.array_remove(F.transform(anchors, _last_href), "")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -35,9 +36,18 @@ def read_delimited(
 
 
 def read_entity(spark: SparkSession, root: str, entity: Entity, **options) -> DataFrame:
-    """Read an entity's folder below ``root``, extracted or copied there.
+    """Read an entity's folder below ``root``.
 
-    Both ``<root>/<entity>`` and the ``<root>/entity=<entity>`` that ``extract_archives`` writes work.
+    That is ``<root>/<entity>``, or ``<root>/entity=<entity>`` as ``extract_archives`` writes it. Both or neither
+    is an error, so that nothing is read twice or taken for empty.
     """
-    folder = f"{root}/{{{entity.folder},entity={entity.folder}}}"
-    return read_delimited(spark, folder, entity.schema, entity.encoding, **options)
+    found = []
+    for folder in (f"{root}/{entity.folder}", f"{root}/entity={entity.folder}"):
+        try:
+            found.append(read_delimited(spark, folder, entity.schema, entity.encoding, **options))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if len(found) != 1:
+        raise FileNotFoundError(f"{len(found)} folders of {entity.folder} in {root}, not one")
+    return found[0]

@@ -82,9 +82,13 @@ def test_folder_of_files(spark, tmp_path):
     assert len(flat.inputFiles()) == 2
 
 
-def test_missing_folder_raises(spark, tmp_path):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_entity(spark, str(tmp_path), REASONS).collect()
+def test_an_entity_has_one_folder(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="0 folders of Motivos"):
+        read_entity(spark, str(tmp_path), REASONS)
+    for folder in ("Motivos", "entity=Motivos"):
+        (tmp_path / folder).mkdir()
+    with pytest.raises(FileNotFoundError, match="2 folders of Motivos"):
+        read_entity(spark, str(tmp_path), REASONS)
 
 
 def test_entity_folders_plain_and_extracted(spark, tmp_path):

@@ -1,5 +1,6 @@
 """Listing pages, links and archive names."""
 
+import random
 from html.parser import HTMLParser
 
 import pytest
@@ -61,17 +62,42 @@ PAGES = [
     '<a href="x"/>',
     '<a href="x"class="y">',
     '<a href=""x"">',
+    "<div data-tip='<a href=\"x\">'><a href=y>",
+    '<a href="k"<p><a href="l">',
+    '<b <a href="q">',
+    '<a<a href="q">',
+    '<!--><a href="q">',
+    '<script src="a>b">var x = "<a href=1>"</script ><a href="z">',
     "text <b>no</b>",
     "",
 ]
 
 
+def soups():
+    """Markup strung together at random, without comments, quotes or tags that stay open."""
+    random.seed(5)
+    pieces = (
+        "<a |<a|<A\t|</a>|>| href=| HREF = |href|=|x|2024-01/| |/|<p>|<b |class=c|<!-- <a href=n> -->"
+        "|<script><a href=n></script>|<style>a{}</style>|&amp;|&lt;|\n|<abbr |/>|text"
+        "|data-href=\"z\"|href=\"k\"|href='m'|href=u|<a href=\"q\">|title=\"<a href='n'>\""
+    ).split("|")
+    for _ in range(20_000):
+        yield "".join(random.choices(pieces, k=random.randint(1, 14))) + ">"
+
+
 def test_hrefs_equal_an_html_parser_on_hand_written_pages(spark):
     pages = spark.createDataFrame(list(enumerate(PAGES)), "i int, html string")
     for row in pages.select("html", hrefs(F.col("html")).alias("links")).collect():
         assert row.links == parsed(row.html), row.html
 
 
+def test_hrefs_equal_an_html_parser_on_tag_soup(spark):
+    pages = spark.createDataFrame([(soup,) for soup in set(soups())], "html string")
+    rows = pages.select("html", hrefs(F.col("html")).alias("links")).collect()
+    wrong = [row.html for row in rows if row.links != parsed(row.html)]
+    assert not wrong, wrong[:5]
+
+
 def test_hrefs_equal_an_html_parser_on_all_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = pages.select("html", hrefs(F.col("html")).alias("links")).collect()
