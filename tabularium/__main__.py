@@ -1,4 +1,5 @@
-"""The stages as jobs: ``spark-submit`` this file, or ``python -m tabularium``, with a stage name."""
+"""The stages as jobs: ``spark-submit`` this file, or ``python -m tabularium``, with a stage name.
+"""
 
 from __future__ import annotations
 

@@ -117,6 +117,14 @@ from (select o_orderkey as page_id,
   from {orders}) t
 """
 
+# Saved snapshot pages, many for one month, with wanted and unwanted files by order.
+SNAPSHOT_PAGES_SQL = """
+select 'https://h/' || substr(cast(cast(o_orderdate as date) as string), 1, 7) || '/' as url,
+  '<a href="Cnaes.zip">x</a><a href="leia.txt">x</a><a href="Estabelecimentos' ||
+  cast(o_orderkey as string) || '.zip">x</a><a href="Empresas0.zip">x</a>' as html
+from {orders}
+"""
+
 # Links by site, with a third of all links on one site, and links without a month.
 SITE_LINKS_SQL = """
 select case when o_orderkey % 3 = 0 then 0 else o_custkey end as site, o_orderkey as pos,

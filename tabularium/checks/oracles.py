@@ -96,6 +96,10 @@ found as (
 select page_id, cast(i - 1 as int) as pos, links[i] as href
 from (select page_id, links, unnest(range(1, len(links) + 1)) as i from found)"""
 
+# A day in the newest month on each index page.
+_NEWEST_DAY = """select o_orderkey as page_id, cast(o_orderdate as date)
+    + cast(case when o_orderkey % 3 = 2 then 0 else 40 end as int) as d from orders"""
+
 _WANTED = """href like '%.zip' and (lower(href) like '%cnaes%'
     or lower(href) like '%motivos%' or lower(href) like '%estabelecimentos%')"""
 
@@ -149,11 +153,18 @@ ORACLES: dict[str, str] = {
     "lookup_hot_code": _COUNTRY,
     "filter_activity": f"{_facts()} {_TYPED} where cd_cnae_fiscal in ({_CHOSEN})",
     "extract_links": _EXTRACT_LINKS,
-    "latest_snapshot": f"""select o_orderkey as page_id,
-        cast(date_trunc('month', d) as date) as snapshot,
-        '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as url
-        from (select o_orderkey, cast(o_orderdate as date)
-            + cast(case when o_orderkey % 3 = 2 then 0 else 40 end as int) as d from orders)""",
+    "latest_snapshot": f"""select page_id, cast(date_trunc('month', d) as date) as snapshot,
+        '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as url from ({_NEWEST_DAY})""",
+    "listing_to_manifest": f"""with pages as (
+            select o_orderkey, '{INDEX_BASE}' || strftime(o_orderdate, '%Y-%m') || '/' as snapshot_url
+            from orders),
+        newest as (select distinct '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as u from ({_NEWEST_DAY})),
+        files as (
+            select snapshot_url, 'Cnaes.zip' as href from pages
+            union all
+            select snapshot_url, 'Estabelecimentos' || o_orderkey || '.zip' from pages)
+        select snapshot_url, href, snapshot_url || href as url, href as file_name
+        from files where snapshot_url in (select u from newest)""",
     "newest_link_by_site": _with(links=inputs.SITE_LINKS_SQL)
     + f"""select site, cast(substr(href, 1, 7) || '-01' as date) as snapshot,
         '{INDEX_BASE}' || href as url

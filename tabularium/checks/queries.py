@@ -1,4 +1,6 @@
-"""One query per operator. Each runs over whole tables and is lazy but for the files it first lays down."""
+"""One query per operator. Each runs over whole tables and is lazy but for the files it first lays
+down.
+"""
 
 from __future__ import annotations
 
@@ -27,7 +29,7 @@ from tabularium.operators import (
     newest_link,
     wanted_files,
 )
-from tabularium.plans import refresh_silver, silver_from_folder
+from tabularium.plans import build_manifest, refresh_silver, silver_from_folder
 from tabularium.sources import (
     archived_rows,
     extract_archives,
@@ -280,6 +282,15 @@ def manifest_filter(spark, sf_dir):
     return wanted_files(inputs.in_spark(spark, sf_dir, inputs.LINKS_SQL), INDEX_BASE)
 
 
+@query
+def listing_to_manifest(spark, sf_dir):
+    return build_manifest(
+        inputs.in_spark(spark, sf_dir, inputs.INDEX_PAGES_SQL),
+        inputs.in_spark(spark, sf_dir, inputs.SNAPSHOT_PAGES_SQL),
+        INDEX_BASE,
+    )
+
+
 @query
 def file_name_entity(spark, sf_dir):
     links = inputs.in_spark(spark, sf_dir, inputs.LINKS_SQL)

@@ -12,7 +12,9 @@ _written: dict[tuple[str, ...], str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where Spark runs on one machine."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder only where Spark runs on one
+    machine.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -28,7 +30,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def written_once(
     spark: SparkSession, name: str, source: str, write: Callable[[str], None]
 ) -> str:
-    """The folder that ``write`` has filled for this source, written on first use in this process."""
+    """The folder that ``write`` has filled for this source, written on first use in this process.
+    """
     key = (shared_root(spark), source, name)
     if key not in _written:
         folder = new_folder(spark, name)

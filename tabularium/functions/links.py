@@ -47,9 +47,10 @@ def _decode_references(value: Column) -> Column:
 def hrefs(html: Column) -> Column:
     """The href of every anchor that has one, in page order, as an array.
 
-    A scan with one regular expression, not an HTML parser, but it walks tags and attributes as one does:
-    quoted, unquoted and empty values, and no anchors in comments, scripts, styles or attributes.
-    Only the common character references are decoded, and a comment that stays open hides the rest.
+    A scan with one regular expression, not an HTML parser, but it walks tags and attributes as one
+    does: quoted, unquoted and empty values, and no anchors in comments, scripts, styles or
+    attributes. Only the common character references are decoded, and a comment that stays open
+    hides the rest.
     """
     anchors = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
     values = F.array_remove(F.transform(anchors, _last_href), "")

@@ -18,7 +18,8 @@ def branch_label(code: Column) -> Column:
 
 
 def status_label(code: Column) -> Column:
-    """Label of a two-digit registration status; unknown, unpadded and NULL codes get the default."""
+    """Label of a two-digit registration status; unknown, unpadded and NULL codes get the default.
+    """
     labels = [F.when(code == value, text) for value, text in STATUS_LABELS.items()]
     return F.coalesce(*labels, F.lit(STATUS_DEFAULT))
 

@@ -30,7 +30,8 @@ def is_wanted(link: Column, entities: Iterable[str] = WANTED_ENTITIES) -> Column
 def wanted_files(
     links: DataFrame, base: str | Column, entities: Iterable[str] = WANTED_ENTITIES
 ) -> DataFrame:
-    """The links to download, with their ``url`` (``base`` put before the href) and ``file_name``."""
+    """The links to download, with their ``url`` (``base`` put before the href) and ``file_name``.
+    """
     prefix = F.lit(base) if isinstance(base, str) else base
     url = F.concat(prefix, F.col("href"))
     return links.filter(is_wanted(F.col("href"), entities)).withColumns(

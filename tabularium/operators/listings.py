@@ -8,7 +8,8 @@ from tabularium.functions.links import hrefs, snapshot_month
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
-    """One row per anchor with an href: the page's columns but ``html``, then ``pos`` and ``href``."""
+    """One row per anchor with an href: the page's columns but ``html``, then ``pos`` and ``href``.
+    """
     kept = [c for c in pages.columns if c != "html"]
     return pages.select(*kept, F.posexplode(hrefs(F.col("html"))).alias("pos", "href"))
 

@@ -1,3 +1,4 @@
+from tabularium.plans.manifest import build_manifest
 from tabularium.plans.silver import build_silver, derive, refresh_silver, silver_from_folder
 
-__all__ = ["build_silver", "derive", "refresh_silver", "silver_from_folder"]
+__all__ = ["build_manifest", "build_silver", "derive", "refresh_silver", "silver_from_folder"]

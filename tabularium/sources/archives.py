@@ -8,6 +8,7 @@ are done by Spark.
 
 from __future__ import annotations
 
+import codecs
 import sys
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -28,7 +29,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def open_file(path: str) -> pa.NativeFile:
-    """Open a file for random access: local or mounted, or on HDFS or an object store that Arrow knows."""
+    """Open a file for random access: local or mounted, or on HDFS or an object store that Arrow
+    knows.
+    """
     scheme, _, rest = path.partition(":")
     if not rest or scheme == "file":
         return fs.LocalFileSystem().open_input_file("/" + (rest or path).lstrip("/"))
@@ -70,15 +73,21 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole_lines(stream) -> Iterator[bytes]:
-    """Cut a byte stream into blocks at line breaks, leaving out the break at each cut."""
+    """Cut a byte stream into blocks at line breaks, leaving out the break at each cut.
+
+    A byte order mark, which a reader would drop from the start of a file, is dropped here: after
+    extraction the member may no longer start one.
+    """
     pending: list[bytes] = []
-    while chunk := stream.read(BLOCK_BYTES):
+    chunk = stream.read(BLOCK_BYTES).removeprefix(codecs.BOM_UTF8)
+    while chunk:
         head, line_break, tail = chunk.rpartition(b"\n")
         if line_break:
             yield b"".join([*pending, head])
             pending = [tail] if tail else []
         else:
             pending.append(chunk)
+        chunk = stream.read(BLOCK_BYTES)
     if pending:
         yield b"".join(pending)
 
@@ -100,11 +109,12 @@ def read_members(
     glob: str = "*.zip",
     tasks: int | None = None,
 ) -> DataFrame:
-    """The members of the archives in a folder, of all or of some entities, as blocks of whole lines.
+    """The members of the archives in a folder, of all or of some entities, as blocks of whole
+    lines.
 
-    Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. Only names and archive directories
-    are read before the members are dealt out evenly, by name, over ``tasks``. That number is given
-    to Spark because the list is tiny and would otherwise be merged into one task.
+    Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. Only names and archive
+    directories are read before the members are dealt out evenly, by name, over ``tasks``. That
+    number is given to Spark because the list is tiny and would otherwise be merged into one task.
     """
     archives = list_archives(spark, folder, entities, glob).select("archive", "entity")
     members = archives.mapInArrow(_members, "archive string, entity string, member string")
@@ -124,7 +134,9 @@ def _text(block: Column, encoding: str) -> Column:
 
 
 def archived_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """One row per non-blank line, whatever the line break: ``archive``, ``entity``, ``member``, ``line``."""
+    """One row per non-blank line, whatever the line break: ``archive``, ``entity``, ``member``,
+    ``line``.
+    """
     text = F.replace(_text(F.col("block"), encoding), F.lit("\r"), F.lit("\n"))
     lines = members.select(
         "archive", "entity", "member", F.explode(F.split(text, "\n")).alias("line")
@@ -153,14 +165,16 @@ def extract_archives(
     entities: Iterable[str] | None = None,
     **options,
 ) -> None:
-    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing what that folder held.
+    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing what that folder
+    held.
 
-    Nothing else in ``target`` is touched, so it may be the folder of the archives itself. Bytes are kept as
-    they are, in whatever encoding; only a missing last line break is added. Two archives of an entity that
-    hold a member of the same name are both kept.
+    Nothing else in ``target`` is touched, so it may be the folder of the archives itself. Bytes are
+    kept as they are, in whatever encoding, but for a byte order mark and a missing last line break.
+    Two archives of an entity that hold a member of the same name are both kept.
 
-    Without ``entities`` everything is extracted in one job, for which Spark sorts each task's blocks by
-    entity. With a list, each entity is its own job, without that sort; an entity without archives is an error.
+    Without ``entities`` everything is extracted in one job, for which Spark sorts each task's
+    blocks by entity. With a list, each entity is its own job, without that sort; an entity without
+    archives is an error.
     """
     if entities is None:
         members = read_members(spark, folder, **options)

@@ -20,9 +20,9 @@ def read_delimited(
     """Read one or many files or folders as one table, fields bound by position.
 
     Nothing fails on a bad row: a bad integer or a missing field is NULL, extra fields are dropped,
-    and empty values, quoted or not, are NULL. A line break always ends the row, even in quotes, which is
-    what lets Spark split large files. ``escape='"'`` reads doubled quotes. Files in subfolders
-    are read only with ``recursive``.
+    and empty values, quoted or not, are NULL. A line break always ends the row, even in quotes,
+    which is what lets Spark split large files. ``escape='"'`` reads doubled quotes. Files in
+    subfolders are read only with ``recursive``.
     """
     return spark.read.csv(
         paths,
@@ -38,8 +38,8 @@ def read_delimited(
 def read_entity(spark: SparkSession, root: str, entity: Entity, **options) -> DataFrame:
     """Read an entity's folder below ``root``.
 
-    That is ``<root>/<entity>``, or ``<root>/entity=<entity>`` as ``extract_archives`` writes it. Both or neither
-    is an error, so that nothing is read twice or taken for empty.
+    That is ``<root>/<entity>``, or ``<root>/entity=<entity>`` as ``extract_archives`` writes it.
+    Both or neither is an error, so that nothing is read twice or taken for empty.
     """
     found = []
     for folder in (f"{root}/{entity.folder}", f"{root}/entity={entity.folder}"):

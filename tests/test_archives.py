@@ -97,6 +97,15 @@ def test_many_members_are_dealt_out(spark, tmp_path):
     assert max(per_task) <= 4
 
 
+def test_byte_order_marks_are_dropped(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "Motivos.zip", "w") as archive:
+        for code in "12":
+            archive.writestr(code, f'"{code}";"É"\n'.encode("utf-8-sig"))
+    extract_archives(spark, str(tmp_path), str(tmp_path), ["Motivos"], tasks=1)
+    assert sorted(read_entity(spark, str(tmp_path), REASONS).collect()) == [("1", "É"), ("2", "É")]
+    assert sorted(archived_rows(spark, str(tmp_path), REASONS).collect()) == [("1", "É"), ("2", "É")]
+
+
 class Stream:
     def __init__(self, content):
         self.content = content

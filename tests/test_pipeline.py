@@ -1,4 +1,5 @@
-"""The whole chain: listing to manifest, archives to silver table; and the plans Spark makes of it."""
+"""The whole chain: listing to manifest, archives to silver table; and the plans Spark makes of it.
+"""
 
 import datetime
 import zipfile
