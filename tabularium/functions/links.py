@@ -10,26 +10,29 @@ from tabularium.layouts import ARCHIVE_TAIL_PATTERN, SNAPSHOT_PATTERN
 _VALUE = r"""(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+)"""
 _ATTRIBUTE = rf"[^\s/>][^\s/=>]*+(?:\s*+=++\s*+{_VALUE})?+"
 _ATTRIBUTES = rf"(?:[\s/]++|{_ATTRIBUTE})*+"
-# All markup is matched, in one pass, so that nothing inside comments, scripts, styles or attributes of
-# other tags is taken for an anchor; only the attributes of an anchor are captured.
+_HREF = rf"href(?=[\s/=>])(?:\s*+=++\s*+{_VALUE})?+"
+# All markup is matched, in one pass, so that nothing inside comments, scripts, styles or
+# attributes of other tags is taken for an anchor. Only an anchor's href attribute is captured, of
+# repeated ones the last, and only after a look ahead that the tag ends.
 _ANCHOR = (
     r"(?is)<(?:!--(?:-?>|.*?(?:--!?>|\z))"
     rf"|script(?=[\s/>]){_ATTRIBUTES}>.*?(?:</script\s*>|\z)"
     rf"|style(?=[\s/>]){_ATTRIBUTES}>.*?(?:</style\s*>|\z)"
-    rf"|a(?=[\s/])({_ATTRIBUTES})>"
+    rf"|a(?=[\s/])(?={_ATTRIBUTES}>)(?:[\s/]++|({_HREF})|{_ATTRIBUTE})*+>"
     rf"|[a-z][^\s/>]*+{_ATTRIBUTES}(?:>|\z))"
 )
-# One attribute, with its name and value captured if it is an href.
-_HREF = rf"(?is)(href(?=[\s/=]|\z)(?:\s*+=++\s*+{_VALUE})?+)|{_ATTRIBUTE}"
-_HREF_VALUE = r"(?is)^href\s*=+\s*(.*)$"
+_SPACES = " \t\n\x0b\f\r"
+# The first thing that looks like a snapshot, if it is a month.
+_MONTH = rf"(?s)^(?:(?!{SNAPSHOT_PATTERN}).)*+((?!0000)\d{{4}}-(?:0[1-9]|1[0-2]))"
 # The character references that occur in links; "&amp;" is last so that nothing is decoded twice.
 _REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 
 
-def _last_href(attributes: Column) -> Column:
-    """The href attribute of a tag, the last one if it is repeated; empty if there is none."""
-    found = F.array_remove(F.regexp_extract_all(attributes, F.lit(_HREF), F.lit(1)), "")
-    return F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit(""))
+def _value(attribute: Column) -> Column:
+    rest = F.substring(attribute, F.lit(len("href") + 1), F.length(attribute))
+    for characters in (_SPACES, "=", _SPACES):
+        rest = F.ltrim(rest, F.lit(characters))
+    return rest
 
 
 def _unquote(value: Column) -> Column:
@@ -52,18 +55,22 @@ def hrefs(html: Column) -> Column:
     attributes. Only the common character references are decoded, and a comment that stays open
     hides the rest.
     """
-    anchors = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
-    values = F.array_remove(F.transform(anchors, _last_href), "")
+    values = F.array_remove(F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1)), "")
     # One step each, because an expression used twice inside a step is computed twice.
-    for step in (lambda t: F.regexp_extract(t, _HREF_VALUE, 1), _unquote, _decode_references):
+    for step in (_value, _unquote, _decode_references):
         values = F.transform(values, step)
     return values
 
 
+def month_text(link: Column) -> Column:
+    """The first ``YYYY-MM`` in a link; empty if there is none or it is no month."""
+    # The snapshot pattern has two groups of its own.
+    return F.regexp_extract(link, _MONTH, 3)
+
+
 def snapshot_month(link: Column) -> Column:
     """First day of the first ``YYYY-MM`` in a link; NULL if there is none or it is no month."""
-    day = F.concat(F.regexp_extract(link, SNAPSHOT_PATTERN, 0), F.lit("-01")).try_cast("date")
-    return F.when(day >= F.lit("0001-01-01").cast("date"), day)
+    return F.concat(month_text(link), F.lit("-01")).try_cast("date")
 
 
 def file_name(link: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabularium.functions.links import hrefs, snapshot_month
+from tabularium.functions.links import hrefs, month_text, snapshot_month
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -22,19 +22,19 @@ def latest_snapshot(pages: DataFrame, base: str) -> DataFrame:
     shuffle is needed and no page's links are spread over rows.
     """
     kept = [c for c in pages.columns if c != "html"]
-    dated = F.filter(
-        F.transform(
-            hrefs(F.col("html")),
-            lambda href, pos: F.struct(
-                snapshot_month(href).alias("snapshot"), (-pos).alias("rank"), href.alias("href")
-            ),
+    # Months compare as text; a link without one is empty there and loses to all others.
+    ranked = F.transform(
+        hrefs(F.col("html")),
+        lambda href, pos: F.struct(
+            month_text(href).alias("month"), (-pos).alias("rank"), href.alias("href")
         ),
-        lambda link: link["snapshot"].isNotNull(),
     )
-    return pages.select(*kept, F.array_max(dated).alias("newest")).select(
+    newest = pages.select(*kept, F.array_max(ranked).alias("newest"))
+    url = F.when(F.col("newest.month") != "", F.concat(F.lit(base), F.col("newest.href")))
+    return newest.select(
         *kept,
-        F.col("newest.snapshot").alias("snapshot"),
-        F.concat(F.lit(base), F.col("newest.href")).alias("url"),
+        F.concat(F.col("newest.month"), F.lit("-01")).try_cast("date").alias("snapshot"),
+        url.alias("url"),
     )
 
 
