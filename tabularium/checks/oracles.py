@@ -154,7 +154,7 @@ ORACLES: dict[str, str] = {
     "filter_activity": f"{_facts()} {_TYPED} where cd_cnae_fiscal in ({_CHOSEN})",
     "extract_links": _EXTRACT_LINKS,
     "latest_snapshot": f"""select page_id, cast(date_trunc('month', d) as date) as snapshot,
-        '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as url from ({_NEWEST_DAY})""",
+        '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as snapshot_url from ({_NEWEST_DAY})""",
     "listing_to_manifest": f"""with pages as (
             select o_orderkey, '{INDEX_BASE}' || strftime(o_orderdate, '%Y-%m') || '/' as snapshot_url
             from orders),
@@ -167,7 +167,7 @@ ORACLES: dict[str, str] = {
         from files where snapshot_url in (select u from newest)""",
     "newest_link_by_site": _with(links=inputs.SITE_LINKS_SQL)
     + f"""select site, cast(substr(href, 1, 7) || '-01' as date) as snapshot,
-        '{INDEX_BASE}' || href as url
+        '{INDEX_BASE}' || href as snapshot_url
         from (select *, row_number() over (partition by site order by substr(href, 1, 7) desc, pos) as n
             from links where href not like '/docs%')
         where n = 1""",

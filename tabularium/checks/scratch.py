@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+_RUN = uuid.uuid4().hex
+_numbers = itertools.count()
 _written: dict[tuple[str, ...], str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where Spark runs on one
-    machine.
-    """
+    """``spark.checkpoint.dir``; a temporary folder only where Spark runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -24,14 +25,14 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/tabularium-{uuid.uuid4().hex}/{name}"
+    """A folder that does not exist yet; those of one process are below one folder."""
+    return f"{shared_root(spark)}/tabularium-{_RUN}/{name}-{next(_numbers)}"
 
 
 def written_once(
     spark: SparkSession, name: str, source: str, write: Callable[[str], None]
 ) -> str:
-    """The folder that ``write`` has filled for this source, written on first use in this process.
-    """
+    """The folder that ``write`` fills for this source on first use in this process."""
     key = (shared_root(spark), source, name)
     if key not in _written:
         folder = new_folder(spark, name)

@@ -8,14 +8,13 @@ from tabularium.functions.links import hrefs, month_text, snapshot_month
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
-    """One row per anchor with an href: the page's columns but ``html``, then ``pos`` and ``href``.
-    """
+    """One row per anchor with an href: the page's columns but ``html``, ``pos`` and ``href``."""
     kept = [c for c in pages.columns if c != "html"]
     return pages.select(*kept, F.posexplode(hrefs(F.col("html"))).alias("pos", "href"))
 
 
 def latest_snapshot(pages: DataFrame, base: str) -> DataFrame:
-    """Each page's newest ``YYYY-MM`` link, as ``snapshot`` (its month) and ``url``.
+    """Each page's newest ``YYYY-MM`` link, as ``snapshot`` (its month) and ``snapshot_url``.
 
     Of equally new links the first on the page counts; links with an impossible month
     do not. A page without such a link has NULLs. The maximum is taken inside the row, so no
@@ -26,15 +25,15 @@ def latest_snapshot(pages: DataFrame, base: str) -> DataFrame:
     ranked = F.transform(
         hrefs(F.col("html")),
         lambda href, pos: F.struct(
-            month_text(href).alias("month"), (-pos).alias("rank"), href.alias("href")
+            month_text(href).alias("__month"), (-pos).alias("__rank"), href.alias("__href")
         ),
     )
-    newest = pages.select(*kept, F.array_max(ranked).alias("newest"))
-    url = F.when(F.col("newest.month") != "", F.concat(F.lit(base), F.col("newest.href")))
+    # As the output of a generator the scan of the page is not repeated in filters on the result.
+    newest = pages.select(*kept, F.inline_outer(F.array(F.array_max(ranked))))
     return newest.select(
         *kept,
-        F.concat(F.col("newest.month"), F.lit("-01")).try_cast("date").alias("snapshot"),
-        url.alias("url"),
+        F.concat("__month", F.lit("-01")).try_cast("date").alias("snapshot"),
+        F.when(F.col("__month") != "", F.concat(F.lit(base), "__href")).alias("snapshot_url"),
     )
 
 
@@ -54,5 +53,5 @@ def newest_link(links: DataFrame, base: str, *by: str) -> DataFrame:
     return newest.select(
         *by,
         F.col("newest.snapshot").alias("snapshot"),
-        F.concat(F.lit(base), F.col("newest.href")).alias("url"),
+        F.concat(F.lit(base), F.col("newest.href")).alias("snapshot_url"),
     )

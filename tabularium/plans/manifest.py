@@ -23,7 +23,7 @@ def build_manifest(
     ``html``) are the saved pages of the snapshots, of which only the newest ones are searched for
     links.
     """
-    newest = latest_snapshot(index_pages.select("html"), base).select("url").distinct()
-    pages = snapshot_pages.select("url", "html").join(newest, "url", "left_semi")
-    links = extract_links(pages).select(F.col("url").alias("snapshot_url"), "href")
+    newest = latest_snapshot(index_pages.select("html"), base).select("snapshot_url").distinct()
+    pages = snapshot_pages.select(F.col("url").alias("snapshot_url"), "html")
+    links = extract_links(pages.join(newest, "snapshot_url", "left_semi")).drop("pos")
     return wanted_files(links, F.col("snapshot_url"), entities)

@@ -51,8 +51,7 @@ def build_silver(
     dates: str = "legacy",
     hot: Mapping[str, Iterable[str | None]] | None = None,
 ) -> DataFrame:
-    """The silver table, lazily: 35 columns, or the 37 documented ones with both further code
-    tables.
+    """The silver table: 35 columns, or the 37 documented ones with both further code tables.
 
     ``only_activities`` keeps the establishments with one of these main activities. ``hot`` is for
     code tables too large to broadcast: the codes, by column, that hold a large share of the rows.

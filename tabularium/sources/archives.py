@@ -29,9 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def open_file(path: str) -> pa.NativeFile:
-    """Open a file for random access: local or mounted, or on HDFS or an object store that Arrow
-    knows.
-    """
+    """Open a file for random access: local, mounted, or on a store that Arrow knows."""
     scheme, _, rest = path.partition(":")
     if not rest or scheme == "file":
         return fs.LocalFileSystem().open_input_file("/" + (rest or path).lstrip("/"))
@@ -109,8 +107,7 @@ def read_members(
     glob: str = "*.zip",
     tasks: int | None = None,
 ) -> DataFrame:
-    """The members of the archives in a folder, of all or of some entities, as blocks of whole
-    lines.
+    """The members of a folder's archives, of all or some entities, as blocks of whole lines.
 
     Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. Only names and archive
     directories are read before the members are dealt out evenly, by name, over ``tasks``. That
@@ -134,9 +131,7 @@ def _text(block: Column, encoding: str) -> Column:
 
 
 def archived_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """One row per non-blank line, whatever the line break: ``archive``, ``entity``, ``member``,
-    ``line``.
-    """
+    """One row per non-blank line: ``archive``, ``entity``, ``member``, ``line``."""
     text = F.replace(_text(F.col("block"), encoding), F.lit("\r"), F.lit("\n"))
     lines = members.select(
         "archive", "entity", "member", F.explode(F.split(text, "\n")).alias("line")
@@ -165,8 +160,7 @@ def extract_archives(
     entities: Iterable[str] | None = None,
     **options,
 ) -> None:
-    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing what that folder
-    held.
+    """Extract archives to plain files in ``<target>/entity=<entity>/``, replacing those.
 
     Nothing else in ``target`` is touched, so it may be the folder of the archives itself. Bytes are
     kept as they are, in whatever encoding, but for a byte order mark and a missing last line break.

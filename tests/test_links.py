@@ -140,7 +140,15 @@ def test_latest_snapshot(spark):
     ]
     rows = latest_snapshot(spark.createDataFrame(pages, "page_id int, html string"), "h/").collect()
     expected = [link and f"h/{link}" for _, link in SNAPSHOTS]
-    assert [r.url for r in sorted(rows, key=lambda r: r.page_id)] == expected
+    assert [r.snapshot_url for r in sorted(rows, key=lambda r: r.page_id)] == expected
+
+
+def test_latest_snapshot_keeps_the_pages_own_columns(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", "m", '<a href="2024-01/">')], "rank int, url string, month string, html string"
+    )
+    (row,) = latest_snapshot(pages, "h/").collect()
+    assert (row.rank, row.url, row.month, row.snapshot_url) == (1, "u", "m", "h/2024-01/")
 
 
 def test_newest_link_chooses_as_latest_snapshot_does(spark):
@@ -151,7 +159,7 @@ def test_newest_link_chooses_as_latest_snapshot_does(spark):
         spark.createDataFrame(links, "site int, pos int, href string"), "h/", "site"
     ).collect()
     expected = {i: f"h/{link}" for i, (_, link) in enumerate(SNAPSHOTS) if link}
-    assert {r.site: r.url for r in rows} == expected
+    assert {r.site: r.snapshot_url for r in rows} == expected
 
 
 def test_wanted_files(spark):

@@ -150,6 +150,12 @@ def test_row_local_queries_do_not_shuffle(spark, name):
     assert "Exchange" not in text and "Python" not in text
 
 
+@pytest.mark.parametrize("name, scans", [("latest_snapshot", 1), ("listing_to_manifest", 2)])
+def test_pages_are_scanned_once(spark, name, scans):
+    text = plan(QUERIES[name](spark, SF_DIR).filter("snapshot_url is not null"))
+    assert text.count("regexp_extract_all") == scans
+
+
 def test_newest_link_is_aggregated_before_the_shuffle(spark):
     text = plan(QUERIES["newest_link_by_site"](spark, SF_DIR))
     assert text.index("partial_max_by") > text.index("hashpartitioning")
