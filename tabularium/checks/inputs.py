@@ -10,7 +10,6 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,6 +23,7 @@ from tabularium.layouts import (
     MUNICIPALITIES,
     REASONS,
 )
+from tabularium.sources.archives import locate
 
 _ORDER_DATE = "replace(cast(cast(o.o_orderdate as date) as string), '-', '')"
 
@@ -186,19 +186,23 @@ def write_archives(df: DataFrame, folder: str, entity: str, encoding: str = "UTF
     line = F.to_csv(F.struct(*df.columns), {"sep": FIELD_SEPARATOR, "quoteAll": "true"})
 
     def zip_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
-        system, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        task = TaskContext.get()
+        name = f"{entity}{task.partitionId()}.zip"
+        system, root = locate(folder)
         system.create_dir(root, recursive=True)
+        # Attempts of one task do not write the same file; the last to end names it.
+        unfinished = f"{root}/_{name}.{task.taskAttemptId()}"
         rows = 0
         with (
-            system.open_output_stream(f"{root}/{entity}{number}.zip") as sink,
+            system.open_output_stream(unfinished) as sink,
             zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
-            archive.open(f"{entity}.{number}.csv", "w", force_zip64=True) as member,
+            archive.open(f"{name}.csv", "w", force_zip64=True) as member,
         ):
             for batch in batches:
                 lines = batch.column("line").to_pylist()
                 member.write("".join(f"{text}\n" for text in lines).encode(encoding))
                 rows += len(lines)
+        system.move(unfinished, f"{root}/{name}")
         yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
 
     zipped = df.select(line.alias("line")).mapInArrow(zip_partition, "rows bigint")

@@ -20,10 +20,10 @@ def build_manifest(
     """The wanted files of the newest snapshots: ``snapshot_url``, ``href``, ``url``, ``file_name``.
 
     ``index_pages`` (``html``) list the snapshots below ``base``; ``snapshot_pages`` (``url``,
-    ``html``) are the saved pages of the snapshots, of which only the newest ones are searched for
-    links.
+    ``html``) are the saved pages of snapshots. Links are taken from the pages before the newest
+    ones are chosen, so that links are joined and page texts are never shuffled.
     """
     newest = latest_snapshot(index_pages.select("html"), base).select("snapshot_url").distinct()
     pages = snapshot_pages.select(F.col("url").alias("snapshot_url"), "html")
-    links = extract_links(pages.join(newest, "snapshot_url", "left_semi")).drop("pos")
-    return wanted_files(links, F.col("snapshot_url"), entities)
+    links = wanted_files(extract_links(pages).drop("pos"), F.col("snapshot_url"), entities)
+    return links.join(newest, "snapshot_url", "left_semi")

@@ -28,14 +28,20 @@ BLOCK_BYTES = 1 << 20
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def open_file(path: str) -> pa.NativeFile:
-    """Open a file for random access: local, mounted, or on a store that Arrow knows."""
+def locate(path: str) -> tuple[fs.FileSystem, str]:
+    """The Arrow file system of a path or URI as Spark writes it, and the path on it."""
     scheme, _, rest = path.partition(":")
     if not rest or scheme == "file":
-        return fs.LocalFileSystem().open_input_file("/" + (rest or path).lstrip("/"))
+        return fs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
     authority, _, name = rest.removeprefix("//").partition("/")
     system, root = fs.FileSystem.from_uri(f"{scheme.replace('s3a', 's3')}://{authority}/")
-    return system.open_input_file(f"{root.rstrip('/')}/{name}")
+    return system, f"{root.rstrip('/')}/{name}"
+
+
+def open_file(path: str) -> pa.NativeFile:
+    """Open a file for random access."""
+    system, name = locate(path)
+    return system.open_input_file(name)
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import zipfile
 
 import pytest
+from hypothesis import given, strategies as st
 from tabularium.layouts import ACTIVITIES, REASONS
 from tabularium.sources import (
     archived_lines,
@@ -12,7 +13,8 @@ from tabularium.sources import (
     read_entity,
     read_members,
 )
-from tabularium.sources.archives import BLOCK_BYTES, _whole_lines
+from tabularium.sources import archives as module
+from tabularium.sources.archives import BLOCK_BYTES, _whole_lines, locate
 
 
 @pytest.fixture
@@ -106,6 +108,13 @@ def test_byte_order_marks_are_dropped(spark, tmp_path):
     assert sorted(archived_rows(spark, str(tmp_path), REASONS).collect()) == [("1", "É"), ("2", "É")]
 
 
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_local_paths_in_all_spellings(spark, folder, prefix):
+    system, path = locate(f"{prefix}{folder}/Motivos.zip")
+    assert system.get_file_info(path).is_file
+    assert archived_rows(spark, f"{prefix}{folder}", REASONS).count() == 3
+
+
 class Stream:
     def __init__(self, content):
         self.content = content
@@ -132,3 +141,15 @@ def test_blocks_cut_at_line_breaks_only(content):
     blocks = list(_whole_lines(Stream(content)))
     written = b"".join(block + b"\n" for block in blocks)
     assert written == content + (b"" if content.endswith(b"\n") or not content else b"\n")
+
+
+@given(st.lists(st.sampled_from([b"a", b"\n", b"\r\n", b";x", b"\xc3\x89"])), st.integers(1, 7))
+def test_blocks_of_any_size_keep_every_byte(pieces, size):
+    content = b"".join(pieces)
+    before, module.BLOCK_BYTES = module.BLOCK_BYTES, size
+    try:
+        blocks = list(_whole_lines(Stream(content)))
+    finally:
+        module.BLOCK_BYTES = before
+    written = b"".join(block + b"\n" for block in blocks)
+    assert written == content + (b"" if content.endswith(b"\n") or not content else b"\n")

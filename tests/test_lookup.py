@@ -1,5 +1,7 @@
 """Lookups: no match, NULL, repeats, and codes that hold most of the rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from tabularium.operators import filter_activity, hot_codes, lookup
@@ -55,6 +57,27 @@ def test_repeated_code_fans_out(spark, hot):
     assert len(rows) == len(EXPECTED) + 2
 
 
+def test_random_tables_against_brute_force(spark, shuffled):
+    random.seed(2)
+    letters = ["a", "b", "c", "d", None]
+    facts = [(i, random.choices(letters, [20, 3, 1, 1, 10])[0]) for i in range(500)]
+    codes = [(random.choice(letters), str(i)) for i in range(12)]
+    expected = sorted(
+        (i, label)
+        for i, code in facts
+        for label in [d for c, d in codes if c == code and code is not None] or [None]
+    )
+    tables = (
+        spark.createDataFrame(facts, "id int, code string").repartition(5),
+        spark.createDataFrame(codes, "codigo string, descricao string"),
+    )
+    hot = hot_codes(tables[0], "code", 0.1)
+    assert set(hot) == {"a", None}
+    for chosen in ((), hot):
+        rows = lookup(*tables, "code", "label", hot=chosen, slices=5).collect()
+        assert sorted(((r.id, r.label) for r in rows), key=str) == sorted(expected, key=str)
+
+
 def test_label_may_be_the_code_column_of_another_lookup(spark):
     facts, codes = tables(spark)
     twice = lookup(lookup(facts, codes, "code", "a"), codes, "code", "b")

@@ -156,6 +156,11 @@ def test_pages_are_scanned_once(spark, name, scans):
     assert text.count("regexp_extract_all") == scans
 
 
+def test_page_texts_are_not_joined(spark):
+    text = plan(QUERIES["listing_to_manifest"](spark, SF_DIR))
+    assert text.index("LeftSemi") < text.index("Generate posexplode")
+
+
 def test_newest_link_is_aggregated_before_the_shuffle(spark):
     text = plan(QUERIES["newest_link_by_site"](spark, SF_DIR))
     assert text.index("partial_max_by") > text.index("hashpartitioning")
