@@ -64,7 +64,12 @@ def refresh(spark: SparkSession, args) -> int:
 
 
 def _options(args) -> dict:
-    return {"only_activities": args.activities, "dates": args.dates}
+    return {
+        "only_activities": args.activities,
+        "dates": args.dates,
+        "encodings": dict(pair.split("=", 1) for pair in args.encodings),
+        "escape": args.escape,
+    }
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -91,6 +96,10 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--by", help="partition the table by this column, such as uf")
         sub.add_argument("--documented", action="store_true", help="the 37-column layout")
         sub.add_argument("--dates", choices=("legacy", "strict"), default="legacy")
+        sub.add_argument(
+            "--encodings", nargs="*", default=[], metavar="ENTITY=ENCODING", help="not the usual ones"
+        )
+        sub.add_argument("--escape", default="\\", help="what escapes a quote in a quoted field")
         sub.add_argument(
             "--activities",
             nargs="*",

@@ -34,8 +34,8 @@ def compact_date(text: Column, mode: str = "legacy") -> Column:
     ``mode="strict"`` takes exactly eight digits. ``mode="legacy"`` also takes what the
     ``LEGACY`` time parser policy takes: trailing text after the day, and a day of one
     or of more than two digits. It needs no session setting. Known differences from that
-    policy: blanks or signs inside the digits are NULL here, 5 to 14 October 1582
-    are ordinary days here, and 29 February of the Julian-only leap years is NULL here.
+    policy: blanks, signs or non-ASCII digits inside are NULL here, 5 to 14 October 1582 are
+    ordinary days here, and 29 February of the Julian-only leap years is NULL here.
 
     Nearly all values are well-formed or plainly empty, so the eight-character case goes through the
     cheap ISO date cast, and the regular expressions run only where that yields nothing.

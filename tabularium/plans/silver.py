@@ -85,10 +85,21 @@ def silver_entities(documented: bool = False) -> tuple[Entity, ...]:
 
 
 def silver_from_folder(
-    spark: SparkSession, root: str, documented: bool = False, **options
+    spark: SparkSession,
+    root: str,
+    documented: bool = False,
+    encodings: Mapping[str, str] | None = None,
+    escape: str = "\\",
+    **options,
 ) -> DataFrame:
-    """``build_silver`` over the entity folders below ``root``."""
-    tables = [read_entity(spark, root, entity) for entity in silver_entities(documented)]
+    """``build_silver`` over the entity folders below ``root``.
+
+    ``encodings``, by folder name, replace the entities' own.
+    """
+    tables = [
+        read_entity(spark, root, entity, (encodings or {}).get(entity.folder), escape=escape)
+        for entity in silver_entities(documented)
+    ]
     return build_silver(*tables, **options)
 
 

@@ -35,8 +35,10 @@ def read_delimited(
     )
 
 
-def read_entity(spark: SparkSession, root: str, entity: Entity, **options) -> DataFrame:
-    """Read an entity's folder below ``root``.
+def read_entity(
+    spark: SparkSession, root: str, entity: Entity, encoding: str | None = None, **options
+) -> DataFrame:
+    """Read an entity's folder below ``root``, in the entity's own encoding unless told otherwise.
 
     That is ``<root>/<entity>``, or ``<root>/entity=<entity>`` as ``extract_archives`` writes it.
     Both or neither is an error, so that nothing is read twice or taken for empty.
@@ -44,7 +46,11 @@ def read_entity(spark: SparkSession, root: str, entity: Entity, **options) -> Da
     found = []
     for folder in (f"{root}/{entity.folder}", f"{root}/entity={entity.folder}"):
         try:
-            found.append(read_delimited(spark, folder, entity.schema, entity.encoding, **options))
+            found.append(
+                read_delimited(
+                    spark, folder, entity.schema, encoding or entity.encoding, **options
+                )
+            )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -84,6 +84,27 @@ def test_stages_one_by_one(spark, archives, tmp_path):
     }
 
 
+def test_reading_options(spark, tmp_path):
+    raw, silver = tmp_path / "raw", str(tmp_path / "silver")
+    row = CLINIC | {"nome_fantasia": 'CLÍNICA ""X""; Y'}
+    for entity, rows in (TABLES | {"Estabelecimentos": [row.values()]}).items():
+        (raw / entity).mkdir(parents=True)
+        text = "".join(";".join(f'"{v}"' for v in values) + "\n" for values in rows)
+        (raw / entity / "part").write_bytes(text.encode("latin-1"))
+    options = ["--encodings", "Estabelecimentos=ISO-8859-1", "--escape", '"']
+    assert main(["transform", str(raw), silver, *options], spark) == 0
+    (row,) = spark.read.parquet(silver).collect()
+    assert row.nome_fantasia == 'CLÍNICA "X"; Y'
+    assert row.cnae_fiscal == "Atividade odontológica"
+
+
+def test_silver_types(spark):
+    types = dict(silver_from_folder(spark, inputs.raw_folder(spark, SF_DIR)).dtypes)
+    special = {name: "date" for name in types if name.startswith("data_")}
+    special |= {"cd_matriz_filial": "int", "numero": "int"}
+    assert types == dict.fromkeys(SILVER_COLUMNS, "string") | special
+
+
 def test_listing_to_completeness(spark, archives, tmp_path, capfd):
     pages = tmp_path / "pages"
     pages.mkdir()
