@@ -51,6 +51,7 @@ def transform(spark: SparkSession, args) -> int:
 
 def refresh(spark: SparkSession, args) -> int:
     """Archives to silver table."""
+    manifest = args.manifest and spark.read.parquet(args.manifest)
     refresh_silver(
         spark,
         args.archives,
@@ -58,6 +59,7 @@ def refresh(spark: SparkSession, args) -> int:
         args.target,
         by=args.by,
         documented=args.documented,
+        manifest=manifest,
         **_options(args),
     )
     return 0
@@ -89,10 +91,9 @@ def _parser() -> argparse.ArgumentParser:
     )
     stage(missing, "manifest", "archives")
     stage(extract, "archives", "target")
-    for sub in (
-        stage(transform, "source", "target"),
-        stage(refresh, "archives", "extracted", "target"),
-    ):
+    whole = stage(refresh, "archives", "extracted", "target")
+    whole.add_argument("--manifest", help="start only if all of its files have landed")
+    for sub in (stage(transform, "source", "target"), whole):
         sub.add_argument("--by", help="partition the table by this column, such as uf")
         sub.add_argument("--documented", action="store_true", help="the 37-column layout")
         sub.add_argument("--dates", choices=("legacy", "strict"), default="legacy")

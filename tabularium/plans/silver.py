@@ -21,9 +21,11 @@ from tabularium.layouts import (
     Entity,
 )
 from tabularium.operators.filters import filter_activity
+from tabularium.operators.loads import is_complete
 from tabularium.operators.lookup import lookup
 from tabularium.sources.archives import extract_archives
 from tabularium.sources.delimited import read_entity
+from tabularium.sources.files import list_files
 from tabularium.sources.silver import write_silver
 
 
@@ -110,9 +112,15 @@ def refresh_silver(
     silver: str,
     by: str | None = None,
     documented: bool = False,
+    manifest: DataFrame | None = None,
     **options,
 ) -> None:
-    """Archives to silver table: extract, derive, enrich, write. Replaces both outputs."""
+    """Archives to silver table: extract, derive, enrich, write. Replaces both outputs.
+
+    With a ``manifest`` nothing starts before all of its files have landed.
+    """
+    if manifest is not None and not is_complete(manifest, list_files(spark, archives)):
+        raise FileNotFoundError(f"{archives} lacks files of the manifest")
     names = [entity.folder for entity in silver_entities(documented)]
     extract_archives(spark, archives, extracted, names)
     write_silver(silver_from_folder(spark, extracted, documented, **options), silver, by)

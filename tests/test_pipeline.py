@@ -125,6 +125,13 @@ def test_listing_to_completeness(spark, archives, tmp_path, capfd):
     assert main(["missing", manifest, archives], spark) == 0
     assert main(["missing", manifest, str(pages)], spark) == 1
 
+    refresh = ["refresh", archives, str(tmp_path / "raw"), str(tmp_path / "silver")]
+    assert main([*refresh, "--manifest", manifest], spark) == 0
+    (month / "q.html").write_text('<a href="Estabelecimentos9.zip">x</a>')
+    assert main(["manifest", str(month), "https://h/2024-11/", manifest], spark) == 0
+    with pytest.raises(FileNotFoundError):
+        main([*refresh, "--manifest", manifest], spark)
+
 
 def test_documented_layout_needs_both_tables(spark):
     with pytest.raises(ValueError):
