@@ -109,7 +109,7 @@ ORACLES: dict[str, str] = {
     "silver_filtered": f"{_with(**_SILVER_PARTS)} {_SILVER_35} where cd_cnae_fiscal in ({_CHOSEN})",
     "archive_to_silver": _with(**_SILVER_PARTS) + _SILVER_35,
     "csv_fact_read": _facts() + _TYPED,
-    "csv_code_table": inputs.in_oracle(inputs.REASONS_SQL),
+    "csv_code_table": inputs.in_oracle(inputs.MUNICIPALITIES_SQL),
     "csv_code_table_latin1": inputs.in_oracle(inputs.ACTIVITIES_SQL),
     "csv_multi_file": _facts() + _TYPED,
     "csv_permissive_int": _facts("cep", "cd_matriz_filial", "numero") + _TYPED,

@@ -18,7 +18,7 @@ from tabularium.functions import (
     full_id,
     status_label,
 )
-from tabularium.layouts import ACTIVITIES, ESTABLISHMENT, ESTABLISHMENTS, REASONS
+from tabularium.layouts import ACTIVITIES, ESTABLISHMENT, ESTABLISHMENTS, MUNICIPALITIES, REASONS
 from tabularium.operators import (
     extract_links,
     filter_activity,
@@ -93,7 +93,7 @@ def csv_fact_read(spark, sf_dir):
 
 @query
 def csv_code_table(spark, sf_dir):
-    return read_entity(spark, inputs.raw_folder(spark, sf_dir), REASONS)
+    return read_entity(spark, inputs.raw_folder(spark, sf_dir), MUNICIPALITIES, encoding="UTF-8")
 
 
 @query
