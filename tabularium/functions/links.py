@@ -24,8 +24,9 @@ _ANCHOR = (
 _SPACES = " \t\n\x0b\f\r"
 # The first thing that looks like a snapshot, if it is a month.
 _MONTH = rf"(?s)^(?:(?!{SNAPSHOT_PATTERN}).)*+((?!0000)\d{{4}}-(?:0[1-9]|1[0-2]))"
-# The character references that occur in links; "&amp;" is last so that nothing is decoded twice.
-_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+# The named character references that occur in links.
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_REFERENCE = rf"^({'|'.join(_NAMED)}|#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}});"
 
 
 def _value(attribute: Column) -> Column:
@@ -40,11 +41,31 @@ def _unquote(value: Column) -> Column:
     return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
+def _character(reference: Column) -> Column:
+    """The character of a name, ``#`` and decimal digits, or ``#x`` and hexadecimal digits."""
+    hexadecimal = F.lower(F.substring(reference, 2, 1)) == "x"
+    point = F.when(
+        hexadecimal, F.conv(F.substring(reference, 3, 6), 16, 10).cast("int")
+    ).otherwise(F.substring(reference, 2, 7).cast("int"))
+    unknown = (point == 0) | point.between(0xD800, 0xDFFF) | (point > 0x10FFFF)
+    encoded = F.unhex(F.lpad(F.hex(F.when(unknown, 0xFFFD).otherwise(point)), 8, "0"))
+    named = F.create_map(*[F.lit(text) for pair in _NAMED.items() for text in pair])
+    return F.when(reference.startswith("#"), F.decode(encoded, "UTF-32")).otherwise(
+        F.try_element_at(named, reference)
+    )
+
+
 def _decode_references(value: Column) -> Column:
-    decoded = value
-    for reference, character in _REFERENCES.items():
-        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
-    return F.when(value.contains("&"), decoded).otherwise(value)
+    """Decode character references from left to right, so that nothing is decoded twice."""
+
+    def decode(part: Column, i: Column) -> Column:
+        reference = F.regexp_extract(part, _REFERENCE, 1)
+        rest = F.substring(part, F.length(reference) + 2, F.length(part))
+        decoded = F.concat(_character(reference), rest)
+        return F.when(i == 0, part).when(reference == "", F.concat(F.lit("&"), part)).otherwise(decoded)
+
+    parts = F.transform(F.split(value, "&"), decode)
+    return F.when(value.contains("&"), F.array_join(parts, "")).otherwise(value)
 
 
 def hrefs(html: Column) -> Column:
@@ -52,8 +73,8 @@ def hrefs(html: Column) -> Column:
 
     A scan with one regular expression, not an HTML parser, but it walks tags and attributes as one
     does: quoted, unquoted and empty values, and no anchors in comments, scripts, styles or
-    attributes. Only the common character references are decoded, and a comment that stays open
-    hides the rest.
+    attributes. Of the named character references only the common ones are decoded, and a comment
+    that stays open hides the rest.
     """
     values = F.array_remove(F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1)), "")
     # One step each, because an expression used twice inside a step is computed twice.

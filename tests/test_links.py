@@ -49,6 +49,9 @@ PAGES = [
     '<script><a href="n">',
     '<a href="a&amp;b">',
     '<a href="a&amp;lt;b">',
+    '<a href="a&#38;lt;b&#x26;amp;c&amp;&amp;d&">',
+    '<a href="&#x2F;p&#47;&#233;&#xE9;&#x1F600;&#128512;&#0;&#xD800;&#x110000;">',
+    '<a href="mailto:&#109;&#X6D;?a=1&b=2&c;&apos;&quot;&#;&#x;&#39;">',
     '<a\nhref="x"\n>',
     '<a href="x"><a href="y">',
     "<a class=c href=/p/q?x=1&y=2 >",
@@ -78,7 +81,7 @@ def soups():
     random.seed(5)
     pieces = (
         "<a |<a|<A\t|</a>|>| href=| HREF = |href|=|x|2024-01/| |/|<p>|<b |class=c|<!-- <a href=n> -->"
-        "|<script><a href=n></script>|<style>a{}</style>|&amp;|&lt;|\n|<abbr |/>|text"
+        "|<script><a href=n></script>|<style>a{}</style>|&amp;|&lt;|&#38;|&#x3C;|&|#|;|\n|<abbr |/>|text"
         "|data-href=\"z\"|href=\"k\"|href='m'|href=u|<a href=\"q\">|title=\"<a href='n'>\""
     ).split("|")
     for _ in range(20_000):
