@@ -11,6 +11,8 @@ def write_silver(silver: DataFrame, path: str, by: str | None = None) -> None:
     Without ``by`` each task writes what it read and nothing is shuffled. With ``by``, such as
     ``uf``, the rows are first brought together by that column; the rebalance lets Spark split a
     value that holds a large share of the rows over several tasks, and join small ones.
+
+    Choose a column that is not made of digits: Spark reads such partition names back as numbers.
     """
     if by is None:
         silver.write.mode("overwrite").parquet(path)
