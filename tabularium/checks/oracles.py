@@ -106,6 +106,7 @@ _WANTED = """href like '%.zip' and (lower(href) like '%cnaes%'
 ORACLES: dict[str, str] = {
     "flagship_silver": _with(**_SILVER_PARTS) + _SILVER_35,
     "silver_documented": _with(**_DOCUMENTED_PARTS) + _SILVER_37,
+    "silver_cut_codes": _with(**_DOCUMENTED_PARTS) + _SILVER_37,
     "silver_filtered": f"{_with(**_SILVER_PARTS)} {_SILVER_35} where cd_cnae_fiscal in ({_CHOSEN})",
     "archive_to_silver": _with(**_SILVER_PARTS) + _SILVER_35,
     "csv_fact_read": _facts() + _TYPED,

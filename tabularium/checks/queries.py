@@ -60,12 +60,20 @@ def _facts(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
 
 @query
 def flagship_silver(spark, sf_dir):
-    return silver_from_folder(spark, inputs.raw_folder(spark, sf_dir))
+    raw = inputs.raw_folder(spark, sf_dir)
+    return silver_from_folder(spark, raw, cut=new_folder(spark, "codes"))
 
 
 @query
 def silver_documented(spark, sf_dir):
-    return silver_from_folder(spark, inputs.raw_folder(spark, sf_dir), documented=True)
+    raw = inputs.raw_folder(spark, sf_dir)
+    return silver_from_folder(spark, raw, documented=True, cut=new_folder(spark, "codes"))
+
+
+@query
+def silver_cut_codes(spark, sf_dir):
+    raw, codes = inputs.raw_folder(spark, sf_dir), new_folder(spark, "codes")
+    return silver_from_folder(spark, raw, documented=True, cut=codes, cut_above=0)
 
 
 @query

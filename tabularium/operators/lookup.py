@@ -58,3 +58,29 @@ def hot_codes(facts: DataFrame, key: str, share: float = 0.01) -> list[str | Non
     sketch = F.expr(f"approx_top_k(`{key}`, {most}, {min(1_000_000, most * 100)})")
     total, top = facts.agg(F.count("*"), sketch).first()
     return [item for item, rows in top or () if rows >= share * total]
+
+
+def used_codes(facts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
+    """The rows of ``codes`` whose code occurs in ``facts``; all a lookup needs.
+
+    Only distinct keys are shuffled, one per task and key.
+    """
+    used = facts.select(F.col(key).alias("codigo")).distinct()
+    return codes.join(used, "codigo", "left_semi")
+
+
+def cut_codes(
+    facts: DataFrame, codes: DataFrame, key: str, folder: str, above: int = 10 << 20
+) -> DataFrame:
+    """``codes`` as they are, or if they hold more than ``above`` bytes, those in use.
+
+    The latter are written to ``folder`` and read again. A large code table of which few codes are
+    in use is then small enough for Spark to broadcast, at the price of one more pass over one
+    column of ``facts``, where the lookup would have shuffled all of them.
+    """
+    text = F.octet_length("codigo") + F.coalesce(F.octet_length("descricao"), F.lit(0))
+    held = codes.agg(F.sum(text)).first()[0] or 0
+    if held <= above:
+        return codes
+    used_codes(facts, codes, key).write.mode("overwrite").parquet(folder)
+    return codes.sparkSession.read.schema(codes.schema).parquet(folder)

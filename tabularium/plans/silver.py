@@ -22,13 +22,22 @@ from tabularium.layouts import (
 )
 from tabularium.operators.filters import filter_activity
 from tabularium.operators.loads import is_complete
-from tabularium.operators.lookup import lookup
+from tabularium.operators.lookup import cut_codes, lookup
 from tabularium.sources.archives import extract_archives
 from tabularium.sources.delimited import read_entity
 from tabularium.sources.files import list_files
 from tabularium.sources.silver import write_silver
 
 
+# The establishment field that holds a code table's codes.
+CODE_COLUMNS = {
+    REASONS: "cd_motivo_situacao_cadastral",
+    ACTIVITIES: "cd_cnae_fiscal",
+    COUNTRIES: "pais",
+    MUNICIPALITIES: "municipio",
+}
+
+
 def derive(facts: DataFrame, dates: str = "legacy") -> DataFrame:
     """Add the id and the two labels, and turn the three compact dates into dates."""
     return facts.withColumns(
@@ -92,17 +101,27 @@ def silver_from_folder(
     documented: bool = False,
     encodings: Mapping[str, str] | None = None,
     escape: str = "\\",
+    cut: str | None = None,
+    cut_above: int = 10 << 20,
     **options,
 ) -> DataFrame:
     """``build_silver`` over the entity folders below ``root``.
 
-    ``encodings``, by folder name, replace the entities' own.
+    ``encodings``, by folder name, replace the entities' own. With a folder to ``cut`` in, code
+    tables of more than ``cut_above`` bytes are first cut down to the codes in use, see
+    ``cut_codes``; so the establishments are not shuffled for them.
     """
-    tables = [
+    entities = silver_entities(documented)
+    facts, *codes = (
         read_entity(spark, root, entity, (encodings or {}).get(entity.folder), escape=escape)
-        for entity in silver_entities(documented)
-    ]
-    return build_silver(*tables, **options)
+        for entity in entities
+    )
+    if cut is not None:
+        codes = [
+            cut_codes(facts, table, CODE_COLUMNS[entity], f"{cut}/{entity.folder}", cut_above)
+            for entity, table in zip(entities[1:], codes, strict=True)
+        ]
+    return build_silver(facts, *codes, **options)
 
 
 def refresh_silver(
@@ -123,4 +142,5 @@ def refresh_silver(
         raise FileNotFoundError(f"{archives} lacks files of the manifest")
     names = [entity.folder for entity in silver_entities(documented)]
     extract_archives(spark, archives, extracted, names)
+    options.setdefault("cut", f"{extracted}/_codes")
     write_silver(silver_from_folder(spark, extracted, documented, **options), silver, by)

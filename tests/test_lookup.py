@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tabularium.operators import filter_activity, hot_codes, lookup
+from tabularium.operators import cut_codes, filter_activity, hot_codes, lookup, used_codes
 
 FACTS = [(1, "00"), (2, "0"), (3, None), (4, "99"), (5, "00"), (6, None)]
 CODES = [("00", "NONE"), ("01", "ONE"), (None, "NULL?")]
@@ -126,6 +126,26 @@ def test_without_hot_codes_spark_splits_the_skewed_partition(spark, shuffled):
             spark.conf.set(k, v)
 
 
+def test_used_codes(spark):
+    facts, codes = tables(spark, [*CODES, ("00", "AGAIN")])
+    assert sorted(tuple(r) for r in used_codes(facts, codes, "code").collect()) == [
+        ("00", "AGAIN"),
+        ("00", "NONE"),
+    ]
+
+
+def test_codes_are_cut_only_if_large(spark, tmp_path):
+    facts, codes = tables(spark)
+    assert cut_codes(facts, codes, "code", str(tmp_path / "small")).count() == len(CODES)
+    assert not (tmp_path / "small").exists()
+    cut = cut_codes(facts, codes, "code", str(tmp_path / "large"), above=0)
+    assert cut.columns == codes.columns
+    assert cut.count() == 1
+    assert found(lookup(facts, cut, "code", "label")) == EXPECTED
+    empty = codes.limit(0)
+    assert cut_codes(facts, empty, "code", str(tmp_path / "none"), above=0).count() == 0
+
+
 def test_filter_activity(spark):
     facts = spark.createDataFrame([("8630504",), ("1",), (None,)], "cd_cnae_fiscal string")
     assert filter_activity(facts).count() == 1

@@ -6,10 +6,19 @@ import zipfile
 
 import pytest
 from tabularium.__main__ import main
-from tabularium.layouts import DOCUMENTED_COLUMNS, ESTABLISHMENT_FIELDS, SILVER_COLUMNS
-from tabularium.plans import build_silver, silver_from_folder
+from tabularium.layouts import (
+    ACTIVITIES,
+    DOCUMENTED_COLUMNS,
+    ESTABLISHMENT_FIELDS,
+    ESTABLISHMENTS,
+    REASONS,
+    SILVER_COLUMNS,
+)
+from tabularium.operators import cut_codes
+from tabularium.plans import build_silver, refresh_silver, silver_from_folder
 from tabularium.checks import inputs
 from tabularium.checks.queries import QUERIES
+from tabularium.sources import read_entity
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -84,6 +93,15 @@ def test_stages_one_by_one(spark, archives, tmp_path):
     }
 
 
+def test_refresh_with_cut_codes(spark, archives, tmp_path):
+    raw, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+    refresh_silver(spark, archives, raw, silver, documented=True, cut_above=0)
+    labels = ("motivo_situacao_cadastral", "cnae_fiscal", "pais", "municipio")
+    rows = spark.read.parquet(silver).orderBy("cnpj").select(*labels).collect()
+    assert tuple(rows[0]) == ("SEM MOTIVO", "Atividade odontológica", "BRASIL", "ITABUNA")
+    assert tuple(rows[1]) == ("SEM MOTIVO", None, "BRASIL", "ITABUNA")
+
+
 def test_reading_options(spark, tmp_path):
     raw, silver = tmp_path / "raw", str(tmp_path / "silver")
     row = CLINIC | {"nome_fantasia": 'CLÍNICA ""X""; Y'}
@@ -161,6 +179,23 @@ def test_silver_does_not_shuffle_establishments(spark):
     assert "Python" not in text and "InArrow" not in text
 
 
+def test_large_code_tables_of_few_used_codes_are_broadcast_after_cutting(spark, tmp_path):
+    raw = inputs.raw_folder(spark, SF_DIR)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As if the activities were too large: a limit below their size and above that of those in use.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5k")
+    try:
+        assert "SortMergeJoin" in plan(silver_from_folder(spark, raw))
+        facts = read_entity(spark, raw, ESTABLISHMENTS).filter("cd_cnae_fiscal < '0000010'")
+        codes = cut_codes(
+            facts, read_entity(spark, raw, ACTIVITIES), "cd_cnae_fiscal", str(tmp_path), above=0
+        )
+        text = plan(build_silver(facts, read_entity(spark, raw, REASONS), codes))
+        assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_activity_filter_reaches_both_scans(spark):
     text = plan(QUERIES["silver_filtered"](spark, SF_DIR))
     assert "In(cd_cnae_fiscal, [0000004,0000100,0001777])" in text
