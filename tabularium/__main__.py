@@ -38,7 +38,7 @@ def missing(spark: SparkSession, args) -> int:
 
 def extract(spark: SparkSession, args) -> int:
     """Extract archives into entity folders."""
-    extract_archives(spark, args.archives, args.target)
+    extract_archives(spark, args.archives, args.target, args.entities)
     return 0
 
 
@@ -90,7 +90,9 @@ def _parser() -> argparse.ArgumentParser:
         "--entities", nargs="+", default=WANTED_ENTITIES
     )
     stage(missing, "manifest", "archives")
-    stage(extract, "archives", "target")
+    stage(extract, "archives", "target").add_argument(
+        "--entities", nargs="+", help="one job for each, without sorting; otherwise one for all"
+    )
     whole = stage(refresh, "archives", "extracted", "target")
     whole.add_argument("--manifest", help="start only if all of its files have landed")
     for sub in (stage(transform, "source", "target"), whole):
@@ -98,7 +100,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--documented", action="store_true", help="the 37-column layout")
         sub.add_argument("--dates", choices=("legacy", "strict"), default="legacy")
         sub.add_argument(
-            "--encodings", nargs="*", default=[], metavar="ENTITY=ENCODING", help="not the usual ones"
+            "--encodings", nargs="*", default=[], metavar="ENTITY=ENCODING", help="if not the usual"
         )
         sub.add_argument("--escape", default="\\", help="what escapes a quote in a quoted field")
         sub.add_argument(

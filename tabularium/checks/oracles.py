@@ -28,7 +28,8 @@ def _legacy(field: str) -> str:
     return (
         f"case when regexp_matches({field}, '^\\d{{6}}0*[1-9]\\d?([^0-9]|$)') then"
         f" cast(try_strptime(substr({field}, 1, 6) ||"
-        f" lpad(regexp_extract({field}, '^\\d{{6}}0*([1-9]\\d?)', 1), 2, '0'), '%Y%m%d') as date) end"
+        f" lpad(regexp_extract({field}, '^\\d{{6}}0*([1-9]\\d?)', 1), 2, '0'), '%Y%m%d')"
+        " as date) end"
     )
 
 
@@ -70,7 +71,8 @@ _DOCUMENTED_PARTS = _SILVER_PARTS | {"c": inputs.COUNTRIES_SQL, "m": inputs.MUNI
 
 def _dates(parse) -> str:
     names = ("data_situacao_cadastral", "data_inicio_atividades", "data_situacao_especial")
-    return f"{_facts('id', *names)} select id, " + ", ".join(f"{parse(n)} as {n}" for n in names) + " from f1"
+    parsed = ", ".join(f"{parse(name)} as {name}" for name in names)
+    return f"{_facts('id', *names)} select id, {parsed} from f1"
 
 
 def _lookup(field: str, table: str, code: str, label: str) -> str:
@@ -119,7 +121,8 @@ ORACLES: dict[str, str] = {
     "archive_expand": _with(r=inputs.REASONS_SQL, a=inputs.ACTIVITIES_SQL)
     + "select 'Motivos' as entity, * from r union all select 'Cnaes' as entity, * from a",
     "archive_extract": """select 'Estabelecimentos' as entity, count(*) as n from orders
-        union all select 'Motivos', count(*) from nation union all select 'Cnaes', count(*) from part""",
+        union all select 'Motivos', count(*) from nation
+        union all select 'Cnaes', count(*) from part""",
     "row_count": "select count(*) as n from orders",
     "preview": f"{_facts()} {_TYPED} order by cep limit 20",
     "full_id": _facts("id", "cnpj_basico", "cnpj_ordem", "cnpj_dv")
@@ -157,9 +160,12 @@ ORACLES: dict[str, str] = {
     "latest_snapshot": f"""select page_id, cast(date_trunc('month', d) as date) as snapshot,
         '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as snapshot_url from ({_NEWEST_DAY})""",
     "listing_to_manifest": f"""with pages as (
-            select o_orderkey, '{INDEX_BASE}' || strftime(o_orderdate, '%Y-%m') || '/' as snapshot_url
+            select o_orderkey,
+                '{INDEX_BASE}' || strftime(o_orderdate, '%Y-%m') || '/' as snapshot_url
             from orders),
-        newest as (select distinct '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as u from ({_NEWEST_DAY})),
+        newest as (
+            select distinct '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as u
+            from ({_NEWEST_DAY})),
         files as (
             select snapshot_url, 'Cnaes.zip' as href from pages
             union all
@@ -169,7 +175,8 @@ ORACLES: dict[str, str] = {
     "newest_link_by_site": _with(links=inputs.SITE_LINKS_SQL)
     + f"""select site, cast(substr(href, 1, 7) || '-01' as date) as snapshot,
         '{INDEX_BASE}' || href as snapshot_url
-        from (select *, row_number() over (partition by site order by substr(href, 1, 7) desc, pos) as n
+        from (select *,
+                row_number() over (partition by site order by substr(href, 1, 7) desc, pos) as n
             from links where href not like '/docs%')
         where n = 1""",
     "manifest_filter": _with(f5=inputs.LINKS_SQL)

@@ -61,8 +61,8 @@ def _decode_references(value: Column) -> Column:
     def decode(part: Column, i: Column) -> Column:
         reference = F.regexp_extract(part, _REFERENCE, 1)
         rest = F.substring(part, F.length(reference) + 2, F.length(part))
-        decoded = F.concat(_character(reference), rest)
-        return F.when(i == 0, part).when(reference == "", F.concat(F.lit("&"), part)).otherwise(decoded)
+        plain = F.when(i == 0, part).when(reference == "", F.concat(F.lit("&"), part))
+        return plain.otherwise(F.concat(_character(reference), rest))
 
     parts = F.transform(F.split(value, "&"), decode)
     return F.when(value.contains("&"), F.array_join(parts, "")).otherwise(value)

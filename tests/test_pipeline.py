@@ -83,6 +83,7 @@ def test_clinic_comes_out_as_documented(spark, archives, tmp_path):
 
 def test_stages_one_by_one(spark, archives, tmp_path):
     raw, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+    assert main(["extract", archives, raw, "--entities", "Cnaes"], spark) == 0
     assert main(["extract", archives, raw], spark) == 0
     assert main(["transform", raw, silver], spark) == 0
     table = spark.read.parquet(silver)
