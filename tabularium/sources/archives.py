@@ -23,6 +23,8 @@ from tabularium.layouts import FIELD_SEPARATOR, Entity
 from tabularium.sources.files import list_files
 
 BLOCK_BYTES = 1 << 20
+# A line of nothing else is blank to the reader of delimited files.
+_BLANKS = "".join(map(chr, range(33)))
 
 # The functions that run in tasks travel with the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -142,7 +144,7 @@ def archived_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     lines = members.select(
         "archive", "entity", "member", F.explode(F.split(text, "\n")).alias("line")
     )
-    return lines.filter(F.trim("line") != "")
+    return lines.filter(F.trim("line", F.lit(_BLANKS)) != "")
 
 
 def archived_rows(

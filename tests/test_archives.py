@@ -99,6 +99,18 @@ def test_many_members_are_dealt_out(spark, tmp_path):
     assert max(per_task) <= 4
 
 
+def test_odd_lines_read_alike_both_ways(spark, tmp_path):
+    lines = ["", " ", "\t", " \t\x0b ", '"1";"a"', "  ", '2;b\t', ' "3";" c "', '"4";"d', ";", '5', '"6";"\\"e"']
+    with zipfile.ZipFile(tmp_path / "Motivos.zip", "w") as archive:
+        archive.writestr("unix", "\n".join(lines))
+        archive.writestr("dos", "\r\n".join(lines))
+    extract_archives(spark, str(tmp_path), str(tmp_path))
+    direct = archived_rows(spark, str(tmp_path), REASONS).collect()
+    extracted = read_entity(spark, str(tmp_path), REASONS).collect()
+    assert sorted(direct, key=str) == sorted(extracted, key=str)
+    assert len(direct) == 2 * 7
+
+
 def test_byte_order_marks_are_dropped(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "Motivos.zip", "w") as archive:
         for code in "12":
