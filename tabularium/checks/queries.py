@@ -47,6 +47,7 @@ INDEX_BASE = "https://h/"
 
 
 def query(build: Query) -> Query:
+    """Register under the function's name; a trailing underscore sets it apart from an operator."""
     QUERIES[build.__name__.rstrip("_")] = build
     return build
 
