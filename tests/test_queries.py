@@ -3,9 +3,15 @@ import os
 import __spark_entry__ as contract
 import pytest
 from compare import assert_same
+from tabularium.checks.oracles import ORACLES
+from tabularium.checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
+
+def test_the_contract_has_them_all():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_every_query_has_an_oracle():
