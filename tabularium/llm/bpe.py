@@ -21,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, SparkSession
+
+from tabularium.llm.arrow import batchwise
 
 #: Fixed value: how byte-level BPE of this family splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -259,7 +261,7 @@ def encode(text: Column, tokenizer: Broadcast) -> Column:
         for batch in batches:
             yield pa.array([ids for part in _slices(batch) for ids in codec.encode(part)], pa.binary())
 
-    return F.arrow_udf(_typed(run), "binary")(text)
+    return batchwise("binary", run)(text)
 
 
 def decode(ids: Column, tokenizer: Broadcast) -> Column:
@@ -270,10 +272,4 @@ def decode(ids: Column, tokenizer: Broadcast) -> Column:
         for batch in batches:
             yield pa.array([codec.decode(x.as_py() or b"") for x in batch], pa.string())
 
-    return F.arrow_udf(_typed(run), "string")(ids)
-
-
-def _typed(run):
-    """Spark tells kinds of UDF apart by real annotations, not by postponed ones."""
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return run
+    return batchwise("string", run)(ids)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe
+from tabularium.llm import bpe, decontamination
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -43,3 +43,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         )
     )
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in passages of benchmark items."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    items = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    return (
+        decontamination.find_passages(docs, items)
+        .select(
+            "doc_id",
+            "hits.n_words",
+            decontamination.n_hit(F.col("hits.mask")).alias("n_hit"),
+            F.size("hits.items").cast("long").alias("n_items"),
+            F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
+        )
+        .withColumn("contaminated", F.col("n_hit") > 0)
+    )
