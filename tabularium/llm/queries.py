@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe, decontamination
+from tabularium.llm import bpe, decontamination, language
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -61,3 +61,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("contaminated", F.col("n_hit") > 0)
     )
+
+
+@_query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    trees = language.learn(docs.where(F.coalesce(_fold(F.col("doc_id"), 4), F.lit(0)) != 2))
+    return docs.select(
+        "doc_id",
+        F.coalesce(_fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        language.predict(F.col("text"), trees).alias("found"),
+    ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
