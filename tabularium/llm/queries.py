@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe, decontamination, language
+from tabularium.llm import bpe, decontamination, language, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -73,3 +73,20 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(_fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
         language.predict(F.col("text"), trees).alias("found"),
     ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+#: From which score on a document counts as toxic.
+TOXIC = 0.3
+
+
+@_query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of three of four."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", F.col("toxic").alias("label"))
+    machine = toxicity.learn(docs, labels.where(_fold(F.col("doc_id"), 4) != 2))
+    return docs.select(
+        "doc_id",
+        F.coalesce(_fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        toxicity.score(F.col("text"), machine).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
