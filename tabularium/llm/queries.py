@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe, decontamination, language, toxicity
+from tabularium.llm import bpe, decontamination, language, topk, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -90,3 +90,28 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(_fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
         toxicity.score(F.col("text"), machine).alias("score"),
     ).withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
+@_query
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of highest inner product with every fiftieth one."""
+    vectors = topk.scaled(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
+LLM_ORACLES["op8_topk"] = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null and len(embedding) > 0
+      and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+    from whole q join whole c on c.vec_id <> q.vec_id
+    where q.vec_id % 50 = 0
+), ranked as (
+    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+    from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
