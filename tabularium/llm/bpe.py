@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Distinct words that a worker remembers; beyond it starts afresh.
 REMEMBERED = 400_000
 _NEVER = np.int64(1) << 40
+_SHAPE = 4
 
 
 def _byte_characters() -> dict[str, int]:
@@ -63,8 +65,11 @@ class Codec:
         for token, i in self.added.items():
             self.spelled[i] = token.encode()
         self.ids = vocabulary
-        self.longest = max(map(len, vocabulary), default=0)
-        self.single = [vocabulary.get(bytes([byte]), -1) for byte in range(256)]
+        self.shapes: dict[bytes, int] = {}  # the longest token that begins with these bytes
+        for token in vocabulary:
+            start = token[:_SHAPE]
+            self.shapes[start] = max(len(token), self.shapes.get(start, 0))
+        self.single = np.array([vocabulary.get(bytes([byte]), -1) for byte in range(256)], np.int64)
         merges: dict[tuple[int, int], tuple[int, int]] = {}
         self.rank = np.full(size, -1, np.int64)
         self.left, self.right = np.arange(size), np.arange(size)
@@ -128,28 +133,26 @@ class Codec:
     def greedy(self, word: bytes) -> list[int] | None:
         """Longest known prefix, again and again; None where no token fits."""
         out, start, n = [], 0, len(word)
-        ids = self.ids
+        ids, shapes = self.ids, self.shapes
         while start < n:
-            for end in range(min(n, start + self.longest), start, -1):
-                found = ids.get(word[start:end])
-                if found is not None:
-                    out.append(found)
-                    start = end
-                    break
-            else:
-                return None
+            end = min(n, start + shapes.get(word[start : start + _SHAPE], _SHAPE - 1))
+            while (found := ids.get(word[start:end])) is None:
+                end -= 1
+                if end == start:
+                    return None
+            out.append(found)
+            start = end
         return out
 
-    def merged(self, words: list[bytes]) -> list[np.ndarray]:
-        """Exact merging, all words abreast: each round does every word's next merge in rank order.
+    def merged(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids by exact merging, all words abreast: each round does every word's next merge in rank order.
 
         Bytes without a token are left out, as they have no id.
         """
-        out = [np.empty(0, np.int64)] * len(words)
-        parts = [[i for byte in word if (i := self.single[byte]) >= 0] for word in words]
-        lengths = np.array([len(part) for part in parts], np.int64)
-        token = np.fromiter((i for part in parts for i in part), np.int64, lengths.sum())
-        owner = np.repeat(np.arange(len(words)), lengths)
+        out = [b""] * len(words)
+        token = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), [len(word) for word in words])[token >= 0]
+        token = token[token >= 0]
         while len(token):
             rank, made = np.full(len(token), _NEVER), np.empty(len(token), np.int64)
             seam = np.flatnonzero(owner[1:] == owner[:-1])
@@ -162,8 +165,10 @@ class Codec:
             index = np.arange(len(token))
             before = np.maximum.accumulate(np.where(chosen, -1, index))
             chosen &= (index - before) % 2 == 1
-            for k in np.flatnonzero(best == _NEVER):
-                out[owner[firsts[k]]] = token[firsts[k] : firsts[k] + sizes[k]]
+            done, packed = np.flatnonzero(best == _NEVER), token.astype("<u4").tobytes()
+            ends = (firsts + sizes)[done].tolist()
+            for k, first, end in zip(owner[firsts[done]].tolist(), firsts[done].tolist(), ends, strict=True):
+                out[k] = packed[4 * first : 4 * end]
             token = np.where(chosen, made, token)
             keep = np.repeat(best < _NEVER, sizes)
             keep[1:] &= ~chosen[:-1]
@@ -176,7 +181,7 @@ class Codec:
         spelled = [word.encode() for word in words]
         guesses = [self.greedy(word) for word in spelled]
         lengths = np.array([len(g) if g else 0 for g in guesses], np.int64)
-        flat = np.fromiter((i for g in guesses if g for i in g), np.int64, lengths.sum())
+        flat = np.fromiter(chain.from_iterable(g for g in guesses if g), np.int64, lengths.sum())
         owner = np.repeat(np.arange(len(words)), lengths)
         bad = np.array([g is None for g in guesses], bool)
         bad[owner[~self.whole[flat]]] = True
@@ -186,12 +191,11 @@ class Codec:
         bad[owner[seam[~fits[where]]]] = True
         self.guessed += len(words)
         self.failed += int(bad.sum())
-        for k, word in enumerate(words):
-            if not bad[k]:
-                self.words[word] = np.array(guesses[k], "<u4").tobytes()
+        packed, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(lengths)).tolist()
+        self.words.update(zip(words, map(packed.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
         failing = np.flatnonzero(bad).tolist()
         for k, ids in zip(failing, self.merged([spelled[k] for k in failing]), strict=True):
-            self.words[words[k]] = ids.astype("<u4").tobytes()
+            self.words[words[k]] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, one after the other."""
@@ -201,14 +205,15 @@ class Codec:
             cut.append([[part] if k % 2 else self.split.findall(part) for k, part in enumerate(parts)])
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        plain = {w for parts in cut for words in parts[::2] for w in words}
-        if new := plain - self.words.keys():
+        met = set().union(*(words for parts in cut for words in parts[::2]))
+        if new := [word for word in met if word not in self.words]:
             self.learn(new)
         special = {token: np.array([i], "<u4").tobytes() for token, i in self.added.items()}
         out = []
         for parts in cut:
             found = [
-                (special if k % 2 else self.words)[word] for k, words in enumerate(parts) for word in words
+                b"".join(map((special if k % 2 else self.words).__getitem__, words))
+                for k, words in enumerate(parts)
             ]
             out.append(b"".join(found))
         return out
