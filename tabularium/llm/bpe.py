@@ -269,6 +269,19 @@ def encode(text: Column, tokenizer: Broadcast) -> Column:
     return batchwise("binary", run)(text)
 
 
+def encode_decode(text: Column, tokenizer: Broadcast) -> Column:
+    """``struct<ids, text>``: what :func:`encode` gives, and its text again, in one Python worker."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _codec(tokenizer)
+        for batch in batches:
+            ids = pa.array([ids for part in _slices(batch) for ids in codec.encode(part)], pa.binary())
+            texts = pa.array([codec.decode(x.as_py()) for x in ids], pa.string())
+            yield pa.StructArray.from_arrays([ids, texts], ["ids", "text"])
+
+    return batchwise("struct<ids: binary, text: string>", run)(text)
+
+
 def decode(ids: Column, tokenizer: Broadcast) -> Column:
     """The text of ids as :func:`encode` gives them; null ids give an empty text."""
 

@@ -31,16 +31,14 @@ def _fold(doc_id: Column, folds: int) -> Column:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and their text again, as digests."""
     tokenizer = bpe.read_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    ids = bpe.encode(F.col("text"), tokenizer)
     return (
         _table(spark, sf_dir, "documents", "doc_id", "text")
-        .select("doc_id", ids.alias("ids"))
-        .select("doc_id", "ids", bpe.decode(F.col("ids"), tokenizer).alias("decoded"))
+        .select("doc_id", bpe.encode_decode(F.col("text"), tokenizer).alias("coded"))
         .select(
             "doc_id",
-            F.expr("octet_length(ids) div 4").alias("n_tokens"),
-            F.sha2("ids", 256).alias("ids_sha256"),
-            F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+            F.expr("octet_length(coded.ids) div 4").alias("n_tokens"),
+            F.sha2("coded.ids", 256).alias("ids_sha256"),
+            F.sha2(F.col("coded.text").cast("binary"), 256).alias("decoded_sha256"),
         )
     )
 
