@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe, decontamination, language, topk, toxicity
+from tabularium.llm import bpe, decontamination, language, minhash, topk, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -113,3 +113,9 @@ with whole as (
 )
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+
+@_query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
