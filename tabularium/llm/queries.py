@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe, decontamination, language, minhash, topk, toxicity
+from tabularium.llm import bpe, decontamination, language, minhash, sentences, topk, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -119,3 +119,17 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies of every document."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
+
+
+@_query
+def op9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of every document that repeat a passage met before, and where it was met."""
+    marked, _ = sentences.mark_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return marked.select(
+        "doc_id",
+        F.col("left.cut.n_sentences").alias("n_sentences"),
+        F.col("left.cut.n_removed").alias("n_removed"),
+        (F.col("left.cut.n_removed") > 0).alias("repeats"),
+        F.coalesce("left.origins", F.array().cast("array<long>")).alias("repeats_of"),
+        F.sha2(F.col("left.cut.text").cast("binary"), 256).alias("text_sha256"),
+    )

@@ -103,6 +103,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * inverses[starts])
 
 
+def hash_runs(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the words from each start to each end, in their order."""
+    powers, inverses = _powers_to(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers[:-1], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverses[starts])
+
+
 def words_of(piece: Piece, member: np.ndarray) -> Words:
     """The words of lower-cased texts, made of the bytes that ``member`` marks."""
     data = LOWER[piece.data]
