@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -133,3 +134,9 @@ def op9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("left.origins", F.array().cast("array<long>")).alias("repeats_of"),
         F.sha2(F.col("left.cut.text").cast("binary"), 256).alias("text_sha256"),
     )
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline``."""
+    return corpus_pipeline.run(spark, sf_dir)
