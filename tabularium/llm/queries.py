@@ -8,7 +8,16 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabularium.llm import bpe, decontamination, language, minhash, sentences, topk, toxicity
+from tabularium.llm import (
+    bpe,
+    decontamination,
+    language,
+    merkle,
+    minhash,
+    sentences,
+    topk,
+    toxicity,
+)
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -140,3 +149,42 @@ def op9_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline``."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+def _worn(records: DataFrame) -> DataFrame:
+    """A replica that has suffered: some records lost, some with their last byte overwritten."""
+    mark = F.substring(F.md5(F.col("record_id").cast("string").cast("binary")), 1, 2)
+    worn = F.concat(F.expr("substring(record, 1, length(record) - 1)"), F.lit("?"))
+    return records.where(mark != "3c").withColumn("record", F.when(mark == "7f", worn).otherwise(F.col("record")))
+
+
+@_query
+def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage in a second copy of the archive of all pages."""
+    records = merkle.warc_records(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return merkle.audit(records, _worn(records))
+
+
+LLM_ORACLES["op2_merkle"] = """
+with records as (
+    select 'pages-' || (page_id // 1000) || '.warc' as file, page_id as record_id,
+        'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+        || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+        || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10)
+        || 'Content-Length: ' || octet_length(encode(coalesce(html, '')))
+        || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+        || chr(13) || chr(10) || chr(13) || chr(10) as record
+    from pages
+), placed as (
+    select *, octet_length(encode(record)) as length, substr(md5(cast(record_id as varchar)), 1, 2) as mark,
+        coalesce(sum(octet_length(encode(record))) over (
+            partition by file order by record_id rows between unbounded preceding and 1 preceding), 0) as place
+    from records
+)
+select file, cast(place as bigint) as "offset", cast(length as bigint) as length, record_id,
+    case mark when '3c' then 'missing' else 'corrupt' end as status,
+    sha256(record) as hash_a,
+    case mark when '7f' then sha256(substr(record, 1, length(record) - 1) || '?') end as hash_b
+from placed where mark in ('3c', '7f')
+"""
