@@ -12,6 +12,7 @@ from tabularium.llm import (
     bpe,
     decontamination,
     language,
+    licences,
     merkle,
     minhash,
     sentences,
@@ -188,3 +189,27 @@ select file, cast(place as bigint) as "offset", cast(length as bigint) as length
     case mark when '7f' then sha256(substr(record, 1, length(record) - 1) || '?') end as hash_b
 from placed where mark in ('3c', '7f')
 """
+
+
+@_query
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of all documents that name their licence."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = licences.find_licences(docs, licences.learn(docs))
+    return found.where("confirmed").select("doc_id", "paragraph", "line", "family")
+
+
+LLM_ORACLES["op3_licences"] = """
+with lines as (
+    select doc_id, unnest(string_split(text, chr(10))) as line,
+        cast(generate_subscripts(string_split(text, chr(10)), 1) - 1 as integer) as paragraph
+    from documents
+)
+select doc_id, paragraph, line, case
+    when contains(line, 'MIT License') then 'MIT'
+    when contains(line, 'Apache License') then 'Apache-2.0'
+    when contains(line, 'GNU General Public License') then 'GPL-3.0'
+    else 'CC-BY-NC-4.0' end as family
+from lines
+where regexp_matches(line, 'MIT License|Apache License|GNU General Public License|CC BY-NC 4')
+"""
