@@ -15,6 +15,7 @@ from tabularium.llm import (
     licences,
     merkle,
     minhash,
+    mixing,
     sentences,
     topk,
     toxicity,
@@ -213,3 +214,14 @@ select doc_id, paragraph, line, case
 from lines
 where regexp_matches(line, 'MIT License|Apache License|GNU General Public License|CC BY-NC 4')
 """
+
+
+@_query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned from six of seven."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(_fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    scored = mixing.score(docs.withColumn("learn", ~held_out))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
