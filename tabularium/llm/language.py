@@ -85,7 +85,9 @@ class ContextTrees:
         self.escapes, self.runs = [], []
         for length in range(1, order + 2):
             mask = (1 << (8 * length)) - 1
-            kinds, where = np.unique(run & mask, return_inverse=True)
+            # contexts of longer runs are listed as well: those at the start of a text end no run
+            kinds = np.unique(np.concatenate([run & mask, (run >> 8) & mask][: 2 if length <= order else 1]))
+            where = np.searchsorted(kinds, run & mask)
             table = np.zeros((len(kinds), len(self.langs)))
             np.add.at(table, (where, lang), n)
             contexts, context = np.unique(kinds >> 8, return_inverse=True)
@@ -107,11 +109,12 @@ class ContextTrees:
             self.escapes.append((contexts, escape))
             self.runs.append(kinds)
             known = kinds
-        self._trie()
+        if self.langs:
+            self._trie()
 
     def _trie(self) -> None:
         """Steps from the node of a run and a next byte to the node of the longer run, or -1."""
-        letters = np.unique(self.runs[-1] & 255)
+        letters = np.unique(np.concatenate([runs & 255 for runs in self.runs[1:]]))
         self.letter = np.full(256, -1)
         self.letter[letters] = np.arange(len(letters))
         self.width = len(letters) + 1  # the last column leads nowhere
