@@ -18,23 +18,22 @@ repeat an item count once. Without items nothing is hit.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tabularium.llm.arrow import batchwise, batchwise_pairs, free_name
-from tabularium.llm.words import ALNUM, pieces, words_of
+from tabularium.llm.arrow import batchwise_pairs, free_name
+from tabularium.llm.words import ALNUM, Piece, Words, pieces, words_of
 
 #: Item words in one automaton. A larger benchmark is split by item into several, which are
 #: broadcast one after the other and whose hits are joined.
 SHARD_WORDS = 100_000
 
-_HITS = "n_words: bigint, mask: binary, items: array<string>"
+_HITS = "struct<n_words: bigint, n_hit: bigint, mask: binary, items: array<string>, left: string>"
 
 
 class Automaton:
@@ -181,65 +180,87 @@ class Benchmark:
         return hit, found
 
 
-def benchmarks(items: DataFrame, window: int = 10, shard_words: int = SHARD_WORDS) -> Iterator[Broadcast]:
-    """Automata of ``item_id, text``, of about ``shard_words`` words each, for broadcasting.
+def benchmarks(
+    items: DataFrame, window: int = 10, shard_words: int = SHARD_WORDS
+) -> Iterator[tuple[Broadcast, bool]]:
+    """Automata of ``item_id, text``, of about ``shard_words`` words each, and whether it is the last.
 
     Each is made when asked for, so one is on the driver at a time.
     """
     spark = items.sparkSession
     known = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
-    letters = F.sum(F.octet_length("text")).alias("bytes")
-    total = known.agg(letters).first()["bytes"] or 0
+    total = known.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     shards = max(1, -(-total // (shard_words * 6)))
     for shard in range(shards):
         # all texts of one id fall into one shard, so an item is never listed twice
         part = known.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)
         rows = part.distinct().collect()
         made = Benchmark(sorted([(r.item_id, r.text) for r in rows], key=str), window)
-        yield spark.sparkContext.broadcast(made)
+        yield spark.sparkContext.broadcast(made), shard == shards - 1
 
 
-def _hits(benchmark: Broadcast):
+def _without(piece: Piece, words: Words, k: int, hit: np.ndarray, max_span: int) -> str:
+    """Text ``k`` of a piece without runs of hit words, from first to last word, longer than allowed."""
+    low = words.bounds[k]
+    edges = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
+    start, end_of_text = piece.bounds[k], piece.bounds[k + 1]
+    keep = np.ones(end_of_text - start, bool)
+    for first, end in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
+        if end - first > max_span:
+            keep[words.starts[low + first] - start : words.ends[low + end - 1] - start] = False
+    return piece.data[start:end_of_text][keep].tobytes().decode()
+
+
+def _hits(benchmark: Broadcast, max_span: int | None):
+    """Hits of one automaton, joined with those before; with the text that is left if a span is given."""
+
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         found = benchmark.value
         for texts, before in batches:
-            counts, masks, items = [], [], []
+            rows = []
             earlier = before.field("mask"), before.field("items")
             for piece in pieces(texts):
                 words = words_of(piece, ALNUM)
-                hit, of_text = found.hits(words.hashes, words.bounds)
+                hits, of_text = found.hits(words.hashes, words.bounds)
                 for k in range(piece.last - piece.first):
-                    own = hit[words.bounds[k] : words.bounds[k + 1]]
-                    mask, listed = np.packbits(own), of_text.get(k, ())
-                    names = {found.names[i] for i in listed if found.names[i] is not None}
                     row = piece.first + k
+                    hit = hits[words.bounds[k] : words.bounds[k + 1]]
+                    names = {found.names[i] for i in of_text.get(k, ()) if found.names[i] is not None}
                     if before[row].is_valid:
-                        mask |= np.frombuffer(earlier[0][row].as_py(), np.uint8)
+                        mask = np.frombuffer(earlier[0][row].as_py(), np.uint8)
+                        hit = hit | np.unpackbits(mask, count=len(hit)).astype(bool)
                         names.update(earlier[1][row].as_py())
-                    counts.append(len(own))
-                    masks.append(mask.tobytes())
-                    items.append(sorted(names))
+                    left = None
+                    if max_span is not None:
+                        left = texts[row].as_py()
+                        if hit.any():
+                            left = _without(piece, words, k, hit, max_span)
+                    rows.append((len(hit), int(hit.sum()), np.packbits(hit).tobytes(), sorted(names), left))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.string())
             yield pa.StructArray.from_arrays(
-                [
-                    pa.array(counts, pa.int64()),
-                    pa.array(masks, pa.binary()),
-                    pa.array(items, pa.list_(pa.string())),
-                ],
-                ["n_words", "mask", "items"],
+                [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)],
+                ["n_words", "n_hit", "mask", "items", "left"],
             )
 
-    return batchwise_pairs(f"struct<{_HITS}>", run)
+    return batchwise_pairs(_HITS, run)
 
 
-def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``docs`` with a column of hits: ``n_words``, ``mask`` (one bit a word), ``items`` (ids, sorted).
+def find_passages(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 10,
+    shard_words: int = SHARD_WORDS,
+    max_span: int | None = None,
+) -> DataFrame:
+    """``docs`` with a column of hits, named by :func:`hits_name`; all other columns stay.
 
-    The column is named by :func:`hits_name`; all other columns stay.
+    Its fields: ``n_words``, ``n_hit``, ``mask`` (one bit a word), ``items`` (ids as strings, sorted) and, if
+    ``max_span`` is given, ``left``: the text without spans of more than so many hit words.
     """
     name = hits_name(docs)
-    out = docs.withColumn(name, F.lit(None).cast(f"struct<{_HITS}>"))
-    for benchmark in benchmarks(items, window, shard_words):
-        out = out.withColumn(name, _hits(benchmark)(F.col("text"), F.col(name)))
+    out = docs.withColumn(name, F.lit(None).cast(_HITS))
+    for benchmark, is_last in benchmarks(items, window, shard_words):
+        out = out.withColumn(name, _hits(benchmark, max_span if is_last else None)(F.col("text"), F.col(name)))
     return out
 
 
@@ -247,46 +268,6 @@ def hits_name(docs: DataFrame) -> str:
     return free_name(docs, "hits")
 
 
-def n_hit(mask: Column) -> Column:
-    """Words that a mask marks."""
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for masks in batches:
-            counts = [int(np.bitwise_count(np.frombuffer(m.as_py(), np.uint8)).sum()) for m in masks]
-            yield pa.array(counts, pa.int64())
-
-    return batchwise("bigint", run)(mask)
-
-
-def _without(text: str, mask: bytes, max_span: int) -> str:
-    """The text without runs of hit words, from first to last word, that are longer than allowed."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    piece = next(pieces(pa.array([text], pa.large_string())))
-    words = words_of(piece, ALNUM)
-    hit = np.unpackbits(np.frombuffer(mask, np.uint8), count=len(words.starts)).astype(np.int8)
-    edges = np.diff(np.concatenate(([0], hit, [0])))
-    keep = np.ones(len(data), bool)
-    for first, end in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
-        if end - first > max_span:
-            keep[words.starts[first] : words.ends[end - 1]] = False
-    return data[keep].tobytes().decode()
-
-
-def cut(text: Column, mask: Column, max_span: int = 0) -> Column:
-    """Texts without spans of more than ``max_span`` hit words. A null text stays null."""
-
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, masks in batches:
-            out = []
-            for text, mask in zip(texts, masks, strict=True):
-                bits = mask.as_py()
-                text = text.as_py()
-                out.append(_without(text, bits, max_span) if text and bits and any(bits) else text)
-            yield pa.array(out, pa.string())
-
-    return batchwise_pairs("string", run)(text, mask)
-
-
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
@@ -300,16 +281,7 @@ def decontaminate(
     Spans of more than ``max_span`` hit words go from the text; documents of whose words more than
     the share ``max_coverage`` is hit go altogether. Documents without hits come through as they are.
     """
-    columns = docs.columns
-    name = hits_name(docs)
-    found = find_passages(docs, items, window, shard_words)
-    hit = n_hit(F.col(f"`{name}`.mask"))
-    kept = found.where(F.coalesce(hit <= max_coverage * F.col(f"`{name}`.n_words"), F.lit(True)))
-    return kept.withColumn("text", cut(F.col("text"), F.col(f"`{name}`.mask"), max_span)).select(
-        *[F.col(f"`{column}`") for column in columns]
-    )
-
-
-def items_digest(items: list[str]) -> str:
-    """How the query digests a list of ids; for tests."""
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+    found = find_passages(docs, items, window, shard_words, max_span)
+    hits = F.col(hits_name(docs))
+    kept = found.where(hits.n_hit <= max_coverage * hits.n_words)
+    return kept.withColumn("text", hits.left).select(*[F.col(f"`{column}`") for column in docs.columns])

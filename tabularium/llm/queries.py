@@ -65,7 +65,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "doc_id",
             "hits.n_words",
-            decontamination.n_hit(F.col("hits.mask")).alias("n_hit"),
+            "hits.n_hit",
             F.size("hits.items").cast("long").alias("n_items"),
             F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
         )

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at a time.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _UNSTEP = pow(_STEP, -1, 1 << 64)
