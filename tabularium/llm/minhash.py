@@ -58,7 +58,8 @@ class Limits(NamedTuple):
     @classmethod
     def of(cls, percent: int) -> Limits:
         similarity = percent / 100
-        bands = math.ceil(math.log(MISS) / math.log1p(-(similarity**ROWS)))
+        missed = 1 - similarity**ROWS  # by one band
+        bands = math.ceil(math.log(MISS) / math.log(missed)) if 0 < missed < 1 else 1
         if not 0 < similarity <= 1 or bands * ROWS > MINIMA:
             raise ValueError(f"no bands for {percent} percent")
         chance = 2.0**-BITS

@@ -1,0 +1,93 @@
+import json
+
+import numpy as np
+import public_tokenizers
+import pytest
+from awkward import awkward_rows
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tabularium.llm import bpe
+from tokenizers import Tokenizer
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = [
+    *"ab 1.\n\t\x00\x1c\x85\xa0éßİ中²٣ⅷ",
+    *["the", " the", "  ", "'s", "'S", "'ll", "aaaa", "----", "🙂", "<|endoftext|>", "<|end", "tion", " "],
+]
+
+
+@pytest.fixture(scope="module")
+def both():
+    with open(PATH, encoding="utf-8") as file:
+        content = file.read()
+    return bpe.Codec(content), Tokenizer.from_str(content)
+
+
+def ids(packed):
+    return np.frombuffer(packed, "<u4").tolist()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_tokens_are_those_of_the_library(both, text):
+    codec, library = both
+    expected = library.encode(text, add_special_tokens=False).ids
+    [packed] = codec.encode([text])
+    assert ids(packed) == expected
+    assert codec.decode(packed) == library.decode(expected, skip_special_tokens=False) == text
+
+
+def small(merges):
+    """A tokenizer of the letters a to d and these merges."""
+    tokens = ["a", "b", "c", "d"]
+    for merge in merges:
+        if "".join(merge) not in tokens:
+            tokens.append("".join(merge))
+    model = {"type": "BPE", "vocab": {t: i for i, t in enumerate(tokens)}, "merges": [list(m) for m in merges]}
+    with open(PATH, encoding="utf-8") as file:
+        return json.dumps(json.load(file) | {"model": model, "added_tokens": []})
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_overlapping_merges_in_any_order(data):
+    tokens, merges = ["a", "b", "c"], []
+    for _ in range(data.draw(st.integers(1, 9))):
+        pair = data.draw(st.tuples(st.sampled_from(tokens), st.sampled_from(tokens)))
+        if pair not in merges:
+            merges.append(pair)
+            tokens.append("".join(pair))
+    content = small(merges)
+    codec, library = bpe.Codec(content), Tokenizer.from_str(content)
+    words = [data.draw(st.text("abc", min_size=1, max_size=14)) for _ in range(20)]
+    for word, packed in zip(words, codec.encode(words), strict=True):
+        assert ids(packed) == library.encode(word, add_special_tokens=False).ids
+
+
+def test_a_guess_that_fails_is_merged(both):
+    codec, _ = both
+    before = codec.failed
+    codec.encode(["thorreou ndernt erthatea"])
+    assert codec.failed > before
+
+
+def test_awkward_rows(spark, both):
+    tokenizer = bpe.read_tokenizer(spark, PATH)
+    docs = awkward_rows(spark)
+    rows = docs.select("text", bpe.encode_decode(F.col("text"), tokenizer).alias("x")).collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert ids(row.x.ids) == both[1].encode(row.text or "", add_special_tokens=False).ids
+        assert row.x.text == (row.text or "")
+    split = docs.select(bpe.decode(bpe.encode(F.col("text"), tokenizer), tokenizer).alias("t")).collect()
+    assert sorted(r.t for r in split) == sorted(r.text or "" for r in rows)
+    assert docs.limit(0).select(bpe.encode(F.col("text"), tokenizer)).collect() == []
+
+
+def test_the_memory_of_words_is_bounded(both, monkeypatch):
+    codec, library = both
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    for text in ("one two three four five", "six seven one two", "three"):
+        [packed] = codec.encode([text])
+        assert ids(packed) == library.encode(text, add_special_tokens=False).ids
+    assert len(codec.words) < 9

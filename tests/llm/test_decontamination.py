@@ -1,0 +1,100 @@
+import random
+import re
+
+import numpy as np
+from awkward import awkward_rows, documents
+from pyspark.sql import functions as F
+from tabularium.llm import decontamination as d
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute_force(texts, items, window):
+    """Hit flags and item ids of each text, window by window."""
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        if 0 < len(w) < window:
+            windows.setdefault(tuple(w), set()).add(item)
+        for k in range(len(w) - window + 1):
+            windows.setdefault(tuple(w[k : k + window]), set()).add(item)
+    out = []
+    for text in texts:
+        w = words(text)
+        hit, found = [0] * len(w), set()
+        for size in {len(x) for x in windows}:
+            for k in range(len(w) - size + 1):
+                if listed := windows.get(tuple(w[k : k + size])):
+                    found |= {str(i) for i in listed if i is not None}
+                    hit[k : k + size] = [1] * size
+        out.append((hit, sorted(found)))
+    return out
+
+
+def found(docs, items, **settings):
+    rows = d.find_passages(docs, items, **settings)
+    name = d.hits_name(docs)
+    out = {}
+    for row in rows.select("doc_id", F.col(name).alias("h")).collect():
+        bits = np.unpackbits(np.frombuffer(row.h["mask"], np.uint8))[: row.h["n_words"]].tolist()
+        out[row.doc_id] = (bits, row.h["items"])
+    return out
+
+
+def random_case(seed):
+    rng = random.Random(seed)
+    text = lambda n: " ".join(rng.choice(["A", "b", "c.", "D", "é"]) for _ in range(n))
+    items = [(k % 9, text(rng.choice([0, 1, 2, 3, 5, 8, 12]))) for k in range(12)]
+    items += [(None, text(4)), (3, None), items[2], items[2]]
+    texts = [text(rng.randrange(40)) for _ in range(40)] + [t for _, t in items if t]
+    return texts, items
+
+
+def test_hits_are_those_of_all_windows(spark):
+    for seed in range(4):
+        texts, items = random_case(seed)
+        table = spark.createDataFrame(items, "item_id long, text string")
+        window = (3, 4, 6, 10)[seed]
+        expected = dict(enumerate(brute_force(texts, items, window)))
+        assert found(documents(spark, texts), table, window=window) == expected
+
+
+def test_a_split_benchmark_gives_the_same(spark):
+    texts, items = random_case(7)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    expected = dict(enumerate(brute_force(texts, items, 4)))
+    assert found(documents(spark, texts), table, window=4, shard_words=5) == expected
+
+
+def test_no_items_no_hits(spark):
+    table = spark.createDataFrame([], "item_id long, text string")
+    docs = documents(spark, ["some text", None, ""])
+    assert found(docs, table) == {0: ([0, 0], []), 1: ([], []), 2: ([], [])}
+    assert d.decontaminate(docs, table).count() == 3
+
+
+def test_spans_are_cut_and_covered_documents_dropped(spark):
+    passage = " ".join(f"w{k}" for k in range(12))
+    texts = [f"Before it: {passage}! After.", passage, "clean text", f"{passage} " + "x " * 30]
+    table = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    docs = documents(spark, texts)
+    cut = {r.doc_id: r.text for r in d.decontaminate(docs, table, max_coverage=0.9).collect()}
+    assert cut == {0: "Before it: ! After.", 2: "clean text", 3: " " + "x " * 30}
+    kept = d.decontaminate(docs, table, max_span=12, max_coverage=1.0)
+    assert sorted(r.text for r in kept.collect()) == sorted(texts)
+
+
+def test_awkward_rows(spark):
+    docs = awkward_rows(spark)
+    items = spark.createDataFrame([(1, "no id but a text"), (None, "plain text here")], "item_id long, text string")
+    out = d.decontaminate(docs, items, max_coverage=1.0)
+    assert out.columns == docs.columns
+    texts = {(r.doc_id, r.text) for r in out.collect()}
+    assert (2, None) in texts and (3, "") in texts and (None, "") in texts
+    assert (1, ". more of it.") in texts and out.count() == docs.count()
+    assert d.decontaminate(docs.limit(0), items).count() == 0

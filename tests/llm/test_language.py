@@ -1,0 +1,88 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from awkward import awkward_rows, documents
+from pyspark.sql import functions as F
+from tabularium.llm import language
+from tabularium.llm.words import LOWER
+
+
+def brute_force(texts, order):
+    """Bits of a byte after its context, by the definition, from one language's texts."""
+    counts = defaultdict(Counter)
+    for text in texts:
+        data = bytes(order) + bytes(LOWER[b] for b in text.encode())
+        for k in range(order, len(data)):
+            for length in range(order + 1):
+                counts[data[k - length : k]][data[k]] += 1
+
+    def bits(context, byte):
+        seen = counts.get(context)
+        shorter = (lambda: bits(context[1:], byte)) if context else (lambda: 8.0)
+        if not seen:
+            return shorter()
+        total = sum(seen.values()) + len(seen)
+        if byte in seen:
+            return -math.log2(seen[byte] / total)
+        return -math.log2(len(seen) / total) + shorter()
+
+    def code_length(text):
+        data = bytes(order) + bytes(LOWER[b] for b in text.encode())
+        return sum(bits(data[k - order : k], data[k]) for k in range(order, len(data)))
+
+    return code_length
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_code_lengths_are_those_of_the_definition(spark, order):
+    rng = random.Random(order)
+    text = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    known = {lang: [text(letters, 40) for _ in range(6)] for lang, letters in (("x", "aabc "), ("y", "bcdé."))}
+    table = spark.createDataFrame([(t, lang) for lang, ts in known.items() for t in ts], "text string, lang string")
+    counts = [(r.lang, r.run, r.n) for r in language.count_runs(table, order).collect()]
+    trees = language.ContextTrees(counts, order)
+    texts = ["", "a", "zz", "abcabd\x00", "é.é", text("abcdé. z", 200)]
+    data = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, data)])
+    found = trees.code_lengths(np.frombuffer(b"".join(data), np.uint8), bounds)
+    for row, t in zip(found, texts, strict=True):
+        assert row == pytest.approx([brute_force(known[lang], order)(t) for lang in trees.langs])
+
+
+def test_languages_are_told_apart_wherever_rows_lie(spark):
+    rng = random.Random(2)
+    word = {"x": ["lorem", "ipsum", "dolor"], "y": ["fnord", "quux", "blarg"]}
+    rows = [(" ".join(rng.choices(word[lang], k=20)), lang) for lang in "xy" for _ in range(30)]
+    table = spark.createDataFrame([*rows, (None, "x"), ("lorem", None)], "text string, lang string")
+    results = []
+    for partitions in (1, 4):
+        trees = language.learn(table.repartition(partitions), sample=20)
+        found = table.select("lang", language.predict(F.col("text"), trees).alias("p")).where("text is not null")
+        results.append(sorted((r.lang or "", r.p.lang, r.p.score) for r in found.collect()))
+    assert results[0] == results[1]
+    assert all(lang in ("", guess) and 0 <= score <= 1 for lang, guess, score in results[0])
+
+
+def test_awkward_rows(spark):
+    docs = awkward_rows(spark)
+    trees = language.learn(docs)
+    found = docs.select("doc_id", "text", language.predict(F.col("text"), trees).alias("p")).collect()
+    assert len(found) == 8
+    for row in found:
+        if row.doc_id in (2, 3, 4):
+            assert (row.p.lang, row.p.score) == ("und", 0.0)
+        else:
+            assert row.p.lang in ("en", "de", "fr") and 0 < row.p.score <= 1
+    nothing = language.learn(docs.limit(0))
+    assert {r.p.lang for r in docs.select(language.predict(F.col("text"), nothing).alias("p")).collect()} == {"und"}
+    assert docs.limit(0).select(language.predict(F.col("text"), trees)).collect() == []
+
+
+def test_equal_code_lengths_go_to_the_first(spark):
+    table = spark.createDataFrame([("abc", "q"), ("abc", "p")], "text string, lang string")
+    trees = language.learn(table)
+    row = documents(spark, ["abab"]).select(language.predict(F.col("text"), trees).alias("p")).first()
+    assert (row.p.lang, row.p.score) == ("p", 0.5)
