@@ -10,8 +10,9 @@ An audit compares roots and goes down from those that differ only, level by leve
 are written once (some 100 bytes a record); after that, what is read again follows the damage, not the
 archive.
 
-Rows without file or offset take no part; a null record counts as empty; repeated rows count once. Of
-files that one replica lacks every record is reported. Empty replicas have empty trees.
+Rows without a file take no part; a null record is a hole, whose length is known; repeated rows are
+records of their own. Of files that one replica lacks every record is reported. Empty replicas have empty
+trees. Records are placed by a window over one file of the index, so files are as large as a task can sort.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ FILE_PAGES = 1000
 
 
 def warc_records(pages: DataFrame) -> DataFrame:
-    """``file, offset, length, record_id, record`` of ``page_id, url, html``.
+    """``file, record_id, length, record`` of ``page_id, url, html``.
 
     Records are WARC/1.1 resources. A file holds the pages of a range of ids, in order of id; pages
     without an id are spread over files of their own. Null urls and pages are written as empty.
@@ -49,20 +50,25 @@ def warc_records(pages: DataFrame) -> DataFrame:
         F.concat(F.lit("other-"), F.pmod(F.xxhash64(url, html), F.lit(1 << 16)), F.lit(".warc")),
     )
     rows = pages.select(file.alias("file"), F.col("page_id").cast("long").alias("record_id"), record.alias("record"))
-    rows = rows.withColumn("length", F.octet_length("record").cast("long"))
-    before = Window.partitionBy("file").orderBy("record_id", "record").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")))
+    return rows.withColumn("length", F.octet_length("record").cast("long"))
 
 
 def hash_records(records: DataFrame) -> DataFrame:
-    """``file, offset, length, record_id, hash``: SHA-256 of each record, as hex."""
-    return records.where("file is not null and offset is not null").select(
+    """``file, offset, length, record_id, hash``: where each record lies, and its SHA-256 as hex.
+
+    Records are placed one after the other by id. They are hashed where they are read; what is
+    sorted to place them is this index only. A null record is a hole: it takes its length, but is not there.
+    """
+    index = records.where("file is not null").select(
         "file",
-        F.col("offset").cast("long"),
-        F.col("length").cast("long"),
         F.col("record_id").cast("long"),
-        F.sha2(F.coalesce(F.col("record").cast("binary"), F.lit(b"")), 256).alias("hash"),
+        F.coalesce(F.col("length").cast("long"), F.lit(0).cast("long")).alias("length"),
+        F.sha2(F.col("record").cast("binary"), 256).alias("hash"),
     )
+    order = Window.partitionBy("file").orderBy("record_id", "length", "hash")
+    before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = index.withColumn("offset", F.coalesce(before, F.lit(0).cast("long")))
+    return placed.where("hash is not null").select("file", "offset", "length", "record_id", "hash")
 
 
 def _hash_of(place: str) -> Column:

@@ -157,7 +157,8 @@ def _worn(records: DataFrame) -> DataFrame:
     """A replica that has suffered: some records lost, some with their last byte overwritten."""
     mark = F.substring(F.md5(F.col("record_id").cast("string").cast("binary")), 1, 2)
     worn = F.concat(F.expr("substring(record, 1, length(record) - 1)"), F.lit("?"))
-    return records.where(mark != "3c").withColumn("record", F.when(mark == "7f", worn).otherwise(F.col("record")))
+    whole = F.when(mark == "7f", worn).otherwise(F.col("record"))
+    return records.withColumn("record", F.when(F.coalesce(mark, F.lit("")) != "3c", whole))
 
 
 @_query
