@@ -8,9 +8,9 @@ probability above ``unknown`` and above a bar that ``FALSE_ALARMS`` of held-out
 A prediction counts as confirmed if the line and one of the family's templates share most of the
 words of the shorter one.
 
-Only DataFrame functions work on the texts. Most lines hold no word or pair that speaks for
-any family more than for ``unknown``; they are ``unknown`` whatever else they hold, and one pattern
-over the line finds that out. The rest are scored once for each distinct line, by a join with the
+Only DataFrame functions work on the texts. Most lines hold no word or pair that speaks clearly for
+a family against ``unknown``; they are ``unknown`` whatever else they hold, and one pattern over the
+line finds that out. The rest are scored once for each distinct line, by a join with the
 weights, whose number the vocabulary bounds.
 
 Null and empty texts have no paragraphs. Rows without an id are scanned like others. Repeated rows
@@ -75,6 +75,8 @@ UNKNOWN = "unknown"
 SAMPLE = 400
 #: Words and pairs that the classifier may know, and penalty with its sparse share.
 VOCABULARY, PENALTY, SPARSE = 1 << 14, 0.0005, 0.5
+#: Words and pairs that a larger share of ordinary lines hold are not looked at.
+COMMON = 0.01
 #: Lengths in words of stretches of templates to learn from.
 STRETCHES = (4, 6, 9, 14)
 FALSE_ALARMS = 0.001
@@ -104,11 +106,25 @@ class Classifier(NamedTuple):
     bias: list[float]
     bar: float
 
+    def telling(self) -> set[str]:
+        """Grams without which a line cannot be anything but unknown.
+
+        All others together, were they all there, would not make up for the bias of any family.
+        """
+        lead = [b - self.bias[-1] for b in self.bias[:-1]]
+        gains = {g: [max(0.0, x - w[-1]) for x in w[:-1]] for g, w in self.weights.items()}
+        weakest = sorted((g for g in gains if max(gains[g]) > 0), key=lambda g: (max(gains[g]), g))
+        for k, gram in enumerate(weakest):
+            lead = [a + b for a, b in zip(lead, gains[gram], strict=True)]
+            if max(lead) >= 0:
+                return set(weakest[k:])
+        return set()
+
     def pattern(self) -> str:
         """Matches the lower-cased lines that may be anything but unknown."""
         if any(b >= self.bias[-1] for b in self.bias[:-1]):
             return ""
-        telling = {g for g, w in self.weights.items() if max(w[:-1]) > w[-1]}
+        telling = self.telling()
         single = {g for g in telling if " " not in g}
         pairs = {g for g in telling - single if not single & set(g.split(" "))}
         found = [g.replace(" ", "[^a-z0-9]+") for g in sorted(single | pairs)]
@@ -152,6 +168,13 @@ def _ordinary(docs: DataFrame, sample: int) -> DataFrame:
     return lines.where(~known_one).select(F.lit(UNKNOWN).alias("family"), "words")
 
 
+def _common(ordinary: DataFrame) -> list[str]:
+    """Words and pairs of too many of the sampled ordinary lines."""
+    n = ordinary.count()
+    counts = ordinary.select(F.explode("grams").alias("gram")).groupBy("gram").count()
+    return sorted(row.gram for row in counts.where(F.col("count") > COMMON * n).collect())
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     """A classifier for ``text``; the sampled lines and the vocabulary are bounded."""
     spark = docs.sparkSession
@@ -164,6 +187,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
         .withColumn("held", (F.pmod(F.xxhash64("grams"), F.lit(4)) == 0) & (F.col("label") == len(families) - 1))
     )
     examples = keep(examples, "examples")
+    common = _common(examples.where(F.col("label") == len(families) - 1))
+    examples = examples.withColumn("grams", F.array_except("grams", F.array(*map(F.lit, common)).cast("array<string>")))
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0, vocabSize=VOCABULARY)
     vocabulary = counter.fit(examples)
     fit = LogisticRegression(
