@@ -1,16 +1,17 @@
 """Language-model scores by online logistic context mixing.
 
 What is scored is a text's sequence of tokens: its words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased), each
-spelled in bytes and followed by a space, and one end. Bytes are coded as bits along a Huffman tree
-of the corpus's commonest bytes; the others share one leaf and cost their share of it besides.
+spelled in bytes and followed by a space, and one end. Bytes are coded as six bits, the way down a
+binary tree to one of the corpus's 63 commonest bytes; the others share a leaf and cost their share of it
+besides.
 
-Every bit is predicted from several hashed contexts, the last 3, 4, 5 and 6 bytes. Each context has a
+Every bit is predicted from several hashed contexts, the last 2, 4 and 6 bytes. Each context has a
 row of counts, gathered from all texts to learn from, whatever their number, and then frozen as
-log odds. The predictions are added up under weights, which a gate picks by what is known of the longest
-context and by whether the bit is a byte's first; after each bit the weights that
-were used move towards what would have predicted it better. They start afresh every ``STRETCH``
-bytes, so a long text is many short ones to the machine, while contexts reach across. A score is the
-sum of log10 probabilities of all bits, and depends on the text and the corpus only.
+log odds. The predictions are added up under weights, which a gate picks by which of the longer
+contexts are known; after each byte the weights that were used move towards what would have
+predicted its bits better. They start afresh every ``STRETCH`` bytes, so a long text is many short
+ones to the machine, while contexts reach across. A score is the sum of log10 probabilities of all
+bits, and depends on the text and the corpus only.
 
 Beside it stands the add-one unigram score of the same tokens. Word counts are gathered by hash. A word
 counts in its block of texts (``BLOCK`` bytes, or one longer text) first, so what is shuffled is distinct
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -33,20 +35,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tabularium.llm.tables import keep
-from tabularium.llm.words import LOWER, VISIBLE, Piece, Words, pieces, words_of
+from tabularium.llm.words import LOWER, VISIBLE, Piece, edges_of, pieces, words_of
 
 #: Bytes of context of each predictor, and how many bits number its rows.
-ORDERS, ROW_BITS = (3, 4, 5, 6), (15, 17, 18, 18)
-LEAVES = 64
+ORDERS, ROW_BITS = (2, 4, 6), (12, 17, 19)
+DEPTH = 6
+LEAVES = 1 << DEPTH
 #: Text bytes in a block, in what a task works on at a time, and between fresh starts of the weights.
-BLOCK, WORKED, STRETCH = 4 << 20, 2 << 20, 512
-#: Weights to start with, by gate (longest context unknown or known) and predictor; and their step.
-START, STEP = ((0.30, 0.40, 0.35, 0.0), (0.20, 0.30, 0.33, 0.33)), 0.01
+BLOCK, WORKED, STRETCH = 8 << 20, 1 << 20, 512
+#: Weights to start with, by gate (none, one, both of the longer contexts are known); and their step.
+START, STEP = ((0.8, 0.1, 0.0), (0.5, 0.6, 0.0), (0.35, 0.4, 0.35)), 0.01
 #: Entries of the count table that are summed and sent together.
 CHUNK = 1 << 16
 
 _END, _SPACE = 10, 32
-_PAD = max(ORDERS)
+_PAD = 8
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _SIZES = [LEAVES << bits for bits in ROW_BITS]
 _OFFSETS = np.concatenate(([0], np.cumsum(_SIZES)))
@@ -60,80 +63,70 @@ class Stream(NamedTuple):
     lasts: np.ndarray  # and the one after its last
 
 
-def stream_of(piece: Piece, words: Words) -> Stream:
-    n = len(piece.bounds) - 1
-    text = np.repeat(np.arange(n), np.diff(words.bounds))
-    sizes = words.ends - words.starts
-    before = np.cumsum(sizes + 1) - sizes - 1  # bytes of earlier words and spaces
-    place = before + (_PAD + 1) * text + _PAD
-    out = np.full(int((sizes + 1).sum()) + (_PAD + 1) * n, _SPACE, np.uint8)
-    inside = np.flatnonzero(np.repeat(np.ones(len(sizes), bool), sizes))
-    source = inside - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[np.repeat(place, sizes) + source] = LOWER[piece.data[np.repeat(words.starts, sizes) + source]]
-    total = np.concatenate(([0], np.cumsum(sizes + 1)))[words.bounds]
-    firsts = total[:-1] + (_PAD + 1) * np.arange(n) + _PAD
-    lasts = total[1:] + (_PAD + 1) * np.arange(1, n + 1)
-    for k in range(1, _PAD + 1):
-        out[firsts - k] = _END
-    out[lasts - 1] = _END
+def stream_of(piece: Piece) -> Stream:
+    """Of each text its words, each with a space, and an end."""
+    data = LOWER[piece.data]
+    kept = VISIBLE[data]
+    _, ends = edges_of(piece, kept)
+    closing = np.zeros(len(data) + 1, bool)
+    closing[piece.bounds[1:]] = True
+    open_end = np.zeros(len(piece.bounds) - 1, bool)  # a word, and nothing after it
+    filled = np.flatnonzero(np.diff(piece.bounds))
+    open_end[filled] = kept[piece.bounds[filled + 1] - 1]
+    follow = ends[~closing[ends]]
+    data[follow] = _SPACE
+    kept[follow] = True
+    data = data[kept]
+    bounds = np.concatenate(([0], np.cumsum(kept)))[piece.bounds]
+    sizes = np.diff(bounds) + open_end + 1
+    lasts = np.cumsum(sizes + _PAD)
+    firsts = lasts - sizes
+    out = np.full(lasts[-1], _END, np.uint8)
+    for first, a, b, space in zip(firsts.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), open_end, strict=True):
+        out[first : first + b - a] = data[a:b]
+        if space:
+            out[first + b - a] = _SPACE
     return Stream(out, firsts, lasts)
 
 
-def rows_of(data: np.ndarray) -> list[np.ndarray]:
-    """The first count of each predictor's row, for each byte from ``_PAD`` on."""
-    wide = data.astype(np.uint64)
-    n = len(data) - _PAD
-    context = np.zeros(n, np.uint64)
-    rows = []
-    for back in range(1, _PAD + 1):
-        context |= wide[_PAD - back : _PAD - back + n] << np.uint64(8 * (back - 1))
-        if back in ORDERS:
-            k = ORDERS.index(back)
-            row = ((context + np.uint64(1)) * _SPREAD) >> np.uint64(64 - ROW_BITS[k])
-            rows.append((row * np.uint64(LEAVES)).astype(np.int64) + _OFFSETS[k])
-    return rows
+def befores(data: np.ndarray) -> np.ndarray:
+    """The eight bytes before each byte from ``_PAD`` on, as a number, the nearest being the highest."""
+    data = np.ascontiguousarray(data)
+    return np.ndarray(len(data) - _PAD, "<u8", data, strides=(1,))
+
+
+def rows_of(before: np.ndarray) -> Iterator[np.ndarray]:
+    """By predictor, the first entry of the row for each of :func:`befores`."""
+    for order, bits, offset in zip(ORDERS, ROW_BITS, _OFFSETS[:-1], strict=True):
+        row = before >> np.uint64(64 - 8 * order)
+        row *= _SPREAD
+        row >>= np.uint64(64 - bits)
+        row *= np.uint64(LEAVES)
+        row += np.uint64(offset)
+        yield row.view(np.int64)
 
 
 class Alphabet:
-    """Leaves of bytes and the tree above them, from the counts of bytes."""
+    """Leaves of bytes, from how often they occur. Inner nodes are numbered from the root, level by level."""
 
     def __init__(self, counts: np.ndarray):
-        common = np.argsort(-counts, kind="stable")[: LEAVES - 1]
-        self.leaf = np.full(256, LEAVES - 1)
+        common = np.sort(np.argsort(-counts, kind="stable")[: LEAVES - 1])
+        self.leaf = np.full(256, LEAVES - 1, np.uint8)
         self.leaf[common] = np.arange(LEAVES - 1)
         rare = np.setdiff1d(np.arange(256), common)
         share = (counts[rare] + 1) / (counts[rare] + 1).sum()
         self.extra = np.zeros(256)  # nats
         self.extra[rare] = -np.log(share)
-        weight = np.append(counts[common], counts[rare].sum()) + 1
-        heap = [(int(w), k, (k,)) for k, w in enumerate(weight)]
-        heapq.heapify(heap)
-        #: By inner node and leaf: whether the leaf is below, and below to the right.
-        self.below = np.zeros((LEAVES - 1, LEAVES), bool)
-        self.right = np.zeros((LEAVES - 1, LEAVES), bool)
-        for node in range(LEAVES - 1):
-            one, other = heapq.heappop(heap), heapq.heappop(heap)
-            self.below[node, [*one[2], *other[2]]] = True
-            self.right[node, list(other[2])] = True
-            heapq.heappush(heap, (one[0] + other[0], LEAVES + node, one[2] + other[2]))
-        # from the root down: inner nodes were made from the leaves up
-        paths = [np.flatnonzero(self.below[:, leaf])[::-1] for leaf in range(LEAVES)]
-        self.length = np.array([len(path) for path in paths])
-        self.first = np.cumsum(self.length) - self.length
-        self.node = np.concatenate(paths)
-        self.sign = np.concatenate(
-            [np.where(self.right[path, leaf], 1, -1) for leaf, path in enumerate(paths)]
-        ).astype(np.int8)
-        self.is_top = np.zeros(len(self.node), bool)
-        self.is_top[self.first] = True
-
-    def log_odds(self, counts: np.ndarray) -> np.ndarray:
+
+    @staticmethod
+    def log_odds(counts: np.ndarray) -> np.ndarray:
         """Sixteenths of log odds of going right, by row and node, of rows of counts by leaf."""
         counts = counts.reshape(-1, LEAVES).astype(np.float64)
-        total, right = counts @ self.below.T, counts @ self.right.T
-        odds = np.log((right + 0.05) / (total - right + 0.05))
         out = np.zeros(counts.shape, np.int8)
-        out[:, : LEAVES - 1] = np.clip(np.round(16 * odds), -127, 127)
+        for level in range(DEPTH):
+            sides = counts.reshape(len(counts), 1 << level, 2, -1).sum(axis=-1)
+            odds = np.log((sides[:, :, 1] + 0.05) / (sides[:, :, 0] + 0.05))
+            out[:, (1 << level) - 1 : (2 << level) - 1] = np.clip(np.round(16 * odds), -127, 127)
         return out
 
 
@@ -142,15 +135,17 @@ def _learned(batch: pa.RecordBatch) -> pa.Array:
 
 
 def byte_counts(docs: DataFrame) -> np.ndarray:
-    """How often each byte is to be predicted in the texts to learn from."""
+    """How often each byte occurs in the texts to learn from; white space counts as spaces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(256, np.int64)
         for batch in batches:
-            for piece in pieces(_learned(batch)):
-                stream = stream_of(piece, words_of(piece, VISIBLE))
-                counts += np.bincount(stream.data, minlength=256)
-                counts[_END] -= _PAD * len(stream.firsts)
+            texts = _learned(batch)
+            counts[_END] += len(texts)
+            for piece in pieces(texts):
+                found = np.bincount(LOWER[piece.data], minlength=256)
+                counts += np.where(VISIBLE, found, 0)
+                counts[_SPACE] += found[~VISIBLE].sum()
         yield pa.RecordBatch.from_pydict({"byte": np.arange(256), "n": counts})
 
     found = docs.select("text", "learn").mapInArrow(run, "byte long, n long")
@@ -160,64 +155,63 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-_COUNTS = "chunk long, salt int, at binary, n binary"
+_COUNTS = "chunk long, salt int, counts binary"
+_COUNT_SCHEMA = pa.schema([("chunk", pa.int64()), ("salt", pa.int32()), ("counts", pa.binary())])
+#: Tasks whose counts are summed in a first step, before all sums.
+_TASKS = 64
 
 
-def _sparse(chunk: int, salt: int, counts: np.ndarray) -> dict | None:
-    at = np.flatnonzero(counts)
-    if not len(at):
-        return None
-    return {"chunk": chunk, "salt": salt, "at": at.astype("<u2").tobytes(), "n": counts[at].astype("<u8").tobytes()}
+def _sent(found: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Dense counts of chunks as rows: gaps between entries that are not zero, and the entries, packed."""
+    for chunk, salt, counts in found:
+        at = np.flatnonzero(counts)
+        if len(at):
+            gaps = np.diff(at, prepend=0).astype("<u2").tobytes()
+            packed = zlib.compress(gaps + counts[at].astype("<u8").tobytes(), 1)
+            yield pa.RecordBatch.from_pylist([{"chunk": chunk, "salt": salt, "counts": packed}], _COUNT_SCHEMA)
 
 
-def _rows(found: Iterator[dict | None], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for row in found:
-        if row:
-            yield pa.RecordBatch.from_pylist([row], schema)
-
-
-_COUNT_SCHEMA = pa.schema([("chunk", pa.int64()), ("salt", pa.int32()), ("at", pa.binary()), ("n", pa.binary())])
+def _summed(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> dict[tuple, np.ndarray]:
+    """Dense sums of what was sent; a task holds those of its own keys."""
+    sums: dict[tuple, np.ndarray] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            packed = zlib.decompress(row["counts"])
+            at = np.cumsum(np.frombuffer(packed, "<u2", len(packed) // 10), dtype=np.int64)
+            total = sums.setdefault(tuple(row[k] for k in key), np.zeros(CHUNK, np.uint64))
+            total[at] += np.frombuffer(packed, "<u8", offset=2 * len(at))
+    return sums
 
 
-def count_contexts(docs: DataFrame, alphabet: Alphabet, salts: int = 16) -> DataFrame:
-    """``chunk, salt, at, n``: sums over tasks of the counts by context row and leaf."""
+def count_contexts(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """``chunk, salt, counts``: by context row and leaf, summed over ``_TASKS`` tasks each."""
     leaf = docs.sparkSession.sparkContext.broadcast(alphabet.leaf)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(_OFFSETS[-1], np.uint32)
-        leaves, salt = leaf.value, TaskContext.get().partitionId() % salts
+        leaves, salt = leaf.value, TaskContext.get().partitionId() // _TASKS
         for batch in batches:
             for piece in pieces(_learned(batch)):
-                stream = stream_of(piece, words_of(piece, VISIBLE))
-                wanted = np.zeros(len(stream.data) + 1, np.int8)
-                wanted[stream.firsts] += 1
-                wanted[stream.lasts] -= 1
-                at = np.flatnonzero(np.cumsum(wanted[:-1])[_PAD:])
+                stream = stream_of(piece)
                 symbol = leaves[stream.data[_PAD:]]
-                for row in rows_of(stream.data):
-                    np.add.at(counts, (row + symbol)[at], np.uint32(1))
+                inside = np.zeros(len(stream.data) + 1, np.int8)
+                inside[stream.firsts] += 1
+                inside[stream.lasts] -= 1
+                inside = np.cumsum(inside[:-1], dtype=np.int8)[_PAD:].view(bool)
+                for row in rows_of(befores(stream.data)):
+                    row += symbol
+                    np.add.at(counts, row[inside], np.uint32(1))
         chunks = range(-(-len(counts) // CHUNK))
-        parts = (_sparse(c, salt, counts[c * CHUNK : (c + 1) * CHUNK]) for c in chunks)
-        yield from _rows(parts, _COUNT_SCHEMA)
+        yield from _sent((c, salt, counts[c * CHUNK : (c + 1) * CHUNK]) for c in chunks)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _summed(batches, ("chunk", "salt"))
-        yield from _rows((_sparse(*key, counts) for key, counts in sums.items()), _COUNT_SCHEMA)
+        yield from _sent((*key, counts) for key, counts in sums.items())
 
     parts = docs.select("text", "learn").mapInArrow(count, _COUNTS)
     return parts.repartition("chunk", "salt").mapInArrow(add, _COUNTS)
 
 
-def _summed(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> dict[tuple, np.ndarray]:
-    """Dense sums of sparse chunks; a task holds those of its own keys."""
-    sums: dict[tuple, np.ndarray] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            total = sums.setdefault(tuple(row[k] for k in key), np.zeros(CHUNK, np.uint64))
-            total[np.frombuffer(row["at"], "<u2")] += np.frombuffer(row["n"], "<u8")
-    return sums
-
-
 def log_odds_table(counts: DataFrame, alphabet: Alphabet) -> np.ndarray:
     """All predictors' tables as one, of a fixed size: one byte an entry."""
     sent = counts.sparkSession.sparkContext.broadcast(alphabet)
@@ -255,46 +249,48 @@ class Mixer(NamedTuple):
 
     def _stretches(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         alphabet = self.alphabet
-        # bits of all bytes, stretch after stretch
-        at = np.concatenate([np.arange(a, b) for a, b in zip(first, last, strict=True)])
-        leaf = alphabet.leaf[data[at]]
-        length = alphabet.length[leaf]
-        size = last - first
-        edge = np.concatenate(([0], np.cumsum(size)))
-        bits = np.concatenate(([0], np.cumsum(length)))
-        step = np.arange(bits[-1]) + np.repeat(alphabet.first[leaf] - bits[:-1], length)
-        node, sign = alphabet.node[step], alphabet.sign[step]
-        inputs = np.empty((len(ORDERS), len(step)), np.int8)
-        for k, row in enumerate(rows_of(data)):
-            inputs[k] = self.table[np.repeat(row[at - _PAD], length) + node]
-        gate = (inputs[-1] != 0) + np.int8(2) * alphabet.is_top[step]
-
-        # inputs are sixteenths: weights and steps are scaled to match
         # stretches abreast, the longest first, so that those at work are always the first ones
-        starts, count = bits[edge[:-1]], np.diff(bits[edge])
-        order = np.argsort(-count, kind="stable")
-        starts, count = starts[order], count[order]
+        size = last - first
+        order = np.argsort(-size, kind="stable")
+        first, size = first[order], size[order]
         lanes = np.arange(len(order))
-        weights = np.repeat(np.array(START * 2, np.float32).T / 16, len(order), axis=1)
-        rate = np.float32(STEP / 256)
-        nats, chance = np.zeros(len(order)), np.ones(len(order))
-        busy = np.searchsorted(-count, -np.arange(count[0] if len(count) else 0), "left")
+        busy = np.searchsorted(-size, -np.arange(size[0]), "left")
+        # bytes in the order in which they are met: the first of all stretches, the second, and so on
+        edge = np.concatenate(([0], np.cumsum(busy)))
+        at = np.repeat(np.arange(len(busy)), busy)
+        lane = np.arange(edge[-1]) - np.repeat(edge[:-1], busy)
+        at += first[lane]
+        leaf = alphabet.leaf[data[at]]
+        node, sign = np.empty((DEPTH, len(at)), np.uint8), np.empty((DEPTH, len(at)), np.int8)
+        for level in range(DEPTH):
+            node[level] = (leaf >> (DEPTH - level)) + ((1 << level) - 1)
+            sign[level] = (leaf >> (DEPTH - 1 - level) & 1).astype(np.int8) * 2 - 1
+        rows = np.stack(list(rows_of(befores(data)[at - _PAD])))
+        place = (self.table.take(rows[1:]) != 0).sum(axis=0) * len(order) + lane  # gate and lane
+        # inputs are sixteenths of log odds: weights and steps are scaled to match
+        weights = np.repeat(np.array(START, np.float32).T / 16, len(order), axis=1)
+        rate, least = np.float32(STEP / 256), np.float32(1e-6)
+        nats = np.zeros(len(order))
         for t, n in enumerate(busy.tolist()):
-            now = starts[:n] + t
-            x = inputs.take(now, axis=1).astype(np.float32)
-            y = sign.take(now)
-            place = gate.take(now) * np.int64(len(order)) + lanes[:n]
-            w = weights.take(place, axis=1)
-            right = 1 / (1 + np.exp(-y * np.einsum("kn,kn->n", w, x)))
-            chance[:n] *= np.maximum(right, 1e-9)
-            weights[:, place] = w + (rate * y * (1 - right)) * x
-            if t % 16 == 15:
-                nats[:n] -= np.log(chance[:n])
-                chance[:n] = 1
-        nats -= np.log(chance)
+            part = slice(edge[t], edge[t + 1])
+            now = place[part]
+            x = self.table.take(rows[:, None, part] + node[:, part]).astype(np.float32)
+            y = sign[:, part].astype(np.float32)
+            used = weights.take(now, axis=1)
+            right = np.einsum("kn,kdn->dn", used, x)
+            right *= -y
+            np.exp(right, out=right)
+            right += 1
+            np.reciprocal(right, out=right)
+            y *= 1 - right
+            used += rate * np.einsum("dn,kdn->kn", y, x)
+            for row, new in zip(weights, used, strict=True):
+                row[now] = new
+            # never quite sure, so that no bit costs more than some 20 bits
+            nats[:n] -= np.log((right * (1 - 2 * least) + least).prod(axis=0))
         out = np.empty(len(order))
-        out[order] = nats
-        return out + np.add.reduceat(np.append(alphabet.extra[data[at]], 0.0), edge[:-1])
+        out[order] = nats + np.bincount(lane, alphabet.extra[data[at]], len(order))
+        return out
 
 
 def in_blocks(docs: DataFrame) -> DataFrame:
@@ -369,9 +365,9 @@ def score(docs: DataFrame) -> DataFrame:
     alphabet = Alphabet(byte_counts(blocks))
     table = log_odds_table(count_contexts(blocks, alphabet), alphabet)
 
-    words = block_words(blocks)
+    words = keep(block_words(blocks), "words")
     counts = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
-    counts = keep(counts, "words")
+    counts = keep(counts, "counts")
     ends = blocks.where("learn").count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     totals = Totals(sums.n + ends, sums.v + bool(ends), ends)
@@ -410,7 +406,7 @@ def _block_scores(sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 logs = np.bincount(owner, np.log10(c[:-1] + 1.0), len(n)) + math.log10(totals.ends + 1)
                 base = logs - (n + 1) * math.log10(totals.tokens + totals.distinct + 1)
                 known = np.bincount(owner, c[:-1] > 0, len(n)).astype(np.int64) + bool(totals.ends)
-                nats = mixer.nats(stream_of(piece, words))
+                nats = mixer.nats(stream_of(piece))
                 parts.append((n + 1, known, base, -nats / math.log(10)))
         tokens, known, base, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pa.table(

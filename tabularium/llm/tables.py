@@ -15,5 +15,5 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     folder = new_folder(spark, name)
-    frame.write.parquet(folder)
+    frame.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)

@@ -111,18 +111,22 @@ def hash_runs(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * inverses[starts])
 
 
-def words_of(piece: Piece, member: np.ndarray) -> Words:
-    """The words of lower-cased texts, made of the bytes that ``member`` marks."""
-    data = LOWER[piece.data]
-    inside = member[data]
+def edges_of(piece: Piece, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end, from a mark on each byte that belongs to one."""
     begins, closes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
-    edges = piece.bounds[:-1][piece.bounds[:-1] < len(data)]
+    edges = piece.bounds[:-1][piece.bounds[:-1] < len(inside)]
     begins[edges] = inside[edges]  # a word never runs from one text into the next
     edges = edges[edges > 0] - 1
     closes[edges] = inside[edges]
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(closes) + 1
+    return np.flatnonzero(begins), np.flatnonzero(closes) + 1
+
+
+def words_of(piece: Piece, member: np.ndarray) -> Words:
+    """The words of lower-cased texts, made of the bytes that ``member`` marks."""
+    data = LOWER[piece.data]
+    starts, ends = edges_of(piece, member[data])
     return Words(
         starts, ends, span_hashes(data, starts, ends), np.searchsorted(starts, piece.bounds)
     )
