@@ -1,0 +1,94 @@
+import random
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+import pytest
+from awkward import awkward_rows
+from test_decontamination import brute_force as benchmark_hits
+from test_minhash import brute_force as groups
+from test_sentences import brute_force as repeats
+from test_sentences import split
+from tokenizers import Tokenizer
+
+PASSAGE = " ".join(f"item{k}" for k in range(14))
+
+
+def corpus(seed=3):
+    """Clean documents, near copies, a shared passage, a benchmark passage and toxic ones."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(4000)]
+    text = lambda n: " ".join(rng.choices(words, k=9) and " ".join(rng.choices(words, k=9)) + "." for _ in range(n))
+    texts = [text(6) for _ in range(60)]
+    near = texts[0].split()
+    near[5] = "changed"
+    shared = text(5)
+    texts += [" ".join(near), texts[1], f"{text(2)} {shared} {text(2)}", f"{text(2)} {shared} {text(2)}"]
+    texts += [f"{text(3)} {PASSAGE}. {text(2)}"]
+    toxic = [f"{text(3)} idiot moron {text(1)}" for _ in range(40)]
+    return texts, toxic
+
+
+@pytest.fixture(scope="module")
+def made(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("sf")
+    texts, toxic = corpus()
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts + toxic)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(k, 1, int(k >= len(texts))) for k in range(len(rows)) if k % 5]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder), texts, toxic
+
+
+def test_stages_do_what_brute_force_does(spark, made):
+    folder, texts, toxic = made
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+
+    docs = corpus_pipeline.keep(stages[0](spark, docs, folder), "one")
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    assert docs.columns == columns and kept == dict(enumerate(texts))
+
+    docs = corpus_pipeline.keep(stages[1](spark, docs, folder), "two")
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    expected = {i for i, _, group, _ in groups(texts, corpus_pipeline.NEAR_PERCENT) if i == group}
+    assert docs.columns == columns and kept == {i: texts[i] for i in expected} and len(kept) == len(texts) - 2
+
+    docs = corpus_pipeline.keep(stages[2](spark, docs, folder), "three")
+    before, ids = [texts[i] for i in sorted(expected)], sorted(expected)
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    removed = 0
+    for k, (n, gone, _) in repeats(before).items():
+        removed += len(gone)
+        left = "".join(x for i, x in enumerate(split(before[k])) if i not in gone)
+        assert "".join(kept[ids[k]].split()) == "".join(left.split())
+    assert docs.columns == columns and removed >= 4
+
+    docs = corpus_pipeline.keep(stages[3](spark, docs, folder), "four")
+    before, kept = kept, {r.doc_id: r.text for r in docs.collect()}
+    hits = benchmark_hits(list(before.values()), [(1, PASSAGE)], corpus_pipeline.WINDOW)
+    changed = {i for i, (hit, _) in zip(before, hits, strict=True) if any(hit)}
+    assert docs.columns == columns and changed and kept.keys() == before.keys()
+    assert {i for i in kept if kept[i] != before[i]} == changed and not any("item3" in t for t in kept.values())
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = stages[4](spark, docs, folder).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {
+        i: library.encode(t, add_special_tokens=False).ids for i, t in kept.items()
+    }
+    whole = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, folder).collect()}
+    assert whole == {r.doc_id: r.ids for r in rows}
+
+
+def test_stages_take_awkward_rows(spark, made):
+    folder = made[0]
+    docs = awkward_rows(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        assert out.count() == (7 if name.startswith("minhash") else 8), name
+        assert stage(spark, docs.limit(0), folder).count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 8

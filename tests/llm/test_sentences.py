@@ -1,0 +1,111 @@
+import random
+import re
+
+import pytest
+from awkward import awkward_rows, documents
+from pyspark.sql import functions as F
+from tabularium.llm import sentences as s
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def split(text):
+    """Sentences with words, each with what follows it up to the next."""
+    parts = re.findall(r"[^.!?\n\r]+[.!?\n\r]*|[.!?\n\r]+", text or "")
+    out = []
+    for part in parts:
+        if WORD.search(part.lower()):
+            out.append(part)
+        elif out:
+            out[-1] += part
+    return out
+
+
+def brute_force(texts):
+    """By text, the sentences that non-first spans cover, and where these occurred first."""
+    first, spans = {}, []
+    for k, text in enumerate(texts):
+        words = [WORD.findall(x.lower()) for x in split(text)]
+        for at in range(len(words)):
+            for n, least in ((1, s.ONE), (2, s.TWO), (s.RUN, s.LEAST)):
+                run = tuple(w for x in words[at : at + n] for w in x)
+                if at + n <= len(words) and len(run) >= least:
+                    spans.append((run, k, at, n))
+                    first[run] = min(first.get(run, (k, at)), (k, at))
+    out = {k: (set(), set()) for k in range(len(texts))}
+    for run, k, at, n in spans:
+        if first[run] != (k, at):
+            out[k][0].update(range(at, at + n))
+            out[k][1].add(first[run][0])
+    return {k: (len(split(texts[k])), sorted(gone), sorted(origins)) for k, (gone, origins) in out.items()}
+
+
+def some_texts(seed):
+    rng = random.Random(seed)
+    sentence = lambda: " ".join(rng.choice("abcdefgh") * 2 for _ in range(rng.randrange(1, 14))) + rng.choice(".!?\n")
+    passage = [sentence() for _ in range(6)]
+    texts = []
+    for _ in range(30):
+        text = [sentence() for _ in range(rng.randrange(8))]
+        if rng.random() < 0.5:
+            a = rng.randrange(5)
+            text[2:2] = passage[a : a + rng.randrange(1, 6)]
+        texts.append(" ".join(text))
+    long = " ".join(f"w{k}" for k in range(35))
+    return [*texts, texts[3], f"Start. {long}", f"{long} and more. {long}! End.", "", None, "...", "\n"]
+
+
+def test_removed_sentences_are_those_of_all_spans(spark):
+    for seed in range(3):
+        texts = some_texts(seed)
+        marked, name = s.mark_repeats(documents(spark, texts))
+        rows = {r.doc_id: r[name] for r in marked.collect()}
+        for k, (n, gone, origins) in brute_force(texts).items():
+            cut = rows[k].cut
+            assert (cut.n_sentences, cut.n_removed, rows[k].origins or []) == (n, len(gone), origins)
+            if texts[k] is None:
+                assert cut.text is None
+            elif gone:
+                left = [x for i, x in enumerate(split(texts[k])) if i not in gone]
+                assert "".join(cut.text.split()) == "".join("".join(left).split())
+            else:
+                assert cut.text == texts[k]
+
+
+def test_repeated_passages_go_and_clean_documents_stay(spark):
+    passage = "This is a passage of some length. It goes on for a while. Then it ends with these words."
+    texts = [f"First of all. {passage} Own end.", f"Another opening here. {passage} And a close.", "Quite clean text. Of its own."]
+    docs = documents(spark, [*texts, texts[2]])
+    left = {r.doc_id: r.text for r in s.without_repeats(docs).collect()}
+    assert left[0] == texts[0]
+    assert passage[:30] not in left[1] and left[1].startswith("Another opening here.") and left[1].endswith("And a close.")
+    assert left[2] == texts[2]
+
+
+def test_documents_that_lose_everything_are_dropped(spark):
+    text = "One sentence of four words. Another one of some words. And a third one to go."
+    docs = documents(spark, [text, text, "", None])
+    assert {r.doc_id for r in s.without_repeats(docs).collect()} == {0, 2, 3}
+    kept = s.without_repeats(docs, drop_empty=False)
+    assert {r.doc_id: r.text for r in kept.collect()} == {0: text, 1: "", 2: "", 3: None}
+
+
+def test_awkward_rows(spark):
+    docs = awkward_rows(spark)
+    out = s.without_repeats(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert len(rows) == 8
+    assert {r.text for r in rows if r.doc_id in (2, 3, 4)} == {None, "", " \n\t .!? "}
+    [long] = [r.text for r in rows if r.doc_id == 5]
+    assert 0 < len(long) < 200
+    assert s.without_repeats(docs.limit(0)).collect() == []
+    assert s.repeats(docs.where(F.lit(False))).collect() == []
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_the_first_is_the_smallest_id_however_rows_lie(spark, partitions):
+    text = "One sentence of four words. Another one of some words. And a third one to go."
+    docs = documents(spark, ["x", text, "y", text, text], partitions)
+    marked, name = s.mark_repeats(docs)
+    assert {r.doc_id: r[name].origins for r in marked.collect() if r[name].cut.n_removed} == {3: [1], 4: [1]}
