@@ -1 +1,8 @@
 """Operations of a training-data pipeline; nothing else in the library imports this."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

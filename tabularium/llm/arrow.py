@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def batchwise(kind: str, run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]) -> Callable[..., Column]:
     """A column function of type ``kind`` from one over the batches of a partition.
 
-    Spark tells kinds of UDF apart by real annotations, not by postponed ones.
+    Spark tells kinds of UDF apart by real annotations, not by postponed ones. It is called
+    nondeterministic so that Spark does not run it twice where two expressions use its result.
     """
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, kind)
+    return F.arrow_udf(run, kind).asNondeterministic()
 
 
 def batchwise_pairs(
@@ -25,7 +29,23 @@ def batchwise_pairs(
         "batches": Iterator[tuple[pa.Array, pa.Array]],
         "return": Iterator[pa.Array],
     }
-    return F.arrow_udf(run, kind)
+    return F.arrow_udf(run, kind).asNondeterministic()
+
+
+class Sent:
+    """A broadcast value whose classes travel with it, as executors need no copy of this package."""
+
+    def __init__(self, packed: Broadcast):
+        self.packed = packed
+
+    @property
+    def value(self) -> Any:
+        """Unpacked anew each time; ask once per task."""
+        return pickle.loads(self.packed.value)
+
+
+def send(spark: SparkSession, value: Any) -> Sent:
+    return Sent(spark.sparkContext.broadcast(cloudpickle.dumps(value)))
 
 
 def free_name(frame: DataFrame, base: str) -> str:

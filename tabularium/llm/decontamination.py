@@ -23,10 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from tabularium.llm.arrow import batchwise_pairs, free_name
+from tabularium.llm.arrow import Sent, batchwise_pairs, free_name, send
 from tabularium.llm.words import ALNUM, Piece, Words, pieces, words_of
 
 #: Item words in one automaton. A larger benchmark is split by item into several, which are
@@ -182,7 +181,7 @@ class Benchmark:
 
 def benchmarks(
     items: DataFrame, window: int = 10, shard_words: int = SHARD_WORDS
-) -> Iterator[tuple[Broadcast, bool]]:
+) -> Iterator[tuple[Sent, bool]]:
     """Automata of ``item_id, text``, of about ``shard_words`` words each, and whether it is the last.
 
     Each is made when asked for, so one is on the driver at a time.
@@ -196,7 +195,7 @@ def benchmarks(
         part = known.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)
         rows = part.distinct().collect()
         made = Benchmark(sorted([(r.item_id, r.text) for r in rows], key=str), window)
-        yield spark.sparkContext.broadcast(made), shard == shards - 1
+        yield send(spark, made), shard == shards - 1
 
 
 def _without(piece: Piece, words: Words, k: int, hit: np.ndarray, max_span: int) -> str:
@@ -211,7 +210,7 @@ def _without(piece: Piece, words: Words, k: int, hit: np.ndarray, max_span: int)
     return piece.data[start:end_of_text][keep].tobytes().decode()
 
 
-def _hits(benchmark: Broadcast, max_span: int | None):
+def _hits(benchmark: Sent, max_span: int | None):
     """Hits of one automaton, joined with those before; with the text that is left if a span is given."""
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

@@ -22,10 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabularium.llm.arrow import batchwise
+from tabularium.llm.arrow import Sent, batchwise, send
 from tabularium.llm.words import LOWER, PIECE, pieces
 
 #: Fixed value: the code for an undetermined language.
@@ -175,7 +174,7 @@ class ContextTrees:
         return bits
 
 
-def learn(docs: DataFrame, order: int = 3, sample: int = SAMPLE, seed: int = 0) -> Broadcast:
+def learn(docs: DataFrame, order: int = 3, sample: int = SAMPLE, seed: int = 0) -> Sent:
     """Context trees of ``text, lang``, learned from about ``sample`` texts of each language.
 
     Which texts depends on their hash only, so not on how the table is stored.
@@ -189,10 +188,10 @@ def learn(docs: DataFrame, order: int = 3, sample: int = SAMPLE, seed: int = 0)
         cut = F.when(F.col("lang") == lang, min(buckets, -(-buckets * sample // n))).otherwise(cut)
     chosen = known.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(buckets)) < cut)
     counts = [(r.lang, r.run, r.n) for r in count_runs(chosen, order).collect()] if sizes else []
-    return spark.sparkContext.broadcast(ContextTrees(counts, order))
+    return send(spark, ContextTrees(counts, order))
 
 
-def predict(text: Column, trees: Broadcast) -> Column:
+def predict(text: Column, trees: Sent) -> Column:
     """``struct<lang, score>`` of each text."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

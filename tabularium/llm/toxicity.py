@@ -25,10 +25,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabularium.llm.arrow import batchwise
+from tabularium.llm.arrow import Sent, batchwise, send
 from tabularium.llm.words import ALNUM, pieces, words_of
 
 #: Expected number of labelled texts that are learned from.
@@ -144,7 +143,7 @@ def _train(rows: list[tuple[int, np.ndarray]], model: Machine, step: dict, seed:
 
 def _round(sets: DataFrame, model: Machine, step: dict, number: int) -> tuple[Machine, dict]:
     """All shards train from one model; the mean of what they come to."""
-    sent = sets.sparkSession.sparkContext.broadcast((model, step))
+    sent = send(sets.sparkSession, (model, step))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, squares = sent.value
@@ -182,7 +181,7 @@ def sample_labels(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     return known.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(buckets)) < cut).distinct()
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Broadcast:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Sent:
     """A machine from ``doc_id, text`` and ``doc_id, label`` (0 or 1).
 
     Only the sampled ids are broadcast to find their texts: about ``sample`` of them, whatever the
@@ -217,10 +216,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Broadcast
                 model, step = _round(sets, model, step, number)
     finally:
         sets.unpersist()
-    return spark.sparkContext.broadcast(model)
+    return send(spark, model)
 
 
-def score(text: Column, machine: Broadcast) -> Column:
+def score(text: Column, machine: Sent) -> Column:
     """Probability that a text is toxic."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
