@@ -32,8 +32,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from tabularium.llm.arrow import Sent, send
 from tabularium.llm.tables import keep
 from tabularium.llm.words import LOWER, VISIBLE, Piece, edges_of, pieces, words_of
 
@@ -214,11 +215,12 @@ def count_contexts(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
 
 def log_odds_table(counts: DataFrame, alphabet: Alphabet) -> np.ndarray:
     """All predictors' tables as one, of a fixed size: one byte an entry."""
-    sent = counts.sparkSession.sparkContext.broadcast(alphabet)
+    sent = send(counts.sparkSession, alphabet)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = sent.value
         for (chunk,), total in _summed(batches, ("chunk",)).items():
-            odds = sent.value.log_odds(total).tobytes()
+            odds = letters.log_odds(total).tobytes()
             yield pa.RecordBatch.from_pydict({"chunk": [chunk], "odds": [odds]})
 
     table = np.zeros(_OFFSETS[-1], np.int8)
@@ -347,6 +349,21 @@ def block_words(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", "text", "learn").mapInArrow(run, "block long, word long, n long")
 
 
+def _counted(words: DataFrame) -> DataFrame:
+    """``block, word, c, first, own`` of words to be learned: the count in all blocks, whether this is the word's
+    first block, and whether it is its only one.
+
+    A word has one row per block, whatever its count, so even the commonest is a small share of a task.
+    """
+    everywhere = Window.partitionBy("word")
+    counted = words.select(
+        "block", "word", "n", F.sum("n").over(everywhere).alias("c"), F.min("block").over(everywhere).alias("least")
+    )
+    return counted.where("c > 0").select(
+        "block", "word", "c", (F.col("block") == F.col("least")).alias("first"), (F.col("c") == F.col("n")).alias("own")
+    )
+
+
 class Totals(NamedTuple):
     """Tokens to learn from, how many are distinct, and how many are ends."""
 
@@ -365,20 +382,18 @@ def score(docs: DataFrame) -> DataFrame:
     alphabet = Alphabet(byte_counts(blocks))
     table = log_odds_table(count_contexts(blocks, alphabet), alphabet)
 
-    words = keep(block_words(blocks), "words")
-    counts = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
-    counts = keep(counts, "counts")
+    words = keep(_counted(block_words(blocks)), "words")
     ends = blocks.where("learn").count()
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    sums = words.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     totals = Totals(sums.n + ends, sums.v + bool(ends), ends)
-    own_counts = words.select("block", "word").join(counts, "word")
+    shared = words.where("not own").select("block", "word", "c")
 
-    sent = spark.sparkContext.broadcast((Mixer(alphabet, table), totals))
+    sent = send(spark, (Mixer(alphabet, table), totals))
     kind = blocks.schema["doc_id"].dataType.simpleString()
     return (
-        blocks.select("block", "doc_id", "text")
+        blocks.select("block", "doc_id", "text", "learn")
         .groupBy("block")
-        .cogroup(own_counts.groupBy("block"))
+        .cogroup(shared.groupBy("block"))
         .applyInArrow(
             _block_scores(sent),
             f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double",
@@ -386,29 +401,47 @@ def score(docs: DataFrame) -> DataFrame:
     )
 
 
-def _block_scores(sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _counts(tokens: np.ndarray, learn: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The count of each token: from the words that blocks share, or else from its own block's tokens."""
+    out = np.zeros(len(tokens), np.int64)
+    known = np.zeros(len(tokens), bool)
+    if len(word):
+        at = np.minimum(np.searchsorted(word, tokens), len(word) - 1)
+        known = word[at] == tokens
+        out[known] = count[at[known]]
+    rest = np.flatnonzero(~known)
+    _, where = np.unique(tokens[rest], return_inverse=True)
+    out[rest] = np.bincount(where, learn[rest]).astype(np.int64)[where] if len(rest) else 0
+    return out
+
+
+def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    unpacked: list = []  # once per task
+
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        mixer, totals = sent.value
+        if not unpacked:
+            unpacked.append(sent.value)
+        mixer, totals = unpacked[0]
         word = counts["word"].to_numpy().view(np.uint64)
         order = np.argsort(word)
         word, count = word[order], counts["c"].to_numpy()[order]
-        parts = []
         texts = docs["text"].combine_chunks()
-        for column in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
-            for piece in pieces(column, BLOCK):
-                words = words_of(piece, VISIBLE)
-                n = np.diff(words.bounds)
-                c = np.zeros(len(words.hashes) + 1, np.int64)
-                if len(word):
-                    at = np.minimum(np.searchsorted(word, words.hashes), len(word) - 1)
-                    c[:-1] = np.where(word[at] == words.hashes, count[at], 0)
-                owner = np.repeat(np.arange(len(n)), n)
-                logs = np.bincount(owner, np.log10(c[:-1] + 1.0), len(n)) + math.log10(totals.ends + 1)
-                base = logs - (n + 1) * math.log10(totals.tokens + totals.distinct + 1)
-                known = np.bincount(owner, c[:-1] > 0, len(n)).astype(np.int64) + bool(totals.ends)
-                nats = mixer.nats(stream_of(piece))
-                parts.append((n + 1, known, base, -nats / math.log(10)))
-        tokens, known, base, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+        columns = texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]
+        parts = [piece for column in columns for piece in pieces(column, BLOCK)]
+        found = [words_of(piece, VISIBLE) for piece in parts]
+        n = np.concatenate([np.diff(words.bounds) for words in found])
+        owner = np.repeat(np.arange(len(n)), n)
+        c = _counts(
+            np.concatenate([words.hashes for words in found]),
+            docs["learn"].to_numpy()[owner],
+            word,
+            count,
+        )
+        logs = np.bincount(owner, np.log10(c + 1.0), len(n)) + math.log10(totals.ends + 1)
+        base = logs - (n + 1) * math.log10(totals.tokens + totals.distinct + 1)
+        known = np.bincount(owner, c > 0, len(n)).astype(np.int64) + bool(totals.ends)
+        scores = -np.concatenate([mixer.nats(stream_of(piece)) for piece in parts]) / math.log(10)
+        tokens = n + 1
         return pa.table(
             {
                 "doc_id": docs["doc_id"],
