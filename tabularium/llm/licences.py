@@ -1,7 +1,7 @@
 """Licence notices in texts, by a trained paragraph classifier, confirmed by templates.
 
 A paragraph is a line of a text. Its features are its distinct words (lower-cased runs of a-z and 0-9) and
-pairs of neighbouring words. A sparse multinomial logistic regression tells licence families and
+pairs of neighbouring words, as far as templates hold them and ordinary lines rarely do. A sparse multinomial logistic regression tells licence families and
 ``unknown`` apart. It is learned from the templates below and all their stretches of some words, against
 lines of a bounded sample of the texts at hand (``sample``, the expected number of texts). A family needs a
 probability above ``unknown`` and above a bar that ``FALSE_ALARMS`` of held-out ordinary lines reach.
@@ -22,7 +22,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabularium.llm.tables import keep
@@ -73,8 +73,8 @@ UNKNOWN = "unknown"
 
 #: Expected number of texts whose lines stand for ordinary ones.
 SAMPLE = 400
-#: Words and pairs that the classifier may know, and penalty with its sparse share.
-VOCABULARY, PENALTY, SPARSE = 1 << 14, 0.0005, 0.5
+#: Penalty of the regression, and the share of it that makes for sparse weights.
+PENALTY, SPARSE = 0.0005, 0.5
 #: Words and pairs that a larger share of ordinary lines hold are not looked at.
 COMMON = 0.01
 #: Lengths in words of stretches of templates to learn from.
@@ -168,11 +168,15 @@ def _ordinary(docs: DataFrame, sample: int) -> DataFrame:
     return lines.where(~known_one).select(F.lit(UNKNOWN).alias("family"), "words")
 
 
-def _common(ordinary: DataFrame) -> list[str]:
-    """Words and pairs of too many of the sampled ordinary lines."""
-    n = ordinary.count()
-    counts = ordinary.select(F.explode("grams").alias("gram")).groupBy("gram").count()
-    return sorted(row.gram for row in counts.where(F.col("count") > COMMON * n).collect())
+def _vocabulary(examples: DataFrame, ordinary: int) -> list[str]:
+    """Words and pairs of templates, but those of too many of the sampled ordinary lines."""
+    is_ordinary = (F.col("label") == ordinary).cast("int")
+    n = examples.agg(F.sum(is_ordinary)).first()[0] or 0
+    counts = examples.select(F.explode("grams").alias("gram"), is_ordinary.alias("ordinary")).groupBy("gram")
+    found = counts.agg(F.sum("ordinary").alias("n"), F.min("ordinary").alias("only")).where(
+        (F.col("only") == 0) & (F.col("n") <= COMMON * n)
+    )
+    return sorted(row.gram for row in found.select("gram").collect())
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
@@ -187,18 +191,16 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
         .withColumn("held", (F.pmod(F.xxhash64("grams"), F.lit(4)) == 0) & (F.col("label") == len(families) - 1))
     )
     examples = keep(examples, "examples")
-    common = _common(examples.where(F.col("label") == len(families) - 1))
-    examples = examples.withColumn("grams", F.array_except("grams", F.array(*map(F.lit, common)).cast("array<string>")))
-    counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0, vocabSize=VOCABULARY)
-    vocabulary = counter.fit(examples)
+    vocabulary = _vocabulary(examples, len(families) - 1)
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features").setBinary(True)
     fit = LogisticRegression(
         family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE, maxIter=80, standardization=False
-    ).fit(vocabulary.transform(examples.where("not held")))
+    ).fit(counted.transform(examples.where("not held")).select("label", "features").coalesce(1))
     rows = fit.coefficientMatrix.toArray().T.tolist()
     bias = fit.interceptVector.toArray().tolist()
     if len(bias) < len(families):  # no ordinary line: nothing speaks for unknown
         rows, bias = [[*w, 0.0] for w in rows], [*bias, 0.0]
-    weights = {g: w for g, w in zip(vocabulary.vocabulary, rows, strict=True) if any(w)}
+    weights = {g: w for g, w in zip(vocabulary, rows, strict=True) if any(w)}
     unheard = Classifier(families, weights, bias, 0.0)
     held = examples.where("held").select(F.concat_ws("\n", "grams").alias("line"), "grams")
     bar = _scored(held, unheard).agg(F.percentile_approx("probability", 1 - FALSE_ALARMS, 10_000)).first()[0]
