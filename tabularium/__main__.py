@@ -6,34 +6,43 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
+from tabularium.functions.links import last_month, month_text
 from tabularium.layouts import DENTAL_ACTIVITIES, WANTED_ENTITIES
 from tabularium.operators import extract_links, latest_snapshot, missing_files, wanted_files
-from tabularium.plans import refresh_silver, silver_from_folder
+from tabularium.plans import build_manifest, refresh_silver, silver_from_folder
 from tabularium.sources import extract_archives, list_files, read_pages, write_silver
 
 
 def latest(spark: SparkSession, args) -> int:
-    """Show the newest snapshot folder on saved index pages."""
-    latest_snapshot(read_pages(spark, args.pages), args.base).show(truncate=False)
+    """Write the newest snapshot folder on each saved index page."""
+    latest_snapshot(read_pages(spark, args.pages), args.base).write.mode("overwrite").parquet(args.target)
     return 0
 
 
 def manifest(spark: SparkSession, args) -> int:
-    """Write the files to download, from saved snapshot pages."""
-    links = extract_links(read_pages(spark, args.pages))
-    wanted = wanted_files(links, args.base, args.entities)
+    """Write the files to download, from saved snapshot pages.
+
+    With index pages, those of the newest snapshot only; the snapshot of a page is then the month in
+    the name of its file or folder.
+    """
+    if args.index is None:
+        wanted = wanted_files(extract_links(read_pages(spark, args.pages)), args.base, args.entities)
+    else:
+        pages = read_pages(spark, args.pages, recursive=True)
+        url = F.concat(F.lit(args.base), month_text(last_month(F.col("path"))), F.lit("/"))
+        pages = pages.select(url.alias("url"), "html")
+        wanted = build_manifest(read_pages(spark, args.index), pages, args.base, args.entities)
     wanted.write.mode("overwrite").parquet(args.target)
     return 0
 
 
 def missing(spark: SparkSession, args) -> int:
-    """Show what of a manifest has not landed; fail if anything has not."""
+    """Write what of a manifest has not landed; fail if anything has not."""
     absent = missing_files(spark.read.parquet(args.manifest), list_files(spark, args.archives))
-    absent = absent.select("file_name", "url")
-    absent.show(truncate=False)
-    return 0 if absent.isEmpty() else 1
+    absent.select("file_name", "url").write.mode("overwrite").parquet(args.target)
+    return 0 if spark.read.parquet(args.target).isEmpty() else 1
 
 
 def extract(spark: SparkSession, args) -> int:
@@ -71,9 +80,19 @@ def _options(args) -> dict:
         "dates": args.dates,
         "encodings": dict(pair.split("=", 1) for pair in args.encodings),
         "escape": args.escape,
+        "hot": _hot(args.hot),
     }
 
 
+def _hot(pairs: list[str]) -> dict[str, list[str | None]]:
+    """``COLUMN=CODE`` pairs by column; no code stands for NULL."""
+    hot: dict[str, list[str | None]] = {}
+    for pair in pairs:
+        column, _, code = pair.partition("=")
+        hot.setdefault(column, []).append(code or None)
+    return hot
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tabularium")
     stages = parser.add_subparsers(required=True)
@@ -85,13 +104,13 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(name)
         return sub
 
-    stage(latest, "pages", "base")
-    stage(manifest, "pages", "base", "target").add_argument(
-        "--entities", nargs="+", default=WANTED_ENTITIES
-    )
-    stage(missing, "manifest", "archives")
+    stage(latest, "pages", "base", "target")
+    files = stage(manifest, "pages", "base", "target")
+    files.add_argument("--entities", nargs="+", default=WANTED_ENTITIES)
+    files.add_argument("--index", help="saved index pages, to take the newest snapshot only")
+    stage(missing, "manifest", "archives", "target")
     stage(extract, "archives", "target").add_argument(
-        "--entities", nargs="+", help="one job for each, without sorting; otherwise one for all"
+        "--entities", nargs="+", help="one job for each, all at once, without sorting; otherwise one for all"
     )
     whole = stage(refresh, "archives", "extracted", "target")
     whole.add_argument("--manifest", help="start only if all of its files have landed")
@@ -102,6 +121,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument(
             "--encodings", nargs="*", default=[], metavar="ENTITY=ENCODING", help="if not the usual"
         )
+        sub.add_argument(
+            "--hot", nargs="*", default=[], metavar="COLUMN=CODE", help="codes that hold a large share of rows"
+        )
         sub.add_argument("--escape", default="\\", help="what escapes a quote in a quoted field")
         sub.add_argument(
             "--activities",

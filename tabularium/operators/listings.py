@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabularium.functions.links import hrefs, month_text, snapshot_month
+from tabularium.layouts import SNAPSHOT_PATTERN
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -13,7 +14,7 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return pages.select(*kept, F.posexplode(hrefs(F.col("html"))).alias("pos", "href"))
 
 
-def latest_snapshot(pages: DataFrame, base: str) -> DataFrame:
+def latest_snapshot(pages: DataFrame, base: str | Column) -> DataFrame:
     """Each page's newest ``YYYY-MM`` link, as ``snapshot`` (its month) and ``snapshot_url``.
 
     Of equally new links the first on the page counts; links with an impossible month
@@ -21,34 +22,36 @@ def latest_snapshot(pages: DataFrame, base: str) -> DataFrame:
     shuffle is needed and no page's links are spread over rows.
     """
     kept = [c for c in pages.columns if c != "html"]
-    # Months compare as text; a link without one is empty there and loses to all others.
+    # Months compare as text. Links without anything like one are dropped before they are ranked; one
+    # with an impossible month is empty there and loses to all others.
     ranked = F.transform(
-        hrefs(F.col("html")),
+        F.filter(hrefs(F.col("html")), lambda href: href.rlike(SNAPSHOT_PATTERN)),
         lambda href, pos: F.struct(
             month_text(href).alias("__month"), (-pos).alias("__rank"), href.alias("__href")
         ),
     )
     # As the output of a generator the scan of the page is not repeated in filters on the result.
     newest = pages.select(*kept, F.inline_outer(F.array(F.array_max(ranked))))
+    prefix = F.lit(base) if isinstance(base, str) else base
     return newest.select(
         *kept,
         F.concat("__month", F.lit("-01")).try_cast("date").alias("snapshot"),
-        F.when(F.col("__month") != "", F.concat(F.lit(base), "__href")).alias("snapshot_url"),
+        F.when(F.col("__month") != "", F.concat(prefix, "__href")).alias("snapshot_url"),
     )
 
 
 def newest_link(links: DataFrame, base: str, *by: str) -> DataFrame:
     """The newest ``YYYY-MM`` link per ``by``, over links that are rows (``pos``, ``href``).
 
-    The same choice as ``latest_snapshot``, for listings of many pages. Spark keeps one link per key
-    and task before it shuffles, so a site with very many links costs no more than others.
+    The same choice as ``latest_snapshot``, for listings of many pages; a key without such a link has
+    NULLs as well. Spark keeps one link per key and task before it shuffles, so a site with very many
+    links costs no more than others.
     """
     dated = links.withColumn("snapshot", snapshot_month(F.col("href")))
-    order = F.struct("snapshot", -F.col("pos"))
-    newest = (
-        dated.filter(F.col("snapshot").isNotNull())
-        .groupBy(*by)
-        .agg(F.max_by(F.struct("snapshot", "href"), order).alias("newest"))
+    # A maximum leaves out rows whose order is NULL, as it is without a month.
+    order = F.when(F.col("snapshot").isNotNull(), F.struct("snapshot", -F.col("pos")))
+    newest = dated.groupBy(*by).agg(
+        F.max_by(F.struct("snapshot", "href"), order).alias("newest")
     )
     return newest.select(
         *by,

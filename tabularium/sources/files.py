@@ -14,19 +14,24 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFra
     Contents are not read, nor are subfolders, which may hold what was extracted. No match gives
     no rows; a missing folder is an error.
     """
-    reader = spark.read.format("binaryFile")
     try:
-        found = reader.load(f"{folder}/{glob}")
+        found = spark.read.format("binaryFile").load(f"{folder}/{glob}")
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND" or not _exists(spark, folder):
             raise
-        found = reader.option("recursiveFileLookup", True).load(folder).limit(0)
+        found = spark.createDataFrame([], "path string, length long")
     return found.select(
         "path", file_name(F.col("path")).alias("file_name"), F.col("length").alias("bytes")
     )
 
 
-def read_pages(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """One row per saved page: ``path`` and ``html``."""
-    pages = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder; one look, without listing anything."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
+def read_pages(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False) -> DataFrame:
+    """One row per saved page: ``path`` and ``html``; in subfolders only with ``recursive``."""
+    pages = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True, recursiveFileLookup=recursive)
     return pages.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))

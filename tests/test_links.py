@@ -52,6 +52,9 @@ PAGES = [
     '<a href="a&#38;lt;b&#x26;amp;c&amp;&amp;d&">',
     '<a href="&#x2F;p&#47;&#233;&#xE9;&#x1F600;&#128512;&#0;&#xD800;&#x110000;">',
     '<a href="mailto:&#109;&#X6D;?a=1&b=2&c;&apos;&quot;&#;&#x;&#39;">',
+    '<a href="&nbsp;&eacute;&eacute&amp b&ampx=1&notit;&notin;&copy2&NotEqualTilde;&bogus;&x">',
+    '<a href="&#00000038;&#x0000026;&#128;&#x96;&#13;&#1;&#xFFFF;&#xFDD0;&#99999999999;&#xFFFFFFFF;&#38">',
+    '<a href="&#xZ;&#0000;&lt&gt&LT&AMP&quot&aelig&AElig;&fjlig;&acE;">',
     '<a\nhref="x"\n>',
     '<a href="x"><a href="y">',
     "<a class=c href=/p/q?x=1&y=2 >",
@@ -161,7 +164,7 @@ def test_newest_link_chooses_as_latest_snapshot_does(spark):
     rows = newest_link(
         spark.createDataFrame(links, "site int, pos int, href string"), "h/", "site"
     ).collect()
-    expected = {i: f"h/{link}" for i, (_, link) in enumerate(SNAPSHOTS) if link}
+    expected = {i: link and f"h/{link}" for i, (links, link) in enumerate(SNAPSHOTS) if links}
     assert {r.site: r.snapshot_url for r in rows} == expected
 
 
