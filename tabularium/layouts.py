@@ -8,18 +8,121 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 # The fields of an establishment file, in file order.
-ESTABLISHMENT_FIELDS = """
-    cnpj_basico cnpj_ordem cnpj_dv cd_matriz_filial nome_fantasia
-    cd_situacao_cadastral data_situacao_cadastral cd_motivo_situacao_cadastral
-    nome_cidade_exterior pais data_inicio_atividades
-    cd_cnae_fiscal cd_cnae_fiscal_secundario
-    tipo_logradouro logradouro numero complemento bairro cep uf municipio
-    ddd1 telefone1 ddd2 telefone2 ddd_fax fax correio_eletronico
-    cd_situacao_especial data_situacao_especial
-""".split()
+ESTABLISHMENT_FIELDS = [
+    "cnpj_basico",
+    "cnpj_ordem",
+    "cnpj_dv",
+    "cd_matriz_filial",
+    "nome_fantasia",
+    "cd_situacao_cadastral",
+    "data_situacao_cadastral",
+    "cd_motivo_situacao_cadastral",
+    "nome_cidade_exterior",
+    "pais",
+    "data_inicio_atividades",
+    "cd_cnae_fiscal",
+    "cd_cnae_fiscal_secundario",
+    "tipo_logradouro",
+    "logradouro",
+    "numero",
+    "complemento",
+    "bairro",
+    "cep",
+    "uf",
+    "municipio",
+    "ddd1",
+    "telefone1",
+    "ddd2",
+    "telefone2",
+    "ddd_fax",
+    "fax",
+    "correio_eletronico",
+    "cd_situacao_especial",
+    "data_situacao_especial",
+]
+
+# The columns of the silver table, in order.
+SILVER_COLUMNS = [
+    "cnpj_basico",
+    "cnpj_ordem",
+    "cnpj_dv",
+    "cnpj",
+    "cd_matriz_filial",
+    "matriz_filial",
+    "nome_fantasia",
+    "cd_situacao_cadastral",
+    "situacao_cadastral",
+    "data_situacao_cadastral",
+    "cd_motivo_situacao_cadastral",
+    "motivo_situacao_cadastral",
+    "nome_cidade_exterior",
+    "pais",
+    "data_inicio_atividades",
+    "cd_cnae_fiscal",
+    "cnae_fiscal",
+    "cd_cnae_fiscal_secundario",
+    "tipo_logradouro",
+    "logradouro",
+    "numero",
+    "complemento",
+    "bairro",
+    "cep",
+    "uf",
+    "municipio",
+    "ddd1",
+    "telefone1",
+    "ddd2",
+    "telefone2",
+    "ddd_fax",
+    "fax",
+    "correio_eletronico",
+    "cd_situacao_especial",
+    "data_situacao_especial",
+]
+
+# The columns of the silver table in the documented layout, in order.
+DOCUMENTED_COLUMNS = [
+    "cnpj_basico",
+    "cnpj_ordem",
+    "cnpj_dv",
+    "cnpj",
+    "cd_matriz_filial",
+    "matriz_filial",
+    "nome_fantasia",
+    "cd_situacao_cadastral",
+    "situacao_cadastral",
+    "data_situacao_cadastral",
+    "cd_motivo_situacao_cadastral",
+    "motivo_situacao_cadastral",
+    "nome_cidade_exterior",
+    "cd_pais",
+    "pais",
+    "data_inicio_atividades",
+    "cd_cnae_fiscal",
+    "cnae_fiscal",
+    "cd_cnae_fiscal_secundario",
+    "tipo_logradouro",
+    "logradouro",
+    "numero",
+    "complemento",
+    "bairro",
+    "cep",
+    "uf",
+    "cd_municipio",
+    "municipio",
+    "ddd1",
+    "telefone1",
+    "ddd2",
+    "telefone2",
+    "ddd_fax",
+    "fax",
+    "correio_eletronico",
+    "cd_situacao_especial",
+    "data_situacao_especial",
+]
 
 # The only fields that are not text.
 INTEGER_FIELDS = {"cd_matriz_filial", "numero"}
@@ -61,36 +164,15 @@ ARCHIVE_TAIL_PATTERN = r"\d*\.zip$"
 FIELD_SEPARATOR = ";"
 
 
-def _text_fields(names: list[str]) -> StructType:
-    return StructType(
-        [StructField(n, IntegerType() if n in INTEGER_FIELDS else StringType()) for n in names]
-    )
+def _fields(names: list[str], dates: tuple[str, ...] = ()) -> StructType:
+    kinds = dict.fromkeys(INTEGER_FIELDS, IntegerType()) | dict.fromkeys(dates, DateType())
+    return StructType([StructField(name, kinds.get(name, StringType())) for name in names])
 
 
-ESTABLISHMENT = _text_fields(ESTABLISHMENT_FIELDS)
-CODE_TABLE = _text_fields(["codigo", "descricao"])
-
-
-def _silver_columns() -> list[str]:
-    columns = []
-    for name in ESTABLISHMENT_FIELDS:
-        columns.append(name)
-        if name in DERIVED_AFTER:
-            columns.append(DERIVED_AFTER[name])
-    return columns
-
-
-def _documented_columns() -> list[str]:
-    columns = []
-    for name in SILVER_COLUMNS:
-        if name in DOCUMENTED_CODES:
-            columns.append(DOCUMENTED_CODES[name])
-        columns.append(name)
-    return columns
-
-
-SILVER_COLUMNS = _silver_columns()
-DOCUMENTED_COLUMNS = _documented_columns()
+ESTABLISHMENT = _fields(ESTABLISHMENT_FIELDS)
+CODE_TABLE = _fields(["codigo", "descricao"])
+SILVER = _fields(SILVER_COLUMNS, DATE_FIELDS)
+DOCUMENTED_SILVER = _fields(DOCUMENTED_COLUMNS, DATE_FIELDS)
 
 
 @dataclass(frozen=True)

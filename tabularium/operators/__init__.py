@@ -1,10 +1,9 @@
 from tabularium.operators.filters import filter_activity, wanted_files
 from tabularium.operators.listings import extract_links, latest_snapshot, newest_link
 from tabularium.operators.loads import is_complete, missing_files
-from tabularium.operators.lookup import cut_codes, hot_codes, lookup, used_codes
+from tabularium.operators.lookup import hot_codes, lookup, used_codes
 
 __all__ = [
-    "cut_codes",
     "extract_links",
     "filter_activity",
     "hot_codes",

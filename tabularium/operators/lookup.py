@@ -22,29 +22,27 @@ def lookup(
     No match or a NULL key gives a NULL label; a code listed twice gives two rows.
 
     No join hint is set: Spark broadcasts ``codes`` when its size estimate is under the
-    session's threshold, and otherwise shuffles. For the shuffled case ``hot`` names the
-    codes (None for NULL) that hold a large share of ``facts``, see ``hot_codes``. Their rows are
-    spread over ``slices`` join keys, and only the few hot rows of ``codes`` are repeated.
+    session's threshold, and otherwise shuffles. For the shuffled case rows with a NULL key, which
+    match nothing, are spread over ``slices`` join keys, and so are those of the codes in ``hot``, which
+    hold a large share of ``facts`` (see ``hot_codes``); only the few hot rows of ``codes`` are repeated.
     """
-    hot = list(dict.fromkeys(hot))
+    hot = [code for code in dict.fromkeys(hot) if code is not None]
     described = codes.select(F.col("codigo").alias(key), F.col("descricao").alias(label))
-    if not hot:
-        return facts.join(described, key, "left").select(*facts.columns, label)
-
     # Content and input partition give each row a slice that a retried task gives it again.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(slices))
-    is_hot = _is_one_of(F.col(key), hot)
-    sliced = facts.withColumn(_SLICE, F.when(is_hot, spread.cast("int")).otherwise(F.lit(0)))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(slices)).cast("int")
+    is_spread = F.col(key).isNull() | _is_one_of(F.col(key), hot)
+    sliced = facts.withColumn(_SLICE, F.when(is_spread, spread).otherwise(F.lit(0)))
     every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
+    # An array even without hot codes: as a constant, the slice would be no join key.
     repeated = described.withColumn(
-        _SLICE, F.explode(F.when(is_hot, every_slice).otherwise(F.array(F.lit(0))))
+        _SLICE,
+        F.explode(F.when(_is_one_of(F.col(key), hot), every_slice).otherwise(F.array(F.lit(0)))),
     )
     return sliced.join(repeated, [key, _SLICE], "left").select(*facts.columns, label)
 
 
-def _is_one_of(code: Column, values: list[str | None]) -> Column:
-    match = F.coalesce(code.isin([v for v in values if v is not None]), F.lit(False))
-    return match | code.isNull() if None in values else match
+def _is_one_of(code: Column, values: list[str]) -> Column:
+    return F.coalesce(code.isin(values), F.lit(False))
 
 
 def hot_codes(facts: DataFrame, key: str, share: float = 0.01) -> list[str | None]:
@@ -52,8 +50,11 @@ def hot_codes(facts: DataFrame, key: str, share: float = 0.01) -> list[str | Non
 
     One aggregate over one column with a mergeable sketch, so nothing is shuffled by key, and the
     answer has at most ``1 / share`` codes. It is an estimate, and it only steers how rows are
-    spread; the result of the lookup does not depend on it.
+    spread; the result of the lookup does not depend on it. The sketch's size bounds ``share``: it is
+    from 0.0001 to 1.
     """
+    if not 1e-4 <= share <= 1:
+        raise ValueError(f"share must be from 0.0001 to 1, not {share}")
     most = max(1, round(1 / share))
     sketch = F.expr(f"approx_top_k(`{key}`, {most}, {min(1_000_000, most * 100)})")
     total, top = facts.agg(F.count("*"), sketch).first()
@@ -63,24 +64,8 @@ def hot_codes(facts: DataFrame, key: str, share: float = 0.01) -> list[str | Non
 def used_codes(facts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     """The rows of ``codes`` whose code occurs in ``facts``; all a lookup needs.
 
-    Only distinct keys are shuffled, one per task and key.
+    For a large code table of which few codes are in use. It reads one column of ``facts`` once more, and
+    shuffles distinct keys only, one per task and key.
     """
     used = facts.select(F.col(key).alias("codigo")).distinct()
     return codes.join(used, "codigo", "left_semi")
-
-
-def cut_codes(
-    facts: DataFrame, codes: DataFrame, key: str, folder: str, above: int = 10 << 20
-) -> DataFrame:
-    """``codes`` as they are, or if they hold more than ``above`` bytes, those in use.
-
-    The latter are written to ``folder`` and read again. A large code table of which few codes are
-    in use is then small enough for Spark to broadcast, at the price of one more pass over one
-    column of ``facts``, where the lookup would have shuffled all of them.
-    """
-    text = F.octet_length("codigo") + F.coalesce(F.octet_length("descricao"), F.lit(0))
-    held = codes.agg(F.sum(text)).first()[0] or 0
-    if held <= above:
-        return codes
-    used_codes(facts, codes, key).write.mode("overwrite").parquet(folder)
-    return codes.sparkSession.read.schema(codes.schema).parquet(folder)

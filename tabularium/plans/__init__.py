@@ -1,4 +1,17 @@
 from tabularium.plans.manifest import build_manifest
-from tabularium.plans.silver import build_silver, derive, refresh_silver, silver_from_folder
+from tabularium.plans.silver import (
+    CODE_COLUMNS,
+    build_silver,
+    derive,
+    refresh_silver,
+    silver_from_folder,
+)
 
-__all__ = ["build_manifest", "build_silver", "derive", "refresh_silver", "silver_from_folder"]
+__all__ = [
+    "CODE_COLUMNS",
+    "build_manifest",
+    "build_silver",
+    "derive",
+    "refresh_silver",
+    "silver_from_folder",
+]

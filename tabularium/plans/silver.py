@@ -22,7 +22,7 @@ from tabularium.layouts import (
 )
 from tabularium.operators.filters import filter_activity
 from tabularium.operators.loads import is_complete
-from tabularium.operators.lookup import cut_codes, lookup
+from tabularium.operators.lookup import lookup
 from tabularium.sources.archives import extract_archives
 from tabularium.sources.delimited import read_entity
 from tabularium.sources.files import list_files
@@ -66,6 +66,7 @@ def build_silver(
 
     ``only_activities`` keeps the establishments with one of these main activities. ``hot`` is for
     code tables too large to broadcast: the codes, by column, that hold a large share of the rows.
+    Rows without a code need not be named.
     """
     if (countries is None) != (municipalities is None):
         raise ValueError("the documented layout needs both countries and municipalities")
@@ -101,26 +102,17 @@ def silver_from_folder(
     documented: bool = False,
     encodings: Mapping[str, str] | None = None,
     escape: str = "\\",
-    cut: str | None = None,
-    cut_above: int = 10 << 20,
     **options,
 ) -> DataFrame:
-    """``build_silver`` over the entity folders below ``root``.
+    """``build_silver`` over the entity folders below ``root``, without running a job.
 
-    ``encodings``, by folder name, replace the entities' own. With a folder to ``cut`` in, code
-    tables of more than ``cut_above`` bytes are first cut down to the codes in use, see
-    ``cut_codes``; so the establishments are not shuffled for them.
+    ``encodings``, by folder name, replace the entities' own.
     """
     entities = silver_entities(documented)
     facts, *codes = (
         read_entity(spark, root, entity, (encodings or {}).get(entity.folder), escape=escape)
         for entity in entities
     )
-    if cut is not None:
-        codes = [
-            cut_codes(facts, table, CODE_COLUMNS[entity], f"{cut}/{entity.folder}", cut_above)
-            for entity, table in zip(entities[1:], codes, strict=True)
-        ]
     return build_silver(facts, *codes, **options)
 
 
@@ -142,5 +134,4 @@ def refresh_silver(
         raise FileNotFoundError(f"{archives} lacks files of the manifest")
     names = [entity.folder for entity in silver_entities(documented)]
     extract_archives(spark, archives, extracted, names)
-    options.setdefault("cut", f"{extracted}/_codes")
     write_silver(silver_from_folder(spark, extracted, documented, **options), silver, by)

@@ -7,7 +7,7 @@ from tabularium.sources.archives import (
 )
 from tabularium.sources.delimited import read_delimited, read_entity
 from tabularium.sources.files import list_files, read_pages
-from tabularium.sources.silver import write_silver
+from tabularium.sources.silver import read_silver, write_silver
 
 __all__ = [
     "archived_lines",
@@ -19,5 +19,6 @@ __all__ = [
     "read_entity",
     "read_members",
     "read_pages",
+    "read_silver",
     "write_silver",
 ]

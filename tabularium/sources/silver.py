@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from tabularium.layouts import DOCUMENTED_SILVER, SILVER
 
 
 def write_silver(silver: DataFrame, path: str, by: str | None = None) -> None:
@@ -12,9 +14,18 @@ def write_silver(silver: DataFrame, path: str, by: str | None = None) -> None:
     ``uf``, the rows are first brought together by that column; the rebalance lets Spark split a
     value that holds a large share of the rows over several tasks, and join small ones.
 
-    Choose a column that is not made of digits: Spark reads such partition names back as numbers.
+    Read such a table with ``read_silver``: Spark moves the column to the end and takes codes made
+    of digits for numbers unless it is told the schema.
     """
+    if by is not None and by not in silver.columns:
+        raise ValueError(f"no column {by}")
     if by is None:
         silver.write.mode("overwrite").parquet(path)
     else:
         silver.hint("rebalance", by).write.partitionBy(by).mode("overwrite").parquet(path)
+
+
+def read_silver(spark: SparkSession, path: str, documented: bool = False) -> DataFrame:
+    """The silver table, its columns in their order and of their types, however it was partitioned."""
+    schema = DOCUMENTED_SILVER if documented else SILVER
+    return spark.read.schema(schema).parquet(path).select(schema.names)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tabularium.operators import cut_codes, filter_activity, hot_codes, lookup, used_codes
+from tabularium.operators import filter_activity, hot_codes, lookup, used_codes
 
 FACTS = [(1, "00"), (2, "0"), (3, None), (4, "99"), (5, "00"), (6, None)]
 CODES = [("00", "NONE"), ("01", "ONE"), (None, "NULL?")]
@@ -134,16 +134,25 @@ def test_used_codes(spark):
     ]
 
 
-def test_codes_are_cut_only_if_large(spark, tmp_path):
+def test_used_codes_are_all_that_a_lookup_needs(spark):
     facts, codes = tables(spark)
-    assert cut_codes(facts, codes, "code", str(tmp_path / "small")).count() == len(CODES)
-    assert not (tmp_path / "small").exists()
-    cut = cut_codes(facts, codes, "code", str(tmp_path / "large"), above=0)
-    assert cut.columns == codes.columns
-    assert cut.count() == 1
-    assert found(lookup(facts, cut, "code", "label")) == EXPECTED
-    empty = codes.limit(0)
-    assert cut_codes(facts, empty, "code", str(tmp_path / "none"), above=0).count() == 0
+    used = used_codes(facts, codes, "code")
+    assert used.columns == codes.columns and used.count() == 1
+    assert found(lookup(facts, used, "code", "label")) == EXPECTED
+    assert used_codes(facts, codes.limit(0), "code").count() == 0
+
+
+def test_rows_without_a_code_are_spread_unasked(spark, shuffled):
+    codes = spark.createDataFrame([("2", "two")], "codigo string, descricao string")
+    joined = lookup(skewed(spark).where("code is null or code = '2'"), codes, "code", "label")
+    rows = joined.groupBy("label", F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in rows) == 30_001
+    assert max(r["count"] for r in rows) < 15_000
+
+
+def test_shares_out_of_range_are_refused(spark):
+    with pytest.raises(ValueError):
+        hot_codes(skewed(spark), "code", 1e-6)
 
 
 def test_filter_activity(spark):
