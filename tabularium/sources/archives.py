@@ -9,9 +9,11 @@ are done by Spark.
 from __future__ import annotations
 
 import codecs
+import heapq
 import sys
 import zipfile
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,6 +25,7 @@ from tabularium.layouts import FIELD_SEPARATOR, Entity
 from tabularium.sources.files import list_files
 
 BLOCK_BYTES = 1 << 20
+LINE_BYTES = 256 << 20
 # A line of nothing else is blank to the reader of delimited files.
 _BLANKS = "".join(map(chr, range(33)))
 
@@ -50,12 +53,13 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             with open_file(row["archive"]) as source, zipfile.ZipFile(source) as archive:
-                names = [i.filename for i in archive.infolist() if not i.is_dir()]
+                members = [i for i in archive.infolist() if not i.is_dir()]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "archive": pa.array([row["archive"]] * len(names), pa.string()),
-                    "entity": pa.array([row["entity"]] * len(names), pa.string()),
-                    "member": pa.array(names, pa.string()),
+                    "archive": pa.array([row["archive"]] * len(members), pa.string()),
+                    "entity": pa.array([row["entity"]] * len(members), pa.string()),
+                    "member": pa.array([i.filename for i in members], pa.string()),
+                    "bytes": pa.array([i.file_size for i in members], pa.int64()),
                 }
             )
 
@@ -81,19 +85,30 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _whole_lines(stream) -> Iterator[bytes]:
     """Cut a byte stream into blocks at line breaks, leaving out the break at each cut.
 
-    A byte order mark, which a reader would drop from the start of a file, is dropped here: after
-    extraction the member may no longer start one.
+    Carriage returns end lines, as they do for Spark's reader; of a pair of both the line feed is the
+    break. A byte order mark, which a reader would drop from the start of a file, is dropped here: after
+    extraction the member may no longer start one. A line of more than ``LINE_BYTES`` is an error:
+    it could not be cut without becoming two.
     """
     pending: list[bytes] = []
+    held = 0
     chunk = stream.read(BLOCK_BYTES).removeprefix(codecs.BOM_UTF8)
     while chunk:
-        head, line_break, tail = chunk.rpartition(b"\n")
-        if line_break:
-            yield b"".join([*pending, head])
-            pending = [tail] if tail else []
-        else:
-            pending.append(chunk)
-        chunk = stream.read(BLOCK_BYTES)
+        following = stream.read(BLOCK_BYTES)
+        # The last byte may be the first of a pair; the pair is then cut as one.
+        if chunk.endswith(b"\r") and following.startswith(b"\n"):
+            chunk, following = chunk + b"\n", following[1:] or stream.read(BLOCK_BYTES)
+        at = max(chunk.rfind(b"\n"), chunk.rfind(b"\r"))
+        if at >= 0:
+            yield b"".join([*pending, chunk[:at]])
+            pending, held = [], 0
+        tail = chunk[at + 1 :]
+        if tail:
+            pending.append(tail)
+            held += len(tail)
+        if held > LINE_BYTES:
+            raise ValueError(f"a line is longer than {LINE_BYTES} bytes")
+        chunk = following
     if pending:
         yield b"".join(pending)
 
@@ -117,19 +132,37 @@ def read_members(
 ) -> DataFrame:
     """The members of a folder's archives, of all or some entities, as blocks of whole lines.
 
-    Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. Only names and archive
-    directories are read before the members are dealt out evenly, by name, over ``tasks``. That
-    number is given to Spark because the list is tiny and would otherwise be merged into one task.
+    Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. The archives' directories are
+    read once, in parallel; the list of members, names and sizes only, comes to the driver as file
+    listings do, and is dealt out over ``tasks``, the largest first, each to the task with the least.
     """
     archives = list_archives(spark, folder, entities, glob).select("archive", "entity")
-    members = archives.mapInArrow(_members, "archive string, entity string, member string")
+    found = archives.mapInArrow(_members, "archive string, entity string, member string, bytes bigint")
     if tasks is None:
         shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
         tasks = max(4 * spark.sparkContext.defaultParallelism, shuffle)
-    return members.repartitionByRange(tasks, "archive", "member").mapInArrow(
-        _blocks,
-        "archive string, entity string, member string, block_no bigint, block binary",
+    members = spark.createDataFrame(
+        _dealt(found.collect(), tasks), "archive string, entity string, member string, task int"
     )
+    return (
+        members.repartitionByRange(tasks, "task")
+        .drop("task")
+        .mapInArrow(
+            _blocks,
+            "archive string, entity string, member string, block_no bigint, block binary",
+        )
+    )
+
+
+def _dealt(members: list, tasks: int) -> list[tuple[str, str, str, int]]:
+    """Members with the task that reads each; the order of rows does not matter."""
+    load = [(0, task) for task in range(tasks)]
+    dealt = []
+    for row in sorted(members, key=lambda m: (-m.bytes, m.archive, m.member)):
+        held, task = heapq.heappop(load)
+        heapq.heappush(load, (held + row.bytes + 1, task))
+        dealt.append((row.archive, row.entity, row.member, task))
+    return dealt
 
 
 def _text(block: Column, encoding: str) -> Column:
@@ -175,8 +208,8 @@ def extract_archives(
     Two archives of an entity that hold a member of the same name are both kept.
 
     Without ``entities`` everything is extracted in one job, for which Spark sorts each task's
-    blocks by entity. With a list, each entity is its own job, without that sort; an entity without
-    archives is an error.
+    blocks by entity. With a list, each entity is its own job, without that sort, and all run at once, so
+    that small ones do not leave the cluster idle; an entity without archives is an error.
     """
     if entities is None:
         members = read_members(spark, folder, **options)
@@ -188,7 +221,12 @@ def extract_archives(
     found = list_archives(spark, folder, entities).select("entity").distinct().collect()
     if absent := set(entities) - {row.entity for row in found}:
         raise FileNotFoundError(f"no archive of {', '.join(sorted(absent))} in {folder}")
-    for entity in entities:
+
+    def extract(entity: str) -> None:
         members = read_members(spark, folder, [entity], **options)
         text = members.select(F.col("block").cast("string").alias("value"))
         text.write.mode("overwrite").text(f"{target}/entity={entity}")
+
+    with ThreadPoolExecutor(max(1, len(entities))) as jobs:
+        for _ in jobs.map(extract, entities):
+            pass

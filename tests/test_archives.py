@@ -1,6 +1,7 @@
 """Archives with awkward members."""
 
 import zipfile
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, strategies as st
@@ -14,7 +15,7 @@ from tabularium.sources import (
     read_members,
 )
 from tabularium.sources import archives as module
-from tabularium.sources.archives import BLOCK_BYTES, _whole_lines, locate
+from tabularium.sources.archives import BLOCK_BYTES, _dealt, _whole_lines, locate
 
 
 @pytest.fixture
@@ -155,6 +156,27 @@ def test_blocks_cut_at_line_breaks_only(content):
     assert written == content + (b"" if content.endswith(b"\n") or not content else b"\n")
 
 
+def test_a_member_of_carriage_returns_is_cut_as_well():
+    content = b"line\r" * (BLOCK_BYTES // 2)
+    blocks = list(_whole_lines(Stream(content)))
+    assert max(map(len, blocks)) <= BLOCK_BYTES
+    assert b"\r".join(blocks) + b"\r" == content
+
+
+def test_a_line_that_is_too_long_is_an_error(monkeypatch):
+    monkeypatch.setattr(module, "LINE_BYTES", 2 * BLOCK_BYTES)
+    with pytest.raises(ValueError):
+        list(_whole_lines(Stream(b"x" * (4 * BLOCK_BYTES))))
+
+
+def test_members_are_dealt_by_size():
+    row = lambda name, size: SimpleNamespace(archive="a", entity="e", member=name, bytes=size)
+    dealt = _dealt([row("big", 100), *(row(f"s{k}", 10) for k in range(9)), row("empty", 0)], 3)
+    load = {task: sorted(m for _, _, m, t in dealt if t == task) for task in range(3)}
+    assert ["big"] in load.values() and len(dealt) == 11
+    assert max(len(members) for members in load.values()) <= 6
+
+
 @given(st.lists(st.sampled_from([b"a", b"\n", b"\r\n", b";x", b"\xc3\x89"])), st.integers(1, 7))
 def test_blocks_of_any_size_keep_every_byte(pieces, size):
     content = b"".join(pieces)
