@@ -5,6 +5,7 @@ Each SQL text runs unchanged in Spark and in the oracle; ``{orders}`` and the li
 
 from __future__ import annotations
 
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator
@@ -27,12 +28,19 @@ from tabularium.sources.archives import locate
 
 _ORDER_DATE = "replace(cast(cast(o.o_orderdate as date) as string), '-', '')"
 
+
+def _padded(number: str, width: int, digit: int = 0) -> str:
+    """A number as text of at least so many digits; longer ones are not cut, so keys stay apart."""
+    text = f"cast({number} as string)"
+    return f"case when length({text}) < {width} then lpad({text}, {width}, '{digit}') else {text} end"
+
+
 # Field expressions over orders o (and customer c for the trade name).
 _ESTABLISHMENT = {
-    "cnpj_basico": "lpad(cast(o.o_custkey as string), 8, '0')",
-    "cnpj_ordem": "lpad(cast(o.o_orderkey % 10000 as string), 4, '0')",
+    "cnpj_basico": _padded("o.o_custkey", 8),
+    "cnpj_ordem": _padded("o.o_orderkey % 10000", 4),
     "cnpj_dv": "case when o.o_orderkey % 17 = 0 then null"
-    " else lpad(cast(o.o_orderkey % 100 as string), 2, '0') end",
+    f" else {_padded('o.o_orderkey % 100', 2)} end",
     "cd_matriz_filial": "cast(case when o.o_orderkey % 7 = 0 then null"
     " else o.o_orderkey % 2 + 1 end as int)",
     "nome_fantasia": "c.c_name",
@@ -40,12 +48,12 @@ _ESTABLISHMENT = {
     " when 2 then '03' when 3 then '04' when 4 then '08' else null end",
     "data_situacao_cadastral": "case when o.o_orderkey % 11 = 0 then '00000000'"
     f" when o.o_orderkey % 13 = 0 then '0' else {_ORDER_DATE} end",
-    "cd_motivo_situacao_cadastral": "lpad(cast(o.o_orderkey % 30 as string), 2, '0')",
+    "cd_motivo_situacao_cadastral": _padded("o.o_orderkey % 30", 2),
     "nome_cidade_exterior": "case when o.o_orderkey % 50 = 0 then 'LISBOA' else null end",
     "pais": "case when o.o_orderkey % 5 = 0"
-    " then lpad(cast(o.o_orderkey % 7 as string), 3, '0') else null end",
+    f" then {_padded('o.o_orderkey % 7', 3)} else null end",
     "data_inicio_atividades": _ORDER_DATE,
-    "cd_cnae_fiscal": "lpad(cast(o.o_orderkey % 2500 as string), 7, '0')",
+    "cd_cnae_fiscal": _padded("o.o_orderkey % 2500", 7),
     "cd_cnae_fiscal_secundario": "case when o.o_orderkey % 3 = 0"
     " then '0000001,0000002' else null end",
     "tipo_logradouro": "case cast(o.o_orderkey % 3 as int) when 0 then 'RUA'"
@@ -55,17 +63,17 @@ _ESTABLISHMENT = {
     " else cast(o.o_orderkey % 999 as string) end",
     "complemento": "case when o.o_orderkey % 4 = 0 then 'ANDAR 4; SALA 40' else null end",
     "bairro": "'CENTRO'",
-    "cep": "lpad(cast(o.o_orderkey as string), 8, '0')",
+    "cep": _padded("o.o_orderkey", 8),
     "uf": "case cast(o.o_orderkey % 3 as int) when 0 then 'BA' when 1 then 'SP' else 'RJ' end",
-    "municipio": "lpad(cast(o.o_orderkey % 120 as string), 4, '0')",
-    "ddd1": "lpad(cast(o.o_orderkey % 90 + 10 as string), 2, '0')",
-    "telefone1": "lpad(cast(o.o_orderkey as string), 8, '3')",
+    "municipio": _padded("o.o_orderkey % 120", 4),
+    "ddd1": _padded("o.o_orderkey % 90 + 10", 2),
+    "telefone1": _padded("o.o_orderkey", 8, 3),
     "ddd2": "case when o.o_orderkey % 9 = 0 then '24' else null end",
     "telefone2": "case when o.o_orderkey % 9 = 0"
-    " then lpad(cast(o.o_custkey as string), 8, '2') else null end",
+    f" then {_padded('o.o_custkey', 8, 2)} else null end",
     "ddd_fax": "case when o.o_orderkey % 10 = 0 then '24' else null end",
     "fax": "case when o.o_orderkey % 10 = 0"
-    " then lpad(cast(o.o_custkey as string), 8, '9') else null end",
+    f" then {_padded('o.o_custkey', 8, 9)} else null end",
     "correio_eletronico": "'C' || cast(o.o_custkey as string) || '@MAIL.COM'",
     "cd_situacao_especial": "case when o.o_orderkey % 200 = 0 then 'FALIDO' else null end",
     "data_situacao_especial": f"case when o.o_orderkey % 200 = 0 then {_ORDER_DATE}"
@@ -86,17 +94,17 @@ def establishments_sql(*fields: str) -> str:
 
 
 REASONS_SQL = (
-    "select lpad(cast(n_nationkey as string), 2, '0') as codigo, n_name as descricao from {nation}"
+    f"select {_padded('n_nationkey', 2)} as codigo, 'RAZÃO ' || n_name as descricao from {{nation}}"
 )
 ACTIVITIES_SQL = (
-    "select lpad(cast(p_partkey as string), 7, '0') as codigo,"
+    f"select {_padded('p_partkey', 7)} as codigo,"
     " 'DESCRIÇÃO ' || p_name as descricao from {part}"
 )
 COUNTRIES_SQL = (
-    "select lpad(cast(r_regionkey as string), 3, '0') as codigo, r_name as descricao from {region}"
+    f"select {_padded('r_regionkey', 3)} as codigo, r_name as descricao from {{region}}"
 )
 MUNICIPALITIES_SQL = (
-    "select lpad(cast(s_suppkey as string), 4, '0') as codigo, s_name as descricao from {supplier}"
+    f"select {_padded('s_suppkey', 4)} as codigo, s_name as descricao from {{supplier}}"
 )
 
 # Index pages: the order's month and its neighbours as folders in changing order, two folders of one
@@ -117,9 +125,16 @@ from (select o_orderkey as page_id,
   from {orders}) t
 """
 
-# Saved snapshot pages, many for one month, with wanted and unwanted files by order.
+# Index pages of many dates by site, so that most of the months they list are not the newest.
+SITE_PAGES_SQL = f"""
+select o.o_custkey % 100 as site, p.html
+from ({INDEX_PAGES_SQL}) p join {{orders}} o on p.page_id = o.o_orderkey
+"""
+
+# Saved snapshot pages, many for one month of a site, with wanted and unwanted files by order.
 SNAPSHOT_PAGES_SQL = """
-select 'https://h/' || substr(cast(cast(o_orderdate as date) as string), 1, 7) || '/' as url,
+select 'https://h/' || cast(o_custkey % 100 as string) || '/' ||
+  substr(cast(cast(o_orderdate as date) + 40 as string), 1, 7) || '/' as url,
   '<a href="Cnaes.zip">x</a><a href="leia.txt">x</a><a href="Estabelecimentos' ||
   cast(o_orderkey as string) || '.zip">x</a><a href="Empresas0.zip">x</a>' as html
 from {orders}
@@ -182,7 +197,7 @@ def write_delimited(df: DataFrame, folder: str, encoding: str = "UTF-8") -> None
 
 
 def write_archives(df: DataFrame, folder: str, entity: str, encoding: str = "UTF-8") -> None:
-    """One archive per partition, ``<entity><number>.zip`` with one member of delimited lines."""
+    """One archive per partition, ``<entity><number>.zip``, with members of one to four shares of its lines."""
     line = F.to_csv(F.struct(*df.columns), {"sep": FIELD_SEPARATOR, "quoteAll": "true"})
 
     def zip_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,11 +211,13 @@ def write_archives(df: DataFrame, folder: str, entity: str, encoding: str = "UTF
         with (
             system.open_output_stream(unfinished) as sink,
             zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
-            archive.open(f"{name}.csv", "w", force_zip64=True) as member,
         ):
-            for batch in batches:
+            for number, batch in enumerate(batches):
                 lines = batch.column("line").to_pylist()
-                member.write("".join(f"{text}\n" for text in lines).encode(encoding))
+                cuts = [0, len(lines) // 7, 3 * len(lines) // 7, len(lines)]
+                for part, (start, end) in enumerate(itertools.pairwise(cuts)):
+                    text = "".join(f"{line}\n" for line in lines[start:end])
+                    archive.writestr(f"{name}.{number}.{part}.csv", text.encode(encoding))
                 rows += len(lines)
         system.move(unfinished, f"{root}/{name}")
         yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
@@ -247,7 +264,31 @@ def archive_folder(spark: SparkSession, sf_dir: str) -> str:
 
     def write(root: str) -> None:
         for entity in (ESTABLISHMENTS, REASONS, ACTIVITIES):
-            df = in_spark(spark, sf_dir, TABLES[entity])
+            df = in_spark(spark, sf_dir, TABLES[entity]).repartition(4)
             write_archives(df, root, entity.folder, entity.encoding)
 
     return written_once(spark, "archives", sf_dir, write)
+
+
+def page_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The saved pages as files, ``<page_id>.html``."""
+
+    def write(root: str) -> None:
+        def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            system, folder = locate(root)
+            system.create_dir(folder, recursive=True)
+            for batch in batches:
+                for page in batch.to_pylist():
+                    with system.open_output_stream(f"{folder}/{page['page_id']}.html") as file:
+                        file.write(page["html"].encode())
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+        pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
+        pages.mapInArrow(save, "n bigint").agg(F.sum("n")).collect()
+
+    return written_once(spark, "pages", sf_dir, write)
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """Small tables are one split, pages made of them should not be one task."""
+    return pages.repartition(pages.sparkSession.sparkContext.defaultParallelism)

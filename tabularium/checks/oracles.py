@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tabularium.checks import inputs
 from tabularium.checks.queries import CHOSEN_ACTIVITIES, INDEX_BASE
+from tabularium.layouts import ESTABLISHMENT_FIELDS
 
 _CHOSEN = ", ".join(f"'{code}'" for code in CHOSEN_ACTIVITIES)
 
@@ -33,6 +34,11 @@ def _legacy(field: str) -> str:
     )
 
 
+def _line(*fields: str) -> str:
+    """A delimited line, every field quoted, missing ones as well."""
+    return " || ';' || ".join(f"""'"' || coalesce(cast({name} as varchar), '') || '"'""" for name in fields)
+
+
 _STATUS = """case f1.cd_situacao_cadastral when '01' then 'Nula' when '02' then 'Ativa'
     when '03' then 'Suspensa' when '04' then 'Inapta' else 'Baixada' end"""
 _BRANCH = "case when f1.cd_matriz_filial = 1 then 'Matriz' else 'Filial' end"
@@ -109,20 +115,23 @@ ORACLES: dict[str, str] = {
     "flagship_silver": _with(**_SILVER_PARTS) + _SILVER_35,
     "silver_documented": _with(**_DOCUMENTED_PARTS) + _SILVER_37,
     "silver_cut_codes": _with(**_DOCUMENTED_PARTS) + _SILVER_37,
+    "silver_shuffled_codes": _with(**_DOCUMENTED_PARTS) + _SILVER_37,
     "silver_filtered": f"{_with(**_SILVER_PARTS)} {_SILVER_35} where cd_cnae_fiscal in ({_CHOSEN})",
     "archive_to_silver": _with(**_SILVER_PARTS) + _SILVER_35,
     "csv_fact_read": _facts() + _TYPED,
-    "csv_code_table": inputs.in_oracle(inputs.MUNICIPALITIES_SQL),
+    "csv_code_table": inputs.in_oracle(inputs.REASONS_SQL),
     "csv_code_table_latin1": inputs.in_oracle(inputs.ACTIVITIES_SQL),
     "csv_multi_file": _facts() + _TYPED,
     "csv_permissive_int": _facts("cep", "cd_matriz_filial", "numero") + _TYPED,
     "parquet_overwrite": _facts() + _TYPED,
     "parquet_by_state": _with(**_SILVER_PARTS) + _SILVER_35,
+    "parquet_by_code": _with(**_SILVER_PARTS) + _SILVER_35,
     "archive_expand": _with(r=inputs.REASONS_SQL, a=inputs.ACTIVITIES_SQL)
     + "select 'Motivos' as entity, * from r union all select 'Cnaes' as entity, * from a",
-    "archive_extract": """select 'Estabelecimentos' as entity, count(*) as n from orders
-        union all select 'Motivos', count(*) from nation
-        union all select 'Cnaes', count(*) from part""",
+    "archive_extract": _with(f1=inputs.establishments_sql(), r=inputs.REASONS_SQL, a=inputs.ACTIVITIES_SQL)
+    + f"""select 'Estabelecimentos' as entity, {_line(*ESTABLISHMENT_FIELDS)} as value from f1
+        union all select 'Motivos', {_line("codigo", "descricao")} from r
+        union all select 'Cnaes', {_line("codigo", "descricao")} from a""",
     "row_count": "select count(*) as n from orders",
     "preview": f"{_facts()} {_TYPED} order by cep limit 20",
     "full_id": _facts("id", "cnpj_basico", "cnpj_ordem", "cnpj_dv")
@@ -159,26 +168,32 @@ ORACLES: dict[str, str] = {
     "extract_links": _EXTRACT_LINKS,
     "latest_snapshot": f"""select page_id, cast(date_trunc('month', d) as date) as snapshot,
         '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as snapshot_url from ({_NEWEST_DAY})""",
+    "read_pages": "select page_id, html from pages",
     "listing_to_manifest": f"""with pages as (
-            select o_orderkey,
-                '{INDEX_BASE}' || strftime(o_orderdate, '%Y-%m') || '/' as snapshot_url
+            select o_orderkey, o_custkey % 100 as site, strftime(cast(o_orderdate as date) + 40, '%Y-%m') as m
             from orders),
         newest as (
-            select distinct '{INDEX_BASE}' || strftime(d, '%Y-%m') || '/' as u
-            from ({_NEWEST_DAY})),
+            select o_custkey % 100 as site, max(strftime(d, '%Y-%m')) as m
+            from ({_NEWEST_DAY}) join orders on page_id = o_orderkey group by 1),
         files as (
-            select snapshot_url, 'Cnaes.zip' as href from pages
+            select *, 'Cnaes.zip' as href from pages
             union all
-            select snapshot_url, 'Estabelecimentos' || o_orderkey || '.zip' from pages)
-        select snapshot_url, href, snapshot_url || href as url, href as file_name
-        from files where snapshot_url in (select u from newest)""",
+            select *, 'Estabelecimentos' || o_orderkey || '.zip' from pages),
+        named as (
+            select '{INDEX_BASE}' || site || '/' || m || '/' as snapshot_url, href
+            from files semi join newest using (site, m))
+        select snapshot_url, href, snapshot_url || href as url, href as file_name from named""",
     "newest_link_by_site": _with(links=inputs.SITE_LINKS_SQL)
-    + f"""select site, cast(substr(href, 1, 7) || '-01' as date) as snapshot,
-        '{INDEX_BASE}' || href as snapshot_url
-        from (select *,
-                row_number() over (partition by site order by substr(href, 1, 7) desc, pos) as n
-            from links where href not like '/docs%')
-        where n = 1""",
+    + f"""select site, any_value(snapshot) as snapshot, any_value(url) as snapshot_url
+        from (
+            select site, cast(null as date) as snapshot, cast(null as varchar) as url from links
+            union all
+            select site, cast(substr(href, 1, 7) || '-01' as date), '{INDEX_BASE}' || href
+            from (select *,
+                    row_number() over (partition by site order by substr(href, 1, 7) desc, pos) as n
+                from links where href not like '/docs%')
+            where n = 1)
+        group by site""",
     "manifest_filter": _with(f5=inputs.LINKS_SQL)
     + f"""select link_id, href, '{INDEX_BASE}' || href as url, href as file_name
         from f5 where {_WANTED}""",

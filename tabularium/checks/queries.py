@@ -18,7 +18,7 @@ from tabularium.functions import (
     full_id,
     status_label,
 )
-from tabularium.layouts import ACTIVITIES, ESTABLISHMENT, ESTABLISHMENTS, MUNICIPALITIES, REASONS
+from tabularium.layouts import ACTIVITIES, ESTABLISHMENT, ESTABLISHMENTS, REASONS
 from tabularium.operators import (
     extract_links,
     filter_activity,
@@ -27,14 +27,23 @@ from tabularium.operators import (
     lookup,
     missing_files,
     newest_link,
+    used_codes,
     wanted_files,
 )
-from tabularium.plans import build_manifest, refresh_silver, silver_from_folder
+from tabularium.plans import (
+    CODE_COLUMNS,
+    build_manifest,
+    build_silver,
+    refresh_silver,
+    silver_from_folder,
+)
 from tabularium.sources import (
     archived_rows,
     extract_archives,
     read_delimited,
     read_entity,
+    read_pages,
+    read_silver,
     write_silver,
 )
 
@@ -61,20 +70,33 @@ def _facts(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
 
 @query
 def flagship_silver(spark, sf_dir):
-    raw = inputs.raw_folder(spark, sf_dir)
-    return silver_from_folder(spark, raw, cut=new_folder(spark, "codes"))
+    return silver_from_folder(spark, inputs.raw_folder(spark, sf_dir))
 
 
 @query
 def silver_documented(spark, sf_dir):
-    raw = inputs.raw_folder(spark, sf_dir)
-    return silver_from_folder(spark, raw, documented=True, cut=new_folder(spark, "codes"))
+    return silver_from_folder(spark, inputs.raw_folder(spark, sf_dir), documented=True)
+
+
+def _silver_over(spark, sf_dir, prepare, **options):
+    """The documented silver table with each code table prepared for its lookup."""
+    root = inputs.raw_folder(spark, sf_dir)
+    facts = read_entity(spark, root, ESTABLISHMENTS)
+    codes = [
+        prepare(facts, read_entity(spark, root, entity), column) for entity, column in CODE_COLUMNS.items()
+    ]
+    return build_silver(facts, *codes, **options)
 
 
 @query
 def silver_cut_codes(spark, sf_dir):
-    raw, codes = inputs.raw_folder(spark, sf_dir), new_folder(spark, "codes")
-    return silver_from_folder(spark, raw, documented=True, cut=codes, cut_above=0)
+    return _silver_over(spark, sf_dir, used_codes)
+
+
+@query
+def silver_shuffled_codes(spark, sf_dir):
+    hot = {"cd_pais": ["000", None], "cd_motivo_situacao_cadastral": ["01"]}
+    return _silver_over(spark, sf_dir, lambda facts, codes, key: codes.hint("merge"), hot=hot)
 
 
 @query
@@ -102,7 +124,7 @@ def csv_fact_read(spark, sf_dir):
 
 @query
 def csv_code_table(spark, sf_dir):
-    return read_entity(spark, inputs.raw_folder(spark, sf_dir), MUNICIPALITIES, encoding="UTF-8")
+    return read_entity(spark, inputs.raw_folder(spark, sf_dir), REASONS)
 
 
 @query
@@ -135,7 +157,14 @@ def parquet_overwrite(spark, sf_dir):
 def parquet_by_state(spark, sf_dir):
     path = new_folder(spark, "silver_by_state")
     write_silver(flagship_silver(spark, sf_dir), path, by="uf")
-    return spark.read.parquet(path)
+    return read_silver(spark, path)
+
+
+@query
+def parquet_by_code(spark, sf_dir):
+    path = new_folder(spark, "silver_by_code")
+    write_silver(flagship_silver(spark, sf_dir), path, by="cd_situacao_cadastral")
+    return read_silver(spark, path)
 
 
 @query
@@ -152,7 +181,11 @@ def archive_expand(spark, sf_dir):
 def archive_extract(spark, sf_dir):
     extracted = new_folder(spark, "extracted_all")
     extract_archives(spark, inputs.archive_folder(spark, sf_dir), extracted)
-    return spark.read.text(extracted).groupBy("entity").agg(F.count("*").alias("n"))
+    # Bytes are kept, so each entity's text is still in its encoding.
+    latin1 = F.col("entity") == ACTIVITIES.folder
+    decoded = F.decode(F.col("value").cast("binary"), ACTIVITIES.encoding)
+    value = F.when(latin1, decoded).otherwise(F.col("value"))
+    return spark.read.text(extracted).select("entity", value.alias("value"))
 
 
 @query
@@ -258,7 +291,8 @@ def lookup_municipality(spark, sf_dir):
 def lookup_hot_code(spark, sf_dir):
     facts = _facts(spark, sf_dir, "id", "pais").withColumnRenamed("pais", "cd_pais")
     countries = inputs.in_spark(spark, sf_dir, inputs.COUNTRIES_SQL)
-    return lookup(facts, countries, "cd_pais", "pais", hot=hot_codes(facts, "cd_pais", 0.1))
+    hot = hot_codes(facts, "cd_pais", 0.01)
+    return lookup(facts, countries.hint("merge"), "cd_pais", "pais", hot=hot)
 
 
 @query
@@ -278,7 +312,14 @@ def extract_links_(spark, sf_dir):
 @query
 def latest_snapshot_(spark, sf_dir):
     pages = inputs.in_spark(spark, sf_dir, inputs.INDEX_PAGES_SQL)
-    return latest_snapshot(pages, INDEX_BASE)
+    return latest_snapshot(inputs.spread(pages), INDEX_BASE)
+
+
+@query
+def read_pages_(spark, sf_dir):
+    pages = read_pages(spark, inputs.page_folder(spark, sf_dir), "*.html")
+    page_id = F.regexp_extract("path", r"(\d+)\.html$", 1).cast("long")
+    return pages.select(page_id.alias("page_id"), "html")
 
 
 @query
@@ -294,9 +335,10 @@ def manifest_filter(spark, sf_dir):
 @query
 def listing_to_manifest(spark, sf_dir):
     return build_manifest(
-        inputs.in_spark(spark, sf_dir, inputs.INDEX_PAGES_SQL),
-        inputs.in_spark(spark, sf_dir, inputs.SNAPSHOT_PAGES_SQL),
-        INDEX_BASE,
+        inputs.spread(inputs.in_spark(spark, sf_dir, inputs.SITE_PAGES_SQL)),
+        inputs.spread(inputs.in_spark(spark, sf_dir, inputs.SNAPSHOT_PAGES_SQL)),
+        F.concat(F.lit(INDEX_BASE), F.col("site").cast("string"), F.lit("/")),
+        by=["site"],
     )
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import itertools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,13 +18,22 @@ _written: dict[tuple[str, ...], str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where Spark runs on one machine."""
+    """``spark.checkpoint.dir``; a temporary folder only where Spark is known to run on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", None) or ""
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.gettempdir()
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    """A folder of this machine, which goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="tabularium-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

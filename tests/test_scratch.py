@@ -16,8 +16,9 @@ def test_the_shared_folder_is_the_one_the_session_names(tmp_path):
 
 def test_a_local_folder_is_for_local_sessions_only():
     assert shared_root(session(spark_master="local[8]"))
-    with pytest.raises(ValueError):
-        shared_root(session(spark_master="yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]", None):
+        with pytest.raises(ValueError):
+            shared_root(session(spark_master=master))
 
 
 def test_folders_are_new_but_inputs_are_written_once(tmp_path):
