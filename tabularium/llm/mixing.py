@@ -5,7 +5,7 @@ spelled in bytes and followed by a space, and one end. Bytes are coded as six bi
 binary tree to one of the corpus's 63 commonest bytes; the others share a leaf and cost their share of it
 besides.
 
-Every bit is predicted from several hashed contexts, the last 2, 4 and 6 bytes. Each context has a
+Every bit is predicted from several hashed contexts, the last 3, 4 and 6 bytes. Each context has a
 row of counts, gathered from all texts to learn from, whatever their number, and then frozen as
 log odds. The predictions are added up under weights, which a gate picks by which of the longer
 contexts are known; after each byte the weights that were used move towards what would have
@@ -39,13 +39,15 @@ from tabularium.llm.tables import keep
 from tabularium.llm.words import LOWER, VISIBLE, Piece, edges_of, pieces, words_of
 
 #: Bytes of context of each predictor, and how many bits number its rows.
-ORDERS, ROW_BITS = (2, 4, 6), (12, 17, 19)
+ORDERS, ROW_BITS = (3, 4, 6), (15, 17, 19)
 DEPTH = 6
 LEAVES = 1 << DEPTH
 #: Text bytes in a block, in what a task works on at a time, and between fresh starts of the weights.
-BLOCK, WORKED, STRETCH = 8 << 20, 1 << 20, 512
+BLOCK, WORKED, STRETCH = 8 << 20, 2 << 20, 1024
 #: Weights to start with, by gate (none, one, both of the longer contexts are known); and their step.
-START, STEP = ((0.8, 0.1, 0.0), (0.5, 0.6, 0.0), (0.35, 0.4, 0.35)), 0.01
+START, STEP = ((0.7, 0.1, 0.0), (0.4, 0.4, 0.0), (0.25, 0.3, 0.3)), 0.01
+#: What each side of a node has before anything is counted.
+PRIOR = 0.02
 #: Entries of the count table that are summed and sent together.
 CHUNK = 1 << 16
 
@@ -126,7 +128,7 @@ class Alphabet:
         out = np.zeros(counts.shape, np.int8)
         for level in range(DEPTH):
             sides = counts.reshape(len(counts), 1 << level, 2, -1).sum(axis=-1)
-            odds = np.log((sides[:, :, 1] + 0.05) / (sides[:, :, 0] + 0.05))
+            odds = np.log((sides[:, :, 1] + PRIOR) / (sides[:, :, 0] + PRIOR))
             out[:, (1 << level) - 1 : (2 << level) - 1] = np.clip(np.round(16 * odds), -127, 127)
         return out
 

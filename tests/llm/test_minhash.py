@@ -7,10 +7,11 @@ from awkward import awkward_rows, documents
 from tabularium.llm import components as c, minhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def shingles(text):
-    w = WORD.findall((text or "").lower())
+    w = WORD.findall((text or "").translate(LOWER))
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 

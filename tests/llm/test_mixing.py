@@ -59,7 +59,7 @@ def mixed_scores(texts, learn):
                     counts[row, node, leaf >> (5 - level) & 1] += 1
 
     def odds(row, node):
-        value = math.log((counts[row, node, 1] + 0.05) / (counts[row, node, 0] + 0.05))
+        value = math.log((counts[row, node, 1] + m.PRIOR) / (counts[row, node, 0] + m.PRIOR))
         return max(-127, min(127, round(16 * value))) / 16
 
     out = []
