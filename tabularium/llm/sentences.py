@@ -27,7 +27,7 @@ from tabularium.llm.arrow import batchwise_pairs, free_name
 from tabularium.llm.tables import keep
 from tabularium.llm.words import ALNUM, Piece, Words, hash_runs, pieces, words_of
 
-RUN, LEAST, TWO, ONE = 3, 8, 20, 30
+RUN, LEAST, TWO, ONE = 3, 8, 12, 20
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n\r"]] = True
