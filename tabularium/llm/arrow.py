@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 from typing import Any
 
 import pyarrow as pa
@@ -32,6 +35,15 @@ def batchwise_pairs(
     return F.arrow_udf(run, kind).asNondeterministic()
 
 
+def lasting() -> dict[str, Any]:
+    """What stays for the life of a Python process.
+
+    Functions that travel with the plan bring their modules' globals along, so these start anew with every
+    task, and the last task's go only with the garbage.
+    """
+    return sys.modules.setdefault("tabularium_lasting", ModuleType("tabularium_lasting")).__dict__
+
+
 class Sent:
     """A broadcast value whose classes travel with it, as executors need no copy of this package."""
 
@@ -40,7 +52,8 @@ class Sent:
 
     @property
     def value(self) -> Any:
-        """Unpacked anew each time; ask once per task."""
+        """Unpacked anew each time; ask once per task. What earlier tasks left is collected first."""
+        gc.collect()
         return pickle.loads(self.packed.value)
 
 

@@ -24,7 +24,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 
-from tabularium.llm.arrow import batchwise
+from tabularium.llm.arrow import batchwise, lasting
 
 #: Fixed value: how byte-level BPE of this family splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -226,15 +226,12 @@ class Codec:
         ).decode(errors="replace")
 
 
-_codecs: dict[int, Codec] = {}
-
-
 def _codec(file: Broadcast) -> Codec:
-    """One codec per Python process and file."""
-    key = hash(file.value)
-    if key not in _codecs:
-        _codecs[key] = Codec(file.value)
-    return _codecs[key]
+    """One codec per Python process, for the file it was last asked for."""
+    kept = lasting()
+    if kept.get("tokenizer") != file.value:
+        kept["tokenizer"], kept["codec"] = file.value, Codec(file.value)
+    return kept["codec"]
 
 
 def read_tokenizer(spark: SparkSession, path: str) -> Broadcast:

@@ -13,6 +13,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
+from tabularium.llm.arrow import lasting
+
 #: Bytes of text that are worked on at a time.
 PIECE = 1 << 19
 
@@ -70,20 +72,18 @@ def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[Piece]:
         first = last
 
 
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the step and of its inverse; kept for the next piece."""
-    global _powers
-    if len(_powers[0]) < n:
+    kept = lasting()
+    if "powers" not in kept or len(kept["powers"][0]) < n:
         steps = (np.full(n + n // 4, base, np.uint64) for base in (_STEP, _UNSTEP))
         made = []
         for powers in steps:
             powers[0] = 1
             made.append(np.cumprod(powers, dtype=np.uint64))
-        _powers = made[0], made[1]
-    return _powers[0][:n], _powers[1][:n]
+        kept["powers"] = made
+    one, other = kept["powers"]
+    return one[:n], other[:n]
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
