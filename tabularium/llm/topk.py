@@ -54,8 +54,10 @@ class Best(NamedTuple):
         if not len(ids):
             return
         if len(ids) > 4 * k:  # most are worse than the k-th best of these alone
-            floor = np.partition(scores, -k)[-k]
-            ids, scores = ids[scores >= floor], scores[scores >= floor]
+            high = scores >= np.partition(scores, -k)[-k]
+            # rows given twice take one place: what is cut must leave k others
+            if len(set(zip(ids[high].tolist(), scores[high].tolist(), strict=True))) >= k:
+                ids, scores = ids[high], scores[high]
         ids, scores = np.append(self.ids[row], ids), np.append(self.scores[row], scores)
         order = np.lexsort((ids, -scores))
         ids, scores = ids[order], scores[order]
@@ -78,8 +80,22 @@ def _matrix(vectors: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _once(ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block without rows that repeat an id with its vector."""
+    repeated, count = np.unique(ids, return_counts=True)
+    if len(repeated) == len(ids):
+        return ids, block
+    at = np.flatnonzero(np.isin(ids, repeated[count > 1]))
+    _, first = np.unique(np.column_stack((ids[at], block[at].view(np.int64))), axis=0, return_index=True)
+    kept = np.ones(len(ids), bool)
+    kept[at] = False
+    kept[at[first]] = True
+    return ids[kept], block[kept]
+
+
 def search_block(ids: np.ndarray, block: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, best: Best) -> int:
     """Threshold search of every query in one block; returns how many rows were scored."""
+    ids, block = _once(ids, block)
     order = np.argsort(block, axis=0, kind="stable").T.copy()  # a list per dimension, ascending
     sorted_values = np.take_along_axis(block, order.T, axis=0).T.copy()
     n, scored = len(block), 0

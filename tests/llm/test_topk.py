@@ -67,3 +67,22 @@ def test_scores_beyond_exact_numbers_are_refused():
 
     with pytest.raises(OverflowError):
         topk._matrix([np.array([1e9, 1e9])])
+
+
+def test_rows_given_twice_hide_no_others(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.randrange(-256, 257) / 256 for _ in range(6)]) for i in range(1500)]
+    best = max(range(1500), key=lambda i: sum(a * b for a, b in zip(rows[3][1], rows[i][1], strict=True)))
+    for given in (rows * 2, [*rows, *[rows[best]] * 8]):
+        vectors = topk.scaled(table(spark, given).coalesce(1))
+        asked = list(range(20))
+        found = topk.top_k(vectors.where(vectors.vec_id.isin(asked)), vectors, k=5).collect()
+        assert sorted(map(tuple, found)) == brute_force(rows, asked, 5)
+
+
+def test_equal_scores_of_one_id_hide_no_others():
+    import numpy as np
+
+    best = topk.Best(np.full((1, 3), topk._LAST), np.full((1, 3), topk._NONE))
+    best.take(0, np.array([7] * 12 + [8, 9]), np.array([5.0] * 12 + [4.0, 3.0]))
+    assert (best.ids[0].tolist(), best.scores[0].tolist()) == ([7, 8, 9], [5.0, 4.0, 3.0])
