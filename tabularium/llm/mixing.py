@@ -2,17 +2,22 @@
 
 What is scored is a text's sequence of tokens: its words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased), each
 spelled in bytes and followed by a space, and one end. Bytes are coded as six bits, the way down a
-binary tree to one of the corpus's 63 commonest bytes; the others share a leaf and cost their share of it
-besides.
-
-Every bit is predicted from several hashed contexts, the last 3, 4 and 6 bytes. Each context has a
-row of counts, gathered from all texts to learn from, whatever their number, and then frozen as
-log odds. The predictions are added up under weights, which a gate picks by which of the longer
-contexts are known; after each byte the weights that were used move towards what would have
-predicted its bits better. They start afresh every ``STRETCH`` bytes, so a long text is many short
+binary tree to one of the corpus's 63 commonest bytes; the others share a leaf, below which their own
+eight bits follow, predicted in the same way; where no context has met any of them, they cost their share
+of the corpus.
+
+Every bit is predicted from several contexts, the last 3, 4 and 6 bytes. Each context has counts of the
+bytes after it, gathered from all texts to learn from, whatever their number, and then frozen as
+log odds. Contexts are told apart by their bytes, so their number grows with the corpus and none share counts.
+The predictions are added up under weights, which a gate picks by which of the longer
+contexts are known; after the bits of a tree the weights that were used move towards what would have
+predicted them better. They start afresh every ``STRETCH`` bytes, so a long text is many short
 ones to the machine, while contexts reach across. A score is the sum of log10 probabilities of all
 bits, and depends on the text and the corpus only.
 
+Contexts are counted by block of texts first. Each block sends its distinct contexts, dealt over buckets by
+hash, with the counts of what follows; a bucket adds up and sends every block the counts of its own contexts back.
+
 Beside it stands the add-one unigram score of the same tokens. Word counts are gathered by hash. A word
 counts in its block of texts (``BLOCK`` bytes, or one longer text) first, so what is shuffled is distinct
 words of blocks, not words; and each block gets the counts of its own words back.
@@ -23,14 +28,13 @@ are even and every token's unigram share is one.
 
 from __future__ import annotations
 
-import heapq
 import math
-import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,9 +42,9 @@ from tabularium.llm.arrow import Sent, send
 from tabularium.llm.tables import keep
 from tabularium.llm.words import LOWER, VISIBLE, Piece, edges_of, pieces, words_of
 
-#: Bytes of context of each predictor, and how many bits number its rows.
-ORDERS, ROW_BITS = (3, 4, 6), (15, 17, 19)
-DEPTH = 6
+#: Bytes of context of each predictor; 6 at most, as a context and its predictor make a number of 50 bits.
+ORDERS = (3, 4, 6)
+DEPTH, BYTE_DEPTH = 6, 8
 LEAVES = 1 << DEPTH
 #: Text bytes in a block, in what a task works on at a time, and between fresh starts of the weights.
 BLOCK, WORKED, STRETCH = 8 << 20, 2 << 20, 1024
@@ -48,14 +52,16 @@ BLOCK, WORKED, STRETCH = 8 << 20, 2 << 20, 1024
 START, STEP = ((0.7, 0.1, 0.0), (0.4, 0.4, 0.0), (0.25, 0.3, 0.3)), 0.01
 #: What each side of a node has before anything is counted.
 PRIOR = 0.02
-#: Entries of the count table that are summed and sent together.
-CHUNK = 1 << 16
+#: Text bytes to a bucket of contexts, and the fewest buckets.
+BUCKET, BUCKETS = 16 << 20, 64
+#: Rows of words that a task packs together.
+WORDS = 1 << 21
+#: Contexts whose log odds are worked out at a time.
+CHUNK = 1 << 14
 
 _END, _SPACE = 10, 32
 _PAD = 8
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_SIZES = [LEAVES << bits for bits in ROW_BITS]
-_OFFSETS = np.concatenate(([0], np.cumsum(_SIZES)))
 
 
 class Stream(NamedTuple):
@@ -99,13 +105,10 @@ def befores(data: np.ndarray) -> np.ndarray:
 
 
 def rows_of(before: np.ndarray) -> Iterator[np.ndarray]:
-    """By predictor, the first entry of the row for each of :func:`befores`."""
-    for order, bits, offset in zip(ORDERS, ROW_BITS, _OFFSETS[:-1], strict=True):
+    """By predictor, the context of each of :func:`befores`, as a number."""
+    for number, order in enumerate(ORDERS):
         row = before >> np.uint64(64 - 8 * order)
-        row *= _SPREAD
-        row >>= np.uint64(64 - bits)
-        row *= np.uint64(LEAVES)
-        row += np.uint64(offset)
+        row |= np.uint64(number << 48)
         yield row.view(np.int64)
 
 
@@ -117,20 +120,37 @@ class Alphabet:
         self.leaf = np.full(256, LEAVES - 1, np.uint8)
         self.leaf[common] = np.arange(LEAVES - 1)
         rare = np.setdiff1d(np.arange(256), common)
-        share = (counts[rare] + 1) / (counts[rare] + 1).sum()
-        self.extra = np.zeros(256)  # nats
-        self.extra[rare] = -np.log(share)
-
-    @staticmethod
-    def log_odds(counts: np.ndarray) -> np.ndarray:
+        #: What a byte's side of a node in the shared leaf's tree has before anything is counted: 2 * PRIOR in all.
+        self.share = np.zeros(256)
+        self.share[rare] = (counts[rare] + 1) / (counts[rare] + 1).sum()
+        #: Nats of a byte of the shared leaf where no context has seen any of these.
+        self.extra = np.zeros(256)
+        self.extra[rare] = -np.log(self.share[rare])
+
+    def log_odds(self, counts: np.ndarray) -> np.ndarray:
         """Sixteenths of log odds of going right, by row and node, of rows of counts by leaf."""
-        counts = counts.reshape(-1, LEAVES).astype(np.float64)
-        out = np.zeros(counts.shape, np.int8)
-        for level in range(DEPTH):
-            sides = counts.reshape(len(counts), 1 << level, 2, -1).sum(axis=-1)
-            odds = np.log((sides[:, :, 1] + PRIOR) / (sides[:, :, 0] + PRIOR))
-            out[:, (1 << level) - 1 : (2 << level) - 1] = np.clip(np.round(16 * odds), -127, 127)
-        return out
+        return _log_odds(counts, DEPTH, lambda level: PRIOR)
+
+    def rare_log_odds(self, counts: np.ndarray) -> np.ndarray:
+        """The same in the tree of the shared leaf, of rows of counts by byte."""
+
+        def prior(level: int) -> np.ndarray:
+            sides = self.share.reshape(1 << level, 2, -1).sum(axis=-1) + 1e-9
+            return 2 * PRIOR * sides / sides.sum(axis=1, keepdims=True)
+
+        return _log_odds(counts, BYTE_DEPTH, prior)
+
+
+def _log_odds(counts: np.ndarray, depth: int, prior: Callable[[int], float | np.ndarray]) -> np.ndarray:
+    sides = counts.reshape(-1, 1 << depth).astype(np.float64)
+    out = np.zeros(sides.shape, np.int8)
+    for level in reversed(range(depth)):
+        two = sides.reshape(len(sides), 1 << level, 2)
+        before = two + prior(level)
+        odds = np.log(before[:, :, 1] / before[:, :, 0])
+        out[:, (1 << level) - 1 : (2 << level) - 1] = np.clip(np.round(16 * odds), -127, 127)
+        sides = two.sum(axis=-1)
+    return out
 
 
 def _learned(batch: pa.RecordBatch) -> pa.Array:
@@ -158,82 +178,216 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-_COUNTS = "chunk long, salt int, counts binary"
-_COUNT_SCHEMA = pa.schema([("chunk", pa.int64()), ("salt", pa.int32()), ("counts", pa.binary())])
-#: Tasks whose counts are summed in a first step, before all sums.
-_TASKS = 64
+_ASKED, _ANSWERED = "block long, bucket int, packed binary", "block long, packed binary"
 
 
-def _sent(found: Iterator[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Dense counts of chunks as rows: gaps between entries that are not zero, and the entries, packed."""
-    for chunk, salt, counts in found:
-        at = np.flatnonzero(counts)
-        if len(at):
-            gaps = np.diff(at, prepend=0).astype("<u2").tobytes()
-            packed = zlib.compress(gaps + counts[at].astype("<u8").tobytes(), 1)
-            yield pa.RecordBatch.from_pylist([{"chunk": chunk, "salt": salt, "counts": packed}], _COUNT_SCHEMA)
+class Counted(NamedTuple):
+    """Contexts in order, how many bytes follow each, which ones, and how often."""
 
+    keys: np.ndarray
+    sizes: np.ndarray
+    symbols: np.ndarray
+    counts: np.ndarray
 
-def _summed(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> dict[tuple, np.ndarray]:
-    """Dense sums of what was sent; a task holds those of its own keys."""
-    sums: dict[tuple, np.ndarray] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            packed = zlib.decompress(row["counts"])
-            at = np.cumsum(np.frombuffer(packed, "<u2", len(packed) // 10), dtype=np.int64)
-            total = sums.setdefault(tuple(row[k] for k in key), np.zeros(CHUNK, np.uint64))
-            total[at] += np.frombuffer(packed, "<u8", offset=2 * len(at))
-    return sums
+    def packed(self) -> bytes:
+        """Steps between keys, and counts of as many bytes as the largest needs, are written by byte."""
+        width = next(w for w in (1, 2, 4, 8) if int(self.counts.max(initial=0)) < 1 << 8 * w)
+        parts = (
+            _by_byte(np.diff(self.keys, prepend=0), 8),
+            _by_byte(self.sizes, 2),
+            self.symbols.tobytes(),
+            _by_byte(self.counts, width),
+        )
+        head = np.array([len(self.keys), len(self.symbols), width], "<i8").tobytes()
+        return head + pa.compress(b"".join(parts), codec="zstd", asbytes=True)
 
 
-def count_contexts(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
-    """``chunk, salt, counts``: by context row and leaf, summed over ``_TASKS`` tasks each."""
-    leaf = docs.sparkSession.sparkContext.broadcast(alphabet.leaf)
+def _by_byte(values: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(values.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def _unpacked(packed: bytes) -> Counted:
+    keys, symbols, width = np.frombuffer(packed, "<i8", 3).tolist()
+    sizes = [8 * keys, 2 * keys, symbols, width * symbols]
+    data = np.frombuffer(pa.decompress(packed[24:], sum(sizes), codec="zstd"), np.uint8)
+    parts = np.split(data, np.cumsum(sizes)[:-1])
+
+    def whole(part: np.ndarray, wide: int) -> np.ndarray:
+        return np.ascontiguousarray(part.reshape(wide, -1).T).view(f"<u{wide}").ravel().astype(np.int64)
+
+    return Counted(np.cumsum(whole(parts[0], 8)), whole(parts[1], 2), parts[2], whole(parts[3], width))
+
+
+def _merged(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order, and the sum of each one's counts."""
+    if not len(pairs):
+        return pairs, counts
+    order = np.argsort(pairs, kind="stable")
+    pairs = pairs[order]
+    first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+    return pairs[first], np.add.reduceat(counts[order], first)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(_OFFSETS[-1], np.uint32)
-        leaves, salt = leaf.value, TaskContext.get().partitionId() // _TASKS
-        for batch in batches:
-            for piece in pieces(_learned(batch)):
-                stream = stream_of(piece)
-                symbol = leaves[stream.data[_PAD:]]
-                inside = np.zeros(len(stream.data) + 1, np.int8)
-                inside[stream.firsts] += 1
-                inside[stream.lasts] -= 1
-                inside = np.cumsum(inside[:-1], dtype=np.int8)[_PAD:].view(bool)
-                for row in rows_of(befores(stream.data)):
-                    row += symbol
-                    np.add.at(counts, row[inside], np.uint32(1))
-        chunks = range(-(-len(counts) // CHUNK))
-        yield from _sent((c, salt, counts[c * CHUNK : (c + 1) * CHUNK]) for c in chunks)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _summed(batches, ("chunk", "salt"))
-        yield from _sent((*key, counts) for key, counts in sums.items())
-
-    parts = docs.select("text", "learn").mapInArrow(count, _COUNTS)
-    return parts.repartition("chunk", "salt").mapInArrow(add, _COUNTS)
-
-
-def log_odds_table(counts: DataFrame, alphabet: Alphabet) -> np.ndarray:
-    """All predictors' tables as one, of a fixed size: one byte an entry."""
-    sent = send(counts.sparkSession, alphabet)
+
+def _by_context(pairs: np.ndarray, counts: np.ndarray) -> Counted:
+    keys, sizes = np.unique(pairs >> 8, return_counts=True)
+    return Counted(keys, sizes, (pairs & 255).astype(np.uint8), counts)
+
+
+def _inside(stream: Stream, texts: np.ndarray) -> np.ndarray:
+    """Marks the bytes to predict of some texts, from ``_PAD`` on."""
+    edges = np.zeros(len(stream.data) + 1, np.int8)
+    edges[stream.firsts[texts]] += 1
+    edges[stream.lasts[texts]] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int8)[_PAD:].view(bool)
+
+
+def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``block, bucket`` and packed counts: distinct contexts of each block and the bytes that follow them.
+
+    What is only to be scored is there with a count of 0, so that its contexts are asked for too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = sent.value
-        for (chunk,), total in _summed(batches, ("chunk",)).items():
-            odds = letters.log_odds(total).tobytes()
-            yield pa.RecordBatch.from_pydict({"chunk": [chunk], "odds": [odds]})
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        block = None
+
+        def flush() -> pa.RecordBatch:
+            pairs, counts = _merged(*(np.concatenate(column) for column in zip(*held, strict=True)))
+            spread = (pairs >> 8).view(np.uint64) * _SPREAD
+            bucket = ((spread >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+            pairs, counts, bucket = pairs[order], counts[order], bucket[order]
+            found, first = np.unique(bucket, return_index=True)
+            ends = np.append(first[1:], len(bucket))
+            rows = [_by_context(pairs[a:b], counts[a:b]).packed() for a, b in zip(first, ends, strict=True)]
+            return pa.RecordBatch.from_pydict(
+                {"block": np.full(len(found), block), "bucket": found, "packed": pa.array(rows, pa.binary())}
+            )
+
+        for batch in batches:
+            own = batch["block"].to_numpy()
+            learn = batch["learn"].to_numpy(zero_copy_only=False).astype(bool)
+            edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                if held and own[a] != block:
+                    yield flush()
+                    held = []
+                block = own[a]
+                for piece in pieces(batch["text"].slice(a, b - a), WORKED):
+                    stream = stream_of(piece)
+                    taught = learn[a + piece.first : a + piece.last]
+                    marks = [_inside(stream, taught), _inside(stream, ~taught)]
+                    for key in rows_of(befores(stream.data)):
+                        key <<= 8
+                        key |= stream.data[_PAD:]
+                        found, n = np.unique(key[marks[0]], return_counts=True)
+                        other = np.unique(key[marks[1]])
+                        held.append((np.append(found, other), np.append(n, np.zeros(len(other), np.int64))))
+        if held:
+            yield flush()
+
+    return blocks.select("block", "text", "learn").mapInArrow(run, _ASKED)
+
+
+def _answers(asked: pa.Table) -> pa.Table:
+    """Of a bucket: for each block, its contexts with their counts in all blocks."""
+    rows = [_unpacked(packed) for packed in asked["packed"].to_pylist()]
+    pairs = np.concatenate([np.repeat(row.keys, row.sizes) << 8 | row.symbols for row in rows])
+    pairs, counts = _merged(pairs, np.concatenate([row.counts for row in rows]))
+    total = _by_context(pairs[counts > 0], counts[counts > 0])
+    first = np.cumsum(total.sizes) - total.sizes
+    out = []
+    for row in rows:
+        at = np.searchsorted(total.keys, row.keys)
+        known = at < len(total.keys)
+        known[known] = total.keys[at[known]] == row.keys[known]
+        at = at[known]
+        sizes = total.sizes[at]
+        where = np.repeat(first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        out.append(Counted(total.keys[at], sizes, total.symbols[where], total.counts[where]).packed())
+    return pa.table({"block": asked["block"], "packed": pa.array(out, pa.binary())})
+
+
+def block_counts(blocks: DataFrame) -> DataFrame:
+    """``block`` and packed counts: of each block's contexts, how often each byte follows in all texts to learn from."""
+    size = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    asked = block_contexts(blocks, max(BUCKETS, -(-size // BUCKET)))
+    return asked.groupBy("bucket").applyInArrow(_answers, _ANSWERED)
+
+
+class Contexts:
+    """Log odds of known contexts, by row; row 0 is that of all others."""
+
+    def __init__(self, alphabet: Alphabet, counted: Counted):
+        n = len(counted.keys)
+        order = np.argsort(counted.keys, kind="stable")
+        self.keys = np.append(np.int64(-1), counted.keys[order])
+        row = np.empty(n, np.int64)
+        row[order] = np.arange(1, n + 1)
+        owner = np.repeat(row, counted.sizes)
+        order = np.argsort(owner, kind="stable")
+        owner, symbols, counts = owner[order], counted.symbols[order], counted.counts[order]
+        leaf = alphabet.leaf[symbols]
+        self.table = self._rows(alphabet.log_odds, owner, leaf, counts, n + 1, LEAVES)
+        rare = np.flatnonzero(leaf == LEAVES - 1)
+        found, place = np.unique(owner[rare], return_inverse=True)
+        self.rare_row = np.zeros(n + 1, np.int32)
+        self.rare_row[found] = np.arange(1, len(found) + 1)
+        self.rare = self._rows(
+            alphabet.rare_log_odds, place + 1, symbols[rare], counts[rare], len(found) + 1, 1 << BYTE_DEPTH
+        )
+        self.shift = np.uint64(64 - max(10, n.bit_length() + 3))
+        self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.slots[self._slot(self.keys[1:])] = np.arange(1, n + 1)
+
+    @staticmethod
+    def _rows(odds, owner: np.ndarray, leaf: np.ndarray, counts: np.ndarray, n: int, width: int) -> np.ndarray:
+        """Log odds by row, as one; owners are in order."""
+        out = np.empty(n * width, np.int8)
+        for first in range(0, n, CHUNK):
+            last = min(n, first + CHUNK)
+            part = slice(*np.searchsorted(owner, [first, last]))
+            where = (owner[part] - first) * width + leaf[part]
+            dense = np.bincount(where, counts[part], (last - first) * width)
+            out[first * width : last * width] = odds(dense).ravel()
+        return out
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _SPREAD) >> self.shift).view(np.int64)
+
+    def rows(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each context; few share a slot, and those are searched for."""
+        out = self.slots[self._slot(keys)].astype(np.int64)
+        other = (self.keys[out] != keys) & (out > 0)
+        if other.any():
+            asked = keys[other]
+            at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+            out[other] = np.where(self.keys[at] == asked, at, 0)
+        return out
+
+
+def _all(rows: pa.Table) -> Counted:
+    empty = Counted(*(np.empty(0, kind) for kind in (np.int64, np.int64, np.uint8, np.int64)))
+    found = [_unpacked(packed) for packed in rows["packed"].to_pylist()]
+    return Counted(*(np.concatenate(column) for column in zip(empty, *found, strict=True)))
 
-    table = np.zeros(_OFFSETS[-1], np.int8)
-    for row in counts.repartition("chunk").mapInArrow(run, "chunk long, odds binary").collect():
-        table[row.chunk * CHUNK :][: len(row.odds)] = np.frombuffer(row.odds, np.int8)
-    return table
+
+def _contexts(alphabet: Alphabet, all_rows: Counted) -> Contexts:
+    """Of a block, from what the buckets answered. A context that was asked for twice counts once."""
+    keys, first = np.unique(all_rows.keys, return_index=True)
+    if len(keys) < len(all_rows.keys):
+        once = np.zeros(len(all_rows.keys), bool)
+        once[first] = True
+        kept = np.repeat(once, all_rows.sizes)
+        all_rows = Counted(all_rows.keys[once], all_rows.sizes[once], all_rows.symbols[kept], all_rows.counts[kept])
+    return Contexts(alphabet, all_rows)
 
 
 class Mixer(NamedTuple):
     alphabet: Alphabet
-    table: np.ndarray
+    contexts: Contexts
 
     def nats(self, stream: Stream) -> np.ndarray:
         """The cost of each text."""
@@ -252,7 +406,7 @@ class Mixer(NamedTuple):
         return np.bincount(owner, cost, len(firsts))
 
     def _stretches(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        alphabet = self.alphabet
+        alphabet, table = self.alphabet, self.contexts.table
         # stretches abreast, the longest first, so that those at work are always the first ones
         size = last - first
         order = np.argsort(-size, kind="stable")
@@ -265,21 +419,23 @@ class Mixer(NamedTuple):
         lane = np.arange(edge[-1]) - np.repeat(edge[:-1], busy)
         at += first[lane]
         leaf = alphabet.leaf[data[at]]
-        node, sign = np.empty((DEPTH, len(at)), np.uint8), np.empty((DEPTH, len(at)), np.int8)
-        for level in range(DEPTH):
-            node[level] = (leaf >> (DEPTH - level)) + ((1 << level) - 1)
-            sign[level] = (leaf >> (DEPTH - 1 - level) & 1).astype(np.int8) * 2 - 1
-        rows = np.stack(list(rows_of(befores(data)[at - _PAD])))
-        place = (self.table.take(rows[1:]) != 0).sum(axis=0) * len(order) + lane  # gate and lane
+        node, sign = _path(leaf, DEPTH)
+        rows = np.stack([self.contexts.rows(keys) for keys in rows_of(befores(data)[at - _PAD])])
+        rare = np.flatnonzero(leaf == LEAVES - 1)
+        met = self.contexts.rare_row[rows[:, rare]].any(axis=0)
+        unmet, rare = rare[~met], rare[met]
+        rare_node, rare_sign = _path(data[at[rare]], BYTE_DEPTH)
+        rare_rows = self.contexts.rare_row[rows[:, rare]].astype(np.int64) << BYTE_DEPTH
+        rare_edge = np.searchsorted(rare, edge).tolist()
+        rows *= LEAVES
+        place = (table.take(rows[1:]) != 0).sum(axis=0) * len(order) + lane  # gate and lane
         # inputs are sixteenths of log odds: weights and steps are scaled to match
         weights = np.repeat(np.array(START, np.float32).T / 16, len(order), axis=1)
         rate, least = np.float32(STEP / 256), np.float32(1e-6)
-        nats = np.zeros(len(order))
-        for t, n in enumerate(busy.tolist()):
-            part = slice(edge[t], edge[t + 1])
-            now = place[part]
-            x = self.table.take(rows[:, None, part] + node[:, part]).astype(np.float32)
-            y = sign[:, part].astype(np.float32)
+        nats = np.bincount(lane[unmet], alphabet.extra[data[at[unmet]]], len(order)).astype(np.float64)
+
+        def cost(now: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            """Of the bits of a tree; the weights move."""
             used = weights.take(now, axis=1)
             right = np.einsum("kn,kdn->dn", used, x)
             right *= -y
@@ -291,12 +447,31 @@ class Mixer(NamedTuple):
             for row, new in zip(weights, used, strict=True):
                 row[now] = new
             # never quite sure, so that no bit costs more than some 20 bits
-            nats[:n] -= np.log((right * (1 - 2 * least) + least).prod(axis=0))
+            return -np.log((right * (1 - 2 * least) + least).prod(axis=0))
+
+        for t, n in enumerate(busy.tolist()):
+            part = slice(edge[t], edge[t + 1])
+            x = table.take(rows[:, None, part] + node[:, part]).astype(np.float32)
+            nats[:n] += cost(place[part], x, sign[:, part].astype(np.float32))
+            if rare_edge[t] < rare_edge[t + 1]:
+                part = slice(rare_edge[t], rare_edge[t + 1])
+                x = self.contexts.rare.take(rare_rows[:, None, part] + rare_node[:, part]).astype(np.float32)
+                bits = cost(place[rare[part]], x, rare_sign[:, part].astype(np.float32))
+                nats[lane[rare[part]]] += bits
         out = np.empty(len(order))
-        out[order] = nats + np.bincount(lane, alphabet.extra[data[at]], len(order))
+        out[order] = nats
         return out
 
 
+def _path(leaf: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes on the way to each leaf, and which side is taken: 1 is right, -1 left."""
+    node, sign = np.empty((depth, len(leaf)), np.uint8), np.empty((depth, len(leaf)), np.int8)
+    for level in range(depth):
+        node[level] = (leaf.astype(np.int64) >> (depth - level)) + ((1 << level) - 1)
+        sign[level] = (leaf >> (depth - 1 - level) & 1).astype(np.int8) * 2 - 1
+    return node, sign
+
+
 def in_blocks(docs: DataFrame) -> DataFrame:
     """``block, doc_id, text, learn``, written: rows of a block follow each other."""
 
@@ -366,6 +541,36 @@ def _counted(words: DataFrame) -> DataFrame:
     )
 
 
+def packed_words(words: DataFrame) -> DataFrame:
+    """``block, packed`` of ``block, word, c``: the words of a block in each task, packed as contexts with one byte each."""
+
+    def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block, word, count = (
+            np.concatenate([batch[name].to_numpy() for batch in held]) for name in ("block", "word", "c")
+        )
+        order = np.lexsort((word, block))
+        block, word, count = block[order], word[order], count[order]
+        found, first = np.unique(block, return_index=True)
+        out = []
+        for a, b in zip(first, np.append(first[1:], len(block)), strict=True):
+            ones, none = np.ones(b - a, np.int64), np.zeros(b - a, np.uint8)
+            out.append(Counted(word[a:b], ones, none, count[a:b]).packed())
+        return pa.RecordBatch.from_pydict({"block": found, "packed": pa.array(out, pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= WORDS:
+                yield rows(held)
+                held, size = [], 0
+        if size:
+            yield rows(held)
+
+    return words.select("block", "word", "c").mapInArrow(run, _ANSWERED)
+
+
 class Totals(NamedTuple):
     """Tokens to learn from, how many are distinct, and how many are ends."""
 
@@ -382,20 +587,20 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     blocks = in_blocks(docs)
     alphabet = Alphabet(byte_counts(blocks))
-    table = log_odds_table(count_contexts(blocks, alphabet), alphabet)
 
     words = keep(_counted(block_words(blocks)), "words")
     ends = blocks.where("learn").count()
     sums = words.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     totals = Totals(sums.n + ends, sums.v + bool(ends), ends)
-    shared = words.where("not own").select("block", "word", "c")
+    shared = packed_words(words.where("not own")).withColumn("words", F.lit(True))
+    answers = block_counts(blocks).withColumn("words", F.lit(False))
 
-    sent = send(spark, (Mixer(alphabet, table), totals))
+    sent = send(spark, (alphabet, totals))
     kind = blocks.schema["doc_id"].dataType.simpleString()
     return (
         blocks.select("block", "doc_id", "text", "learn")
         .groupBy("block")
-        .cogroup(shared.groupBy("block"))
+        .cogroup(shared.unionAll(answers).groupBy("block"))
         .applyInArrow(
             _block_scores(sent),
             f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double",
@@ -423,10 +628,12 @@ def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
         if not unpacked:
             unpacked.append(sent.value)
-        mixer, totals = unpacked[0]
-        word = counts["word"].to_numpy().view(np.uint64)
+        alphabet, totals = unpacked[0]
+        mixer = Mixer(alphabet, _contexts(alphabet, _all(counts.filter(pc.invert(counts["words"])))))
+        shared = _all(counts.filter(counts["words"]))
+        word = shared.keys.view(np.uint64)
         order = np.argsort(word)
-        word, count = word[order], counts["c"].to_numpy()[order]
+        word, count = word[order], shared.counts[order]
         texts = docs["text"].combine_chunks()
         columns = texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]
         parts = [piece for column in columns for piece in pieces(column, BLOCK)]

@@ -137,3 +137,42 @@ def test_awkward_rows(spark):
     nothing = m.score(docs.withColumn("learn", F.lit(False))).collect()
     assert {(r.n_known, r.train_tokens, r.base_score) for r in nothing} == {(0, 0, 0.0)}
     assert m.score(docs.limit(0).withColumn("learn", F.lit(True))).collect() == []
+
+
+def test_contexts_do_not_share_counts():
+    data = np.random.default_rng(3).integers(97, 123, 60_000, np.uint8)
+    before = m.befores(data)
+    for order, row in zip(m.ORDERS, m.rows_of(before), strict=True):
+        assert len(np.unique(row)) == len({data[k - order : k].tobytes() for k in range(8, len(data))})
+
+
+def test_counts_of_all_blocks_come_back_to_each(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 400)
+    texts = [t for t in some_texts(11) if t]
+    blocks = m.in_blocks(documents(spark, texts).withColumn("learn", F.lit(True)))
+    counts = Counter()
+    for text in texts:
+        data = bytes([10]) * 8 + spelled(text)
+        for k in range(8, len(data)):
+            for row in m.rows_of(m.befores(np.frombuffer(data[k - 8 : k] + b"\0", np.uint8))):
+                counts[int(row[0]), data[k]] += 1
+    found, answers = {}, 0
+    for row in m.block_counts(blocks).collect():
+        got = m._unpacked(row.packed)
+        answers += len(got.keys)
+        pairs = zip(np.repeat(got.keys, got.sizes).tolist(), got.symbols.tolist(), strict=True)
+        found |= dict(zip(pairs, got.counts.tolist(), strict=True))
+    assert found == counts
+    assert answers > len({key for key, _ in counts})
+
+
+def test_contexts_tell_bytes_beyond_the_common_ones_apart(spark):
+    rng = random.Random(2)
+    common = [chr(33 + k) for k in range(94) if not chr(33 + k).isupper()]
+    main = ["".join(rng.sample(common, 40)) for _ in range(400)]
+    script = "\u0905\u0906\u0907\u0908\u0909\u090a\u090b\u090c"
+    minor = [(script + " ") * 3 for _ in range(40)]
+    docs = documents(spark, [*main, *minor])
+    row = {r.doc_id: r.score for r in m.score(docs.withColumn("learn", F.col("doc_id") != 439)).collect()}
+    # each byte follows from those before it
+    assert -row[439] / math.log10(2) < 1.5 * len(spelled(minor[0]))
