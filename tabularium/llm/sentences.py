@@ -1,13 +1,20 @@
 """Repeated passages, found as spans of consecutive sentences that occur more than once.
 
-A sentence ends with a run of ``.``, ``!``, ``?`` and line ends; what has no word (lower-cased,
-``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``) belongs to the sentence before. Spans are all runs of ``RUN``
+A sentence ends with a run of ``.``, ``!``, ``?``, the full stops of other scripts (``STOPS``) and line ends;
+what has no word (lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``, and each character of scripts that are
+written without spaces) belongs to the sentence before. Spans are all runs of ``RUN``
 sentences with at least ``LEAST`` words, and shorter runs if they have many words: two sentences of
 ``TWO`` together, or one of ``ONE``, so that a passage of few long sentences is found as well. Each is
 hashed by its words, so case, spacing and punctuation don't tell spans apart.
 
+Passages that keep few whole sentences, or have none, are found by spans that don't heed sentences: a text is cut
+before each word whose hash is the least of some ``NEAR`` words in a row, and a span reaches from a cut to the
+first one that is ``STRETCH`` words or more away. In a passage of ``STRETCH + 2 * NEAR - 1`` words (51) or more, the
+first ``NEAR`` words and the last ``NEAR`` hold a cut wherever the passage stands, so one such span lies in it.
+
 All spans of all documents are joined by hash. The first occurrence, by id and then by place, stays; every
-sentence that another occurrence covers is removed. So of exact copies all but the first lose all
+sentence that another occurrence covers is removed, and of a sentence that it covers in part those words, if
+they are ``LEAST`` or more. So of exact copies all but the first lose all
 sentences, and a clean document none.
 
 Null and wordless texts have no sentences and stay as they are, as do rows without an id. Rows of
@@ -25,14 +32,83 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabularium.llm.arrow import batchwise_pairs, free_name
 from tabularium.llm.tables import keep
-from tabularium.llm.words import ALNUM, Piece, Words, hash_runs, pieces, words_of
+from tabularium.llm.words import ALNUM, LOWER, Piece, Words, hash_runs, mixed, pieces, span_hashes, words_of
 
 RUN, LEAST, TWO, ONE = 3, 8, 12, 20
+STRETCH, NEAR = 36, 8
+#: Full stops of Chinese and Japanese, of Hindi, Urdu and Arabic, Armenian, Ethiopic, Khmer and Burmese.
+STOPS = "\u3002\uff01\uff1f\uff0e\uff61\u0964\u0965\u06d4\u061f\u0589\u1362\u17d4\u104b"
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n\r"]] = True
 
 
+def _plain(piece: Piece) -> Piece:
+    """The piece with stops of other scripts as ``.``, byte for byte."""
+    data = piece.data
+    if not len(data) or data.max() < 0xD6:
+        return piece
+    data = data.copy()
+    for stop in STOPS:
+        found = np.ones(max(0, len(data) - len(stop.encode()) + 1), bool)
+        for k, byte in enumerate(stop.encode()):
+            found &= piece.data[k : k + len(found)] == byte
+        at = np.flatnonzero(found)
+        for k in range(len(stop.encode())):
+            data[at + k] = ord(".")
+    return piece._replace(data=data)
+
+
+def _spaceless(data: np.ndarray) -> np.ndarray:
+    """Where characters begin of Thai, Lao, Burmese, Khmer, Chinese and Japanese."""
+    lead = (data >= 0xE3) & (data <= 0xE9)
+    if data.max(initial=0) >= 0xE0:
+        after = np.append(data[1:], np.uint8(0))
+        lead |= (data == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
+        lead |= (data == 0xE1) & np.isin(after, (0x80, 0x81, 0x82, 0x9E, 0x9F))
+    return np.flatnonzero(lead)
+
+
+def _words(piece: Piece) -> Words:
+    """The words of a piece; characters of scripts without spaces are words of their own."""
+    words = words_of(piece, ALNUM)
+    lead = _spaceless(piece.data)
+    if not len(lead):
+        return words
+    begins = np.zeros(len(piece.data) + 3, bool)
+    begins[words.starts] = True
+    begins[lead] = True
+    follow = lead + 3
+    inside = np.append(ALNUM[LOWER[piece.data]], np.zeros(3, bool))
+    inside[piece.bounds[1:]] &= False  # what begins the next text is among the starts
+    begins[follow] |= inside[follow]
+    starts = np.flatnonzero(begins)
+    ends = words.ends[np.searchsorted(words.ends, starts, "right")]
+    ends[:-1] = np.minimum(ends[:-1], starts[1:])
+    return Words(starts, ends, span_hashes(LOWER[piece.data], starts, ends), np.searchsorted(starts, piece.bounds))
+
+
+def _cuts(words: Words) -> np.ndarray:
+    """Words that have the least hash of some ``NEAR`` words in a row, the last of equals."""
+    n = len(words.hashes) - NEAR + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(mixed(words.hashes)[::-1], NEAR)[::-1]
+    at = np.arange(n) + NEAR - 1 - windows.argmin(axis=1)
+    text = np.searchsorted(words.bounds, np.arange(n), "right")
+    return np.unique(at[np.arange(n) + NEAR <= words.bounds[text]])
+
+
+def _stretches(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the spans that don't heed sentences, and the words after their last."""
+    cuts = _cuts(words)
+    to = np.searchsorted(cuts, cuts + STRETCH)
+    kept = to < len(cuts)
+    first, last = cuts[kept], cuts[to[kept]]
+    same = last < words.bounds[np.searchsorted(words.bounds, first, "right")]
+    return first[same], last[same]
+
+
 def _sentences(piece: Piece, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Of the sentences of a piece: the first word, and where each text's sentences begin.
 
@@ -48,36 +124,35 @@ def _sentences(piece: Piece, words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _spans(words: Words, firsts: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the spans of a piece: the first sentence, the number of sentences, and the hash."""
+    """Of the spans of a piece: the first word, the word after the last, and the hash."""
     n = len(firsts) - 1
     last = np.repeat(bounds[1:], np.diff(bounds))  # of each sentence's text
-    found = []
+    found = [_stretches(words)]
     for length, least in ((1, ONE), (2, TWO), (RUN, LEAST)):
         at = np.arange(max(0, n - length + 1))
         size = firsts[at + length] - firsts[at]
         at = at[(at + length <= last[at]) & (size >= least)]
-        found.append((at, np.full(len(at), length)))
-    at, length = (np.concatenate(column) for column in zip(*found, strict=True))
-    return at, length, hash_runs(words.hashes, firsts[at], firsts[at + length])
+        found.append((firsts[at], firsts[at + length]))
+    first, last = (np.concatenate(column) for column in zip(*found, strict=True))
+    return first, last, hash_runs(words.hashes, first, last)
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """``hash, doc_id, first, n``: every span as its first sentence (from 0) and its length."""
+    """``hash, doc_id, first, n``: every span as its first word (from 0) and its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
-            for piece in pieces(batch["text"]):
-                words = words_of(piece, ALNUM)
-                firsts, bounds = _sentences(piece, words)
-                at, length, hashes = _spans(words, firsts, bounds)
-                text = np.searchsorted(bounds, at, "right") - 1
+            for piece in map(_plain, pieces(batch["text"])):
+                words = _words(piece)
+                first, last, hashes = _spans(words, *_sentences(piece, words))
+                text = np.searchsorted(words.bounds, first, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(hashes.view(np.int64)),
                         pa.array(ids[piece.first + text], pa.int64()),
-                        pa.array(at - bounds[text], pa.int32()),
-                        pa.array(length, pa.int32()),
+                        pa.array(first - words.bounds[text], pa.int32()),
+                        pa.array(last - first, pa.int32()),
                     ],
                     ["hash", "doc_id", "first", "n"],
                 )
@@ -92,7 +167,7 @@ def spans(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, spans, origins`` of documents with spans that occurred before.
 
-    ``spans`` are structs of the first sentence and the number of sentences, ``origins`` the ids
+    ``spans`` are structs of the first word and the number of words, ``origins`` the ids
     of the documents of first occurrences; neither is longer than the document.
     """
     found = spans(docs)
@@ -110,46 +185,69 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
 
 
-_CUT = "struct<text: string, n_sentences: int, n_removed: int>"
+_CUT = "struct<text: string, n_sentences: int, n_removed: int, n_left: int>"
 
 
 def _cut(text: Column, found: Column) -> Column:
-    """A text without the sentences that spans cover, and their numbers. A null text stays null."""
+    """A text without what spans cover; its sentences, those that lost words, and the words left. Null stays null."""
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, found in batches:
-            out, counts, removed = [], [], []
-            for piece in pieces(texts):
-                words = words_of(piece, ALNUM)
+            out, counts, removed, left = [], [], [], []
+            for whole in pieces(texts):
+                piece = _plain(whole)
+                words = _words(piece)
                 firsts, bounds = _sentences(piece, words)
-                # a sentence reaches from its first word to that of the next; the text's ends go along
-                starts = np.append(words.starts, len(piece.data))[firsts]
+                # a word reaches to the next one; the text's ends go along
+                starts = np.append(words.starts, len(piece.data))
                 for k in range(piece.last - piece.first):
-                    row, n = piece.first + k, int(bounds[k + 1] - bounds[k])
-                    edges = starts[bounds[k] : bounds[k + 1] + 1].copy()
-                    gone = np.zeros(n, bool)
-                    for span in found[row].as_py() or ():
-                        gone[span["first"] : span["first"] + span["n"]] = True
-                    counts.append(n)
-                    removed.append(int(gone.sum()))
-                    if not gone.any():
+                    row, a, b = piece.first + k, int(words.bounds[k]), int(words.bounds[k + 1])
+                    spans = found[row].as_py() or ()
+                    counts.append(int(bounds[k + 1] - bounds[k]))
+                    gone = np.zeros(b - a + 1, np.int32)
+                    for span in spans:
+                        gone[span["first"]] += 1
+                        gone[span["first"] + span["n"]] -= 1
+                    gone = np.cumsum(gone[:-1]) > 0
+                    lost = 0
+                    if spans:
+                        edges = firsts[bounds[k] : bounds[k + 1] + 1] - a
+                        lost = _only_long(gone, edges)
+                    removed.append(lost)
+                    left.append(int((~gone).sum()))
+                    if not lost:
                         out.append(texts[row].as_py())
                         continue
-                    edges[0], edges[-1] = piece.bounds[k], piece.bounds[k + 1]
-                    data = piece.data[piece.bounds[k] : piece.bounds[k + 1]]
-                    out.append(data[np.repeat(~gone, np.diff(edges))].tobytes().decode())
+                    at = starts[a : b + 1].copy()
+                    at[0], at[-1] = piece.bounds[k], piece.bounds[k + 1]
+                    data = whole.data[piece.bounds[k] : piece.bounds[k + 1]]
+                    out.append(data[np.repeat(~gone, np.diff(at))].tobytes().decode())
             yield pa.StructArray.from_arrays(
-                [pa.array(out, pa.string()), pa.array(counts, pa.int32()), pa.array(removed, pa.int32())],
-                ["text", "n_sentences", "n_removed"],
+                [pa.array(out, pa.string()), *(pa.array(column, pa.int32()) for column in (counts, removed, left))],
+                ["text", "n_sentences", "n_removed", "n_left"],
             )
 
     return batchwise_pairs(_CUT, run)(text, found)
 
 
+def _only_long(gone: np.ndarray, edges: np.ndarray) -> int:
+    """Keeps words of a sentence that is covered in part by fewer than ``LEAST`` words in a row; how many lose any."""
+    new = np.zeros(len(gone), bool)
+    new[edges[:-1]] = True
+    new[1:] |= gone[1:] != gone[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(gone))
+    sentence = np.searchsorted(edges, first, "right") - 1
+    whole = (first == edges[sentence]) & (last == edges[sentence + 1])
+    kept = gone[first] & (whole | (last - first >= LEAST))
+    gone[:] = np.repeat(kept, last - first)
+    return len(np.unique(sentence[kept]))
+
+
 def mark_repeats(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a struct column of what is left, and its name.
 
-    Its fields: ``text``, ``n_sentences``, ``n_removed`` and ``origins``. Other columns stay.
+    Its fields: ``cut`` (``text``, ``n_sentences``, ``n_removed`` of these that lost words, ``n_left`` words) and ``origins``. Other columns stay.
     """
     name, key = free_name(docs, "left"), free_name(docs, "repeats_of")
     found = keep(repeats(docs), "repeats").select(
@@ -168,9 +266,9 @@ def mark_repeats(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def without_repeats(docs: DataFrame, drop_empty: bool = True) -> DataFrame:
-    """``docs`` without repeated sentences; same columns."""
+    """``docs`` without repeated passages; same columns."""
     marked, name = mark_repeats(docs)
     if drop_empty:
         cut = F.col(f"{name}.cut")
-        marked = marked.where((cut.n_removed == 0) | (cut.n_removed < cut.n_sentences))
+        marked = marked.where((cut.n_removed == 0) | (cut.n_left > 0))
     return marked.withColumn("text", F.col(f"{name}.cut.text")).select(*[F.col(f"`{c}`") for c in docs.columns])

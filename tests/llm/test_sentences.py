@@ -109,3 +109,34 @@ def test_the_first_is_the_smallest_id_however_rows_lie(spark, partitions):
     docs = documents(spark, ["x", text, "y", text, text], partitions)
     marked, name = s.mark_repeats(docs)
     assert {r.doc_id: r[name].origins for r in marked.collect() if r[name].cut.n_removed} == {3: [1], 4: [1]}
+
+
+def test_passages_of_51_words_are_found_wherever_they_stand(spark):
+    rng = random.Random(9)
+    fresh = lambda n: [f"{rng.randrange(1 << 40):x}" for _ in range(n)]
+    stops = lambda words, p: " ".join(w + rng.choice(".!") * (rng.random() < p) for w in words)
+    texts = []
+    for k in range(40):
+        passage = stops(fresh(51), 0.0 if k % 2 else 0.06)  # one sentence, or few
+        texts += [" ".join((*fresh(30), passage, *fresh(30))) for _ in range(2)]
+    lines = "\n".join(fresh(60))
+    texts += [f"{' '.join(fresh(9))}\n{lines}\nAnd {' '.join(fresh(9))}" for _ in range(2)]
+    chinese = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    passage = "\u3002".join(chinese(9) for _ in range(6))
+    texts += [f"{chinese(30)}{passage}{chinese(30)}" for _ in range(2)]
+    marked, name = s.mark_repeats(documents(spark, texts))
+    rows = {r.doc_id: r[name] for r in marked.collect()}
+    for k in range(0, len(texts), 2):
+        assert rows[k].cut.text == texts[k]
+        assert rows[k + 1].origins == [k] and rows[k + 1].cut.n_left <= len(s_words(texts[k + 1])) - s.STRETCH + 2 * s.LEAST
+        assert texts[k + 1].startswith(rows[k + 1].cut.text[:20]) and texts[k + 1].endswith(rows[k + 1].cut.text[-20:])
+
+
+def s_words(text):
+    return re.findall("[\u4e00-\u9fff]|[0-9a-z]+", text.lower())
+
+
+def test_stops_of_other_scripts_end_sentences(spark):
+    texts = ["\u0915 \u0916\u0964 \u0917 \u0918\u0964", "\u4e2d\u6587\u3002\u6587\u4e2d\uff01\u4e2d", "a b\u061f c\u06d4 d"]
+    marked, name = s.mark_repeats(documents(spark, texts))
+    assert {r.doc_id: r[name].cut.n_sentences for r in marked.collect()} == {0: 2, 1: 3, 2: 3}
