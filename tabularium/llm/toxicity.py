@@ -4,9 +4,9 @@ A text is the set of slots that its lower-cased words hash to. Its score is the
 
     bias + sum of w[i] + sum over pairs of <v[i], v[j]>
 
-so that two terms may mean together what neither means alone. Slots whose share among positive and
-negative sample texts does not differ clearly are left out (``z``, ``least``), which keeps words that
-single texts happen to hold from being learned by heart.
+so that two terms may mean together what neither means alone. All slots that at least ``LEAST`` sample texts
+hold are learned, whether or not they tell labels apart alone. Steps are shorter for slots with little evidence
+(``_paces``), which keeps words that few texts happen to hold from being learned by heart.
 
 The model is learned from a bounded sample of labelled texts (``sample``, the expected size). Shards of
 the sample train a copy each by AdaGrad steps over small batches, the driver averages the copies, and
@@ -32,9 +32,10 @@ from tabularium.llm.words import ALNUM, pieces, words_of
 
 #: Expected number of labelled texts that are learned from.
 SAMPLE = 20_000
-#: Hash slots of terms; a slot is kept if this many sample texts hold it and the two shares of texts
-#: that do differ by this many standard errors.
-SLOTS, LEAST, Z = 1 << 20, 6, 4.0
+#: Hash slots of terms; a slot is kept if this many sample texts hold it.
+SLOTS, LEAST = 1 << 20, 2
+#: Slots whose shares by label are ``Z`` standard errors apart learn at full pace, if ``CLEAR`` texts hold them.
+CLEAR, Z, FALL, OFTEN, SLOWEST = 6, 4.0, 12, 4.0, 1e-3
 FACTORS, SHARDS, ROUNDS, EPOCHS, RATE, DECAY, BATCH = 4, 4, 6, 3, 0.1, 1e-4, 64
 
 
@@ -92,29 +93,36 @@ def _slot_sets(sample: DataFrame) -> DataFrame:
     )
 
 
-def _chosen_slots(sets: DataFrame, positive: int, negative: int) -> list[int]:
-    """Slots that tell the labels apart; at most ``SLOTS``."""
-    total = positive + negative
+def _slot_counts(sets: DataFrame) -> pa.Table:
+    """``slot, n, hits`` by slot: how many texts hold a slot, and how many of these are positive; at most ``SLOTS``."""
     count = sets.select("label", F.explode("slots").alias("slot")).groupBy("slot").agg(
         F.sum(F.lit(1)).alias("n"), F.sum("label").alias("hits")
     )
-    share = F.col("n") / total
-    gap = F.col("hits") / positive - (F.col("n") - F.col("hits")) / negative
-    error = F.sqrt(share * (1 - share) * (1 / positive + 1 / negative))
-    told = count.where((F.col("n") >= LEAST) & (F.abs(gap) > Z * error))
-    return sorted(row.slot for row in told.select("slot").collect())
+    return count.where(F.col("n") >= LEAST).toArrow().sort_by("slot")
 
 
-def _train(rows: list[tuple[int, np.ndarray]], model: Machine, step: dict, seed: int) -> tuple[Machine, dict]:
+def _paces(n: np.ndarray, hits: np.ndarray, positive: int, negative: int) -> np.ndarray:
+    """How long each slot's steps are, to 1: by how clearly it tells the labels apart alone, or else by how many texts
+    hold it, as what it means with others is learned from these."""
+    share = n / (positive + negative)
+    gap = np.abs(hits / positive - (n - hits) / negative)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positive + 1 / negative))
+    clear = np.where(n >= CLEAR, np.minimum(gap / (Z * error), 1) ** FALL, 0)
+    return np.clip(np.maximum(clear, OFTEN * share), SLOWEST, 1)
+
+
+def _train(
+    rows: list[tuple[int, np.ndarray]], model: Machine, step: dict, pace: np.ndarray, seed: int
+) -> tuple[Machine, dict]:
     """One shard's rounds over its texts, from a given model and sums of squared gradients."""
-    weights, factors, bias = model.weights.copy(), model.factors.copy(), model.bias
-    squares = {name: np.copy(value) for name, value in step.items()}
+    weights, factors, bias = model.weights.astype(float), model.factors.astype(float), model.bias
+    squares = {name: value.astype(float) for name, value in step.items()}
     labels = np.array([label for label, _ in rows], np.float64)
     order = np.random.default_rng(seed)
 
-    def move(name: str, value: np.ndarray, gradient: np.ndarray) -> np.ndarray:
-        squares[name] += gradient * gradient
-        return value - RATE * gradient / np.sqrt(squares[name] + 1e-8)
+    def moved(name: str, at: np.ndarray | slice, gradient: np.ndarray) -> np.ndarray:
+        squares[name][at] += gradient * gradient
+        return RATE * gradient / np.sqrt(squares[name][at] + 1e-8)
 
     for _ in range(EPOCHS):
         mixed = order.permutation(len(rows))
@@ -127,40 +135,44 @@ def _train(rows: list[tuple[int, np.ndarray]], model: Machine, step: dict, seed:
             error = 1 / (1 + np.exp(-now.logits(feature, owner, len(at)))) - labels[at]
             used, place = np.unique(feature, return_inverse=True)
             pull = error[owner]
-            bias = float(move("bias", np.array([bias]), np.array([error.mean()]))[0])
-            slope = np.zeros_like(weights)
-            slope[used] = np.bincount(place, pull, len(used)) / len(at) + DECAY * weights[used]
-            weights = move("weights", weights, slope)
-            tilt = np.zeros_like(factors)
+            bias -= float(moved("bias", slice(None), np.array([error.mean()]))[0])
+            slope = np.bincount(place, pull, len(used)) / len(at) + DECAY * weights[used]
+            tilt = DECAY * factors[used]
             for k in range(factors.shape[1]):
                 value = factors[feature, k]
                 total = np.bincount(owner, value, len(at))[owner]
-                tilt[used, k] = np.bincount(place, pull * (total - value), len(used)) / len(at)
-            tilt[used] += DECAY * factors[used]
-            factors = move("factors", factors, tilt)
+                tilt[:, k] += np.bincount(place, pull * (total - value), len(used)) / len(at)
+            weights[used] -= pace[used] * moved("weights", used, slope)
+            factors[used] -= pace[used, None] * moved("factors", used, tilt)
     return Machine(model.feature, bias, weights, factors), squares
 
 
-def _round(sets: DataFrame, model: Machine, step: dict, number: int) -> tuple[Machine, dict]:
+def _round(
+    sets: DataFrame, model: Machine, step: dict, pace: np.ndarray, number: int
+) -> tuple[Machine, dict]:
     """All shards train from one model; the mean of what they come to."""
-    sent = send(sets.sparkSession, (model, step))
+    # single precision halves what the driver holds of each shard's copy
+    light = model._replace(weights=model.weights.astype("<f4"), factors=model.factors.astype("<f4"))
+    sums = {name: value.astype("<f4") for name, value in step.items()}
+    sent = send(sets.sparkSession, (light, sums, pace.astype("<f4")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, squares = sent.value
+        start, squares, pace = sent.value
         rows = []
         for batch in batches:
             for label, slots in zip(batch["label"], batch["slots"], strict=True):
                 kept = np.unique(start.feature[slots.values.to_numpy()])
                 rows.append((label.as_py(), kept[kept > 0]))
         if rows:
-            made, squares = _train(rows, start, squares, number)
+            made, squares = _train(rows, start, squares, pace, number)
             parts = [[made.bias], made.weights, made.factors.ravel()]
             parts += [squares["bias"], squares["weights"], squares["factors"].ravel()]
-            flat = np.concatenate(parts).astype("<f8").tobytes()
+            flat = np.concatenate(parts).astype("<f4").tobytes()
             yield pa.RecordBatch.from_pydict({"n": [len(rows)], "values": [flat]})
 
     rows = sets.mapInArrow(run, "n long, values binary").collect()  # a model per shard
-    flat = np.average([np.frombuffer(r["values"], "<f8") for r in rows], axis=0, weights=[r.n for r in rows])
+    sent.packed.destroy()
+    flat = sum(np.frombuffer(r["values"], "<f4").astype(float) * (r.n / sum(other.n for other in rows)) for r in rows)
     n, k = model.factors.shape
     bias, weights, factors, *squares = np.split(flat, np.cumsum([1, n, n * k, 1, n]))
     made = Machine(model.feature, float(bias[0]), weights, factors.reshape(n, k))
@@ -200,20 +212,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Sent:
         count = {row.label: row["count"] for row in sets.groupBy("label").count().collect()}
         positive, negative = count.get(1, 0), count.get(0, 0)
         feature = np.zeros(SLOTS, np.int32)
-        slots = _chosen_slots(sets, positive, negative) if positive and negative else []
-        feature[slots] = np.arange(1, len(slots) + 1)
+        pace = np.zeros(1)
+        if positive and negative:
+            slots, n, hits = (column.to_numpy() for column in _slot_counts(sets).columns)
+            feature[slots] = np.arange(1, len(slots) + 1)
+            pace = np.append(pace, _paces(n, hits, positive, negative))
         if not positive + negative:
             bias = -np.inf
         else:
             bias = float(np.log((positive + 0.5) / (negative + 0.5)))
-        n = len(slots) + 1
-        factors = np.random.default_rng(7).normal(0, 0.05, (n, FACTORS))
-        factors[0] = 0
+        n = len(pace)
+        factors = np.random.default_rng(7).normal(0, 0.05, (n, FACTORS)) * np.sqrt(pace)[:, None]
         model = Machine(feature, bias, np.zeros(n), factors)
         step = {"bias": np.zeros(1), "weights": np.zeros(n), "factors": np.zeros((n, FACTORS))}
         if positive and negative:
             for number in range(ROUNDS):
-                model, step = _round(sets, model, step, number)
+                model, step = _round(sets, model, step, pace, number)
     finally:
         sets.unpersist()
     return send(spark, model)

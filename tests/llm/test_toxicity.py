@@ -62,3 +62,19 @@ def test_without_two_kinds_of_labels_the_bias_is_all(spark, rows):
     assert len(found) == 1
     if not [1 for _, label in rows if label is not None]:
         assert found == {0.0}
+
+
+def test_pairs_count_where_each_term_alone_tells_nothing(spark):
+    rng = random.Random(6)
+    texts, labels = [], []
+    for k in range(3200):
+        text = rng.choices([f"w{i}" for i in range(40)], k=12)
+        one, other = k % 4 in (0, 1), k % 4 in (0, 2)  # each in half of either kind
+        text += ["insult"] * one + ["group"] * other
+        texts.append(" ".join(rng.sample(text, len(text))))
+        labels.append((k, int(one == other)))
+    known = [row for row in labels if row[0] % 8 < 4]
+    machine = toxicity.learn(documents(spark, texts), spark.createDataFrame(known, "doc_id long, label int"))
+    found = scores(documents(spark, texts), machine)
+    right = [(found[k] >= 0.5) == label for k, label in labels if k % 8 >= 4]
+    assert sum(right) > 0.95 * len(right)
