@@ -16,6 +16,7 @@ from tabularium.llm import (
     merkle,
     minhash,
     mixing,
+    resampling,
     sentences,
     topk,
     toxicity,
@@ -226,3 +227,58 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@_query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth of all documents that is drawn towards the benchmark, in order."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    drawn = resampling.resample(docs, _table(spark, sf_dir, "benchmark", "text"), percent=10, least=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# crc32 by its rule, over the bytes of each distinct word; A-Z is lowered letter by letter, as other letters stay.
+LLM_ORACLES["op12_resampling"] = r"""
+with bytes as (
+    select list(list_reduce(range(8), lambda c, i: case when (c & 1) = 1
+        then xor(3988292384, c >> 1) else c >> 1 end, cast(b as bigint)) order by b) as crcs
+    from range(256) t(b)
+), texts as (
+    select 's' as side, doc_id, text from documents union all select 't', null, text from benchmark
+), lists as (
+    select side, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from texts
+), features as (
+    select side, doc_id, unnest(words) as word from lists
+), distinct_words as (
+    select distinct word, hex(encode(word)) as h from features
+), buckets as (
+    select word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i:
+            16 * (instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1)
+            + instr('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1),
+        lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8), cast(4294967295 as bigint)), 4294967295) % 10000 as bucket
+    from distinct_words, bytes
+), counted as (
+    select bucket, count(*) filter (side = 's') as s, count(*) filter (side = 't') as t
+    from features join buckets using (word) group by bucket
+), gains as (
+    select bucket, cast(floor(1000 * ln(cast((t + 1) * ((select sum(s) from counted) + 10000) as double)
+        / cast((s + 1) * ((select sum(t) from counted) + 10000) as double))) as bigint) as gain
+    from counted
+), weights as (
+    select doc_id, count(*) as n, cast(floor(cast(sum(gain) as double) / count(*)) as bigint) as weight
+    from features join buckets using (word) join gains using (bucket) where side = 's' group by doc_id
+), scored as (
+    select doc_id, cast(len(words) as bigint) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((
+            cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) + 0.5) / 4294967296))) as bigint) as score
+    from lists left join weights using (doc_id) where side = 's'
+), ranked as (
+    select doc_id, row_number() over (order by score desc, doc_id) as place from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score,
+    case when place <= (select count(*) from ranked) * 10 // 100 then place end as rank
+from scored left join ranked using (doc_id)
+"""

@@ -16,4 +16,15 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     folder = new_folder(spark, name)
     frame.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(frame.schema).parquet(folder)
+    kept = spark.read.schema(frame.schema).parquet(folder)
+    kept._kept_at = folder
+    return kept
+
+
+def release(kept: DataFrame) -> None:
+    """Delete what ``keep`` wrote, once nothing reads it any more; other frames stay as they are."""
+    folder = kept.__dict__.pop("_kept_at", None)
+    if folder is not None:
+        spark = kept.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
