@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabularium.llm import (
     bpe,
+    compression,
     decontamination,
     language,
     licences,
@@ -282,3 +283,71 @@ select doc_id, n_features, weight, score,
     case when place <= (select count(*) from ranked) * 10 // 100 then place end as rank
 from scored left join ranked using (doc_id)
 """
+
+
+@_query
+def op11_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte codes of all vectors, with their errors."""
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return compression.compress(vectors, parts=4, entries=256, rounds=4, scale=1024)
+
+
+def _compression_sql(rounds: int = 4) -> str:
+    """Every part against every entry of its codebook; products of these numbers are exact as doubles."""
+    width = "(select len(v) // 4 from whole limit 1)"
+    steps = [
+        """whole as materialized (
+    select vec_id, label, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null
+      and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+)""",
+        f"""parts as materialized (
+    select vec_id, label, part, v[part * {width} + 1 : (part + 1) * {width}] as p
+    from whole, range(4) t(part)
+)""",
+        """book0 as materialized (
+    select part, p as entry, row_number() over (partition by part order by vec_id) - 1 as k
+    from parts where vec_id in (select vec_id from whole order by vec_id limit 256)
+)""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""near{r} as materialized (
+    select vec_id, label, part, any_value(p) as p, min(256 * cast(list_dot_product(p, p)
+        - 2 * list_dot_product(p, entry) + list_dot_product(entry, entry) as bigint) + k) as best
+    from parts join book{r} using (part) group by vec_id, label, part
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""moved{r} as (
+    select part, k, list(mean order by place) as entry from (
+        select part, best % 256 as k, place, floor(sum(x) / count(*)) as mean
+        from (select part, best, unnest(p) as x, generate_subscripts(p, 1) as place from near{r})
+        group by all)
+    group by part, k
+), book{r + 1} as materialized (
+    select part, k, coalesce(m.entry, b.entry) as entry
+    from book{r} b left join moved{r} m using (part, k)
+)"""
+            )
+    return (
+        "with "
+        + ", ".join(steps)
+        + f""", codes as (
+    select vec_id, label, string_agg(right('0' || lower(to_hex(best % 256)), 2), '' order by part) as code,
+        cast(sum(best // 256) as bigint) as error
+    from near{rounds} group by vec_id, label
+), books as (
+    select sha256(string_agg(array_to_string(list_transform(entry, lambda x: cast(x as bigint)), ','), ','
+        order by part, k)) as codebooks_sha256
+    from book{rounds}
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from codes, books
+"""
+    )
+
+
+LLM_ORACLES["op11_compression"] = _compression_sql()
