@@ -17,6 +17,7 @@ from tabularium.llm import (
     merkle,
     minhash,
     mixing,
+    personal,
     resampling,
     sentences,
     topk,
@@ -351,3 +352,16 @@ from codes, books
 
 
 LLM_ORACLES["op11_compression"] = _compression_sql()
+
+
+@_query
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: plain forms, and what the trained field adds."""
+    model = personal.learn(personal.labelled_lines(spark))
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select("doc_id", personal.find(F.col("text"), model).alias("found")).select(
+        "doc_id",
+        *(F.col(f"found.n_{kind}").alias(f"n_{kind}") for kind in personal.KINDS),
+        F.sha2(F.col("found.plain").cast("binary"), 256).alias("base_sha256"),
+        F.col("found.spans").alias("spans"),
+    )

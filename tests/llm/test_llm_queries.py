@@ -125,3 +125,17 @@ def test_repeats_are_flagged_with_their_origin(spark, documents):
         assert row.repeats == (row.n_removed > 0) == bool(row.repeats_of)
         if first != doc["doc_id"] and len((doc["text"] or "").split()) > 60:
             assert row.n_removed == row.n_sentences
+
+
+def test_personal_data(spark, documents):
+    from test_personal import FORMS, naive_spans
+
+    found = rows(spark, "op13_personal")
+    assert found.keys() == {d["doc_id"] for d in documents}
+    for doc in documents:
+        row, plain = found[doc["doc_id"]], naive_spans(doc["text"] or "")
+        listed = [f"{kind}:{start}:{end}" for start, end, kind in plain]
+        assert row.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        counts = [sum(span[2] == kind for span in plain) for kind in FORMS]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts
+        assert set(listed) <= set(row.spans.split(","))
