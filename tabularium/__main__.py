@@ -9,10 +9,17 @@ import sys
 from pyspark.sql import SparkSession, functions as F
 
 from tabularium.functions.links import last_month, month_text
-from tabularium.layouts import DENTAL_ACTIVITIES, WANTED_ENTITIES
+from tabularium.layouts import DENTAL_ACTIVITIES, ENTITIES, ESTABLISHMENTS, WANTED_ENTITIES
 from tabularium.operators import extract_links, latest_snapshot, missing_files, wanted_files
-from tabularium.plans import build_manifest, refresh_silver, silver_from_folder
-from tabularium.sources import extract_archives, list_files, read_pages, write_silver
+from tabularium.plans import build_manifest, load_silver, refresh_silver
+from tabularium.sources import (
+    check_archives,
+    check_entity,
+    extract_archives,
+    list_files,
+    read_pages,
+    write_checked,
+)
 
 
 def latest(spark: SparkSession, args) -> int:
@@ -45,16 +52,34 @@ def missing(spark: SparkSession, args) -> int:
     return 0 if spark.read.parquet(args.target).isEmpty() else 1
 
 
+def verify(spark: SparkSession, args) -> int:
+    """Write which archives are whole; fail if any is not."""
+    check_archives(spark, args.archives, args.entities).write.mode("overwrite").parquet(args.target)
+    return 0 if spark.read.parquet(args.target).where("fault is not null").isEmpty() else 1
+
+
+def rejects(spark: SparkSession, args) -> int:
+    """Write an entity's sound and faulty lines apart, and print the counts; fail if too many have faults."""
+    entity = ENTITIES[args.entity]
+    checked = check_entity(spark, args.source, entity, args.encoding, escape=args.escape)
+    counts = write_checked(checked, args.target, entity.schema)
+    for name, n in counts.items():
+        print(f"{name}\t{n}")
+    return 0 if args.most is None or counts["faulty"] <= args.most else 1
+
+
 def extract(spark: SparkSession, args) -> int:
     """Extract archives into entity folders."""
-    extract_archives(spark, args.archives, args.target, args.entities)
+    extract_archives(spark, args.archives, args.target, args.entities, distinct=args.distinct)
     return 0
 
 
 def transform(spark: SparkSession, args) -> int:
     """Entity folders to silver table."""
-    silver = silver_from_folder(spark, args.source, args.documented, **_options(args))
-    write_silver(silver, args.target, args.by)
+    layout = {"by": args.by, "cluster": args.cluster, "blooms": args.blooms}
+    load_silver(
+        spark, args.source, args.target, args.documented, args.counts, args.retain, layout, **_options(args)
+    )
     return 0
 
 
@@ -69,6 +94,12 @@ def refresh(spark: SparkSession, args) -> int:
         by=args.by,
         documented=args.documented,
         manifest=manifest,
+        verify=not args.unverified,
+        distinct=args.distinct,
+        retain=args.retain,
+        cluster=args.cluster,
+        blooms=args.blooms,
+        counts=args.counts,
         **_options(args),
     )
     return 0
@@ -109,17 +140,33 @@ def _parser() -> argparse.ArgumentParser:
     files.add_argument("--entities", nargs="+", default=WANTED_ENTITIES)
     files.add_argument("--index", help="saved index pages, to take the newest snapshot only")
     stage(missing, "manifest", "archives", "target")
-    stage(extract, "archives", "target").add_argument(
+    stage(verify, "archives", "target").add_argument("--entities", nargs="+")
+    faulty = stage(rejects, "source", "target")
+    faulty.add_argument("--entity", default=ESTABLISHMENTS.folder, choices=ENTITIES)
+    faulty.add_argument("--encoding", help="if not the entity's own")
+    faulty.add_argument("--escape", default="\\", help="what escapes a quote in a quoted field")
+    faulty.add_argument("--most", type=int, help="fail if more lines than these have faults")
+    extracted = stage(extract, "archives", "target")
+    extracted.add_argument(
         "--entities", nargs="+", help="one job for each, all at once, without sorting; otherwise one for all"
     )
     whole = stage(refresh, "archives", "extracted", "target")
     whole.add_argument("--manifest", help="start only if all of its files have landed")
+    whole.add_argument("--unverified", action="store_true", help="do not read the archives through first")
+    for sub in (extracted, whole):
+        sub.add_argument("--distinct", action="store_true", help="take a member that an entity has twice once")
     for sub in (stage(transform, "source", "target"), whole):
+        sub.add_argument("--counts", metavar="PATH", help="where to leave the counts of the load")
+        sub.add_argument(
+            "--retain", type=int, help="publish the table by versions and keep so many; otherwise it is overwritten"
+        )
+        sub.add_argument("--cluster", nargs="*", default=[], metavar="COLUMN", help="order the rows for readers that filter by these")
+        sub.add_argument("--blooms", nargs="*", default=[], metavar="COLUMN", help="columns that get Bloom filters")
         sub.add_argument("--by", help="partition the table by this column, such as uf")
         sub.add_argument("--documented", action="store_true", help="the 37-column layout")
         sub.add_argument("--dates", choices=("legacy", "strict"), default="legacy")
         sub.add_argument(
-            "--encodings", nargs="*", default=[], metavar="ENTITY=ENCODING", help="if not the usual"
+            "--encodings", nargs="*", default=[], metavar="ENTITY=ENCODING", help="if not the usual; auto tells it by the bytes"
         )
         sub.add_argument(
             "--hot", nargs="*", default=[], metavar="COLUMN=CODE", help="codes that hold a large share of rows"

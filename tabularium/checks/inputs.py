@@ -7,12 +7,16 @@ from __future__ import annotations
 
 import itertools
 import re
+import shutil
+import tempfile
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tabularium.checks.scratch import written_once
 from tabularium.layouts import (
@@ -24,7 +28,7 @@ from tabularium.layouts import (
     MUNICIPALITIES,
     REASONS,
 )
-from tabularium.sources.archives import locate
+from tabularium.sources.archives import list_archives, locate, open_file
 
 _ORDER_DATE = "replace(cast(cast(o.o_orderdate as date) as string), '-', '')"
 
@@ -270,6 +274,127 @@ def archive_folder(spark: SparkSession, sf_dir: str) -> str:
     return written_once(spark, "archives", sf_dir, write)
 
 
+#: How many archives of establishments are laid down to be broken; of four the second is cut, the third changed.
+FRAGILE = 12
+_NOTE = b"dados abertos\n"
+
+
+def fragile_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Archives ``Estabelecimentos<n>.zip`` by order, of which some are cut off and some have a byte changed.
+
+    Each holds its lines as ``<n>.csv`` and a short note.
+    """
+
+    def write(root: str) -> None:
+        line = F.to_csv(F.struct(*ESTABLISHMENT_FIELDS), {"sep": FIELD_SEPARATOR, "quoteAll": "true"})
+        facts = in_spark(spark, sf_dir, establishments_sql("id", *ESTABLISHMENT_FIELDS))
+        lines = facts.select((F.col("id") % FRAGILE).cast("int").alias("n"), line.alias("line"))
+
+        def zip_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = ((r["n"], r["line"]) for batch in batches for r in batch.to_pylist())
+            for n, group in itertools.groupby(rows, key=lambda row: row[0]):
+                with tempfile.TemporaryFile() as file:
+                    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+                        with archive.open(f"{n}.csv", "w") as member:
+                            for _, text in group:
+                                member.write(f"{text}\n".encode())
+                        archive.writestr("note.txt", _NOTE)
+                        info = archive.getinfo(f"{n}.csv")
+                    size = file.seek(0, 2)
+                    if n % 4 == 1:
+                        file.truncate(2 * size // 3)
+                    elif n % 4 == 2:
+                        at = info.header_offset + 30 + len(info.filename) + info.compress_size // 2
+                        file.seek(at)
+                        changed = bytes([file.read(1)[0] ^ 0x10])
+                        file.seek(at)
+                        file.write(changed)
+                    file.seek(0)
+                    _put(root, f"{ESTABLISHMENTS.folder}{n}.zip", file)
+                yield pa.RecordBatch.from_pydict({"n": pa.array([1], pa.int64())})
+
+        grouped = lines.repartitionByRange(FRAGILE, "n").sortWithinPartitions("n")
+        grouped.mapInArrow(zip_groups, "n bigint").agg(F.sum("n")).collect()
+
+    return written_once(spark, "fragile", sf_dir, write)
+
+
+def _put(folder: str, name: str, file: IO[bytes]) -> None:
+    """A file of a shared folder, whole or not at all, whichever attempt of a task writes it."""
+    system, root = locate(folder)
+    system.create_dir(root, recursive=True)
+    unfinished = f"{root}/_{name}.{TaskContext.get().taskAttemptId()}"
+    with system.open_output_stream(unfinished) as sink:
+        shutil.copyfileobj(file, sink)
+    system.move(unfinished, f"{root}/{name}")
+
+
+def repeated_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The archives of ``archive_folder``, each also under another name and with other names of its members."""
+
+    def write(root: str) -> None:
+        archives = list_archives(spark, archive_folder(spark, sf_dir)).select("archive", "entity")
+
+        def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    number = re.search(r"(\d+)\.zip$", row["archive"])[1]
+                    for first, prefix in ((1, ""), (2, "again-")):
+                        with open_file(row["archive"]) as source, zipfile.ZipFile(source) as old, tempfile.TemporaryFile() as file:
+                            with zipfile.ZipFile(file, "w", zipfile.ZIP_STORED if prefix else zipfile.ZIP_DEFLATED) as new:
+                                for info in old.infolist():
+                                    with old.open(info) as member, new.open(f"{prefix}{info.filename}", "w") as out:
+                                        shutil.copyfileobj(member, out)
+                            file.seek(0)
+                            _put(root, f"{row['entity']}{first}{number}.zip", file)
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+        archives.repartition(8).mapInArrow(copy, "n bigint").agg(F.sum("n")).collect()
+
+    return written_once(spark, "repeated", sf_dir, write)
+
+
+def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The activities as files of which some are in UTF-8 and some in ISO-8859-1."""
+
+    def write(root: str) -> None:
+        activities = in_spark(spark, sf_dir, ACTIVITIES_SQL)
+        for digit, encoding in enumerate(("UTF-8", "ISO-8859-1")):
+            mine = activities.where(F.expr(f"cast(codigo as bigint) % 2 = {digit}"))
+            write_delimited(mine.repartition(3), f"{root}/part{digit}", encoding)
+
+    return written_once(spark, "mixed", sf_dir, write)
+
+
+# Lines of five fields, two of them numbers, with faults by order. The text is put together here, so that
+# both engines see the same bytes.
+PLANTED_LINES_SQL = """
+select id, n, case n
+    when 1 then concat('"', name, '";S/N;"', city, '";', key, ';"z"')
+    when 2 then concat('"', name, '";1;"', city, '";', key)
+    when 3 then concat('"', name, '";1;"', city, '";', key, ';"z";"more"')
+    when 4 then concat('"', name, chr(92), '";1;"', city, '";', key, ';"z"')
+    when 5 then concat('"', name, '";1;"', city, '";', key, ';"z')
+    when 6 then concat('"', name, '";007;"";3000000000;')
+    when 7 then concat(name, ';;', city, '; 5;z')
+    else concat('"', name, '";', key, ';"', city, '; A";', key, ';"z"') end as line
+from (select o_orderkey as id, cast(o_orderkey % 11 as int) as n, cast(o_orderkey as string) as key,
+    concat('C', cast(o_custkey as string)) as name, o_orderpriority as city from {orders}) t
+"""
+PLANTED_SCHEMA = StructType(
+    [StructField(name, IntegerType() if name in ("number", "key") else StringType()) for name in ("name", "number", "city", "key", "mark")]
+)
+
+
+def planted_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The planted lines as text files."""
+
+    def write(root: str) -> None:
+        in_spark(spark, sf_dir, PLANTED_LINES_SQL).select("line").write.text(root)
+
+    return written_once(spark, "planted", sf_dir, write)
+
+
 def page_folder(spark: SparkSession, sf_dir: str) -> str:
     """The saved pages as files, ``<page_id>.html``."""
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from tabularium.checks import inputs
-from tabularium.checks.queries import CHOSEN_ACTIVITIES, INDEX_BASE
+from tabularium.checks.queries import CHOSEN_ACTIVITIES, COUNTED_ACTIVITIES, INDEX_BASE
 from tabularium.layouts import ESTABLISHMENT_FIELDS
 
+_COUNTED = ", ".join(f"'{code}'" for code in COUNTED_ACTIVITIES)
 _CHOSEN = ", ".join(f"'{code}'" for code in CHOSEN_ACTIVITIES)
 
 
@@ -126,6 +127,46 @@ ORACLES: dict[str, str] = {
     "parquet_overwrite": _facts() + _TYPED,
     "parquet_by_state": _with(**_SILVER_PARTS) + _SILVER_35,
     "parquet_by_code": _with(**_SILVER_PARTS) + _SILVER_35,
+    "parquet_publish": _with(**_SILVER_PARTS) + _SILVER_35,
+    "silver_pruned": f"""{_with(**_SILVER_PARTS)} select * from ({_SILVER_35})
+        where uf = 'SP' and cd_cnae_fiscal between '0000100' and '0000400'""",
+    "silver_counts": f"""{_with(**_DOCUMENTED_PARTS)}, s as ({_SILVER_37} where cd_cnae_fiscal in ({_COUNTED}))
+        select 'rows_read' as name, count(*) as n from f1
+        union all select 'rows_written', count(*) from s
+        union all select 'unmatched_cd_motivo_situacao_cadastral', count(*) from s
+            where cd_motivo_situacao_cadastral is not null and motivo_situacao_cadastral is null
+        union all select 'unmatched_cd_cnae_fiscal', count(*) from s
+            where cd_cnae_fiscal is not null and cnae_fiscal is null
+        union all select 'unmatched_cd_pais', count(*) from s where cd_pais is not null and pais is null
+        union all select 'unmatched_cd_municipio', count(*) from s
+            where cd_municipio is not null and municipio is null""",
+    "archive_integrity": _with(f1=inputs.establishments_sql("id", *ESTABLISHMENT_FIELDS))
+    + f"""select 'Estabelecimentos' || n || '.zip' as file_name, 'Estabelecimentos' as entity,
+            case when n % 4 <> 1 then cast(2 as bigint) end as members,
+            case when n % 4 <> 1 then cast(sum(octet_length(encode(line)) + 1) + 14 as bigint) end as bytes,
+            case n % 4 when 1 then 'directory' when 2 then n || '.csv: content' end as fault
+        from (select cast(id % {inputs.FRAGILE} as int) as n, {_line(*ESTABLISHMENT_FIELDS)} as line from f1)
+        group by n""",
+    "archive_distinct": _with(f1=inputs.establishments_sql(), r=inputs.REASONS_SQL)
+    + f"""select 'Estabelecimentos' as entity, {_line(*ESTABLISHMENT_FIELDS)} as line from f1
+        union all select 'Motivos', {_line("codigo", "descricao")} from r""",
+    "csv_mixed_encodings": inputs.in_oracle(inputs.ACTIVITIES_SQL),
+    "csv_rejects": _with(lines=inputs.PLANTED_LINES_SQL)
+    + """, orders_by_id as (
+            select o_orderkey as id, 'C' || o_custkey as o_clerk, o_orderpriority, cast(o_orderkey as int) as key from orders)
+        select case n when 4 then '"' || o_clerk || '";1;"' || o_orderpriority || '"' else o_clerk end as name,
+            cast(case n when 1 then null when 4 then key when 6 then 7 when 7 then null
+                when 2 then 1 when 3 then 1 when 5 then 1 else key end as int) as number,
+            case n when 4 then 'z' when 6 then null when 0 then o_orderpriority || '; A'
+                when 1 then o_orderpriority when 2 then o_orderpriority when 3 then o_orderpriority
+                when 5 then o_orderpriority when 7 then o_orderpriority else o_orderpriority || '; A' end as city,
+            cast(case when n in (4, 6, 7) then null else key end as int) as key,
+            case when n in (2, 4, 6) then null else 'z' end as mark,
+            case when n between 1 and 7 then line end as line,
+            case n when 1 then 'value:number' when 2 then 'short' when 3 then 'long' when 4 then 'short'
+                when 5 then 'quote' when 6 then 'value:key' when 7 then 'value:key' else '' end as faults,
+            n between 1 and 7 as faulty
+        from lines join orders_by_id using (id)""",
     "archive_expand": _with(r=inputs.REASONS_SQL, a=inputs.ACTIVITIES_SQL)
     + "select 'Motivos' as entity, * from r union all select 'Cnaes' as entity, * from a",
     "archive_extract": _with(f1=inputs.establishments_sql(), r=inputs.REASONS_SQL, a=inputs.ACTIVITIES_SQL)

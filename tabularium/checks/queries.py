@@ -34,16 +34,24 @@ from tabularium.plans import (
     CODE_COLUMNS,
     build_manifest,
     build_silver,
+    load_silver,
     refresh_silver,
     silver_from_folder,
 )
 from tabularium.sources import (
+    archived_lines,
     archived_rows,
+    check_archives,
     extract_archives,
+    publish_silver,
+    read_checked,
     read_delimited,
     read_entity,
+    read_members,
+    read_mixed,
     read_pages,
     read_silver,
+    write_checked,
     write_silver,
 )
 
@@ -52,6 +60,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CHOSEN_ACTIVITIES = ("0000004", "0000100", "0001777")
+COUNTED_ACTIVITIES = ("0000000", "0000004", "0000100", "0001777", "0002499")
 INDEX_BASE = "https://h/"
 
 
@@ -167,6 +176,55 @@ def parquet_by_code(spark, sf_dir):
     return read_silver(spark, path)
 
 
+@query
+def parquet_publish(spark, sf_dir):
+    path = new_folder(spark, "silver_published")
+    silver = flagship_silver(spark, sf_dir)
+    publish_silver(silver.where("uf = 'BA'"), path)
+    publish_silver(silver, path, by="uf")
+    return read_silver(spark, path)
+
+
+@query
+def silver_pruned(spark, sf_dir):
+    path = new_folder(spark, "silver_clustered")
+    write_silver(flagship_silver(spark, sf_dir), path, by="uf", cluster=["cd_cnae_fiscal"], blooms=["cep"])
+    return read_silver(spark, path).where(F.col("uf") == "SP").where(F.col("cd_cnae_fiscal").between("0000100", "0000400"))
+
+
+@query
+def silver_counts(spark, sf_dir):
+    path, counts = new_folder(spark, "silver_counted"), new_folder(spark, "counts")
+    only = {"only_activities": COUNTED_ACTIVITIES}
+    load_silver(spark, inputs.raw_folder(spark, sf_dir), path, documented=True, counts=counts, **only)
+    return spark.read.parquet(counts)
+
+
+@query
+def archive_integrity(spark, sf_dir):
+    return check_archives(spark, inputs.fragile_folder(spark, sf_dir)).drop("archive")
+
+
+@query
+def archive_distinct(spark, sf_dir):
+    members = read_members(spark, inputs.repeated_folder(spark, sf_dir), [ESTABLISHMENTS.folder, REASONS.folder], distinct=True)
+    return archived_lines(members).select("entity", "line")
+
+
+@query
+def csv_mixed_encodings(spark, sf_dir):
+    return read_mixed(spark, inputs.mixed_folder(spark, sf_dir), ACTIVITIES.schema, recursive=True)
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    path = new_folder(spark, "checked")
+    schema = inputs.PLANTED_SCHEMA
+    write_checked(read_checked(spark, inputs.planted_folder(spark, sf_dir), schema), path, schema)
+    rows = spark.read.parquet(path)
+    return rows.select(*schema.names, "line", F.array_join("faults", ",").alias("faults"), F.col("faulty").cast("boolean"))
+
+
 @query
 def archive_expand(spark, sf_dir):
     folder = inputs.archive_folder(spark, sf_dir)

@@ -3,7 +3,9 @@ from tabularium.plans.silver import (
     CODE_COLUMNS,
     build_silver,
     derive,
+    load_silver,
     refresh_silver,
+    silver_counts,
     silver_from_folder,
 )
 
@@ -12,6 +14,8 @@ __all__ = [
     "build_manifest",
     "build_silver",
     "derive",
+    "load_silver",
     "refresh_silver",
+    "silver_counts",
     "silver_from_folder",
 ]

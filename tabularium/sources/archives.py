@@ -9,9 +9,11 @@ are done by Spark.
 from __future__ import annotations
 
 import codecs
+import hashlib
 import heapq
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,9 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabularium.functions.links import entity_name, file_name
 from tabularium.layouts import FIELD_SEPARATOR, Entity
-from tabularium.sources.files import list_files
+from tabularium.sources.files import empty_files, list_files
 
 BLOCK_BYTES = 1 << 20
+# Fixed value: the bytes of an archive without members.
+_NO_MEMBERS = b"PK\x05\x06" + bytes(18)
 LINE_BYTES = 256 << 20
 # A line of nothing else is blank to the reader of delimited files.
 _BLANKS = "".join(map(chr, range(33)))
@@ -49,21 +53,47 @@ def open_file(path: str) -> pa.NativeFile:
     return system.open_input_file(name)
 
 
+def _files_of(name: str) -> list[tuple[int, zipfile.ZipInfo]]:
+    """The files that an archive's directory lists, by their number in it."""
+    with open_file(name) as source:
+        # without members an archive is its end record; readers look before it, where Arrow does not seek
+        if source.size() == len(_NO_MEMBERS) and source.read() == _NO_MEMBERS:
+            return []
+        source.seek(0)
+        with zipfile.ZipFile(source) as archive:
+            return [(n, i) for n, i in enumerate(archive.infolist()) if not i.is_dir()]
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            with open_file(row["archive"]) as source, zipfile.ZipFile(source) as archive:
-                members = [i for i in archive.infolist() if not i.is_dir()]
+            members = [i for _, i in _files_of(row["archive"])]
             yield pa.RecordBatch.from_pydict(
                 {
                     "archive": pa.array([row["archive"]] * len(members), pa.string()),
                     "entity": pa.array([row["entity"]] * len(members), pa.string()),
                     "member": pa.array([i.filename for i in members], pa.string()),
                     "bytes": pa.array([i.file_size for i in members], pa.int64()),
+                    "crc": pa.array([i.CRC for i in members], pa.int64()),
                 }
             )
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            digest = hashlib.sha256()
+            with (
+                open_file(row["archive"]) as source,
+                zipfile.ZipFile(source) as archive,
+                archive.open(row["member"]) as member,
+            ):
+                while block := member.read(BLOCK_BYTES):
+                    digest.update(block)
+            row["digest"] = digest.hexdigest()
+            yield pa.RecordBatch.from_pylist([row])
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -129,40 +159,189 @@ def read_members(
     entities: Iterable[str] | None = None,
     glob: str = "*.zip",
     tasks: int | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """The members of a folder's archives, of all or some entities, as blocks of whole lines.
 
     Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. The archives' directories are
     read once, in parallel; the list of members, names and sizes only, comes to the driver as file
     listings do, and is dealt out over ``tasks``, the largest first, each to the task with the least.
+
+    With ``distinct`` a member that an entity has twice, in whatever archives and under whatever names, is
+    read once, from the first archive by name; it is told by its content (see ``distinct_members``).
     """
     archives = list_archives(spark, folder, entities, glob).select("archive", "entity")
-    found = archives.mapInArrow(_members, "archive string, entity string, member string, bytes bigint")
-    if tasks is None:
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(4 * spark.sparkContext.defaultParallelism, shuffle)
-    members = spark.createDataFrame(
-        _dealt(found.collect(), tasks), "archive string, entity string, member string, task int"
-    )
-    return (
-        members.repartitionByRange(tasks, "task")
-        .drop("task")
-        .mapInArrow(
-            _blocks,
-            "archive string, entity string, member string, block_no bigint, block binary",
-        )
+    found = archives.mapInArrow(
+        _members, "archive string, entity string, member string, bytes bigint, crc bigint"
+    ).collect()
+    if distinct:
+        found = distinct_members(spark, found, tasks)
+    members = _deal_out(spark, _dealt(found, _tasks(spark, tasks)), "archive string, entity string, member string", tasks)
+    return members.mapInArrow(
+        _blocks,
+        "archive string, entity string, member string, block_no bigint, block binary",
     )
 
 
-def _dealt(members: list, tasks: int) -> list[tuple[str, str, str, int]]:
-    """Members with the task that reads each; the order of rows does not matter."""
+def _tasks(spark: SparkSession, tasks: int | None) -> int:
+    if tasks is not None:
+        return tasks
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(4 * spark.sparkContext.defaultParallelism, shuffle)
+
+
+def _deal_out(spark: SparkSession, dealt: list[tuple], schema: str, tasks: int | None) -> DataFrame:
+    """Rows that end in the number of a task, in that task."""
+    rows = spark.createDataFrame(dealt, f"{schema}, task int")
+    return rows.repartitionByRange(_tasks(spark, tasks), "task").drop("task")
+
+
+def _assigned(members: list, tasks: int) -> Iterator[tuple]:
+    """Members, the largest first, with the task that reads each: the one with the least so far."""
     load = [(0, task) for task in range(tasks)]
-    dealt = []
     for row in sorted(members, key=lambda m: (-m.bytes, m.archive, m.member)):
         held, task = heapq.heappop(load)
         heapq.heappush(load, (held + row.bytes + 1, task))
-        dealt.append((row.archive, row.entity, row.member, task))
-    return dealt
+        yield row, task
+
+
+def _dealt(members: list, tasks: int) -> list[tuple[str, str, str, int]]:
+    """Members with the task that reads each; the order of rows does not matter."""
+    return [(row.archive, row.entity, row.member, task) for row, task in _assigned(members, tasks)]
+
+
+def distinct_members(spark: SparkSession, members: list, tasks: int | None = None) -> list:
+    """The first of the members of an entity that hold the same bytes, by archive and name.
+
+    Size and checksum stand in the archives' directories, so only members that agree in both are read, in
+    parallel, and told apart by a digest of their content.
+    """
+    alike: dict[tuple, list] = {}
+    for row in members:
+        alike.setdefault((row.entity, row.bytes, row.crc), []).append(row)
+    several = [row for rows in alike.values() if len(rows) > 1 for row in rows]
+    if not several:
+        return members
+    schema = "archive string, entity string, member string"
+    dealt = _dealt(several, _tasks(spark, tasks))
+    digests = _deal_out(spark, dealt, schema, tasks).mapInArrow(_digests, f"{schema}, digest string")
+    first: dict[tuple, tuple] = {}
+    for row in digests.collect():
+        key, place = (row.entity, row.digest), (row.archive, row.member)
+        first[key] = min(place, first.get(key, place))
+    kept = set(first.values())
+    read = {(row.archive, row.member) for row in several}
+    return [row for row in members if (place := (row.archive, row.member)) not in read or place in kept]
+
+
+# Archives that were cut off or changed on their way
+
+
+def _directories(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each archive by number; one row without a member if there are none, or the directory cannot be read."""
+    for batch in batches:
+        for name in batch["archive"].to_pylist():
+            try:
+                members, fault = [(n, i.filename, i.file_size) for n, i in _files_of(name)], None
+            except (zipfile.BadZipFile, EOFError, ValueError):
+                members, fault = [], "directory"
+            members = members or [(None, None, 0)]
+            numbers, names, sizes = zip(*members, strict=True)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "archive": pa.array([name] * len(members), pa.string()),
+                    "number": pa.array(numbers, pa.int64()),
+                    "member": pa.array(names, pa.string()),
+                    "bytes": pa.array(sizes, pa.int64()),
+                    "fault": pa.array([fault] * len(members), pa.string()),
+                }
+            )
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member with what is wrong with it, if anything; it is read to the end, which checks its checksum."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            row["fault"] = _fault_of(row["archive"], row["number"])
+            yield pa.RecordBatch.from_pydict(
+                {name: pa.array([row[name]], kind) for name, kind in zip(row, batch.schema.types + [pa.string()], strict=True)}
+            )
+
+
+def _fault_of(name: str, number: int) -> str | None:
+    with open_file(name) as source, zipfile.ZipFile(source) as archive:
+        info = archive.infolist()[number]
+        try:
+            with archive.open(info) as member:
+                size = 0
+                while block := member.read(BLOCK_BYTES):
+                    size += len(block)
+        except (zipfile.BadZipFile, zlib.error, EOFError, ValueError):
+            return "content"
+        except (RuntimeError, NotImplementedError):
+            return "encrypted or of an unknown method"
+        return None if size == info.file_size else "content"
+
+
+def check_archives(
+    spark: SparkSession,
+    folder: str,
+    entities: Iterable[str] | None = None,
+    glob: str = "*.zip",
+    tasks: int | None = None,
+) -> DataFrame:
+    """One row per archive: ``archive``, ``file_name``, ``entity``, ``members``, ``bytes`` (extracted) and ``fault``.
+
+    ``fault`` is NULL for a whole archive. It is ``directory`` for one whose directory cannot be read, such as a
+    download that was cut off, or has not begun and left no bytes; else it names the first member, by name, whose content does not have the
+    size and checksum that the directory tells, or that cannot be extracted. ``members`` and ``bytes`` are NULL
+    where the directory cannot be read. Every member is read to its end, in parallel as
+    ``read_members`` does; nothing is written. An error of the file system is an error here too.
+    """
+    archives = list_archives(spark, folder, entities, glob).select("archive", "entity")
+    found = archives.select("archive").mapInArrow(
+        _directories, "archive string, number bigint, member string, bytes bigint, fault string"
+    ).collect()
+    schema = "archive string, number bigint, member string, bytes bigint"
+    readable = [row for row in found if row.number is not None]
+    dealt = [(*row[:4], task) for row, task in _assigned(readable, _tasks(spark, tasks))]
+    checked = _deal_out(spark, dealt, schema, tasks).mapInArrow(_verified, f"{schema}, fault string")
+    by_archive = checked.groupBy("archive").agg(
+        F.count("*").alias("members"),
+        F.sum("bytes").alias("bytes"),
+        F.min(F.when(F.col("fault").isNotNull(), F.struct("member", "fault"))).alias("first"),
+    )
+    faults = by_archive.select(
+        "archive", "members", "bytes", F.concat("first.member", F.lit(": "), "first.fault").alias("fault")
+    )
+    unreadable = spark.createDataFrame(
+        [(row.archive, None, None, row.fault) for row in found if row.fault is not None],
+        "archive string, members bigint, bytes bigint, fault string",
+    )
+    empty = spark.createDataFrame(
+        [(f"{folder}/{name}",) for name in empty_files(spark, folder, glob)], "archive string"
+    ).withColumn("entity", entity_name(file_name(F.col("archive"))))
+    if entities is not None:
+        empty = empty.filter(F.col("entity").isin(list(entities)))
+    # an archive without members is whole
+    counts = {name: F.when(F.col("fault").isNull(), F.coalesce(name, F.lit(0))).otherwise(F.col(name)) for name in ("members", "bytes")}
+    checked = archives.join(faults.unionByName(unreadable), "archive", "left").withColumns(counts)
+    nothing = F.lit(None).cast("bigint")
+    empty = empty.select("archive", "entity", nothing.alias("members"), nothing.alias("bytes"), F.lit("directory").alias("fault"))
+    return checked.unionByName(empty).select(
+        "archive", file_name(F.col("archive")).alias("file_name"), "entity", "members", "bytes", "fault"
+    )
+
+
+def refuse_broken(spark: SparkSession, folder: str, entities: Iterable[str] | None = None, **options) -> None:
+    """Raise ``BrokenArchives`` if an archive is not whole, naming up to twenty of them."""
+    broken = check_archives(spark, folder, entities, **options).where("fault is not null")
+    if rows := broken.orderBy("archive").limit(20).collect():
+        raise BrokenArchives("; ".join(f"{row.file_name} ({row.fault})" for row in rows))
+
+
+class BrokenArchives(ValueError):
+    """Archives that were cut off or changed on their way."""
 
 
 def _text(block: Column, encoding: str) -> Column:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tabularium.layouts import FIELD_SEPARATOR, Entity
+from tabularium.layouts import FIELD_SEPARATOR
 
 
 def read_delimited(
@@ -33,27 +32,3 @@ def read_delimited(
         escape=escape,
         recursiveFileLookup=recursive,
     )
-
-
-def read_entity(
-    spark: SparkSession, root: str, entity: Entity, encoding: str | None = None, **options
-) -> DataFrame:
-    """Read an entity's folder below ``root``, in the entity's own encoding unless told otherwise.
-
-    That is ``<root>/<entity>``, or ``<root>/entity=<entity>`` as ``extract_archives`` writes it.
-    Both or neither is an error, so that nothing is read twice or taken for empty.
-    """
-    found = []
-    for folder in (f"{root}/{entity.folder}", f"{root}/entity={entity.folder}"):
-        try:
-            found.append(
-                read_delimited(
-                    spark, folder, entity.schema, encoding or entity.encoding, **options
-                )
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    if len(found) != 1:
-        raise FileNotFoundError(f"{len(found)} folders of {entity.folder} in {root}, not one")
-    return found[0]

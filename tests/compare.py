@@ -16,6 +16,7 @@ ORACLE_TYPES = {
     "BIGINT": "bigint",
     "DATE": "date",
     "DOUBLE": "double",
+    "BOOLEAN": "boolean",
 }
 
 

@@ -5,17 +5,22 @@ from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, strategies as st
+from tabularium.__main__ import main
 from tabularium.layouts import ACTIVITIES, REASONS
+from tabularium.plans import refresh_silver
 from tabularium.sources import (
+    BrokenArchives,
     archived_lines,
     archived_rows,
+    check_archives,
     extract_archives,
     list_archives,
     read_entity,
     read_members,
+    refuse_broken,
 )
 from tabularium.sources import archives as module
-from tabularium.sources.archives import BLOCK_BYTES, _dealt, _whole_lines, locate
+from tabularium.sources.archives import BLOCK_BYTES, _dealt, _whole_lines, distinct_members, locate
 
 
 @pytest.fixture
@@ -187,3 +192,103 @@ def test_blocks_of_any_size_keep_every_byte(pieces, size):
         module.BLOCK_BYTES = before
     written = b"".join(block + b"\n" for block in blocks)
     assert written == content + (b"" if content.endswith(b"\n") or not content else b"\n")
+
+
+@pytest.fixture
+def damaged(tmp_path):
+    """A whole archive, one cut off, one with a byte changed, one of no archive, one empty, one encrypted."""
+
+    def pack(name, members, method=zipfile.ZIP_DEFLATED):
+        with zipfile.ZipFile(tmp_path / name, "w", method) as archive:
+            for member, content in members.items():
+                archive.writestr(member, content)
+        return tmp_path / name
+
+    text = "".join(f'"{k}";"{k * k}"\n' for k in range(5000))
+    pack("Motivos0.zip", {"a": text, "b": text})
+    cut = pack("Motivos1.zip", {"a": text})
+    cut.write_bytes(cut.read_bytes()[:-40])
+    for number, method in ((2, zipfile.ZIP_DEFLATED), (3, zipfile.ZIP_STORED)):
+        changed = pack(f"Cnaes{number}.zip", {"a": text, "b": text}, method)
+        data = bytearray(changed.read_bytes())
+        data[len(data) // 4] ^= 1
+        changed.write_bytes(data)
+    (tmp_path / "Motivos4.zip").write_bytes(b"<html>busy, try later</html>")
+    pack("Motivos5.zip", {})
+    (tmp_path / "Motivos6.zip").write_bytes(b"")
+    locked = pack("Cnaes7.zip", {"a": text})
+    data = bytearray(locked.read_bytes())
+    for signature, flag in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+        data[data.index(signature) + flag] |= 1
+    locked.write_bytes(data)
+    return tmp_path
+
+
+def test_broken_archives_are_named(spark, damaged):
+    rows = {r.file_name: r for r in check_archives(spark, str(damaged)).collect()}
+    assert {name: r.fault for name, r in rows.items()} == {
+        "Motivos0.zip": None,
+        "Motivos1.zip": "directory",
+        "Cnaes2.zip": "a: content",
+        "Cnaes3.zip": "a: content",
+        "Motivos4.zip": "directory",
+        "Motivos5.zip": None,
+        "Motivos6.zip": "directory",
+        "Cnaes7.zip": "a: encrypted or of an unknown method",
+    }
+    size = 2 * len("".join(f'"{k}";"{k * k}"\n' for k in range(5000)))
+    assert (rows["Motivos0.zip"].members, rows["Motivos0.zip"].bytes) == (2, size)
+    assert (rows["Motivos5.zip"].members, rows["Motivos5.zip"].bytes) == (0, 0)
+    assert (rows["Motivos1.zip"].members, rows["Motivos1.zip"].bytes) == (None, None)
+    only = check_archives(spark, str(damaged), ["Cnaes"], tasks=1).collect()
+    assert sorted(r.file_name for r in only) == ["Cnaes2.zip", "Cnaes3.zip", "Cnaes7.zip"]
+
+
+def test_no_archives_are_whole(spark, tmp_path):
+    (tmp_path / "other.txt").write_text("x")
+    assert check_archives(spark, str(tmp_path)).collect() == []
+    refuse_broken(spark, str(tmp_path))
+
+
+def test_a_refresh_with_broken_archives_replaces_nothing(spark, damaged):
+    raw, silver = damaged / "raw", damaged / "silver"
+    for kept in (raw, silver):
+        kept.mkdir()
+        (kept / "kept.txt").write_text("x")
+    with pytest.raises(BrokenArchives, match=r"Cnaes2\.zip \(a: content\).*Motivos1\.zip \(directory\)"):
+        refresh_silver(spark, str(damaged), str(raw), str(silver))
+    assert [p.name for p in raw.iterdir()] == [p.name for p in silver.iterdir()] == ["kept.txt"]
+    report = str(damaged / "report")
+    assert main(["verify", str(damaged), report], spark) == 1
+    assert spark.read.parquet(report).where("fault is null").count() == 2
+    assert main(["verify", str(damaged), report, "--entities", "none"], spark) == 0
+
+
+def test_a_member_that_is_there_twice_is_read_once(spark, tmp_path):
+    def pack(name, **members):
+        with zipfile.ZipFile(tmp_path / name, "w") as archive:
+            for member, content in members.items():
+                archive.writestr(member, content)
+
+    pack("Motivos0.zip", a="one\n", b="two\n", c="two\n")
+    pack("Motivos1.zip", renamed="one\n", d="three\n")
+    pack("Cnaes0.zip", a="one\n")  # of another entity
+    pack("Motivos2.zip", e="", f="")
+    lines = archived_lines(read_members(spark, str(tmp_path), distinct=True)).collect()
+    assert sorted((r.entity, r.member, r.line) for r in lines) == [
+        ("Cnaes", "a", "one"), ("Motivos", "a", "one"), ("Motivos", "b", "two"), ("Motivos", "d", "three"),
+    ]
+    assert archived_lines(read_members(spark, str(tmp_path))).count() == 6
+    for entities in (["Motivos"], None):
+        extract_archives(spark, str(tmp_path), str(tmp_path / "out"), entities, distinct=True)
+        assert spark.read.text(str(tmp_path / "out" / "entity=Motivos")).count() == 3
+
+
+def test_equal_checksums_are_not_enough(spark, tmp_path, monkeypatch):
+    for name, content in (("Motivos0.zip", "one\n"), ("Motivos1.zip", "two\n")):
+        with zipfile.ZipFile(tmp_path / name, "w") as archive:
+            archive.writestr("a", content)
+    row = lambda name: SimpleNamespace(archive=str(tmp_path / name), entity="Motivos", member="a", bytes=4, crc=7)
+    alike = [row("Motivos0.zip"), row("Motivos1.zip")]
+    assert distinct_members(spark, alike) == alike
+    assert distinct_members(spark, [alike[0], alike[0]])[:1] == alike[:1]
