@@ -6,7 +6,8 @@ pairs of neighbouring words, as far as templates hold them and ordinary lines ra
 lines of a bounded sample of the texts at hand (``sample``, the expected number of texts). A family needs a
 probability above ``unknown`` and above a bar that ``FALSE_ALARMS`` of held-out ordinary lines reach.
 A prediction counts as confirmed if the line and one of the family's templates share most of the
-words of the shorter one.
+words of the shorter one, all version numbers (3 is 3.0), and all words that tell licences apart or deny (``TELLING``): what
+is one word or number away from a template is another licence, or none.
 
 Only DataFrame functions work on the texts. Most lines hold no word or pair that speaks clearly for
 a family against ``unknown``; they are ``unknown`` whatever else they hold, and one pattern over the
@@ -44,12 +45,38 @@ TEMPLATES = {
         " compliance with the License.",
         "Released under the Apache 2.0 license.",
     ],
+    "Apache-1.1": [
+        "Licensed under the Apache Software License, Version 1.1.",
+        "Licensed under the Apache License, Version 1.1.",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
         " General Public License as published by the Free Software Foundation, either version 3 of the License",
         "Licensed under the GPL v3.",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "Licensed under the GPL v2.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "Licensed under the LGPL v3.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under the LGPL v2.1.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "Licensed under the AGPL v3.",
+    ],
     "BSD": [
         "Released under the BSD License.",
         "Licensed under the 3-clause BSD license.",
@@ -68,9 +95,40 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
+    "MPL-1.1": [
+        "The contents of this file are subject to the Mozilla Public License Version 1.1",
+        "Licensed under the Mozilla Public License, version 1.1.",
+    ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-ND-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "CC-BY-NC-SA-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-ND-4.0": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
 }
 UNKNOWN = "unknown"
 
+#: Words that tell a licence from its neighbours, or a grant from its denial.
+TELLING = [
+    "lesser", "library", "affero", "lgpl", "agpl", "nc", "nd", "sa", "noncommercial", "noderivatives", "noderivs",
+    "sharealike", "not", "never", "neither", "unlike", "formerly", "previously",
+]
+#: What stands before the number of a version.
+VERSION = (
+    r"(?:version|v|license|licence|gpl|apache|mpl|by|nc|nd|sa|attribution|noncommercial|noderivatives|sharealike)"
+    r"[^a-z0-9]{0,3}([0-9]+(?:\.[0-9]+)*)"
+)
+
 #: Expected number of texts whose lines stand for ordinary ones.
 SAMPLE = 400
 #: Penalty of the regression, and the share of it that makes for sparse weights.
@@ -155,6 +213,17 @@ def _matches(line: Column, template: Column) -> Column:
     return (common >= SHARED_WORDS) & (common >= SHARED * F.least(F.size(line), F.size(template)))
 
 
+def _versions(line: Column) -> Column:
+    """The version numbers that a line names, in order, without zeros at their ends."""
+    found = F.regexp_extract_all(F.lower(line), F.lit(VERSION), F.lit(1))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda v: F.regexp_replace(v, r"(\.0+)+$", ""))))
+
+
+def _told(word: Column) -> Column:
+    """Which of the telling words are among distinct ones, in order."""
+    return F.array_sort(F.array_intersect(word, F.array(*map(F.lit, TELLING))))
+
+
 def _ordinary(docs: DataFrame, sample: int) -> DataFrame:
     """``family, words`` of the lines of some texts, by their hash, that match no template."""
     buckets = 1 << 24
@@ -239,8 +308,12 @@ def find_licences(docs: DataFrame, model: Classifier) -> DataFrame:
     distinct = lines.select("line").distinct().withColumn("words", words(F.col("line")))
     scored = _scored(distinct.select("line", grams(F.col("words")).alias("grams")), model)
     named = scored.where((F.col("probability") > model.bar) & (F.col("probability") > 0.5))
-    own = templates(docs.sparkSession).select("family", F.array_distinct(words(F.col("template"))).alias("template"))
-    matches = _matches(F.array_distinct(words(F.col("line"))), F.col("template"))
+    own = templates(docs.sparkSession).select(
+        "family", F.array_distinct(words(F.col("template"))).alias("template"), _versions(F.col("template")).alias("versions")
+    )
+    word = F.array_distinct(words(F.col("line")))
+    matches = _matches(word, F.col("template")) & (_told(word) == _told(F.col("template")))
+    matches &= _versions(F.col("line")) == F.col("versions")
     confirmed = (
         named.join(F.broadcast(own), "family")
         .groupBy("line", "family", "probability")

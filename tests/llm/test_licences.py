@@ -49,8 +49,6 @@ def test_a_prediction_without_a_template_is_not_confirmed(spark, model):
     assert [r.doc_id for r in found if r.confirmed] == [1]
 
 
-
-
 def test_awkward_rows(spark, model):
     docs = awkward_rows(spark)
     assert c.find_licences(docs, model).collect() == []
@@ -64,3 +62,36 @@ def test_learning_from_no_text(spark):
     model = c.learn(documents(spark, []))
     found = c.find_licences(documents(spark, ["Released under the MIT License."]), model).collect()
     assert [r.family for r in found if r.confirmed] == ["MIT"]
+
+
+LOOK_ALIKES = {
+    "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+    "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+    "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+    "This work is licensed under the GNU General Public License, version 4.": None,
+    "This project is not licensed under the terms of the MIT license.": None,
+    "Licensed under the Mozilla Public License, version 1.1.": "MPL-1.1",
+    "Licensed under the Apache License, Version 1.1.": "Apache-1.1",
+    "Licensed under the Apache License, Version 1.0.": None,
+    "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+    "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+    "Licensed under CC BY-NC 3.0.": None,
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.":
+    "CC-BY-NC-ND-4.0",
+    "Licensed under the LGPL v2.1.": "LGPL-2.1",
+    "Licensed under the LGPL v3.": "LGPL-3.0",
+    "Licensed under the GPL version 3.0": "GPL-3.0",
+    "licensed under the apache license version 2": "Apache-2.0",
+    "Never released under the MIT License.": None,
+}
+
+
+def test_look_alikes_are_their_own_family_or_not_confirmed(spark, model):
+    found = c.find_licences(documents(spark, list(LOOK_ALIKES)), model).where("confirmed").collect()
+    assert {r.line: r.family for r in found} == {line: family for line, family in LOOK_ALIKES.items() if family}
+
+
+def test_every_template_is_confirmed_as_its_family(spark, model):
+    every = [(text, family) for family, texts in c.TEMPLATES.items() for text in texts]
+    found = c.find_licences(documents(spark, [text for text, _ in every]), model).where("confirmed").collect()
+    assert {r.line: r.family for r in found} == dict(every)
