@@ -8,7 +8,8 @@ agreeing on anything beforehand.
 
 An audit compares roots and goes down from those that differ only, level by level, to the records. Trees
 are written once (some 100 bytes a record); after that, what is read again follows the damage, not the
-archive.
+archive. Both replicas are placed by the lengths that the first one's index tells, so a record that is longer or shorter in the
+second does not shift those after it. A record of the second that the first does not have, or whose id is there more than once, has its own length.
 
 Rows without a file take no part; a null record is a hole, whose length is known; repeated rows are
 records of their own. Of files that one replica lacks every record is reported. Empty replicas have empty
@@ -53,24 +54,45 @@ def warc_records(pages: DataFrame) -> DataFrame:
     return rows.withColumn("length", F.octet_length("record").cast("long"))
 
 
-def hash_records(records: DataFrame) -> DataFrame:
-    """``file, offset, length, record_id, hash``: where each record lies, and its SHA-256 as hex.
-
-    Records are placed one after the other by id. They are hashed where they are read; what is
-    sorted to place them is this index only. A null record is a hole: it takes its length, but is not there.
-    """
-    index = records.where("file is not null").select(
+def index_records(records: DataFrame) -> DataFrame:
+    """``file, record_id, length, hash``: SHA-256 as hex. Records are hashed where they are read; null ones have no hash."""
+    return records.where("file is not null").select(
         "file",
         F.col("record_id").cast("long"),
         F.coalesce(F.col("length").cast("long"), F.lit(0).cast("long")).alias("length"),
         F.sha2(F.col("record").cast("binary"), 256).alias("hash"),
     )
+
+
+def place_records(index: DataFrame) -> DataFrame:
+    """``file, offset, length, record_id, hash``: records one after the other by id; holes are not there."""
     order = Window.partitionBy("file").orderBy("record_id", "length", "hash")
     before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
     placed = index.withColumn("offset", F.coalesce(before, F.lit(0).cast("long")))
     return placed.where("hash is not null").select("file", "offset", "length", "record_id", "hash")
 
 
+def hash_records(records: DataFrame) -> DataFrame:
+    """``file, offset, length, record_id, hash``: where each record lies, and its SHA-256 as hex.
+
+    Records are placed one after the other by id. They are hashed where they are read; what is
+    sorted to place them is this index only. A null record is a hole: it takes its length, but is not there.
+    """
+    return place_records(index_records(records))
+
+
+def _lengths_of(index: DataFrame, other: DataFrame) -> DataFrame:
+    """``other`` with the lengths that ``index`` tells for its records, as far as an id is there once."""
+    known = (
+        index.groupBy("file", "record_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("told"))
+        .where("n = 1 and record_id is not null")
+        .drop("n")
+    )
+    joined = other.join(known, ["file", "record_id"], "left")
+    return joined.withColumn("length", F.coalesce("told", "length")).select(other.columns)
+
+
 def _hash_of(place: str) -> Column:
     """Hash of a node from the places and hashes of its children, in order."""
     children = F.sort_array(F.collect_set(F.struct(place, "hash")))
@@ -119,7 +141,8 @@ def audit(one: DataFrame, other: DataFrame) -> DataFrame:
     Both are as from :func:`warc_records`. ``status`` is ``corrupt``, ``missing`` (the second has no record at
     that offset) or ``extra`` (the first has none).
     """
-    leaves = [keep(hash_records(records), "records") for records in (one, other)]
+    first, second = (keep(index_records(records), "index") for records in (one, other))
+    leaves = [keep(place_records(index), "records") for index in (first, _lengths_of(first, second))]
     levels = levels_for(*leaves)
     trees = [tree(leaf, levels) for leaf in leaves]
     suspects = keep(_differing(trees[0][-1], trees[1][-1]), "suspects")

@@ -73,3 +73,13 @@ def test_only_differing_branches_are_followed(spark, monkeypatch):
         assert children[0].count() <= 1 << merkle.FANOUT_BITS
         suspects = merkle._differing(*children)
     assert suspects.count() == 1
+
+
+def test_a_record_of_another_length_shifts_no_others(spark):
+    one = merkle.warc_records(pages(spark, [(k, "u", "x" * 200) for k in range(100)]))
+    cut = F.expr("substring(record, 1, length(record) - 7)")
+    longer = F.concat("record", F.lit("more"))
+    changed = F.when(F.col("record_id") == 5, cut).when(F.col("record_id") == 60, longer).otherwise(F.col("record"))
+    other = one.withColumn("record", changed).withColumn("length", F.octet_length("record").cast("long"))
+    assert {r.record_id: r.status for r in merkle.audit(one, other).collect()} == {5: "corrupt", 60: "corrupt"}
+    assert {r.record_id: r.status for r in merkle.audit(other, one).collect()} == {5: "corrupt", 60: "corrupt"}
