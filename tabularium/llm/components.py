@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabularium.llm.tables import keep
+from tabularium.llm.tables import keep, release
 
 
 def _turned(links: DataFrame) -> DataFrame:
@@ -41,11 +41,13 @@ def components(links: DataFrame) -> DataFrame:
         large = found.join(least, F.col("a") == F.col("of"), "left").select(
             F.coalesce("least", "a").alias("a"), "b"
         )
-        found = keep(_turned(large), "links")
+        old, found = (found, least), keep(_turned(large), "links")
+        release(*old)
         least = _least(found)
         below = found.join(least, F.col("b") == F.col("of")).select("a", F.col("least").alias("b"))
         small = below.unionAll(least.select("least", "of"))
-        found = keep(_turned(small), "links")
+        old, found = (found, least), keep(_turned(small), "links")
+        release(*old)
         after = _fingerprint(found)
         if after == before:
             break
