@@ -19,18 +19,21 @@ repeat an item count once. Without items nothing is hit.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tabularium.llm.arrow import Sent, batchwise_pairs, free_name, send
+from tabularium.llm.tables import keep, release
 from tabularium.llm.words import ALNUM, Piece, Words, pieces, words_of
 
 #: Item words in one automaton. A larger benchmark is split by item into several, which are
 #: broadcast one after the other and whose hits are joined.
 SHARD_WORDS = 100_000
+#: Automata that one plan applies; a benchmark of more is taken in turns, with a table written after each.
+TOGETHER = 8
 
 _HITS = "struct<n_words: bigint, n_hit: bigint, mask: binary, items: array<string>, left: string>"
 
@@ -44,6 +47,8 @@ class Automaton:
         self.link, self.length = [-1], [0]
         self.ends: dict[int, list[int]] = defaultdict(list)  # state: short items it spells
         self.items: list[set[int]] = []  # state: items in which it occurs
+        self.windowed: list[int] = []
+        self.ending: list[int] = []
 
     def add(self, words: list[int]) -> None:
         last = 0
@@ -91,10 +96,18 @@ class Automaton:
                     at = self.link[at]
             if 0 < len(words) < self.window:
                 self.ends[state].append(item)
-
-    def stream(self, words: list[int], sizes: list[int]) -> Iterator[tuple[int, int, set[int]]]:
-        """Hits as (place of the last word, words hit, items whose windows end there)."""
+        # Where a walk along the suffix links would lead, so that none is made at every word: the state of the last
+        # ``window`` words, and the longest suffix at which a short item ends.
+        self.windowed, self.ending = [0] * len(self.next), [0] * len(self.next)
+        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            link = self.link[state]
+            self.windowed[state] = self.windowed[link] if self.length[link] >= self.window else state
+            self.ending[state] = state if state in self.ends else self.ending[link]
+
+    def stream(self, words: list[int], sizes: list[int]) -> Iterator[tuple[int, int, Iterable[int]]]:
+        """Hits as (place of the last word, words hit, items whose windows end there and that weren't given before)."""
         state = matched = 0
+        told: set[int] = set()
         for place, word in enumerate(words):
             while state and word not in self.next[state]:
                 state = self.link[state]
@@ -102,18 +115,19 @@ class Automaton:
             if word in self.next[state]:
                 state = self.next[state][word]
                 matched += 1
-            hit, found, at = 0, set(), state
+            hit, found = 0, set()
             if matched >= self.window:
-                hit = matched
-                while self.length[self.link[at]] >= self.window:
-                    at = self.link[at]
-                found |= self.items[at]
-            while self.ends and at > 0:
-                for item in self.ends.get(at, ()):
-                    if sizes[item] <= matched:
-                        found.add(item)
-                        hit = max(hit, sizes[item])
-                at = self.link[at]
+                hit, at = matched, self.windowed[state]
+                if at not in told:
+                    told.add(at)
+                    found |= self.items[at]
+            at = self.ending[state]
+            while at:  # short items end at fewer states than a window has words
+                ended = [item for item in self.ends[at] if sizes[item] <= matched]
+                if ended:
+                    hit = max(hit, sizes[ended[0]])  # items that end at one state are the same words
+                    found.update(ended)
+                at = self.ending[self.link[at]]
             if hit:
                 yield place, hit, found
 
@@ -155,9 +169,10 @@ class Benchmark:
 
     def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]]]:
         """Of the words of several texts: which are hit, and the items by text."""
-        hit, found = np.zeros(len(hashes), bool), defaultdict(set)
+        found: dict[int, set[int]] = defaultdict(set)
         if not self.shortest or not len(hashes):
-            return hit, found
+            return np.zeros(len(hashes), bool), found
+        edges = np.zeros(len(hashes) + 1, np.int64)  # where hits begin and end
         number = self.numbers_of(hashes)
         goes_on = np.zeros(len(number), bool)
         at = np.flatnonzero((number[1:] >= 0) & (number[:-1] >= 0)) + 1
@@ -174,9 +189,10 @@ class Benchmark:
         for first, last, text in zip(firsts[long], lasts[long], texts[long], strict=True):
             run = number[first:last].tolist()
             for place, size, items in self.automaton.stream(run, self.sizes):
-                hit[first + place - size + 1 : first + place + 1] = True
-                found[text] |= items
-        return hit, found
+                edges[first + place - size + 1] += 1
+                edges[first + place + 1] -= 1
+                found[text].update(items)
+        return np.cumsum(edges[:-1]) > 0, found
 
 
 def benchmarks(
@@ -184,15 +200,15 @@ def benchmarks(
 ) -> Iterator[tuple[Sent, bool]]:
     """Automata of ``item_id, text``, of about ``shard_words`` words each, and whether it is the last.
 
-    Each is made when asked for, so one is on the driver at a time.
+    Each is made when asked for, so one is on the driver at a time. Rows are dealt by id and text, so that neither an id with many
+    texts nor the items without one come to the driver at once.
     """
     spark = items.sparkSession
     known = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
     total = known.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     shards = max(1, -(-total // (shard_words * 6)))
     for shard in range(shards):
-        # all texts of one id fall into one shard, so an item is never listed twice
-        part = known.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)
+        part = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
         rows = part.distinct().collect()
         made = Benchmark(sorted([(r.item_id, r.text) for r in rows], key=str), window)
         yield send(spark, made), shard == shards - 1
@@ -257,9 +273,16 @@ def find_passages(
     ``max_span`` is given, ``left``: the text without spans of more than so many hit words.
     """
     name = hits_name(docs)
-    out = docs.withColumn(name, F.lit(None).cast(_HITS))
+    out, alive = docs.withColumn(name, F.lit(None).cast(_HITS)), []
     for benchmark, is_last in benchmarks(items, window, shard_words):
         out = out.withColumn(name, _hits(benchmark, max_span if is_last else None)(F.col("text"), F.col(name)))
+        alive.append(benchmark)
+        if len(alive) == TOGETHER and not is_last:
+            before, out = out, keep(out, "hits")
+            release(before)
+            for done in alive:
+                done.packed.destroy()
+            alive = []
     return out
 
 

@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 from awkward import awkward_rows, documents
 from pyspark.sql import functions as F
 from tabularium.llm import decontamination as d
@@ -98,3 +100,36 @@ def test_awkward_rows(spark):
     assert (2, None) in texts and (3, "") in texts and (None, "") in texts
     assert (1, ". more of it.") in texts and out.count() == docs.count()
     assert d.decontaminate(docs.limit(0), items).count() == 0
+
+
+def test_repetitive_items_and_texts(spark):
+    rng = random.Random(8)
+    loops = [" ".join([*"ab"[: rng.randint(1, 2)]] * rng.randint(1, 30)) for _ in range(12)]
+    items = [(k, text) for k, text in enumerate(loops)] + [(90, "a"), (91, "b a"), (92, "a a a"), (93, "a a a"), (None, "b b")]
+    texts = [*loops, *(" ".join(rng.choices("aab", k=rng.randrange(60))) for _ in range(40)), "b b b", "c a c"]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for window in (2, 4, 10):
+        expected = dict(enumerate(brute_force(texts, items, window)))
+        assert found(documents(spark, texts), table, window=window) == expected
+        assert found(documents(spark, texts), table, window=window, shard_words=3) == expected
+
+
+def test_one_word_a_hundred_thousand_times(spark):
+    text = "a " * 100_000
+    benchmark = d.Benchmark([("1", text), ("2", "a a a")], 10)
+    [piece] = d.pieces(pa.array([text]), 1 << 20)
+    words_ = d.words_of(piece, d.ALNUM)
+    begin = time.perf_counter()
+    hit, listed = benchmark.hits(words_.hashes, words_.bounds)
+    assert time.perf_counter() - begin < 20
+    assert hit.all() and listed == {0: {0, 1}}
+
+
+def test_items_without_an_id_are_dealt_over_shards(spark):
+    items = [(None, f"one two number{k} four") for k in range(60)] + [(7, f"five six number{k} eight") for k in range(60)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    sizes = [len(sent.value.names) for sent, _ in d.benchmarks(table, shard_words=20)]
+    assert sum(sizes) == 120 and max(sizes) < 30
+    docs = documents(spark, ["x five six number3 eight y", "one two number59 four", "two number5"])
+    expected = dict(enumerate(brute_force([r.text for r in sorted(docs.collect())], items, 10)))
+    assert found(docs, table, shard_words=20) == expected  # more automata than one plan applies
