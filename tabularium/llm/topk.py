@@ -6,12 +6,14 @@ are scored in full. What is still unseen scores at most the sum over dimensions
 times list value at that depth, so reading stops once this bound is below the k-th best. The k best of
 the blocks a task has done bound the next ones; the k best of all tasks are the answer.
 
-Queries are sent in blocks of ``query_block`` rows, by broadcast, each for a pass over all vectors; so
-memory is bounded by a block of queries and one of vectors, whatever their number. No pair of a query
+Queries are sent in blocks of ``query_block`` rows, by broadcast, each for a pass over all vectors whose answers are
+written before the next block is read; so driver and executors hold one block of queries, whatever their number. No pair of a query
 and a vector leaves its task unless it is among the task's k best for that query.
 
 Vectors that are null, empty or hold a null, NaN or infinite component take no part, as queries or
-otherwise; nor do rows without an id. Components are turned to ``floor(scale * x)``. A query meets
+otherwise; nor do rows without an id. Components are turned to ``floor(scale * x)``; if that is beyond all doubles, the vector takes no
+part either. Where scores of a block could leave the whole numbers that doubles hold exactly, it is scored in Python's unbounded ones.
+A score that does not fit a long is null; its rank is right all the same. A query meets
 vectors of its own length only, but never those of its own id. Rows that repeat a vector under
 another id are answers of their own; rows that repeat an id with its vector count once. Ties go to the smaller id.
 """
@@ -19,12 +21,16 @@ another id are answers of their own; rows that repeat an id with its vector coun
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tabularium.llm.tables import keep
 
 #: Vectors in a block of lists, and queries in a broadcast.
 BLOCK, QUERY_BLOCK = 8192, 4096
@@ -35,12 +41,15 @@ DEEPER = 4
 def scaled(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``vec_id, v`` with whole-number components, of the rows that take part."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
-    return (
-        vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0))
-        .where(finite)
-        .select(F.col("vec_id").cast("long"), whole.alias("v"))
-    )
+
+    def whole(x: Column) -> Column:
+        product = x.cast("double") * scale
+        # beyond 2**53 doubles are whole numbers
+        return F.when(F.abs(product) < 2**62, F.floor(product).cast("double")).otherwise(product)
+
+    rows = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).where(finite)
+    scaled = rows.select(F.col("vec_id").cast("long"), F.transform("embedding", whole).alias("v"))
+    return scaled.where(F.forall("v", lambda x: F.abs(x) < float("inf")))
 
 
 class Best(NamedTuple):
@@ -71,13 +80,36 @@ class Best(NamedTuple):
 _NONE, _LAST = -math.inf, np.iinfo(np.int64).max
 
 
-def _matrix(vectors: list[np.ndarray]) -> np.ndarray:
-    """Rows as float64, whose products are exact while they stay below 2**53."""
-    out = np.stack(vectors).astype(np.float64)
-    largest = np.abs(out).max(initial=0)
-    if largest * largest * out.shape[1] >= 2**53:
-        raise OverflowError("components are too large for exact scores")
-    return out
+def _largest(block: np.ndarray) -> float:
+    return float(np.abs(block).max(initial=0))
+
+
+def _is_exact(block: np.ndarray, queries: np.ndarray) -> bool:
+    """Whether all sums of products are whole numbers that doubles hold."""
+    return _largest(block) * _largest(queries) * block.shape[1] < 2**53
+
+
+class Exact:
+    """The k best so far of each query among blocks whose scores doubles cannot hold, as pairs of score and id."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.best: dict[int, list[tuple[int, int]]] = {}
+
+    def search_block(self, ids: np.ndarray, block: np.ndarray, query_ids: np.ndarray, queries: np.ndarray) -> None:
+        rows = [[int(x) for x in vector] for vector in block.tolist()]
+        for row, query in enumerate(queries.tolist()):
+            query = [int(x) for x in query]
+            scores = {
+                (sum(a * b for a, b in zip(vector, query, strict=True)), i)
+                for i, vector in zip(ids.tolist(), rows, strict=True)
+                if i != query_ids[row]
+            }
+            self.best[row] = _first(scores.union(self.best.get(row, ())), self.k)
+
+
+def _first(pairs: Iterable[tuple[int, int]], k: int) -> list[tuple[int, int]]:
+    return sorted(set(pairs), key=lambda pair: (-pair[0], pair[1]))[:k]
 
 
 def _once(ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,29 +161,45 @@ def search_block(ids: np.ndarray, block: np.ndarray, query_ids: np.ndarray, quer
     return scored
 
 
-def _search(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+#: ``beyond`` is 1 or -1 for scores above or below all longs, which are in ``wide``, as bytes in their order.
+_FOUND = "query_id long, vec_id long, score long, beyond int, wide binary"
+#: Bytes that hold any sum of products of doubles.
+_WIDE = 320
+
+
+def _row(query_id: int, vec_id: int, score: int) -> tuple:
+    if -(2**63) <= score < 2**63:
+        return query_id, vec_id, score, 0, None
+    return query_id, vec_id, None, 1 if score > 0 else -1, (score + (1 << 8 * _WIDE - 1)).to_bytes(_WIDE, "big")
+
+
+def _search(rows: list, vectors: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
     """Each task's k best of one block of queries."""
-    rows = queries.collect()  # at most a block of queries
     by_length: dict[int, list] = {}
     for row in rows:
         by_length.setdefault(len(row.v), []).append(row)
     asked = {
-        n: (np.array([r.vec_id for r in group], np.int64), _matrix([np.array(r.v) for r in group]))
+        n: (np.array([r.vec_id for r in group], np.int64), np.array([r.v for r in group], np.float64))
         for n, group in by_length.items()
     }
-    sent = queries.sparkSession.sparkContext.broadcast(asked)
+    sent = vectors.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sent.value
         best = {
             n: Best(np.full((len(ids), k), _LAST), np.full((len(ids), k), _NONE)) for n, (ids, _) in asked.items()
         }
+        exact = {n: Exact(k) for n in asked}
         held: dict[int, tuple[list, list]] = {n: ([], []) for n in asked}
 
         def flush(n: int) -> None:
             ids, blocks = held[n]
             if ids:
-                search_block(np.concatenate(ids), _matrix(np.concatenate(blocks)), *asked[n], best[n])
+                ids, block = np.concatenate(ids), np.concatenate(blocks)
+                if _is_exact(block, asked[n][1]):
+                    search_block(ids, block, *asked[n], best[n])
+                else:
+                    exact[n].search_block(ids, block, *asked[n])
                 held[n] = ([], [])
 
         for batch in batches:
@@ -168,29 +216,36 @@ def _search(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
                         flush(n)
         for n, (query_ids, _) in asked.items():
             flush(n)
-            found = best[n].scores > _NONE
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "query_id": np.repeat(query_ids, found.sum(axis=1)),
-                    "vec_id": best[n].ids[found],
-                    "score": best[n].scores[found].astype(np.int64),
-                }
+            out = []
+            for row, query_id in enumerate(query_ids.tolist()):
+                found = best[n].scores[row] > _NONE
+                pairs = zip(map(int, best[n].scores[row][found].tolist()), best[n].ids[row][found].tolist(), strict=True)
+                both = _first([*pairs, *exact[n].best.get(row, ())], k)
+                out += [_row(query_id, vec_id, score) for score, vec_id in both]
+            columns = zip(*out, strict=True) if out else [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
+                ["query_id", "vec_id", "score", "beyond", "wide"],
             )
 
-    return vectors.mapInArrow(run, "query_id long, vec_id long, score long")
+    return vectors.mapInArrow(run, _FOUND), sent
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k vectors of highest score for each query, both as from :func:`scaled`."""
     queries = queries.distinct()
     blocks = max(1, -(-queries.count() // query_block))
-    found = None
+    parts = []
     for number in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number)
-        best = _search(part, vectors, k)
-        found = best if found is None else found.unionAll(best)
+        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number).collect()
+        found, sent = _search(rows, vectors, k)
+        parts.append(keep(found, "best"))
+        sent.destroy()
+    found = reduce(DataFrame.unionAll, parts)
     # as many rows per query as tasks times k
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    order = [F.desc("beyond"), F.desc("wide"), F.desc("score"), F.col("vec_id")]
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
     return (
         found.distinct()
         .withColumn("rank", rank)

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from tabularium.llm import topk
 
@@ -62,13 +63,6 @@ def test_reading_stops_early():
     assert set(best.ids[0]) <= set(range(20))
 
 
-def test_scores_beyond_exact_numbers_are_refused():
-    import numpy as np
-
-    with pytest.raises(OverflowError):
-        topk._matrix([np.array([1e9, 1e9])])
-
-
 def test_rows_given_twice_hide_no_others(spark):
     rng = random.Random(8)
     rows = [(i, [rng.randrange(-256, 257) / 256 for _ in range(6)]) for i in range(1500)]
@@ -86,3 +80,41 @@ def test_equal_scores_of_one_id_hide_no_others():
     best = topk.Best(np.full((1, 3), topk._LAST), np.full((1, 3), topk._NONE))
     best.take(0, np.array([7] * 12 + [8, 9]), np.array([5.0] * 12 + [4.0, 3.0]))
     assert (best.ids[0].tolist(), best.scores[0].tolist()) == ([7, 8, 9], [5.0, 4.0, 3.0])
+
+
+@pytest.mark.parametrize("large", [1e7, 1e30, 3e38])
+def test_large_components_are_scored_exactly(spark, large):
+    rng = random.Random(large)
+    small = [(i, [float(rng.randint(-3, 3)) for _ in range(8)]) for i in range(40)]
+    big = [(100 + i, [large * rng.choice([-1.0, 0.0, 1.0]) + rng.randint(-2, 2) for _ in range(8)]) for i in range(20)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in small + big]
+    vectors = topk.scaled(table(spark, rows))
+    asked = [0, 7, 100, 111]
+    found = topk.top_k(vectors.where(vectors.vec_id.isin(asked)), vectors, k=4).collect()
+    expected = [(q, r, i, s if -(2**63) <= s < 2**63 else None) for q, r, i, s in brute_force(rows, asked, 4)]
+    assert sorted(map(tuple, found), key=lambda r: r[:2]) == expected
+    assert large == 1e7 or any(score is None for *_, score in expected)
+
+
+def test_components_beyond_all_doubles_take_no_part(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(0, [1.0, 2.0]), (1, [1.7e308, 0.0]), (2, [1e300, 1.0]), (3, [-3.0, 0.5])]
+    vectors = topk.scaled(spark.createDataFrame(rows, schema))
+    found = topk.top_k(vectors.where("vec_id = 0"), vectors, k=4).collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 2, None), (0, 2, 3, 256 * 256 * (-3 * 1 + 1))]
+
+
+def test_one_block_of_queries_is_held_at_a_time(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-1.0, 0.5, 2.0]) for _ in range(3)]) for i in range(30)]
+    vectors = topk.scaled(table(spark, rows))
+    sizes, search = [], topk._search
+
+    def counted(asked, vectors, k):
+        sizes.append(len(asked))
+        return search(asked, vectors, k)
+
+    monkeypatch.setattr(topk, "_search", counted)
+    found = topk.top_k(vectors, vectors, k=2, query_block=5).collect()
+    assert sorted(map(tuple, found)) == brute_force(rows, range(30), 2)
+    assert len(sizes) == 6 and sum(sizes) == 30 and max(sizes) <= 12
