@@ -5,13 +5,19 @@ A text is the set of slots that its lower-cased words hash to. Its score is the
     bias + sum of w[i] + sum over pairs of <v[i], v[j]>
 
 so that two terms may mean together what neither means alone. All slots that at least ``LEAST`` sample texts
-hold are learned, whether or not they tell labels apart alone. Steps are shorter for slots with little evidence
-(``_paces``), which keeps words that few texts happen to hold from being learned by heart.
+hold have a weight and factors, whether or not they tell labels apart alone.
 
-The model is learned from a bounded sample of labelled texts (``sample``, the expected size). Shards of
-the sample train a copy each by AdaGrad steps over small batches, the driver averages the copies, and
-the next round starts from the average. Everything is fixed by the hashes of the texts, so the same rows
-give the same model however they are stored. Scoring looks words up in a table of fixed size.
+The machine is the most probable one under priors that say how little a few texts prove (:func:`fit`). Weights have a Laplace
+prior: a term's evidence must exceed what chance gives the clearest of so many terms that as many texts hold; the weights that
+do are fitted again under a weaker one, so that they are not kept small by it. Factors have a Gaussian prior whose precision grows with the
+texts that hold a term and with the length of texts, as one text's label speaks for all pairs of its terms at once. They start
+along the directions in which pairs of terms, beyond what each says alone, tell labels apart most (the leading
+eigenvectors of the centred pair matrix, found by multiplications, without making it); from 0 they could not move.
+
+The machine is learned from a bounded sample of labelled texts (``sample``, the expected size). Tasks turn texts to slots; the
+slot sets of the sample go to one task, which fits, and the driver gets the weights and factors only. Rows are
+put in order by the hashes of the texts, so the same rows give the same machine however they are stored. Scoring looks
+words up in a table of fixed size.
 
 Empty, null and wordless texts score as the bias alone. Rows whose label is null are not learned from; a
 text under two labels counts once for each. Without labels every score is 0; with one kind of label
@@ -28,15 +34,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabularium.llm.arrow import Sent, batchwise, send
+from tabularium.llm.lbfgs import minimise
 from tabularium.llm.words import ALNUM, pieces, words_of
 
 #: Expected number of labelled texts that are learned from.
 SAMPLE = 20_000
 #: Hash slots of terms; a slot is kept if this many sample texts hold it.
 SLOTS, LEAST = 1 << 20, 2
-#: Slots whose shares by label are ``Z`` standard errors apart learn at full pace, if ``CLEAR`` texts hold them.
-CLEAR, Z, FALL, OFTEN, SLOWEST = 6, 4.0, 12, 4.0, 1e-3
-FACTORS, SHARDS, ROUNDS, EPOCHS, RATE, DECAY, BATCH = 4, 4, 6, 3, 0.1, 1e-4, 64
+FACTORS, ROUNDS, TURNS = 4, 60, 30
+#: The share of a round's gain below which the fit ends; what would follow is mostly learned by heart.
+ENOUGH = 3e-4
+#: Priors, picked by three-fold tests within the learning fold: of weights as shares of the bound of chance, first and of
+#: those that are left; of their squares; and of factors' squares, for each term of a text and each text that holds the term,
+#: as if ``UNSEEN`` more did: with few of these, rare terms learn single texts by heart.
+CHANCE, AGAIN, RIDGE, DOUBT, UNSEEN = 0.35, 0.1, 0.2, 0.0015, 250
+#: How much one text counts at most where the factors' directions are looked for.
+LEVERAGE = 0.1
 
 
 class Machine(NamedTuple):
@@ -93,94 +106,153 @@ def _slot_sets(sample: DataFrame) -> DataFrame:
     )
 
 
-def _slot_counts(sets: DataFrame) -> pa.Table:
-    """``slot, n, hits`` by slot: how many texts hold a slot, and how many of these are positive; at most ``SLOTS``."""
-    count = sets.select("label", F.explode("slots").alias("slot")).groupBy("slot").agg(
-        F.sum(F.lit(1)).alias("n"), F.sum("label").alias("hits")
-    )
-    return count.where(F.col("n") >= LEAST).toArrow().sort_by("slot")
-
-
-def _paces(n: np.ndarray, hits: np.ndarray, positive: int, negative: int) -> np.ndarray:
-    """How long each slot's steps are, to 1: by how clearly it tells the labels apart alone, or else by how many texts
-    hold it, as what it means with others is learned from these."""
-    share = n / (positive + negative)
-    gap = np.abs(hits / positive - (n - hits) / negative)
-    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positive + 1 / negative))
-    clear = np.where(n >= CLEAR, np.minimum(gap / (Z * error), 1) ** FALL, 0)
-    return np.clip(np.maximum(clear, OFTEN * share), SLOWEST, 1)
-
-
-def _train(
-    rows: list[tuple[int, np.ndarray]], model: Machine, step: dict, pace: np.ndarray, seed: int
-) -> tuple[Machine, dict]:
-    """One shard's rounds over its texts, from a given model and sums of squared gradients."""
-    weights, factors, bias = model.weights.astype(float), model.factors.astype(float), model.bias
-    squares = {name: value.astype(float) for name, value in step.items()}
-    labels = np.array([label for label, _ in rows], np.float64)
-    order = np.random.default_rng(seed)
-
-    def moved(name: str, at: np.ndarray | slice, gradient: np.ndarray) -> np.ndarray:
-        squares[name][at] += gradient * gradient
-        return RATE * gradient / np.sqrt(squares[name][at] + 1e-8)
-
-    for _ in range(EPOCHS):
-        mixed = order.permutation(len(rows))
-        for first in range(0, len(rows), BATCH):
-            at = mixed[first : first + BATCH]
-            found = [rows[k][1] for k in at]
-            feature = np.concatenate(found)
-            owner = np.repeat(np.arange(len(at)), [len(x) for x in found])
-            now = Machine(model.feature, bias, weights, factors)
-            error = 1 / (1 + np.exp(-now.logits(feature, owner, len(at)))) - labels[at]
-            used, place = np.unique(feature, return_inverse=True)
-            pull = error[owner]
-            bias -= float(moved("bias", slice(None), np.array([error.mean()]))[0])
-            slope = np.bincount(place, pull, len(used)) / len(at) + DECAY * weights[used]
-            tilt = DECAY * factors[used]
-            for k in range(factors.shape[1]):
-                value = factors[feature, k]
-                total = np.bincount(owner, value, len(at))[owner]
-                tilt[:, k] += np.bincount(place, pull * (total - value), len(used)) / len(at)
-            weights[used] -= pace[used] * moved("weights", used, slope)
-            factors[used] -= pace[used, None] * moved("factors", used, tilt)
-    return Machine(model.feature, bias, weights, factors), squares
-
-
-def _round(
-    sets: DataFrame, model: Machine, step: dict, pace: np.ndarray, number: int
-) -> tuple[Machine, dict]:
-    """All shards train from one model; the mean of what they come to."""
-    # single precision halves what the driver holds of each shard's copy
-    light = model._replace(weights=model.weights.astype("<f4"), factors=model.factors.astype("<f4"))
-    sums = {name: value.astype("<f4") for name, value in step.items()}
-    sent = send(sets.sparkSession, (light, sums, pace.astype("<f4")))
+class Sample:
+    """Texts as sets of kept slots, for sums over texts and over features.
+
+    ``feature`` has the features of all texts, one after the other, ``owner`` their texts.
+    """
+
+    def __init__(self, sets: list[np.ndarray], labels: np.ndarray):
+        counts = np.bincount(np.concatenate([*sets, np.empty(0, np.int64)]).astype(np.int64), minlength=SLOTS)
+        self.slots = np.flatnonzero(counts >= LEAST)
+        place = np.zeros(SLOTS, np.int64)
+        place[self.slots] = np.arange(len(self.slots))
+        kept = [place[s[counts[s] >= LEAST]] for s in sets]
+        self.labels, self.n = labels, len(sets)
+        self.width = len(self.slots)
+        self.held = counts[self.slots].astype(float)  # how many texts hold each feature
+        self.owner = np.repeat(np.arange(self.n), [len(k) for k in kept])
+        self.feature = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
+        order = np.argsort(self.feature, kind="stable")
+        self.owner_by_feature = self.owner[order]
+        self.begins = np.searchsorted(self.feature[order], np.arange(self.width))
+        self.length = len(self.feature) / max(1, self.n)
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        """Of each text, the sum of its features' values."""
+        return np.bincount(self.owner, values[self.feature], self.n)
+
+    def by_feature(self, values: np.ndarray) -> np.ndarray:
+        """Of each feature, the sum of its texts' values."""
+        return np.add.reduceat(values[self.owner_by_feature], self.begins)
+
+
+def _logistic(logits: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+
+
+class Posterior:
+    """How improbable a machine is, up to a constant, and the slope of that; but for the Laplace prior.
+
+    A point is the bias, the weights, and the factors of all features, one factor after the other.
+    """
+
+    def __init__(self, sample: Sample):
+        self.sample = sample
+        self.doubt = sample.held + sample.length
+        self.precision = DOUBT * sample.length * (sample.held + UNSEEN)
+
+    def parts(self, point: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        width = self.sample.width
+        return point[0], point[1 : 1 + width], point[1 + width :].reshape(-1, width)
+
+    def __call__(self, point: np.ndarray) -> tuple[float, np.ndarray]:
+        sample = self.sample
+        bias, weights, factors = self.parts(point)
+        sums = [sample.by_text(factor) for factor in factors]
+        # of all factors at once, the squares that are no pairs
+        own = sample.by_text((factors * factors).sum(axis=0) / 2 - weights)
+        logits = bias - own + sum((s * s for s in sums), np.zeros(sample.n)) / 2
+        value = float(np.logaddexp(0, logits).sum() - sample.labels @ logits)
+        value += RIDGE / 2 * float(weights @ weights) + float((self.precision * factors * factors).sum()) / 2
+        error = _logistic(logits) - sample.labels
+        pull = sample.by_feature(error)
+        slope = [[error.sum()], pull + RIDGE * weights]
+        for factor, total in zip(factors, sums, strict=True):
+            slope.append(sample.by_feature(error * total) + (self.precision - pull) * factor)
+        return value, np.concatenate(slope)
+
+
+def directions(posterior: Posterior, rate: float) -> np.ndarray:
+    """Factors along which pairs of features tell labels apart most, at most ``FACTORS`` of them."""
+    sample = posterior.sample
+    scale = 1 / np.sqrt(posterior.doubt)
+    lean = sample.labels - rate
+    lean = lean * np.minimum(1, LEVERAGE / np.maximum(sample.by_text(1 / posterior.doubt), 1e-12))
+    usual = sample.held / sample.n
+    own = sample.by_feature(lean) * (1 - 2 * usual) + usual * usual * lean.sum()
+
+    def pairs(column: np.ndarray) -> np.ndarray:
+        """The centred pair matrix, scaled and without its diagonal, times a column."""
+        column = scale * column
+        through = lean * (sample.by_text(column) - usual @ column)
+        return scale * (sample.by_feature(through) - usual * through.sum() - own * column)
+
+    n = min(sample.width, FACTORS + 4)
+    found = np.linalg.qr(np.random.default_rng(7).normal(size=(sample.width, n)))[0]
+    for _ in range(TURNS):  # moved by one, so that negative directions don't win
+        found = np.linalg.qr(np.stack([pairs(c) + c for c in found.T], axis=1))[0]
+    inner = found.T @ np.stack([pairs(c) for c in found.T], axis=1)
+    strength, turn = np.linalg.eigh((inner + inner.T) / 2)
+    best = np.argsort(-strength)[:FACTORS]
+    best = best[strength[best] > 0]
+    return scale * (found @ turn[:, best]).T
+
+
+def fit(sets: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """Kept slots, bias, weights and factors (features by ``FACTORS``) from texts as sets of slots, and their labels."""
+    sample = Sample(sets, labels)
+    positive = float(labels.sum())
+    bias = float(np.log((positive + 0.5) / (sample.n - positive + 0.5)))
+    factors = np.zeros((sample.width, FACTORS))
+    if not sample.width or not 0 < positive < sample.n:
+        return sample.slots, bias, np.zeros(sample.width), factors
+    rate = positive / sample.n
+    posterior = Posterior(sample)
+    begin = np.append(bias, np.zeros(sample.width))
+    ways = directions(posterior, rate)
+    sizes = [2.0**k for k in range(-3, 8)]
+    points = [np.append(begin, (size * ways).ravel()) for size in sizes] if len(ways) else [begin]
+    point = min(points, key=lambda p: posterior(p)[0])
+    # the largest of so many sums of coin throws
+    chance = np.sqrt(2 * np.log(max(2, sample.width)) * sample.held * rate * (1 - rate))
+    penalty = np.zeros(len(point))
+    penalty[1 : 1 + sample.width] = CHANCE * chance
+    point = minimise(posterior, point, penalty, ROUNDS, ENOUGH)
+    left = point[1 : 1 + sample.width] != 0
+    penalty[1 : 1 + sample.width] = np.where(left, AGAIN * CHANCE * chance, 1e300)  # 0 stays 0
+    point = minimise(posterior, point, penalty, ROUNDS, ENOUGH)
+    bias, weights, found = posterior.parts(point)
+    factors[:, : len(found)] = found.T
+    return sample.slots, float(bias), weights, factors
+
+
+def _fitted(sets: DataFrame) -> Machine:
+    """The machine of all slot sets, which one task fits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, squares, pace = sent.value
-        rows = []
-        for batch in batches:
-            for label, slots in zip(batch["label"], batch["slots"], strict=True):
-                kept = np.unique(start.feature[slots.values.to_numpy()])
-                rows.append((label.as_py(), kept[kept > 0]))
+        rows = [
+            (label.as_py(), slots.values.to_numpy().astype(np.int64))
+            for batch in batches
+            for label, slots in zip(batch["label"], batch["slots"], strict=True)
+        ]
         if rows:
-            made, squares = _train(rows, start, squares, pace, number)
-            parts = [[made.bias], made.weights, made.factors.ravel()]
-            parts += [squares["bias"], squares["weights"], squares["factors"].ravel()]
-            flat = np.concatenate(parts).astype("<f4").tobytes()
-            yield pa.RecordBatch.from_pydict({"n": [len(rows)], "values": [flat]})
-
-    rows = sets.mapInArrow(run, "n long, values binary").collect()  # a model per shard
-    sent.packed.destroy()
-    flat = sum(np.frombuffer(r["values"], "<f4").astype(float) * (r.n / sum(other.n for other in rows)) for r in rows)
-    n, k = model.factors.shape
-    bias, weights, factors, *squares = np.split(flat, np.cumsum([1, n, n * k, 1, n]))
-    made = Machine(model.feature, float(bias[0]), weights, factors.reshape(n, k))
-    return made, {
-        "bias": squares[0],
-        "weights": squares[1],
-        "factors": squares[2].reshape(n, k),
-    }
+            labels = np.array([label for label, _ in rows], np.float64)
+            slots, bias, weights, factors = fit([slots for _, slots in rows], labels)
+            parts = [slots.astype("<i4"), weights.astype("<f4"), factors.astype("<f4")]
+            yield pa.RecordBatch.from_pydict({"bias": [bias], **{f"p{k}": [x.tobytes()] for k, x in enumerate(parts)}})
+
+    ordered = sets.repartition(1).sortWithinPartitions("place", "label")
+    made = ordered.mapInArrow(run, "bias double, p0 binary, p1 binary, p2 binary").collect()
+    feature = np.zeros(SLOTS, np.int32)
+    if not made:
+        return Machine(feature, -np.inf, np.zeros(1, "<f4"), np.zeros((1, FACTORS), "<f4"))
+    row = made[0]
+    slots = np.frombuffer(row.p0, "<i4")
+    feature[slots] = np.arange(1, len(slots) + 1)
+    weights = np.append(np.float32(0), np.frombuffer(row.p1, "<f4"))
+    factors = np.frombuffer(row.p2, "<f4").reshape(-1, FACTORS)
+    return Machine(feature, row.bias, weights, np.vstack([np.zeros((1, FACTORS), "<f4"), factors]))
 
 
 def sample_labels(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -201,36 +273,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Sent:
     """
     spark = docs.sparkSession
     chosen = F.broadcast(sample_labels(labels, sample))
-    # one shard per partition, in an order that does not depend on how the rows were stored
-    sets = (
-        _slot_sets(docs.select("doc_id", "text").join(chosen, "doc_id"))
-        .repartition(SHARDS, F.pmod("place", F.lit(SHARDS)))
-        .sortWithinPartitions("place", "label")
-        .persist()
-    )
-    try:
-        count = {row.label: row["count"] for row in sets.groupBy("label").count().collect()}
-        positive, negative = count.get(1, 0), count.get(0, 0)
-        feature = np.zeros(SLOTS, np.int32)
-        pace = np.zeros(1)
-        if positive and negative:
-            slots, n, hits = (column.to_numpy() for column in _slot_counts(sets).columns)
-            feature[slots] = np.arange(1, len(slots) + 1)
-            pace = np.append(pace, _paces(n, hits, positive, negative))
-        if not positive + negative:
-            bias = -np.inf
-        else:
-            bias = float(np.log((positive + 0.5) / (negative + 0.5)))
-        n = len(pace)
-        factors = np.random.default_rng(7).normal(0, 0.05, (n, FACTORS)) * np.sqrt(pace)[:, None]
-        model = Machine(feature, bias, np.zeros(n), factors)
-        step = {"bias": np.zeros(1), "weights": np.zeros(n), "factors": np.zeros((n, FACTORS))}
-        if positive and negative:
-            for number in range(ROUNDS):
-                model, step = _round(sets, model, step, pace, number)
-    finally:
-        sets.unpersist()
-    return send(spark, model)
+    return send(spark, _fitted(_slot_sets(docs.select("doc_id", "text").join(chosen, "doc_id"))))
 
 
 def score(text: Column, machine: Sent) -> Column:
