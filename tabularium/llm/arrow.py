@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import pickle
 import sys
@@ -44,6 +45,15 @@ def lasting() -> dict[str, Any]:
     return sys.modules.setdefault("tabularium_lasting", ModuleType("tabularium_lasting")).__dict__
 
 
+def tidy() -> None:
+    """Give back what earlier tasks of this Python process have left, to the system and not only to its allocators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Sent:
     """A broadcast value whose classes travel with it, as executors need no copy of this package."""
 
@@ -52,8 +62,8 @@ class Sent:
 
     @property
     def value(self) -> Any:
-        """Unpacked anew each time; ask once per task. What earlier tasks left is collected first."""
-        gc.collect()
+        """Unpacked anew each time; ask once per task. What earlier tasks left is given back first."""
+        tidy()
         return pickle.loads(self.packed.value)
 
 

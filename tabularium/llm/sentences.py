@@ -10,15 +10,20 @@ hashed by its words, so case, spacing and punctuation don't tell spans apart.
 Passages that keep few whole sentences, or have none, are found by spans that don't heed sentences: a text is cut
 before each word whose hash is the least of some ``NEAR`` words in a row, and a span reaches from a cut to the
 first one that is ``STRETCH`` words or more away. In a passage of ``STRETCH + 2 * NEAR - 1`` words (51) or more, the
-first ``NEAR`` words and the last ``NEAR`` hold a cut wherever the passage stands, so one such span lies in it.
+first ``NEAR`` words and the last ``NEAR`` hold a cut wherever the passage stands, so one such span lies in it. One more
+reaches from a text's start to the first such cut, and one from the last to its end, so that of texts of ``STRETCH`` words or more that are the same all words lie in spans.
 
-All spans of all documents are joined by hash. The first occurrence, by id and then by place, stays; every
+All spans of all documents meet by hash. The first occurrence, by id, text and then by place, stays; every
 sentence that another occurrence covers is removed, and of a sentence that it covers in part those words, if
 they are ``LEAST`` or more. So of exact copies all but the first lose all
 sentences, and a clean document none.
 
+Texts are read once for their spans, and spans are shuffled once (:func:`repeats`). A task sends the first occurrence of each
+hash among ``TOGETHER`` spans or so; the others among these, which cannot be the first of all, go along spread out. So a passage that a
+third of all documents hold comes to its task once for each such lot of spans.
+
 Null and wordless texts have no sentences and stay as they are, as do rows without an id. Rows of
-one id and text count as one document. A document that loses all its words is dropped by
+one id and text count as one document; those of one id and other texts are documents of their own. A document that loses all its words is dropped by
 :func:`without_repeats` unless told otherwise.
 """
 
@@ -28,9 +33,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabularium.llm.arrow import batchwise_pairs, free_name
+from tabularium.llm.arrow import batchwise_pairs, free_name, tidy
 from tabularium.llm.tables import keep
 from tabularium.llm.words import ALNUM, LOWER, Piece, Words, hash_runs, mixed, pieces, span_hashes, words_of
 
@@ -106,7 +111,17 @@ def _stretches(words: Words) -> tuple[np.ndarray, np.ndarray]:
     kept = to < len(cuts)
     first, last = cuts[kept], cuts[to[kept]]
     same = last < words.bounds[np.searchsorted(words.bounds, first, "right")]
-    return first[same], last[same]
+    begin, end = words.bounds[:-1], words.bounds[1:]
+    long = end - begin >= STRETCH
+    begin, end = begin[long], end[long]
+    if not len(begin):
+        return first[same], last[same]
+    # from the start to a cut, or the end; and from a cut, or the start, to the end
+    edges = np.append(cuts, len(words.hashes))
+    to = np.minimum(edges[np.searchsorted(cuts, begin + STRETCH)], end)
+    before = np.append(0, cuts)[np.searchsorted(cuts, end - STRETCH, "right")]
+    since = np.maximum(before, begin)
+    return np.concatenate([first[same], begin, since]), np.concatenate([last[same], to, end])
 
 
 def _sentences(piece: Piece, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -137,51 +152,107 @@ def _spans(words: Words, firsts: np.ndarray, bounds: np.ndarray) -> tuple[np.nda
     return first, last, hash_runs(words.hashes, first, last)
 
 
+class _Lot:
+    """Spans of some texts: for each hash the first occurrence, and the others, which are not the first of all."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.size += len(columns[0])
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        """Columns of ``_SPANS``; the lot is empty then."""
+        if not self.size:
+            return
+        hashes, ids, keys, first, n = (np.concatenate(column) for column in zip(*self.parts, strict=True))
+        self.parts, self.size = [], 0
+        order = np.lexsort((n, first, keys, ids, hashes))
+        same = np.append(False, hashes[order[1:]] == hashes[order[:-1]])
+        head = order[np.flatnonzero(~same)[np.cumsum(~same) - 1]]
+        # rows that repeat a text repeat its places
+        repeated = same.copy()
+        for column in (ids, keys, first):
+            repeated[1:] &= column[order[1:]] == column[order[:-1]]
+        origin, kept = np.empty(len(order), np.int64), np.empty(len(order), bool)
+        origin[order], kept[order] = head, ~repeated
+        # in order of texts, as neighbours then share what they are told by
+        kept = np.flatnonzero(kept)
+        origin = origin[kept]
+        lot = mixed(np.array([ids[0], keys[0], first[0], len(ids)]).view(np.uint64)).sum(dtype=np.uint64).view(np.int64)
+        columns = [
+            pa.array(hashes[kept]),
+            pa.array(ids[kept]),
+            pa.array(keys[kept]),
+            pa.array(first[kept].astype(np.int32)),
+            pa.array(n[kept].astype(np.int32)),
+            pa.array(np.full(len(kept), lot)),
+            pa.array(ids[origin], mask=origin == kept),
+        ]
+        yield from pa.Table.from_arrays(columns, [name.split()[0] for name in _SPANS.split(", ")]).to_batches(LOT_ROWS)
+
+
+#: ``origin``, the document of the lot's first occurrence of the hash, is null for that one itself.
+_SPANS = "hash long, doc_id long, key long, first int, n int, lot long, origin long"
+#: Spans of a lot, at least, and rows that leave a task at a time.
+TOGETHER, LOT_ROWS = 1 << 20, 1 << 16
+
+
+def _key(text: Column) -> Column:
+    """What tells texts of one id apart."""
+    return F.xxhash64(text)
+
+
 def spans(docs: DataFrame) -> DataFrame:
-    """``hash, doc_id, first, n``: every span as its first word (from 0) and its length."""
+    """``_SPANS``: every span as its first word (from 0) and its length, but for the same place of the same text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
+        lot = _Lot()
         for batch in batches:
-            ids = batch["doc_id"].to_numpy()
+            ids, keys = batch["doc_id"].to_numpy(), batch["key"].to_numpy()
             for piece in map(_plain, pieces(batch["text"])):
                 words = _words(piece)
                 first, last, hashes = _spans(words, *_sentences(piece, words))
                 text = np.searchsorted(words.bounds, first, "right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes.view(np.int64)),
-                        pa.array(ids[piece.first + text], pa.int64()),
-                        pa.array(first - words.bounds[text], pa.int32()),
-                        pa.array(last - first, pa.int32()),
-                    ],
-                    ["hash", "doc_id", "first", "n"],
-                )
+                row = piece.first + text
+                lot.add(hashes.view(np.int64), ids[row], keys[row], first - words.bounds[text], last - first)
+                if lot.size >= TOGETHER:
+                    yield from lot.take()
+        yield from lot.take()
 
     return (
         docs.where("doc_id is not null and text is not null")
-        .select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(run, "hash long, doc_id long, first int, n int")
+        .select(F.col("doc_id").cast("long"), _key(F.col("text")).alias("key"), "text")
+        .mapInArrow(run, _SPANS)
     )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, spans, origins`` of documents with spans that occurred before.
+def repeats(docs: DataFrame, origins: bool = True) -> DataFrame:
+    """``doc_id, key, spans, origins`` of documents with spans that occurred before; ``key`` is the text's.
 
     ``spans`` are structs of the first word and the number of words, ``origins`` the ids
-    of the documents of first occurrences; neither is longer than the document.
+    of the documents of first occurrences; neither is longer than the document. Without ``origins`` they are not looked up.
     """
-    found = spans(docs)
-    place = F.struct("doc_id", "first")
-    origin = found.groupBy("hash").agg(F.min(place).alias("origin"), F.max(place).alias("last"))
-    repeated = keep(origin.where("origin <> last").select("hash", "origin"), "repeated")
-    return (
-        found.join(repeated, "hash")
-        .where((F.col("origin.doc_id") != F.col("doc_id")) | (F.col("origin.first") != F.col("first")))
-        .groupBy("doc_id")
-        .agg(
-            F.collect_set(F.struct("first", "n")).alias("spans"),
-            F.sort_array(F.collect_set("origin.doc_id")).alias("origins"),
-        )
+    # the first occurrences of lots meet by hash; the others, known not to be first, stay with their lot's
+    alone = F.when(F.col("origin").isNotNull(), F.col("lot"))
+    meeting = Window.partitionBy("hash", alone).orderBy("doc_id", "key", "first")
+    place = F.struct("doc_id", "key", "first")
+    met = spans(docs).withColumn("head", F.first(place).over(meeting))
+    is_first = F.col("origin").isNull()
+    later = met.where(~is_first | (F.col("head") != place)).select(
+        "hash", "lot", "doc_id", "key", "first", "n", F.coalesce("origin", "head.doc_id").alias("origin"), is_first.alias("is_first")
+    )
+    later = keep(later, "later-spans")
+    if origins:
+        # the first of a lot may itself be met before, in another lot
+        heads = later.where("is_first").select("hash", "lot", F.col("origin").alias("head"))
+        later = later.join(heads, ["hash", "lot"], "left").withColumn("origin", F.coalesce("head", "origin"))
+    return later.groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("first", "n")).alias("spans"),
+        (F.sort_array(F.collect_set("origin")) if origins else F.array().cast("array<long>")).alias("origins"),
     )
 
 
@@ -244,16 +315,17 @@ def _only_long(gone: np.ndarray, edges: np.ndarray) -> int:
     return len(np.unique(sentence[kept]))
 
 
-def mark_repeats(docs: DataFrame) -> tuple[DataFrame, str]:
+def mark_repeats(docs: DataFrame, origins: bool = True) -> tuple[DataFrame, str]:
     """``docs`` with a struct column of what is left, and its name.
 
     Its fields: ``cut`` (``text``, ``n_sentences``, ``n_removed`` of these that lost words, ``n_left`` words) and ``origins``. Other columns stay.
     """
-    name, key = free_name(docs, "left"), free_name(docs, "repeats_of")
-    found = keep(repeats(docs), "repeats").select(
-        F.col("doc_id").alias(key), F.struct("spans", "origins").alias(name)
+    name, of, key = free_name(docs, "left"), free_name(docs, "repeats_of"), free_name(docs, "repeats_key")
+    found = keep(repeats(docs, origins), "repeats").select(
+        F.col("doc_id").alias(of), F.col("key").alias(key), F.struct("spans", "origins").alias(name)
     )
-    joined = docs.join(found, F.col("doc_id").cast("long") == F.col(key), "left").drop(key)
+    same = (F.col("doc_id").cast("long") == F.col(of)) & (_key(F.col("text")) == F.col(key))
+    joined = docs.join(found, same, "left").drop(of, key)
     return (
         joined.withColumn(
             name,
@@ -267,7 +339,7 @@ def mark_repeats(docs: DataFrame) -> tuple[DataFrame, str]:
 
 def without_repeats(docs: DataFrame, drop_empty: bool = True) -> DataFrame:
     """``docs`` without repeated passages; same columns."""
-    marked, name = mark_repeats(docs)
+    marked, name = mark_repeats(docs, origins=False)
     if drop_empty:
         cut = F.col(f"{name}.cut")
         marked = marked.where((cut.n_removed == 0) | (cut.n_left > 0))

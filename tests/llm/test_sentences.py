@@ -1,6 +1,8 @@
+import itertools
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from awkward import awkward_rows, documents
 from pyspark.sql import functions as F
@@ -21,23 +23,71 @@ def split(text):
     return out
 
 
+def cut_places(words):
+    """Words with the least hash of some ``NEAR`` in a row, the last of equals, by trying all."""
+    if len(words) < s.NEAR:
+        return []
+    piece = next(s.pieces(pa.array([" ".join(words)])))
+    hashes = s.mixed(s.words_of(piece, s.ALNUM).hashes).tolist()
+    runs = (range(at, at + s.NEAR) for at in range(len(words) - s.NEAR + 1))
+    return sorted({min(run, key=lambda k: (hashes[k], -k)) for run in runs})
+
+
+def stretches(words):
+    """Places and lengths of the spans that don't heed sentences."""
+    n, cuts = len(words), cut_places(words)
+    if n < s.STRETCH:
+        return []
+    following = lambda at: next((c for c in cuts if c >= at + s.STRETCH), None)
+    found = [(c, following(c)) for c in cuts]
+    found.append((0, following(0) or n))
+    found.append((max([c for c in cuts if c <= n - s.STRETCH], default=0), n))
+    return {(a, b - a) for a, b in found if b is not None}
+
+
 def brute_force(texts):
-    """By text, the sentences that non-first spans cover, and where these occurred first."""
+    """By text, the number of sentences, those that lose words to non-first spans, and where these occurred first."""
+    return {k: (n, gone, origins) for k, (n, gone, origins, _) in cut_by_all_spans(texts).items()}
+
+
+def cut_by_all_spans(texts):
+    """The same, and the words that are left."""
     first, spans = {}, []
     for k, text in enumerate(texts):
         words = [WORD.findall(x.lower()) for x in split(text)]
-        for at in range(len(words)):
-            for n, least in ((1, s.ONE), (2, s.TWO), (s.RUN, s.LEAST)):
-                run = tuple(w for x in words[at : at + n] for w in x)
-                if at + n <= len(words) and len(run) >= least:
-                    spans.append((run, k, at, n))
-                    first[run] = min(first.get(run, (k, at)), (k, at))
-    out = {k: (set(), set()) for k in range(len(texts))}
+        flat, starts = [w for x in words for w in x], [0]
+        for x in words:
+            starts.append(starts[-1] + len(x))
+        places = [
+            (starts[at], starts[at + n] - starts[at])
+            for at in range(len(words))
+            for n, least in ((1, s.ONE), (2, s.TWO), (s.RUN, s.LEAST))
+            if at + n <= len(words) and starts[at + n] - starts[at] >= least
+        ]
+        for at, n in {*places, *stretches(flat)}:
+            run = tuple(flat[at : at + n])
+            spans.append((run, k, at, n))
+            first[run] = min(first.get(run, (k, at)), (k, at))
+    gone = {k: set() for k in range(len(texts))}
+    origins = {k: set() for k in range(len(texts))}
     for run, k, at, n in spans:
         if first[run] != (k, at):
-            out[k][0].update(range(at, at + n))
-            out[k][1].add(first[run][0])
-    return {k: (len(split(texts[k])), sorted(gone), sorted(origins)) for k, (gone, origins) in out.items()}
+            gone[k].update(range(at, at + n))
+            origins[k].add(first[run][0])
+    out = {}
+    for k, text in enumerate(texts):
+        at, touched, left, sentences = 0, [], [], split(text)
+        for number, sentence in enumerate(sentences):
+            words = WORD.findall(sentence.lower())
+            marks = [at + i in gone[k] for i in range(len(words))]
+            runs = [(mark, [w for w, _ in group]) for mark, group in itertools.groupby(zip(words, marks), key=lambda p: p[1])]
+            lost = [mark and (len(run) >= s.LEAST or len(run) == len(words)) for mark, run in runs]
+            if any(lost):
+                touched.append(number)
+            left += [w for cut, (_, run) in zip(lost, runs, strict=True) if not cut for w in run]
+            at += len(words)
+        out[k] = (len(sentences), touched, sorted(origins[k]), left)
+    return out
 
 
 def some_texts(seed):
@@ -60,18 +110,66 @@ def test_removed_sentences_are_those_of_all_spans(spark):
         texts = some_texts(seed)
         marked, name = s.mark_repeats(documents(spark, texts))
         rows = {r.doc_id: r[name] for r in marked.collect()}
-        for k, (n, gone, origins) in brute_force(texts).items():
+        for k, (n, gone, origins, left) in cut_by_all_spans(texts).items():
             cut = rows[k].cut
             assert (cut.n_sentences, cut.n_removed, rows[k].origins or []) == (n, len(gone), origins)
+            assert cut.n_left == len(left)
             if texts[k] is None:
                 assert cut.text is None
             elif gone:
-                left = [x for i, x in enumerate(split(texts[k])) if i not in gone]
-                assert "".join(cut.text.split()) == "".join("".join(left).split())
+                assert WORD.findall(cut.text.lower()) == left
             else:
                 assert cut.text == texts[k]
 
 
+@pytest.mark.parametrize("partitions, together", [(1, 1 << 20), (4, 50), (7, 1)])
+def test_spans_that_do_not_heed_sentences(spark, monkeypatch, partitions, together):
+    """Long sentences with passages of others in them, however they lie in partitions and lots."""
+    monkeypatch.setattr(s, "TOGETHER", together)
+    rng = random.Random(partitions)
+    fresh = lambda n: [f"{rng.randrange(1 << 30):x}" for _ in range(n)]
+    passages = [fresh(n) for n in (37, 45, 60, 80, 200)]
+    texts = []
+    for _ in range(40):
+        words = fresh(rng.randrange(50))
+        for passage in rng.sample(passages, rng.randrange(3)):
+            a = rng.randrange(len(passage) - 20)
+            words += passage[a:] + fresh(rng.randrange(20))
+        texts.append(" ".join(w + "." * (rng.random() < 0.02) for w in words))
+    texts += [texts[4], texts[9], "one " * 100, "one " * 90]
+    marked, name = s.mark_repeats(documents(spark, texts, partitions))
+    rows = {r.doc_id: r[name] for r in marked.collect()}
+    found = cut_by_all_spans(texts)
+    assert sum(bool(gone) for _, gone, _, _ in found.values()) > 5
+    for k, (n, gone, origins, left) in found.items():
+        assert (rows[k].cut.n_sentences, rows[k].cut.n_removed, rows[k].origins or []) == (n, len(gone), origins)
+        assert WORD.findall(rows[k].cut.text.lower()) == left
+    without = {r.doc_id: r.text for r in s.without_repeats(documents(spark, texts, partitions), drop_empty=False).collect()}
+    assert without == {k: r.cut.text for k, r in rows.items()}
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(2)
+    text = lambda n: " ".join(f"{rng.randrange(1 << 30):x}" + "." * (k % 7 == 6) for k in range(n))
+    copied, clean = text(120), text(150)
+    rows = [(1, copied), (2, copied), (2, clean), (2, "short one."), (2, copied), (3, clean), (None, copied)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r.doc_id or 0, r.text) for r in s.without_repeats(docs).collect())
+    assert kept == sorted([(1, copied), (2, clean), (2, "short one."), (0, copied)])
+    marked, name = s.mark_repeats(docs)
+    found = {(r.doc_id, r.text): r[name].origins for r in marked.where("doc_id > 1").collect()}
+    assert found == {(2, copied): [1], (2, clean): None, (2, "short one."): None, (3, clean): [2]}
+
+
+def test_copies_of_long_texts_lose_all_sentences(spark):
+    rng = random.Random(8)
+    lines = [f"{rng.randrange(1 << 30):x}" for _ in range(9)]
+    text = "\n".join([*lines[:4], " ".join(f"{rng.randrange(1 << 30):x}." for _ in range(50)), *lines[4:]])
+    marked, name = s.mark_repeats(documents(spark, [text, "other", text]))
+    cut = {r.doc_id: r[name].cut for r in marked.collect()}
+    assert cut[2].n_removed == cut[2].n_sentences and cut[2].n_left == 0 and cut[0].text == text
+
+
 def test_repeated_passages_go_and_clean_documents_stay(spark):
     passage = "This is a passage of some length. It goes on for a while. Then it ends with these words."
     texts = [f"First of all. {passage} Own end.", f"Another opening here. {passage} And a close.", "Quite clean text. Of its own."]
