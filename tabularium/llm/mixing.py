@@ -12,7 +12,7 @@ log odds. Contexts are told apart by their bytes, so their number grows with the
 The predictions are added up under weights, which a gate picks by which of the longer
 contexts are known; after the bits of a tree the weights that were used move towards what would have
 predicted them better. They start afresh every ``STRETCH`` bytes, so a long text is many short
-ones to the machine, while contexts reach across. A score is the sum of log10 probabilities of all
+ones to the machine, while contexts reach across. All stretches of a block go on abreast. A score is the sum of log10 probabilities of all
 bits, and depends on the text and the corpus only.
 
 Contexts are counted by block of texts first. Each block sends its distinct contexts, dealt over buckets by
@@ -47,7 +47,7 @@ ORDERS = (3, 4, 6)
 DEPTH, BYTE_DEPTH = 6, 8
 LEAVES = 1 << DEPTH
 #: Text bytes in a block, in what a task works on at a time, and between fresh starts of the weights.
-BLOCK, WORKED, STRETCH = 8 << 20, 2 << 20, 1024
+BLOCK, WORKED, STRETCH = 16 << 20, 2 << 20, 4096
 #: Weights to start with, by gate (none, one, both of the longer contexts are known); and their step.
 START, STEP = ((0.7, 0.1, 0.0), (0.4, 0.4, 0.0), (0.25, 0.3, 0.3)), 0.01
 #: What each side of a node has before anything is counted.
@@ -61,7 +61,7 @@ CHUNK = 1 << 14
 
 _END, _SPACE = 10, 32
 _PAD = 8
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD, _AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Stream(NamedTuple):
@@ -98,6 +98,14 @@ def stream_of(piece: Piece) -> Stream:
     return Stream(out, firsts, lasts)
 
 
+def _joined(streams: list[Stream]) -> Stream:
+    """One stream of several, one after the other."""
+    starts = np.cumsum([0, *(len(stream.data) for stream in streams[:-1])])
+    moved = [(stream.firsts + at, stream.lasts + at) for stream, at in zip(streams, starts, strict=True)]
+    firsts, lasts = (np.concatenate(ends) for ends in zip(*moved, strict=True))
+    return Stream(np.concatenate([stream.data for stream in streams]), firsts, lasts)
+
+
 def befores(data: np.ndarray) -> np.ndarray:
     """The eight bytes before each byte from ``_PAD`` on, as a number, the nearest being the highest."""
     data = np.ascontiguousarray(data)
@@ -127,12 +135,32 @@ class Alphabet:
         self.extra = np.zeros(256)
         self.extra[rare] = -np.log(self.share[rare])
 
-    def log_odds(self, counts: np.ndarray) -> np.ndarray:
-        """Sixteenths of log odds of going right, by row and node, of rows of counts by leaf."""
-        return _log_odds(counts, DEPTH, lambda level: PRIOR)
+    @staticmethod
+    def log_odds(owner: np.ndarray, leaf: np.ndarray, counts: np.ndarray, rows: int) -> np.ndarray:
+        """Sixteenths of log odds of going right, row after row by node, from counts by row and leaf, in order of rows.
+
+        Most contexts are followed by few bytes, so only nodes on the way to these are worked out; the others are even.
+        """
+        out = _aligned(rows * LEAVES)
+        key = owner * LEAVES + leaf
+        if (key[1:] < key[:-1]).any():
+            order = np.argsort(key, kind="stable")
+            key, counts = key[order], counts[order]
+        sums = counts.astype(np.float64)
+        for level in reversed(range(DEPTH)):
+            # what is below a node's two sides lies side by side
+            parent = key >> 1
+            first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1])) if len(key) else np.empty(0, np.int64)
+            right = np.where(key & 1, sums, 0)
+            both, right = (np.add.reduceat(x, first) if len(first) else x[:0] for x in (sums, right))
+            odds = np.log((right + PRIOR) / (both - right + PRIOR))
+            key, sums = parent[first], both
+            node = (key >> level) * LEAVES + (key & ((1 << level) - 1)) + (1 << level) - 1
+            out[node] = np.clip(np.round(16 * odds), -127, 127).astype(np.int8)
+        return out
 
     def rare_log_odds(self, counts: np.ndarray) -> np.ndarray:
-        """The same in the tree of the shared leaf, of rows of counts by byte."""
+        """The same in the tree of the shared leaf, by row and node, of rows of counts by byte."""
 
         def prior(level: int) -> np.ndarray:
             sides = self.share.reshape(1 << level, 2, -1).sum(axis=-1) + 1e-9
@@ -153,6 +181,13 @@ def _log_odds(counts: np.ndarray, depth: int, prior: Callable[[int], float | np.
     return out
 
 
+def _aligned(size: int) -> np.ndarray:
+    """Zero bytes of which each 64 lie in one line of the processor's cache."""
+    room = np.zeros(size + 64, np.int8)
+    begin = -room.ctypes.data % 64
+    return room[begin : begin + size]
+
+
 def _learned(batch: pa.RecordBatch) -> pa.Array:
     return batch["text"].filter(batch["learn"])
 
@@ -282,9 +317,12 @@ def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
                     for key in rows_of(befores(stream.data)):
                         key <<= 8
                         key |= stream.data[_PAD:]
+                        if int(key.max(initial=0)) < 1 << 32:
+                            key = key.astype(np.uint32)  # half as much to sort
                         found, n = np.unique(key[marks[0]], return_counts=True)
                         other = np.unique(key[marks[1]])
-                        held.append((np.append(found, other), np.append(n, np.zeros(len(other), np.int64))))
+                        found = np.append(found, other).astype(np.int64)
+                        held.append((found, np.append(n, np.zeros(len(other), np.int64))))
         if held:
             yield flush()
 
@@ -330,7 +368,7 @@ class Contexts:
         order = np.argsort(owner, kind="stable")
         owner, symbols, counts = owner[order], counted.symbols[order], counted.counts[order]
         leaf = alphabet.leaf[symbols]
-        self.table = self._rows(alphabet.log_odds, owner, leaf, counts, n + 1, LEAVES)
+        self.table = alphabet.log_odds(owner, leaf, counts, n + 1)
         rare = np.flatnonzero(leaf == LEAVES - 1)
         found, place = np.unique(owner[rare], return_inverse=True)
         self.rare_row = np.zeros(n + 1, np.int32)
@@ -338,9 +376,14 @@ class Contexts:
         self.rare = self._rows(
             alphabet.rare_log_odds, place + 1, symbols[rare], counts[rare], len(found) + 1, 1 << BYTE_DEPTH
         )
-        self.shift = np.uint64(64 - max(10, n.bit_length() + 3))
-        self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
-        self.slots[self._slot(self.keys[1:])] = np.arange(1, n + 1)
+        self.bits = max(10, n.bit_length() + 2)
+        every = np.arange(1, n + 1)
+        self.slots = np.zeros(1 << self.bits, np.int32)
+        at = _slot(self.keys[1:], _SPREAD, self.bits)
+        self.slots[at] = every
+        lost = every[self.slots[at] != every]  # another context has the slot
+        self.more = np.zeros(1 << self.bits, np.int32)
+        self.more[_slot(self.keys[lost], _AGAIN, self.bits)] = lost
 
     @staticmethod
     def _rows(odds, owner: np.ndarray, leaf: np.ndarray, counts: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -354,20 +397,25 @@ class Contexts:
             out[first * width : last * width] = odds(dense).ravel()
         return out
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * _SPREAD) >> self.shift).view(np.int64)
-
     def rows(self, keys: np.ndarray) -> np.ndarray:
-        """The row of each context; few share a slot, and those are searched for."""
-        out = self.slots[self._slot(keys)].astype(np.int64)
-        other = (self.keys[out] != keys) & (out > 0)
-        if other.any():
+        """The row of each context; few share both slots with others, and those are searched for."""
+        out = self.slots[_slot(keys, _SPREAD, self.bits)].astype(np.int64)
+        other = np.flatnonzero((self.keys[out] != keys) & (out > 0))
+        if len(other):
             asked = keys[other]
+            again = self.more[_slot(asked, _AGAIN, self.bits)].astype(np.int64)
+            out[other] = again
+            still = np.flatnonzero((self.keys[again] != asked) & (again > 0))
+            asked = asked[still]
             at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-            out[other] = np.where(self.keys[at] == asked, at, 0)
+            out[other[still]] = np.where(self.keys[at] == asked, at, 0)
         return out
 
 
+def _slot(keys: np.ndarray, spread: np.uint64, bits: int) -> np.ndarray:
+    return ((keys.view(np.uint64) * spread) >> np.uint64(64 - bits)).view(np.int64)
+
+
 def _all(rows: pa.Table) -> Counted:
     empty = Counted(*(np.empty(0, kind) for kind in (np.int64, np.int64, np.uint8, np.int64)))
     found = [_unpacked(packed) for packed in rows["packed"].to_pylist()]
@@ -394,33 +442,36 @@ class Mixer(NamedTuple):
         firsts = [np.arange(a, b, STRETCH) for a, b in zip(stream.firsts, stream.lasts, strict=True)]
         owner = np.repeat(np.arange(len(firsts)), [len(f) for f in firsts])
         first = np.concatenate(firsts)
-        last = np.minimum(first + STRETCH, stream.lasts[owner])
-        cost = np.zeros(len(first))
-        done = 0
-        while done < len(first):
-            end = max(done + 1, int(np.searchsorted(last, first[done] + WORKED)))
-            start = first[done] - _PAD
-            part = slice(done, end)
-            cost[part] = self._stretches(stream.data[start : last[end - 1]], first[part] - start, last[part] - start)
-            done = end
-        return np.bincount(owner, cost, len(firsts))
-
-    def _stretches(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        alphabet, table = self.alphabet, self.contexts.table
+        size = np.minimum(STRETCH, stream.lasts[owner] - first)
         # stretches abreast, the longest first, so that those at work are always the first ones
-        size = last - first
         order = np.argsort(-size, kind="stable")
         first, size = first[order], size[order]
-        lanes = np.arange(len(order))
+        # inputs are sixteenths of log odds: weights and steps are scaled to match
+        weights = np.repeat(np.array(START, np.float32).T / 16, len(order), axis=1)
+        cost = np.zeros(len(order))
         busy = np.searchsorted(-size, -np.arange(size[0]), "left")
+        met = np.concatenate(([0], np.cumsum(busy)))  # bytes that all have met before each place
+        place = 0
+        while place < len(busy):
+            end = max(place + 1, int(np.searchsorted(met, met[place] + WORKED, "right")) - 1)
+            self._advance(stream.data, first, weights, cost, place, busy[place:end])
+            place = end
+        return np.bincount(owner[order], cost, len(firsts))
+
+    def _advance(
+        self, data: np.ndarray, first: np.ndarray, weights: np.ndarray, nats: np.ndarray, place: int, busy: np.ndarray
+    ) -> None:
+        """All stretches go on from a place, so many of them at each step; their cost is added, and weights move."""
+        alphabet, table, lanes = self.alphabet, self.contexts.table, len(first)
         # bytes in the order in which they are met: the first of all stretches, the second, and so on
         edge = np.concatenate(([0], np.cumsum(busy)))
-        at = np.repeat(np.arange(len(busy)), busy)
+        at = np.repeat(np.arange(place, place + len(busy)), busy)
         lane = np.arange(edge[-1]) - np.repeat(edge[:-1], busy)
         at += first[lane]
         leaf = alphabet.leaf[data[at]]
         node, sign = _path(leaf, DEPTH)
-        rows = np.stack([self.contexts.rows(keys) for keys in rows_of(befores(data)[at - _PAD])])
+        before = befores(data)[at - _PAD]
+        rows = np.stack([self.contexts.rows(keys) for keys in rows_of(before)])
         rare = np.flatnonzero(leaf == LEAVES - 1)
         met = self.contexts.rare_row[rows[:, rare]].any(axis=0)
         unmet, rare = rare[~met], rare[met]
@@ -428,11 +479,9 @@ class Mixer(NamedTuple):
         rare_rows = self.contexts.rare_row[rows[:, rare]].astype(np.int64) << BYTE_DEPTH
         rare_edge = np.searchsorted(rare, edge).tolist()
         rows *= LEAVES
-        place = (table.take(rows[1:]) != 0).sum(axis=0) * len(order) + lane  # gate and lane
-        # inputs are sixteenths of log odds: weights and steps are scaled to match
-        weights = np.repeat(np.array(START, np.float32).T / 16, len(order), axis=1)
+        gate = (table.take(rows[1:]) != 0).sum(axis=0) * lanes + lane  # and lane
         rate, least = np.float32(STEP / 256), np.float32(1e-6)
-        nats = np.bincount(lane[unmet], alphabet.extra[data[at[unmet]]], len(order)).astype(np.float64)
+        nats += np.bincount(lane[unmet], alphabet.extra[data[at[unmet]]], lanes)
 
         def cost(now: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             """Of the bits of a tree; the weights move."""
@@ -452,15 +501,11 @@ class Mixer(NamedTuple):
         for t, n in enumerate(busy.tolist()):
             part = slice(edge[t], edge[t + 1])
             x = table.take(rows[:, None, part] + node[:, part]).astype(np.float32)
-            nats[:n] += cost(place[part], x, sign[:, part].astype(np.float32))
+            nats[:n] += cost(gate[part], x, sign[:, part].astype(np.float32))
             if rare_edge[t] < rare_edge[t + 1]:
                 part = slice(rare_edge[t], rare_edge[t + 1])
                 x = self.contexts.rare.take(rare_rows[:, None, part] + rare_node[:, part]).astype(np.float32)
-                bits = cost(place[rare[part]], x, rare_sign[:, part].astype(np.float32))
-                nats[lane[rare[part]]] += bits
-        out = np.empty(len(order))
-        out[order] = nats
-        return out
+                nats[lane[rare[part]]] += cost(gate[rare[part]], x, rare_sign[:, part].astype(np.float32))
 
 
 def _path(leaf: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -636,8 +681,7 @@ def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
         word, count = word[order], shared.counts[order]
         texts = docs["text"].combine_chunks()
         columns = texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]
-        parts = [piece for column in columns for piece in pieces(column, BLOCK)]
-        found = [words_of(piece, VISIBLE) for piece in parts]
+        found = [words_of(piece, VISIBLE) for column in columns for piece in pieces(column)]
         n = np.concatenate([np.diff(words.bounds) for words in found])
         owner = np.repeat(np.arange(len(n)), n)
         c = _counts(
@@ -649,7 +693,8 @@ def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
         logs = np.bincount(owner, np.log10(c + 1.0), len(n)) + math.log10(totals.ends + 1)
         base = logs - (n + 1) * math.log10(totals.tokens + totals.distinct + 1)
         known = np.bincount(owner, c > 0, len(n)).astype(np.int64) + bool(totals.ends)
-        scores = -np.concatenate([mixer.nats(stream_of(piece)) for piece in parts]) / math.log(10)
+        whole = _joined([stream_of(piece) for column in columns for piece in pieces(column, WORKED)])
+        scores = -mixer.nats(whole) / math.log(10)
         tokens = n + 1
         return pa.table(
             {
