@@ -12,14 +12,16 @@ fewer words the whole sequence is its one run. Two documents are linked if their
   standard errors below the threshold are dropped.
 * What remains is confirmed on the whole texts.
 
-Candidates are tested in two rounds. In the first, each bucket tests its smallest id against the
-others. Most buckets are then within one component, and what their other pairs would say changes
+Candidates are tested in three rounds. In the first, each id is tested against the smallest one that it shares a
+bucket with; so a group's texts are read once for each member, not for each bucket. In the second, each bucket tests its smallest id against the
+others that are not in its component by then. Most buckets are then within one component, and what their other pairs would say changes
 nothing. Buckets that still hold several components compare all their members across components,
 inside tasks, in cells of bounded size; only pairs whose estimate passes leave the task. So no link
 between components goes untested, and no bucket is gathered in one task.
 
 Null and wordless texts have empty sets, are linked with nothing and stay. Rows without an id are
-linked with nothing and have no component. Rows of one id count as one document.
+linked with nothing and have no component. Rows of one id count as one document, whatever their texts; :func:`keep_one`
+tells these apart.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabularium.llm.arrow import batchwise_pairs
+from tabularium.llm.arrow import batchwise_pairs, free_name
 from tabularium.llm.components import components
 from tabularium.llm.tables import keep
 from tabularium.llm.words import VISIBLE, mixed, pieces, runs, words_of
@@ -306,6 +308,17 @@ def _across(members: DataFrame, reps: DataFrame, labels: DataFrame, limits: Limi
     return cells.mapInArrow(run, "a long, b long")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` whose ends are not in one component."""
+    labels = keep(labels, "labels")
+    found = pairs
+    for side in ("a", "b"):
+        known = labels.select(F.col("id").alias(side), F.col("component").alias(f"component_{side}"))
+        found = found.join(known, side, "left")
+    ends = [F.coalesce(f"component_{side}", side) for side in ("a", "b")]
+    return found.where(ends[0] != ends[1]).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``doc_id, text``."""
     limits = Limits.of(percent)
@@ -323,15 +336,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     hubs = keep(hubs.where("hub <> last").select("band", "hub"), "hubs")
     members = keep(banded.join(hubs, "band"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = keep(
+    copies = keep(
         docs.select(F.col("doc_id").cast("long"), "text")
         .join(wanted, "doc_id", "left_semi")
         .select(F.col("doc_id").alias("rep"), "text"),
+        "copies",
+    )
+    # a row that is there many times is read once for each of its pairs; tasks drop their own repeats before the shuffle
+    texts = keep(
+        copies.groupBy("rep", F.xxhash64("text").alias("of")).agg(F.first("text").alias("text")).select("rep", "text"),
         "texts",
     )
 
     starred = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = keep(_confirmed(keep(_likely(starred, reps, limits), "pairs"), texts, limits), "links")
+    starred = keep(starred, "starred")
+    nearest = starred.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = keep(_confirmed(keep(_likely(nearest, reps, limits), "pairs"), texts, limits), "links")
+    apart = _apart(starred, components(links))
+    links = links.unionAll(keep(_confirmed(keep(_likely(apart, reps, limits), "pairs"), texts, limits), "links"))
     across = keep(_across(members, reps, components(links), limits), "pairs")
     links = links.unionAll(_confirmed(across, texts, limits))
     label = components(links).select(F.col("id").alias("rep"), "component")
@@ -353,7 +375,34 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One row of each group of ``docs``, that of the smallest id; rows without an id stay. Same columns."""
-    kept = near_duplicates(docs, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each group of ``docs``, that of the smallest id; rows without an id stay. Same columns.
+
+    Rows of one id are copies if their texts are the same, and documents of their own if they are not.
+    """
+    mark = free_name(docs, "text_of_id")
+    marked = _one_id_a_text(docs, mark)
+    groups = near_duplicates(marked.select(F.col(mark).alias("doc_id"), "text"), percent)
+    ids = marked.select(F.col(mark).alias("of"), F.col("doc_id").cast("long").alias("id")).distinct()
+    members = keep(groups.select(F.col("doc_id").alias("of"), "component_id").distinct().join(ids, "of"), "grouped")
+    first = members.groupBy("component_id").agg(F.min(F.struct("id", "of")).alias("first"))
+    kept = first.select(F.col("first.of").alias(mark))
+    chosen = marked.join(kept, mark, "left_semi").dropDuplicates([mark])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return chosen.select(*columns).unionByName(docs.where("doc_id is null").select(*columns))
+
+
+def _one_id_a_text(docs: DataFrame, mark: str) -> DataFrame:
+    """The rows that have an id, with a number of their own for each id and text as ``mark``.
+
+    It is the id, but for all texts of an id but one; so it keeps the order of ids, and a text that others are copies of, which often
+    has a small one, is the first of its buckets.
+    """
+    text, of, first = F.xxhash64("text"), free_name(docs, "several_of"), free_name(docs, "several_first")
+    known = docs.where("doc_id is not null")
+    texts = known.select(F.col("doc_id").cast("long").alias(of), text.alias("text")).groupBy(of)
+    several = texts.agg(F.min("text").alias(first), F.max("text").alias("last")).where(F.col(first) != F.col("last"))
+    several = keep(several.drop("last"), "several")
+    own = F.col("doc_id").cast("long")
+    is_first = F.col(first).isNull() | (text == F.col(first))
+    number = F.when(is_first, own).otherwise(F.xxhash64(own, text))
+    return known.join(several, own == F.col(of), "left").withColumn(mark, number).drop(of, first)

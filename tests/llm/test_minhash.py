@@ -122,3 +122,35 @@ def test_components(spark, shape):
     expected = groups(whole, {x for pair in whole for x in pair})
     found = c.components(table).collect()
     assert len(found) == len(expected) and {r.id: r.component for r in found} == expected
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    a, b, clean = text(80), text(90), text(70)
+    near = lambda t: f"{t} more"
+    rows = [(1, a), (2, near(a)), (2, clean), (3, near(clean)), (4, b), (4, b), (4, near(b)), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r.doc_id or 0, r.text) for r in minhash.keep_one(docs, 80).collect())
+    assert (1, a) in kept and (2, clean) in kept and (0, a) in kept
+    assert len(kept) == 4 and [i for i, t in kept if t in (b, near(b))] == [4]
+
+
+def test_rows_that_are_there_many_times_are_read_once(spark, monkeypatch):
+    """Two near copies, each a thousand times: one pair of texts is compared, not a million."""
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(10_000)}" for _ in range(60))
+    rows = [(1, text), (2, f"{text} more")] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    read = []
+    confirmed = minhash._confirmed
+
+    def counted(pairs, texts, limits):
+        read.append((pairs.count(), texts.count()))
+        return confirmed(pairs, texts, limits)
+
+    monkeypatch.setattr(minhash, "_confirmed", counted)
+    found = minhash.near_duplicates(docs, 80).collect()
+    assert len(found) == 2000 and {r.component_id for r in found} == {1}
+    assert read == [(1, 2), (0, 2), (0, 2)]
+    assert [r.doc_id for r in minhash.keep_one(docs, 80).collect()] == [1]
