@@ -37,7 +37,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tabularium.llm.tables import keep
 
 #: Parts compared at a time; with 256 entries their sums are a few MB.
-TOGETHER = 1024
+TOGETHER = 256
+#: Points are taken one by one once fewer than one in so many is left.
+FEW = 12
 #: Sums travel as numbers of so many bits, so that they can be added up as longs.
 LIMB_BITS = 40
 
@@ -123,19 +125,32 @@ def nearest(rows: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _search(rows: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest point to each row, both transformed, and the distance, still multiplied."""
+    """The nearest point to each row, both transformed, and the distance, still multiplied.
+
+    Coefficients are added up for all points side by side while many are left, then for those that are left.
+    """
     n = rows.shape[1]
     step = max(1, n // 4)
     sums = (rows[:, None, 0] - points[None, :, 0]) ** 2
-    for k in range(1, step):
-        sums += (rows[:, None, k] - points[None, :, k]) ** 2
-    leader = sums.argmin(axis=1)
-    bound = ((rows - points[leader]) ** 2).sum(axis=1)
-    # the leader itself is never above its own full distance, so every row keeps one
-    row, point = np.nonzero(sums <= bound[:, None])
+    done = 1
+    while True:
+        while done % step:
+            sums += (rows[:, None, done] - points[None, :, done]) ** 2
+            done += 1
+        leader = sums.argmin(axis=1)
+        if done == n:
+            return leader, sums[np.arange(len(rows)), leader]
+        # the leader itself is never above its own full distance, so every row keeps one
+        bound = ((rows - points[leader]) ** 2).sum(axis=1)
+        alive = sums <= bound[:, None]
+        if np.count_nonzero(alive) * FEW < alive.size:
+            break
+        sums += (rows[:, None, done] - points[None, :, done]) ** 2
+        done += 1
+    row, point = np.nonzero(alive)
     held = sums[row, point]
-    for begin in range(step, n, step):
-        for k in range(begin, min(begin + step, n)):
+    for begin in range(done, n, step):
+        for k in range(begin, begin + step):
             held = held + (rows[row, k] - points[point, k]) ** 2
         alive = held <= bound[row]
         row, point, held = row[alive], point[alive], held[alive]

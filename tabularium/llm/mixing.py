@@ -276,6 +276,23 @@ def _inside(stream: Stream, texts: np.ndarray) -> np.ndarray:
     return np.cumsum(edges[:-1], dtype=np.int8)[_PAD:].view(bool)
 
 
+def _distinct_pairs(data: np.ndarray, mark: np.ndarray, times: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """By predictor, distinct pairs of a context and the byte after it where marked, and how often each occurs, times so much.
+
+    Only the longest contexts are sorted byte by byte; pairs of shorter ones are sums of theirs.
+    """
+    longest = ORDERS[-1]
+    key = befores(data) >> np.uint64(64 - 8 * longest)
+    key <<= np.uint64(8)
+    key |= data[_PAD:]
+    found, counts = np.unique(key[mark].view(np.int64), return_counts=True)
+    symbols, counts = found & 255, counts * times
+    for number, order in enumerate(ORDERS[:-1]):
+        context = found >> 8 * (1 + longest - order) | number << 48
+        yield _merged(context << 8 | symbols, counts)
+    yield found | (len(ORDERS) - 1) << 56, counts
+
+
 def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
     """``block, bucket`` and packed counts: distinct contexts of each block and the bytes that follow them.
 
@@ -314,15 +331,8 @@ def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
                     stream = stream_of(piece)
                     taught = learn[a + piece.first : a + piece.last]
                     marks = [_inside(stream, taught), _inside(stream, ~taught)]
-                    for key in rows_of(befores(stream.data)):
-                        key <<= 8
-                        key |= stream.data[_PAD:]
-                        if int(key.max(initial=0)) < 1 << 32:
-                            key = key.astype(np.uint32)  # half as much to sort
-                        found, n = np.unique(key[marks[0]], return_counts=True)
-                        other = np.unique(key[marks[1]])
-                        found = np.append(found, other).astype(np.int64)
-                        held.append((found, np.append(n, np.zeros(len(other), np.int64))))
+                    for mark, times in zip(marks, (1, 0), strict=True):
+                        held.extend(_distinct_pairs(stream.data, mark, times))
         if held:
             yield flush()
 
@@ -486,7 +496,9 @@ class Mixer(NamedTuple):
         def cost(now: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             """Of the bits of a tree; the weights move."""
             used = weights.take(now, axis=1)
-            right = np.einsum("kn,kdn->dn", used, x)
+            right = used[0] * x[0]
+            for weight, odds in zip(used[1:], x[1:], strict=True):
+                right += weight * odds
             right *= -y
             np.exp(right, out=right)
             right += 1

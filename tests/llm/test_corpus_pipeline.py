@@ -79,6 +79,7 @@ def test_stages_do_what_brute_force_does(spark, made):
     assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {
         i: library.encode(t, add_special_tokens=False).ids for i, t in kept.items()
     }
+    assert all(r.decodes for r in rows)
     whole = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, folder).collect()}
     assert whole == {r.doc_id: r.ids for r in rows}
 
@@ -92,3 +93,17 @@ def test_stages_take_awkward_rows(spark, made):
         assert out.count() == (7 if name.startswith("minhash") else 8), name
         assert stage(spark, docs.limit(0), folder).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 8
+
+
+def test_one_id_with_several_texts_in_all_stages(spark, made):
+    """A copy under an id that also has a clean text: the copy goes, and the clean text stays whole."""
+    folder, texts, _ = made
+    copied, clean = texts[10], texts[11]
+    rows = [(1, copied), (2, copied), (2, clean), (2, "short one."), (2, clean)]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        kept = sorted(map(tuple, stage(spark, docs, folder).collect()))
+        gone = name in ("minhash near-dedup", "substring dedup")
+        once = name == "minhash near-dedup"
+        expected = [(1, copied), (2, clean), (2, "short one.")] + [(2, copied)] * (not gone) + [(2, clean)] * (not once)
+        assert kept == sorted(expected), name
