@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabularium.llm import bpe, decontamination, minhash, sentences, toxicity
-from tabularium.llm.tables import keep
+from tabularium.llm.tables import keep, mark, release, release_since
 
 #: Documents that score this much or more go.
 TOXIC = 0.3
@@ -44,13 +44,16 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return decontamination.decontaminate(docs, items, WINDOW)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, the token ids and their number."""
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, the token ids and their number, and whether they decode to the text again."""
     tokenizer = bpe.read_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    return docs.select("doc_id", bpe.encode(F.col("text"), tokenizer).alias("packed")).select(
+    text = F.coalesce("text", F.lit(""))
+    coded = docs.select("doc_id", text.alias("text"), bpe.encode_decode(F.col("text"), tokenizer).alias("coded"))
+    return coded.select(
         "doc_id",
-        F.expr("octet_length(packed) div 4").alias("n_tokens"),
-        F.col("packed").alias("ids"),
+        F.expr("octet_length(coded.ids) div 4").alias("n_tokens"),
+        F.col("coded.ids").alias("ids"),
+        (F.col("coded.text") == F.col("text")).alias("decodes"),
     )
 
 
@@ -59,7 +62,7 @@ STAGES = [
     ("minhash near-dedup", drop_near_copies),
     ("substring dedup", drop_repeated_passages),
     ("benchmark decontamination", drop_benchmark_passages),
-    ("bpe encoding", encode),
+    ("bpe encoding and decoding", encode_and_decode),
 ]
 
 #: None: learned weights, merges and groups have no SQL form; the tests hold the stages against brute force.
@@ -70,5 +73,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        begin = mark()
+        before, docs = docs, keep(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        release_since(spark, begin, docs)
+        release(before)
     return docs
