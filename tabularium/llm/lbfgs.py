@@ -10,7 +10,7 @@ import numpy as np
 Objective = Callable[[np.ndarray], tuple[float, np.ndarray]]
 
 #: Past steps whose curvature is remembered, and halvings of a step.
-MEMORY, HALVINGS = 6, 20
+MEMORY, HALVINGS = 4, 20
 
 
 def minimise(

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabularium.llm.arrow import Sent, batchwise, send
+from tabularium.llm.arrow import Sent, batchwise, send, tidy
 from tabularium.llm.lbfgs import minimise
 from tabularium.llm.words import ALNUM, pieces, words_of
 
@@ -115,17 +115,19 @@ class Sample:
     def __init__(self, sets: list[np.ndarray], labels: np.ndarray):
         counts = np.bincount(np.concatenate([*sets, np.empty(0, np.int64)]).astype(np.int64), minlength=SLOTS)
         self.slots = np.flatnonzero(counts >= LEAST)
-        place = np.zeros(SLOTS, np.int64)
+        place = np.zeros(SLOTS, np.int32)
         place[self.slots] = np.arange(len(self.slots))
         kept = [place[s[counts[s] >= LEAST]] for s in sets]
         self.labels, self.n = labels, len(sets)
         self.width = len(self.slots)
         self.held = counts[self.slots].astype(float)  # how many texts hold each feature
         self.owner = np.repeat(np.arange(self.n), [len(k) for k in kept])
-        self.feature = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
-        order = np.argsort(self.feature, kind="stable")
-        self.owner_by_feature = self.owner[order]
-        self.begins = np.searchsorted(self.feature[order], np.arange(self.width))
+        self.feature = np.concatenate([*kept, np.empty(0, np.int32)])
+        del kept
+        order = np.argsort(self.feature, kind="stable").astype(np.int32)
+        self.owner_by_feature = self.owner[order].astype(np.int32)
+        self.begins = np.append(0, np.cumsum(counts[self.slots]))[:-1].astype(np.int64)
+        del order
         self.length = len(self.feature) / max(1, self.n)
 
     def by_text(self, values: np.ndarray) -> np.ndarray:
@@ -231,8 +233,9 @@ def _fitted(sets: DataFrame) -> Machine:
     """The machine of all slot sets, which one task fits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         rows = [
-            (label.as_py(), slots.values.to_numpy().astype(np.int64))
+            (label.as_py(), slots.values.to_numpy())
             for batch in batches
             for label, slots in zip(batch["label"], batch["slots"], strict=True)
         ]
@@ -241,6 +244,8 @@ def _fitted(sets: DataFrame) -> Machine:
             slots, bias, weights, factors = fit([slots for _, slots in rows], labels)
             parts = [slots.astype("<i4"), weights.astype("<f4"), factors.astype("<f4")]
             yield pa.RecordBatch.from_pydict({"bias": [bias], **{f"p{k}": [x.tobytes()] for k, x in enumerate(parts)}})
+            del rows
+        tidy()
 
     ordered = sets.repartition(1).sortWithinPartitions("place", "label")
     made = ordered.mapInArrow(run, "bias double, p0 binary, p1 binary, p2 binary").collect()
