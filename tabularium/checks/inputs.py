@@ -263,12 +263,21 @@ def split_folder(spark: SparkSession, sf_dir: str) -> str:
     return written_once(spark, "split", sf_dir, write)
 
 
+#: The fewest archives of an entity, and how many rows each holds where there are more.
+ARCHIVES, ARCHIVE_ROWS = 4, 250_000
+
+
+def in_archives(df: DataFrame) -> DataFrame:
+    """The rows dealt out over partitions, one for each archive; a larger table has more of them, not larger ones."""
+    return df.repartition(max(ARCHIVES, -(-df.count() // ARCHIVE_ROWS)))
+
+
 def archive_folder(spark: SparkSession, sf_dir: str) -> str:
     """The establishments and both code tables that the silver table needs, as archives."""
 
     def write(root: str) -> None:
         for entity in (ESTABLISHMENTS, REASONS, ACTIVITIES):
-            df = in_spark(spark, sf_dir, TABLES[entity]).repartition(4)
+            df = in_archives(in_spark(spark, sf_dir, TABLES[entity]))
             write_archives(df, root, entity.folder, entity.encoding)
 
     return written_once(spark, "archives", sf_dir, write)
@@ -349,7 +358,7 @@ def repeated_folder(spark: SparkSession, sf_dir: str) -> str:
                             _put(root, f"{row['entity']}{first}{number}.zip", file)
                 yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-        archives.repartition(8).mapInArrow(copy, "n bigint").agg(F.sum("n")).collect()
+        archives.repartition(max(8, archives.count())).mapInArrow(copy, "n bigint").agg(F.sum("n")).collect()
 
     return written_once(spark, "repeated", sf_dir, write)
 
