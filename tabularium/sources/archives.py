@@ -30,6 +30,8 @@ BLOCK_BYTES = 1 << 20
 # Fixed value: the bytes of an archive without members.
 _NO_MEMBERS = b"PK\x05\x06" + bytes(18)
 LINE_BYTES = 256 << 20
+#: Extracted bytes to a task, where there are more than the session's own tasks would take.
+TASK_BYTES = 128 << 20
 # A line of nothing else is blank to the reader of delimited files.
 _BLANKS = "".join(map(chr, range(33)))
 
@@ -165,7 +167,8 @@ def read_members(
 
     Columns: ``archive``, ``entity``, ``member``, ``block_no``, ``block``. The archives' directories are
     read once, in parallel; the list of members, names and sizes only, comes to the driver as file
-    listings do, and is dealt out over ``tasks``, the largest first, each to the task with the least.
+    listings do, and is dealt out over ``tasks``, the largest first, each to the task with the least. Without
+    ``tasks`` there are more of them for more bytes, so that none reads much over ``TASK_BYTES`` but for one large member.
 
     With ``distinct`` a member that an entity has twice, in whatever archives and under whatever names, is
     read once, from the first archive by name; it is told by its content (see ``distinct_members``).
@@ -176,24 +179,26 @@ def read_members(
     ).collect()
     if distinct:
         found = distinct_members(spark, found, tasks)
-    members = _deal_out(spark, _dealt(found, _tasks(spark, tasks)), "archive string, entity string, member string", tasks)
+    tasks = _tasks(spark, tasks, found)
+    members = _deal_out(spark, _dealt(found, tasks), "archive string, entity string, member string", tasks)
     return members.mapInArrow(
         _blocks,
         "archive string, entity string, member string, block_no bigint, block binary",
     )
 
 
-def _tasks(spark: SparkSession, tasks: int | None) -> int:
+def _tasks(spark: SparkSession, tasks: int | None, members: list) -> int:
     if tasks is not None:
         return tasks
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(4 * spark.sparkContext.defaultParallelism, shuffle)
+    size = sum(row.bytes for row in members)
+    return max(4 * spark.sparkContext.defaultParallelism, shuffle, -(-size // TASK_BYTES))
 
 
-def _deal_out(spark: SparkSession, dealt: list[tuple], schema: str, tasks: int | None) -> DataFrame:
+def _deal_out(spark: SparkSession, dealt: list[tuple], schema: str, tasks: int) -> DataFrame:
     """Rows that end in the number of a task, in that task."""
     rows = spark.createDataFrame(dealt, f"{schema}, task int")
-    return rows.repartitionByRange(_tasks(spark, tasks), "task").drop("task")
+    return rows.repartitionByRange(tasks, "task").drop("task")
 
 
 def _assigned(members: list, tasks: int) -> Iterator[tuple]:
@@ -223,7 +228,8 @@ def distinct_members(spark: SparkSession, members: list, tasks: int | None = Non
     if not several:
         return members
     schema = "archive string, entity string, member string"
-    dealt = _dealt(several, _tasks(spark, tasks))
+    tasks = _tasks(spark, tasks, several)
+    dealt = _dealt(several, tasks)
     digests = _deal_out(spark, dealt, schema, tasks).mapInArrow(_digests, f"{schema}, digest string")
     first: dict[tuple, tuple] = {}
     for row in digests.collect():
@@ -304,7 +310,8 @@ def check_archives(
     ).collect()
     schema = "archive string, number bigint, member string, bytes bigint"
     readable = [row for row in found if row.number is not None]
-    dealt = [(*row[:4], task) for row, task in _assigned(readable, _tasks(spark, tasks))]
+    tasks = _tasks(spark, tasks, readable)
+    dealt = [(*row[:4], task) for row, task in _assigned(readable, tasks)]
     checked = _deal_out(spark, dealt, schema, tasks).mapInArrow(_verified, f"{schema}, fault string")
     by_archive = checked.groupBy("archive").agg(
         F.count("*").alias("members"),

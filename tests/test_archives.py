@@ -105,6 +105,16 @@ def test_many_members_are_dealt_out(spark, tmp_path):
     assert max(per_task) <= 4
 
 
+def test_more_bytes_are_more_tasks(spark, folder, monkeypatch):
+    plain = sorted(archived_lines(read_members(spark, folder)).collect())
+    large = [SimpleNamespace(bytes=module.TASK_BYTES)] * 1000
+    assert module._tasks(spark, None, large) == 1000
+    assert module._tasks(spark, None, large[:1]) == 4 * spark.sparkContext.defaultParallelism
+    assert module._tasks(spark, 3, large) == 3
+    monkeypatch.setattr(module, "TASK_BYTES", 1)
+    assert sorted(archived_lines(read_members(spark, folder)).collect()) == plain
+
+
 def test_odd_lines_read_alike_both_ways(spark, tmp_path):
     lines = ["", " ", "\t", " \t\x0b ", '"1";"a"', "  ", '2;b\t', ' "3";" c "', '"4";"d', ";", '5', '"6";"\\"e"']
     with zipfile.ZipFile(tmp_path / "Motivos.zip", "w") as archive:
