@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 _SLICE = "__slice"
+#: Code rows that are broadcast in place of a shuffle of the facts.
+FEW = 100_000
 
 
 def lookup(
@@ -69,3 +71,16 @@ def used_codes(facts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     """
     used = facts.select(F.col(key).alias("codigo")).distinct()
     return codes.join(used, "codigo", "left_semi")
+
+
+def few_used(facts: DataFrame, codes: DataFrame, key: str, few: int = FEW) -> DataFrame:
+    """``codes`` as they are, or of a table of more than ``few`` rows only the used ones, to be broadcast, if these are few.
+
+    A lookup in a large table shuffles whole rows of ``facts``; where they use few of its codes, shuffling distinct
+    keys is enough. What is found comes to the driver, as what is broadcast does, and stays as it was at this
+    time. Codes are ``codigo`` and ``descricao``; those of a small table are only counted, as far as ``few``.
+    """
+    if codes.limit(few + 1).count() <= few:
+        return codes
+    found = used_codes(facts, codes, key).limit(few + 1).collect()
+    return F.broadcast(facts.sparkSession.createDataFrame(found, codes.schema)) if len(found) <= few else codes

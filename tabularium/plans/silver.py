@@ -23,7 +23,7 @@ from tabularium.layouts import (
 from tabularium.operators.counts import Counts
 from tabularium.operators.filters import filter_activity
 from tabularium.operators.loads import is_complete
-from tabularium.operators.lookup import lookup
+from tabularium.operators.lookup import few_used, lookup
 from tabularium.sources.archives import extract_archives, refuse_broken
 from tabularium.sources.entities import read_entity
 from tabularium.sources.files import list_files
@@ -117,7 +117,10 @@ def silver_from_folder(
     escape: str = "\\",
     **options,
 ) -> DataFrame:
-    """``build_silver`` over the entity folders below ``root``, without running a job.
+    """``build_silver`` over the entity folders below ``root``.
+
+    No job runs but for code tables of more than ``FEW`` rows, of which the codes in use are looked up first
+    (see ``few_used``), so that the wide rows need not be shuffled.
 
     ``encodings``, by folder name, replace the entities' own; with ``auto`` that of each file is told by its bytes.
     """
@@ -126,6 +129,8 @@ def silver_from_folder(
         read_entity(spark, root, entity, (encodings or {}).get(entity.folder), escape=escape)
         for entity in entities
     )
+    keys = [CODE_COLUMNS[entity] for entity in entities[1:]]
+    codes = [few_used(facts, table, key) for table, key in zip(codes, keys, strict=True)]
     return build_silver(facts, *codes, **options)
 
 

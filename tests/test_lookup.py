@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tabularium.operators import filter_activity, hot_codes, lookup, used_codes
+from tabularium.operators import few_used, filter_activity, hot_codes, lookup, used_codes
 
 FACTS = [(1, "00"), (2, "0"), (3, None), (4, "99"), (5, "00"), (6, None)]
 CODES = [("00", "NONE"), ("01", "ONE"), (None, "NULL?")]
@@ -142,6 +142,24 @@ def test_used_codes_are_all_that_a_lookup_needs(spark):
     assert used_codes(facts, codes.limit(0), "code").count() == 0
 
 
+def test_few_codes_in_use_need_no_shuffle_of_the_facts(spark, shuffled):
+    facts = spark.createDataFrame([(k, str(k % 3)) for k in range(50)] + [(50, None), (51, "none")], "id int, code string")
+    codes = spark.createDataFrame([(str(k), f"d{k}") for k in (*range(40), 1)] + [(None, "x")], "codigo string, descricao string")
+    plain = lookup(facts, codes, "code", "label")
+    joined = lookup(facts, few_used(facts, codes, "code", few=10), "code", "label")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+    assert len(joined.collect()) == 52 + 17
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_small_tables_and_many_codes_in_use_stay_as_they_are(spark):
+    facts, codes = tables(spark)
+    assert few_used(facts, codes, "code", few=3) is codes
+    every = codes.select(F.col("codigo").alias("code"))
+    assert few_used(every, codes, "code", few=1) is codes
+
+
 def test_rows_without_a_code_are_spread_unasked(spark, shuffled):
     codes = spark.createDataFrame([("2", "two")], "codigo string, descricao string")
     joined = lookup(skewed(spark).where("code is null or code = '2'"), codes, "code", "label")
