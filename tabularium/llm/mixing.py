@@ -556,15 +556,16 @@ def block_words(blocks: DataFrame) -> DataFrame:
         block = None
 
         def flush() -> pa.RecordBatch:
-            word, where = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-            n = np.bincount(where, np.concatenate([learn for _, learn in held]), len(word))
-            return pa.RecordBatch.from_pydict(
-                {"block": np.full(len(word), block), "word": word.view(np.int64), "n": n.astype(np.int64)}
-            )
+            # hashes alone sort several times faster than with the places they came from
+            words, taught = (np.concatenate(column) for column in zip(*held, strict=True))
+            learned, n = np.unique(words[taught], return_counts=True)
+            others = np.setdiff1d(np.unique(words[~taught]), learned, assume_unique=True)
+            word, n = np.concatenate((learned, others)), np.concatenate((n, np.zeros(len(others), np.int64)))
+            return pa.RecordBatch.from_pydict({"block": np.full(len(word), block), "word": word.view(np.int64), "n": n})
 
         for batch in batches:
             own = batch["block"].to_numpy()
-            learn = batch["learn"].to_numpy(zero_copy_only=False)
+            learn = batch["learn"].to_numpy(zero_copy_only=False).astype(bool)
             edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if a == b:
@@ -667,16 +668,15 @@ def score(docs: DataFrame) -> DataFrame:
 
 def _counts(tokens: np.ndarray, learn: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The count of each token: from the words that blocks share, or else from its own block's tokens."""
-    out = np.zeros(len(tokens), np.int64)
-    known = np.zeros(len(tokens), bool)
+    if not len(tokens):
+        return np.zeros(0, np.int64)
+    distinct, where = np.unique(tokens, return_inverse=True)
+    out = np.bincount(where, learn).astype(np.int64)
     if len(word):
-        at = np.minimum(np.searchsorted(word, tokens), len(word) - 1)
-        known = word[at] == tokens
+        at = np.minimum(np.searchsorted(word, distinct), len(word) - 1)
+        known = word[at] == distinct
         out[known] = count[at[known]]
-    rest = np.flatnonzero(~known)
-    _, where = np.unique(tokens[rest], return_inverse=True)
-    out[rest] = np.bincount(where, learn[rest]).astype(np.int64)[where] if len(rest) else 0
-    return out
+    return out[where]
 
 
 def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:

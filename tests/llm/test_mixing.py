@@ -176,3 +176,24 @@ def test_contexts_tell_bytes_beyond_the_common_ones_apart(spark):
     row = {r.doc_id: r.score for r in m.score(docs.withColumn("learn", F.col("doc_id") != 439)).collect()}
     # each byte follows from those before it
     assert -row[439] / math.log10(2) < 1.5 * len(spelled(minor[0]))
+
+
+def test_a_block_counts_its_words_by_hash(spark):
+    """Learned or not, learned in some texts only, and blocks of which nothing is learned."""
+    rows = [(0, "a b a", True), (0, "b c", False), (0, None, True), (1, "c c", False), (1, "", False), (2, "a", True)]
+    blocks = spark.createDataFrame(rows, "block long, text string, learn boolean").coalesce(1)
+    found = [tuple(row) for row in m.block_words(blocks).collect()]
+    name = {h: w for w in "abc" for h in m.words_of(next(iter(pieces(pa.array([w])))), m.VISIBLE).hashes.view(np.int64).tolist()}
+    assert sorted((block, name[word], n) for block, word, n in found) == [(0, "a", 2), (0, "b", 1), (0, "c", 0), (1, "c", 0), (2, "a", 1)]
+
+
+def test_counts_of_tokens_against_brute_force():
+    rng = np.random.default_rng(3)
+    for size, shared in ((0, 0), (0, 4), (1, 0), (50, 0), (50, 9), (400, 30)):
+        tokens = rng.integers(0, 40, size).astype(np.uint64) << np.uint64(58)
+        word = np.unique(rng.integers(0, 60, shared).astype(np.uint64) << np.uint64(58))
+        learn, count = rng.random(size) < 0.6, rng.integers(1, 1000, len(word))
+        everywhere = dict(zip(word.tolist(), count.tolist(), strict=True))
+        here = Counter(t for t, use in zip(tokens.tolist(), learn, strict=True) if use)
+        expected = [everywhere.get(t, here[t]) for t in tokens.tolist()]
+        assert m._counts(tokens, learn, word, count).tolist() == expected
