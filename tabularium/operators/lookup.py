@@ -78,9 +78,11 @@ def few_used(facts: DataFrame, codes: DataFrame, key: str, few: int = FEW) -> Da
 
     A lookup in a large table shuffles whole rows of ``facts``; where they use few of its codes, shuffling distinct
     keys is enough. What is found comes to the driver, as what is broadcast does, and stays as it was at this
-    time. Codes are ``codigo`` and ``descricao``; those of a small table are only counted, as far as ``few``.
+    time. No job runs for a table that Spark broadcasts by its size; of others rows are counted, as far as ``few``.
     """
-    if codes.limit(few + 1).count() <= few:
+    state = facts.sparkSession._jsparkSession.sessionState()
+    size = codes._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if size <= state.conf().autoBroadcastJoinThreshold() or codes.limit(few + 1).count() <= few:
         return codes
     found = used_codes(facts, codes, key).limit(few + 1).collect()
     return F.broadcast(facts.sparkSession.createDataFrame(found, codes.schema)) if len(found) <= few else codes

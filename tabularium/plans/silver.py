@@ -119,8 +119,8 @@ def silver_from_folder(
 ) -> DataFrame:
     """``build_silver`` over the entity folders below ``root``.
 
-    No job runs but for code tables of more than ``FEW`` rows, of which the codes in use are looked up first
-    (see ``few_used``), so that the wide rows need not be shuffled.
+    No job runs but for code tables that are too large for Spark to broadcast: of one of more than ``FEW`` rows the codes
+    in use are looked up first (see ``few_used``), so that the wide rows need not be shuffled.
 
     ``encodings``, by folder name, replace the entities' own; with ``auto`` that of each file is told by its bytes.
     """
