@@ -48,6 +48,8 @@ DEPTH, BYTE_DEPTH = 6, 8
 LEAVES = 1 << DEPTH
 #: Text bytes in a block, in what a task works on at a time, and between fresh starts of the weights.
 BLOCK, WORKED, STRETCH = 16 << 20, 2 << 20, 4096
+#: Bytes whose contexts are looked up at a time while a block is mixed.
+MET = 1 << 18
 #: Weights to start with, by gate (none, one, both of the longer contexts are known); and their step.
 START, STEP = ((0.7, 0.1, 0.0), (0.4, 0.4, 0.0), (0.25, 0.3, 0.3)), 0.01
 #: What each side of a node has before anything is counted.
@@ -56,8 +58,10 @@ PRIOR = 0.02
 BUCKET, BUCKETS = 16 << 20, 64
 #: Rows of words that a task packs together.
 WORDS = 1 << 21
-#: Contexts whose log odds are worked out at a time.
-CHUNK = 1 << 14
+#: Contexts whose log odds are worked out at a time, and pairs of these and the bytes after them.
+CHUNK, PAIRS = 1 << 14, 1 << 17
+#: Pairs of contexts and bytes that a block holds besides its distinct ones.
+HELD = 1 << 21
 
 _END, _SPACE = 10, 32
 _PAD = 8
@@ -112,12 +116,16 @@ def befores(data: np.ndarray) -> np.ndarray:
     return np.ndarray(len(data) - _PAD, "<u8", data, strides=(1,))
 
 
+def _row_of(before: np.ndarray, number: int) -> np.ndarray:
+    row = before >> np.uint64(64 - 8 * ORDERS[number])
+    row |= np.uint64(number << 48)
+    return row.view(np.int64)
+
+
 def rows_of(before: np.ndarray) -> Iterator[np.ndarray]:
     """By predictor, the context of each of :func:`befores`, as a number."""
-    for number, order in enumerate(ORDERS):
-        row = before >> np.uint64(64 - 8 * order)
-        row |= np.uint64(number << 48)
-        yield row.view(np.int64)
+    for number in range(len(ORDERS)):
+        yield _row_of(before, number)
 
 
 class Alphabet:
@@ -276,21 +284,37 @@ def _inside(stream: Stream, texts: np.ndarray) -> np.ndarray:
     return np.cumsum(edges[:-1], dtype=np.int8)[_PAD:].view(bool)
 
 
-def _distinct_pairs(data: np.ndarray, mark: np.ndarray, times: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """By predictor, distinct pairs of a context and the byte after it where marked, and how often each occurs, times so much.
-
-    Only the longest contexts are sorted byte by byte; pairs of shorter ones are sums of theirs.
-    """
-    longest = ORDERS[-1]
-    key = befores(data) >> np.uint64(64 - 8 * longest)
+def _longest_pairs(data: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a longest context and the byte after it where marked, and how often each occurs."""
+    key = befores(data) >> np.uint64(64 - 8 * ORDERS[-1])
     key <<= np.uint64(8)
     key |= data[_PAD:]
-    found, counts = np.unique(key[mark].view(np.int64), return_counts=True)
-    symbols, counts = found & 255, counts * times
+    return np.unique(key[mark].view(np.int64), return_counts=True)
+
+
+def _all_pairs(longest: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of every predictor, in order; those of shorter contexts are sums of the longest ones'."""
+    symbols, found = longest & 255, []
     for number, order in enumerate(ORDERS[:-1]):
-        context = found >> 8 * (1 + longest - order) | number << 48
-        yield _merged(context << 8 | symbols, counts)
-    yield found | (len(ORDERS) - 1) << 56, counts
+        context = longest >> 8 * (1 + ORDERS[-1] - order) | number << 48
+        found.append(_merged(context << 8 | symbols, counts))
+    found.append((longest | (len(ORDERS) - 1) << 56, counts))
+    pairs, sums = (np.concatenate(column) for column in zip(*found, strict=True))
+    return pairs, sums
+
+
+def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of keys by bucket, as they come within one; the buckets that have any; and the bounds of these."""
+    spread = keys * _SPREAD
+    spread >>= np.uint64(32)
+    spread *= np.uint64(buckets)
+    spread >>= np.uint64(32)
+    bucket = spread.astype(np.uint16 if buckets <= 1 << 16 else np.int32)
+    del spread
+    order = np.argsort(bucket, kind="stable")
+    sizes = np.bincount(bucket, minlength=1)
+    found = np.flatnonzero(sizes)
+    return order, found.astype(np.int32), np.append(0, np.cumsum(sizes[found]))
 
 
 def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -303,15 +327,17 @@ def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         block = None
 
+        def merge() -> None:
+            if len(held) > 1:
+                columns = [np.concatenate(column) for column in zip(*held, strict=True)]
+                held[:] = [_merged(*columns)]
+
         def flush() -> pa.RecordBatch:
-            pairs, counts = _merged(*(np.concatenate(column) for column in zip(*held, strict=True)))
-            spread = (pairs >> 8).view(np.uint64) * _SPREAD
-            bucket = ((spread >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-            pairs, counts, bucket = pairs[order], counts[order], bucket[order]
-            found, first = np.unique(bucket, return_index=True)
-            ends = np.append(first[1:], len(bucket))
-            rows = [_by_context(pairs[a:b], counts[a:b]).packed() for a, b in zip(first, ends, strict=True)]
+            merge()
+            pairs, counts = _all_pairs(*held.pop())
+            order, found, bounds = _dealt((pairs >> 8).view(np.uint64), buckets)
+            parts = [order[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            rows = [_by_context(pairs[part], counts[part]).packed() for part in parts]
             return pa.RecordBatch.from_pydict(
                 {"block": np.full(len(found), block), "bucket": found, "packed": pa.array(rows, pa.binary())}
             )
@@ -325,14 +351,16 @@ def block_contexts(blocks: DataFrame, buckets: int) -> DataFrame:
                     continue
                 if held and own[a] != block:
                     yield flush()
-                    held = []
                 block = own[a]
                 for piece in pieces(batch["text"].slice(a, b - a), WORKED):
                     stream = stream_of(piece)
                     taught = learn[a + piece.first : a + piece.last]
                     marks = [_inside(stream, taught), _inside(stream, ~taught)]
                     for mark, times in zip(marks, (1, 0), strict=True):
-                        held.extend(_distinct_pairs(stream.data, mark, times))
+                        found, counts = _longest_pairs(stream.data, mark)
+                        held.append((found, counts * times))
+                    if sum(len(found) for found, _ in held[1:]) > max(HELD, len(held[0][0])):
+                        merge()
         if held:
             yield flush()
 
@@ -365,35 +393,90 @@ def block_counts(blocks: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(_answers, _ANSWERED)
 
 
+class Index:
+    """Places of distinct numbers in order, the first of which stands for all that are not there."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.slots, lost = self._slots(np.arange(1, len(keys)), _SPREAD)
+        self.more, _ = self._slots(lost, _AGAIN)  # of those of which another one has the slot
+
+    def _slots(self, places: np.ndarray, spread: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """Places by a hash of their numbers, and those for which there was no room."""
+        slots = np.zeros(1 << max(10, len(places).bit_length() + 2), np.int32)
+        at = _slot(self.keys[places], spread, slots)
+        slots[at] = places
+        return slots, places[slots[at] != places]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each number, 0 if it has none; few share both slots with others, and those are searched for."""
+        out = self.slots.take(_slot(keys, _SPREAD, self.slots)).astype(np.int64)
+        other = np.flatnonzero((self.keys.take(out) != keys) & (out > 0))
+        if len(other):
+            asked = keys[other]
+            again = self.more[_slot(asked, _AGAIN, self.more)].astype(np.int64)
+            out[other] = again
+            still = np.flatnonzero((self.keys[again] != asked) & (again > 0))
+            asked = asked[still]
+            at = np.minimum(np.searchsorted(self.keys[1:], asked) + 1, len(self.keys) - 1)
+            out[other[still]] = np.where(self.keys[at] == asked, at, 0)
+        return out
+
+
 class Contexts:
     """Log odds of known contexts, by row; row 0 is that of all others."""
 
     def __init__(self, alphabet: Alphabet, counted: Counted):
-        n = len(counted.keys)
+        # a context that was asked for twice counts once
         order = np.argsort(counted.keys, kind="stable")
-        self.keys = np.append(np.int64(-1), counted.keys[order])
-        row = np.empty(n, np.int64)
-        row[order] = np.arange(1, n + 1)
-        owner = np.repeat(row, counted.sizes)
-        order = np.argsort(owner, kind="stable")
-        owner, symbols, counts = owner[order], counted.symbols[order], counted.counts[order]
-        leaf = alphabet.leaf[symbols]
-        self.table = alphabet.log_odds(owner, leaf, counts, n + 1)
-        rare = np.flatnonzero(leaf == LEAVES - 1)
-        found, place = np.unique(owner[rare], return_inverse=True)
+        keys = counted.keys[order]
+        once = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.empty(0, bool)
+        order = order[once]
+        n = len(order)
+        self.keys = np.append(np.int64(-1), keys[once])
+        self.table = _aligned((n + 1) * LEAVES)
+        begins = np.cumsum(counted.sizes) - counted.sizes
+        rare: list[tuple[np.ndarray, ...]] = []
+        # so few pairs at a time that what is worked out for them is small beside the table
+        ends = np.cumsum(counted.sizes[order])
+        first = last = 0
+        while last < n:
+            first, met = last, int(ends[last - 1]) if last else 0
+            last = max(first + 1, min(first + CHUNK, int(np.searchsorted(ends, met + PAIRS, "right"))))
+            part = order[first:last]
+            sizes = counted.sizes[part]
+            owner = np.repeat(np.arange(len(part)), sizes)
+            where = np.repeat(begins[part] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(owner))
+            symbols, counts = counted.symbols[where], counted.counts[where]
+            leaf = alphabet.leaf[symbols]
+            begin = (first + 1) * LEAVES
+            self.table[begin : begin + len(part) * LEAVES] = alphabet.log_odds(owner, leaf, counts, len(part))
+            few = np.flatnonzero(leaf == LEAVES - 1)
+            rare.append((owner[few] + first + 1, symbols[few], counts[few]))
+        nothing = (np.empty(0, np.int64), np.empty(0, np.uint8), np.empty(0, np.int64))
+        owner, symbols, counts = (np.concatenate(column) for column in zip(nothing, *rare, strict=True))
+        found, place = np.unique(owner, return_inverse=True)
         self.rare_row = np.zeros(n + 1, np.int32)
         self.rare_row[found] = np.arange(1, len(found) + 1)
         self.rare = self._rows(
-            alphabet.rare_log_odds, place + 1, symbols[rare], counts[rare], len(found) + 1, 1 << BYTE_DEPTH
+            alphabet.rare_log_odds, place + 1, symbols, counts, len(found) + 1, 1 << BYTE_DEPTH
         )
-        self.bits = max(10, n.bit_length() + 2)
-        every = np.arange(1, n + 1)
-        self.slots = np.zeros(1 << self.bits, np.int32)
-        at = _slot(self.keys[1:], _SPREAD, self.bits)
-        self.slots[at] = every
-        lost = every[self.slots[at] != every]  # another context has the slot
-        self.more = np.zeros(1 << self.bits, np.int32)
-        self.more[_slot(self.keys[lost], _AGAIN, self.bits)] = lost
+        #: Whether a context's first node is not even.
+        self.known = (self.table[::LEAVES] != 0).view(np.int8)
+        self.shorter = self._shorter()
+        self.index = Index(self.keys)
+
+    def _shorter(self) -> np.ndarray:
+        """By row, that of the next shorter context, which the longer one ends in."""
+        out = np.zeros(len(self.keys), np.int32)
+        bounds = np.searchsorted(self.keys, np.arange(len(ORDERS) + 1) << 48)
+        for number in range(1, len(ORDERS)):
+            a, b = bounds[number : number + 2]
+            cut = 8 * (ORDERS[number] - ORDERS[number - 1])
+            keys = (self.keys[a:b] & (1 << 48) - 1) >> cut | number - 1 << 48
+            at = np.searchsorted(self.keys, keys)
+            out[a:b] = np.where(self.keys[at] == keys, at, 0)
+        return out
 
     @staticmethod
     def _rows(odds, owner: np.ndarray, leaf: np.ndarray, counts: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -407,23 +490,20 @@ class Contexts:
             out[first * width : last * width] = odds(dense).ravel()
         return out
 
-    def rows(self, keys: np.ndarray) -> np.ndarray:
-        """The row of each context; few share both slots with others, and those are searched for."""
-        out = self.slots[_slot(keys, _SPREAD, self.bits)].astype(np.int64)
-        other = np.flatnonzero((self.keys[out] != keys) & (out > 0))
-        if len(other):
-            asked = keys[other]
-            again = self.more[_slot(asked, _AGAIN, self.bits)].astype(np.int64)
-            out[other] = again
-            still = np.flatnonzero((self.keys[again] != asked) & (again > 0))
-            asked = asked[still]
-            at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-            out[other[still]] = np.where(self.keys[at] == asked, at, 0)
+    def rows(self, before: np.ndarray) -> np.ndarray:
+        """By predictor, the row of each of :func:`befores`. Only the longest are looked up where they are known."""
+        last = len(ORDERS) - 1
+        out = np.empty((last + 1, len(before)), np.int64)
+        out[last] = self.index.find(_row_of(before, last))
+        for number in reversed(range(last)):
+            out[number] = self.shorter.take(out[number + 1])
+            unknown = np.flatnonzero(out[number + 1] == 0)
+            out[number, unknown] = self.index.find(_row_of(before[unknown], number))
         return out
 
 
-def _slot(keys: np.ndarray, spread: np.uint64, bits: int) -> np.ndarray:
-    return ((keys.view(np.uint64) * spread) >> np.uint64(64 - bits)).view(np.int64)
+def _slot(keys: np.ndarray, spread: np.uint64, slots: np.ndarray) -> np.ndarray:
+    return ((keys.view(np.uint64) * spread) >> np.uint64(65 - len(slots).bit_length())).view(np.int64)
 
 
 def _all(rows: pa.Table) -> Counted:
@@ -432,17 +512,6 @@ def _all(rows: pa.Table) -> Counted:
     return Counted(*(np.concatenate(column) for column in zip(empty, *found, strict=True)))
 
 
-def _contexts(alphabet: Alphabet, all_rows: Counted) -> Contexts:
-    """Of a block, from what the buckets answered. A context that was asked for twice counts once."""
-    keys, first = np.unique(all_rows.keys, return_index=True)
-    if len(keys) < len(all_rows.keys):
-        once = np.zeros(len(all_rows.keys), bool)
-        once[first] = True
-        kept = np.repeat(once, all_rows.sizes)
-        all_rows = Counted(all_rows.keys[once], all_rows.sizes[once], all_rows.symbols[kept], all_rows.counts[kept])
-    return Contexts(alphabet, all_rows)
-
-
 class Mixer(NamedTuple):
     alphabet: Alphabet
     contexts: Contexts
@@ -463,7 +532,7 @@ class Mixer(NamedTuple):
         met = np.concatenate(([0], np.cumsum(busy)))  # bytes that all have met before each place
         place = 0
         while place < len(busy):
-            end = max(place + 1, int(np.searchsorted(met, met[place] + WORKED, "right")) - 1)
+            end = max(place + 1, int(np.searchsorted(met, met[place] + MET, "right")) - 1)
             self._advance(stream.data, first, weights, cost, place, busy[place:end])
             place = end
         return np.bincount(owner[order], cost, len(firsts))
@@ -475,57 +544,60 @@ class Mixer(NamedTuple):
         alphabet, table, lanes = self.alphabet, self.contexts.table, len(first)
         # bytes in the order in which they are met: the first of all stretches, the second, and so on
         edge = np.concatenate(([0], np.cumsum(busy)))
-        at = np.repeat(np.arange(place, place + len(busy)), busy)
         lane = np.arange(edge[-1]) - np.repeat(edge[:-1], busy)
-        at += first[lane]
-        leaf = alphabet.leaf[data[at]]
+        at = first.take(lane)
+        at += np.repeat(np.arange(place, place + len(busy)), busy)
+        leaf = alphabet.leaf.take(data.take(at))
         node, sign = _path(leaf, DEPTH)
-        before = befores(data)[at - _PAD]
-        rows = np.stack([self.contexts.rows(keys) for keys in rows_of(before)])
+        rows = self.contexts.rows(befores(data)[at - _PAD])
         rare = np.flatnonzero(leaf == LEAVES - 1)
         met = self.contexts.rare_row[rows[:, rare]].any(axis=0)
         unmet, rare = rare[~met], rare[met]
         rare_node, rare_sign = _path(data[at[rare]], BYTE_DEPTH)
         rare_rows = self.contexts.rare_row[rows[:, rare]].astype(np.int64) << BYTE_DEPTH
         rare_edge = np.searchsorted(rare, edge).tolist()
+        gate = self.contexts.known.take(rows[1:]).sum(axis=0, dtype=np.int64) * lanes + lane  # and lane
         rows *= LEAVES
-        gate = (table.take(rows[1:]) != 0).sum(axis=0) * lanes + lane  # and lane
         rate, least = np.float32(STEP / 256), np.float32(1e-6)
         nats += np.bincount(lane[unmet], alphabet.extra[data[at[unmet]]], lanes)
 
-        def cost(now: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-            """Of the bits of a tree; the weights move."""
+        def cost(now: np.ndarray, x: np.ndarray) -> np.ndarray:
+            """Of the bits of a tree, from log odds of the sides not taken; the weights move."""
             used = weights.take(now, axis=1)
             right = used[0] * x[0]
             for weight, odds in zip(used[1:], x[1:], strict=True):
                 right += weight * odds
-            right *= -y
             np.exp(right, out=right)
             right += 1
             np.reciprocal(right, out=right)
-            y *= 1 - right
-            used += rate * np.einsum("dn,kdn->kn", y, x)
+            used += rate * np.einsum("dn,kdn->kn", right - 1, x)
             for row, new in zip(weights, used, strict=True):
                 row[now] = new
             # never quite sure, so that no bit costs more than some 20 bits
-            return -np.log((right * (1 - 2 * least) + least).prod(axis=0))
+            right *= 1 - 2 * least
+            right += least
+            return -np.log(right.prod(axis=0))
 
         for t, n in enumerate(busy.tolist()):
             part = slice(edge[t], edge[t + 1])
-            x = table.take(rows[:, None, part] + node[:, part]).astype(np.float32)
-            nats[:n] += cost(gate[part], x, sign[:, part].astype(np.float32))
+            x = table.take(rows[:, None, part] + node[:, part])
+            x *= sign[:, part]
+            nats[:n] += cost(gate[part], x.astype(np.float32))
             if rare_edge[t] < rare_edge[t + 1]:
                 part = slice(rare_edge[t], rare_edge[t + 1])
-                x = self.contexts.rare.take(rare_rows[:, None, part] + rare_node[:, part]).astype(np.float32)
-                nats[lane[rare[part]]] += cost(gate[rare[part]], x, rare_sign[:, part].astype(np.float32))
+                x = self.contexts.rare.take(rare_rows[:, None, part] + rare_node[:, part])
+                x *= rare_sign[:, part]
+                nats[lane[rare[part]]] += cost(gate[rare[part]], x.astype(np.float32))
 
 
 def _path(leaf: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The nodes on the way to each leaf, and which side is taken: 1 is right, -1 left."""
-    node, sign = np.empty((depth, len(leaf)), np.uint8), np.empty((depth, len(leaf)), np.int8)
-    for level in range(depth):
-        node[level] = (leaf.astype(np.int64) >> (depth - level)) + ((1 << level) - 1)
-        sign[level] = (leaf >> (depth - 1 - level) & 1).astype(np.int8) * 2 - 1
+    """The nodes on the way to each leaf, and which side is not taken: 1 is right, -1 left."""
+    level = np.arange(depth)[:, None]
+    node = (leaf + np.int64(1 << depth)) >> depth - level
+    node -= 1
+    sign = (leaf >> (depth - 1 - level).astype(np.uint8) & np.uint8(1)).view(np.int8)
+    sign *= -2
+    sign += 1
     return node, sign
 
 
@@ -670,13 +742,33 @@ def _counts(tokens: np.ndarray, learn: np.ndarray, word: np.ndarray, count: np.n
     """The count of each token: from the words that blocks share, or else from its own block's tokens."""
     if not len(tokens):
         return np.zeros(0, np.int64)
-    distinct, where = np.unique(tokens, return_inverse=True)
-    out = np.bincount(where, learn).astype(np.int64)
-    if len(word):
-        at = np.minimum(np.searchsorted(word, distinct), len(word) - 1)
-        known = word[at] == distinct
-        out[known] = count[at[known]]
-    return out[where]
+    here, n = np.unique(tokens[learn], return_counts=True)
+    distinct = np.concatenate(([0], np.union1d(here, word))).astype(np.uint64)
+    out = np.zeros(len(distinct), np.int64)
+    out[np.searchsorted(distinct[1:], here) + 1] = n
+    out[np.searchsorted(distinct[1:], word) + 1] = count
+    return out.take(Index(distinct).find(tokens))
+
+
+def _base_scores(
+    columns: list[pa.Array], learn: np.ndarray, shared: Counted, totals: Totals
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text of a block its tokens, how many of them are known, and the unigram score."""
+    n, hashes = [], []
+    for column in columns:
+        for piece in pieces(column):
+            words = words_of(piece, VISIBLE)
+            n.append(np.diff(words.bounds))
+            hashes.append(words.hashes)
+    n = np.concatenate(n)
+    owner = np.repeat(np.arange(len(n)), n)
+    word = shared.keys.view(np.uint64)
+    order = np.argsort(word)
+    c = _counts(np.concatenate(hashes), learn[owner], word[order], shared.counts[order])
+    logs = np.bincount(owner, np.log10(c + 1.0), len(n)) + math.log10(totals.ends + 1)
+    base = logs - (n + 1) * math.log10(totals.tokens + totals.distinct + 1)
+    known = np.bincount(owner, c > 0, len(n)).astype(np.int64) + bool(totals.ends)
+    return n + 1, known, base
 
 
 def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -686,28 +778,13 @@ def _block_scores(sent: Sent) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if not unpacked:
             unpacked.append(sent.value)
         alphabet, totals = unpacked[0]
-        mixer = Mixer(alphabet, _contexts(alphabet, _all(counts.filter(pc.invert(counts["words"])))))
-        shared = _all(counts.filter(counts["words"]))
-        word = shared.keys.view(np.uint64)
-        order = np.argsort(word)
-        word, count = word[order], shared.counts[order]
         texts = docs["text"].combine_chunks()
         columns = texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]
-        found = [words_of(piece, VISIBLE) for column in columns for piece in pieces(column)]
-        n = np.concatenate([np.diff(words.bounds) for words in found])
-        owner = np.repeat(np.arange(len(n)), n)
-        c = _counts(
-            np.concatenate([words.hashes for words in found]),
-            docs["learn"].to_numpy()[owner],
-            word,
-            count,
-        )
-        logs = np.bincount(owner, np.log10(c + 1.0), len(n)) + math.log10(totals.ends + 1)
-        base = logs - (n + 1) * math.log10(totals.tokens + totals.distinct + 1)
-        known = np.bincount(owner, c > 0, len(n)).astype(np.int64) + bool(totals.ends)
+        # the words go before contexts come
+        tokens, known, base = _base_scores(columns, docs["learn"].to_numpy(), _all(counts.filter(counts["words"])), totals)
+        mixer = Mixer(alphabet, Contexts(alphabet, _all(counts.filter(pc.invert(counts["words"])))))
         whole = _joined([stream_of(piece) for column in columns for piece in pieces(column, WORKED)])
         scores = -mixer.nats(whole) / math.log(10)
-        tokens = n + 1
         return pa.table(
             {
                 "doc_id": docs["doc_id"],
