@@ -743,7 +743,8 @@ def _counts(tokens: np.ndarray, learn: np.ndarray, word: np.ndarray, count: np.n
     if not len(tokens):
         return np.zeros(0, np.int64)
     here, n = np.unique(tokens[learn], return_counts=True)
-    distinct = np.concatenate(([0], np.union1d(here, word))).astype(np.uint64)
+    # all of one kind: numpy would join whole numbers with and without sign as doubles, which do not tell hashes apart
+    distinct = np.concatenate((np.zeros(1, np.uint64), np.union1d(here, word)))
     out = np.zeros(len(distinct), np.int64)
     out[np.searchsorted(distinct[1:], here) + 1] = n
     out[np.searchsorted(distinct[1:], word) + 1] = count

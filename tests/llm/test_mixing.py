@@ -197,3 +197,12 @@ def test_counts_of_tokens_against_brute_force():
         here = Counter(t for t, use in zip(tokens.tolist(), learn, strict=True) if use)
         expected = [everywhere.get(t, here[t]) for t in tokens.tolist()]
         assert m._counts(tokens, learn, word, count).tolist() == expected
+
+
+def test_counts_of_tokens_whose_hashes_doubles_do_not_tell_apart():
+    top = (1 << 64) - 1
+    learned, shared, unseen = ([top - k for k in range(first, 60, 3)] for first in range(3))
+    tokens, learn = [*learned, *learned, *shared, *unseen, 0], [True] * 40 + [False] * 41
+    tokens, word = np.array(tokens, np.uint64), np.array(shared[::-1], np.uint64)
+    found = m._counts(tokens, np.array(learn), word, np.arange(5, 25))
+    assert found.tolist() == [2] * 40 + [*range(24, 4, -1)] + [0] * 21
