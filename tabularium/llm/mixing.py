@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tabularium.llm.arrow import Sent, send
 from tabularium.llm.tables import keep
-from tabularium.llm.words import LOWER, VISIBLE, Piece, edges_of, pieces, words_of
+from tabularium.llm.words import VISIBLE, Piece, edges_of, lowered, pieces, visible, words_of
 
 #: Bytes of context of each predictor; 6 at most, as a context and its predictor make a number of 50 bits.
 ORDERS = (3, 4, 6)
@@ -78,8 +78,8 @@ class Stream(NamedTuple):
 
 def stream_of(piece: Piece) -> Stream:
     """Of each text its words, each with a space, and an end."""
-    data = LOWER[piece.data]
-    kept = VISIBLE[data]
+    data = lowered(piece.data)
+    kept = visible(data)
     _, ends = edges_of(piece, kept)
     closing = np.zeros(len(data) + 1, bool)
     closing[piece.bounds[1:]] = True
@@ -90,7 +90,7 @@ def stream_of(piece: Piece) -> Stream:
     data[follow] = _SPACE
     kept[follow] = True
     data = data[kept]
-    bounds = np.concatenate(([0], np.cumsum(kept)))[piece.bounds]
+    bounds = piece.bounds - np.searchsorted(np.flatnonzero(~kept), piece.bounds)
     sizes = np.diff(bounds) + open_end + 1
     lasts = np.cumsum(sizes + _PAD)
     firsts = lasts - sizes
@@ -209,7 +209,7 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
             texts = _learned(batch)
             counts[_END] += len(texts)
             for piece in pieces(texts):
-                found = np.bincount(LOWER[piece.data], minlength=256)
+                found = np.bincount(lowered(piece.data), minlength=256)
                 counts += np.where(VISIBLE, found, 0)
                 counts[_SPACE] += found[~VISIBLE].sum()
         yield pa.RecordBatch.from_pydict({"byte": np.arange(256), "n": counts})
@@ -271,6 +271,12 @@ def _merged(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return pairs[first], np.add.reduceat(counts[order], first)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """In order, as ``np.unique``, which hashes where it need not count and takes several times longer for it."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def _by_context(pairs: np.ndarray, counts: np.ndarray) -> Counted:
     keys, sizes = np.unique(pairs >> 8, return_counts=True)
     return Counted(keys, sizes, (pairs & 255).astype(np.uint8), counts)
@@ -410,8 +416,8 @@ class Index:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each number, 0 if it has none; few share both slots with others, and those are searched for."""
-        out = self.slots.take(_slot(keys, _SPREAD, self.slots)).astype(np.int64)
-        other = np.flatnonzero((self.keys.take(out) != keys) & (out > 0))
+        out = _picked(self.slots, _slot(keys, _SPREAD, self.slots)).astype(np.int64)
+        other = np.flatnonzero((_picked(self.keys, out) != keys) & (out > 0))
         if len(other):
             asked = keys[other]
             again = self.more[_slot(asked, _AGAIN, self.more)].astype(np.int64)
@@ -496,12 +502,17 @@ class Contexts:
         out = np.empty((last + 1, len(before)), np.int64)
         out[last] = self.index.find(_row_of(before, last))
         for number in reversed(range(last)):
-            out[number] = self.shorter.take(out[number + 1])
+            out[number] = _picked(self.shorter, out[number + 1])
             unknown = np.flatnonzero(out[number + 1] == 0)
             out[number, unknown] = self.index.find(_row_of(before[unknown], number))
         return out
 
 
+def _picked(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Values of the last axis at places that are all there: ``wrap`` is numpy's fastest way, and wraps none here."""
+    return values.take(at, axis=-1, mode="wrap")
+
+
 def _slot(keys: np.ndarray, spread: np.uint64, slots: np.ndarray) -> np.ndarray:
     return ((keys.view(np.uint64) * spread) >> np.uint64(65 - len(slots).bit_length())).view(np.int64)
 
@@ -547,7 +558,7 @@ class Mixer(NamedTuple):
         lane = np.arange(edge[-1]) - np.repeat(edge[:-1], busy)
         at = first.take(lane)
         at += np.repeat(np.arange(place, place + len(busy)), busy)
-        leaf = alphabet.leaf.take(data.take(at))
+        leaf = alphabet.leaf.take(_picked(data, at))
         node, sign = _path(leaf, DEPTH)
         rows = self.contexts.rows(befores(data)[at - _PAD])
         rare = np.flatnonzero(leaf == LEAVES - 1)
@@ -556,14 +567,14 @@ class Mixer(NamedTuple):
         rare_node, rare_sign = _path(data[at[rare]], BYTE_DEPTH)
         rare_rows = self.contexts.rare_row[rows[:, rare]].astype(np.int64) << BYTE_DEPTH
         rare_edge = np.searchsorted(rare, edge).tolist()
-        gate = self.contexts.known.take(rows[1:]).sum(axis=0, dtype=np.int64) * lanes + lane  # and lane
+        gate = _picked(self.contexts.known, rows[1:]).sum(axis=0, dtype=np.int64) * lanes + lane  # and lane
         rows *= LEAVES
         rate, least = np.float32(STEP / 256), np.float32(1e-6)
         nats += np.bincount(lane[unmet], alphabet.extra[data[at[unmet]]], lanes)
 
         def cost(now: np.ndarray, x: np.ndarray) -> np.ndarray:
             """Of the bits of a tree, from log odds of the sides not taken; the weights move."""
-            used = weights.take(now, axis=1)
+            used = _picked(weights, now)
             right = used[0] * x[0]
             for weight, odds in zip(used[1:], x[1:], strict=True):
                 right += weight * odds
@@ -580,7 +591,7 @@ class Mixer(NamedTuple):
 
         for t, n in enumerate(busy.tolist()):
             part = slice(edge[t], edge[t + 1])
-            x = table.take(rows[:, None, part] + node[:, part])
+            x = _picked(table, rows[:, None, part] + node[:, part])
             x *= sign[:, part]
             nats[:n] += cost(gate[part], x.astype(np.float32))
             if rare_edge[t] < rare_edge[t + 1]:
@@ -631,7 +642,7 @@ def block_words(blocks: DataFrame) -> DataFrame:
             # hashes alone sort several times faster than with the places they came from
             words, taught = (np.concatenate(column) for column in zip(*held, strict=True))
             learned, n = np.unique(words[taught], return_counts=True)
-            others = np.setdiff1d(np.unique(words[~taught]), learned, assume_unique=True)
+            others = np.setdiff1d(_distinct(words[~taught]), learned, assume_unique=True)
             word, n = np.concatenate((learned, others)), np.concatenate((n, np.zeros(len(others), np.int64)))
             return pa.RecordBatch.from_pydict({"block": np.full(len(word), block), "word": word.view(np.int64), "n": n})
 
@@ -744,7 +755,7 @@ def _counts(tokens: np.ndarray, learn: np.ndarray, word: np.ndarray, count: np.n
         return np.zeros(0, np.int64)
     here, n = np.unique(tokens[learn], return_counts=True)
     # all of one kind: numpy would join whole numbers with and without sign as doubles, which do not tell hashes apart
-    distinct = np.concatenate((np.zeros(1, np.uint64), np.union1d(here, word)))
+    distinct = np.concatenate((np.zeros(1, np.uint64), _distinct(np.concatenate((here, word)))))
     out = np.zeros(len(distinct), np.int64)
     out[np.searchsorted(distinct[1:], here) + 1] = n
     out[np.searchsorted(distinct[1:], word) + 1] = count

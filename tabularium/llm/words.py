@@ -72,6 +72,17 @@ def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[Piece]:
         first = last
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """``LOWER[data]``, worked out: numpy is several times faster at that than at looking up bytes."""
+    upper = data - np.uint8(65) < 26
+    return data | upper.view(np.uint8) << np.uint8(5)
+
+
+def visible(data: np.ndarray) -> np.ndarray:
+    """``VISIBLE[data]``, worked out."""
+    return (data != 32) & (data - np.uint8(9) > 4)
+
+
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the step and of its inverse; kept for the next piece."""
     kept = lasting()
@@ -125,7 +136,7 @@ def edges_of(piece: Piece, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(piece: Piece, member: np.ndarray) -> Words:
     """The words of lower-cased texts, made of the bytes that ``member`` marks."""
-    data = LOWER[piece.data]
+    data = lowered(piece.data)
     starts, ends = edges_of(piece, member[data])
     return Words(
         starts, ends, span_hashes(data, starts, ends), np.searchsorted(starts, piece.bounds)

@@ -9,7 +9,7 @@ import pytest
 from awkward import awkward_rows, documents
 from pyspark.sql import functions as F
 from tabularium.llm import mixing as m
-from tabularium.llm.words import pieces
+from tabularium.llm.words import lowered, pieces, visible
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -126,6 +126,19 @@ def test_streams_spell_words():
     assert found == [spelled(t) for t in texts]
 
 
+def test_bytes_are_lowered_and_told_from_white_space():
+    data = np.arange(256, dtype=np.uint8)
+    assert lowered(data).tobytes() == bytes(range(256)).lower()
+    assert visible(data).tolist() == [byte not in b" \t\n\v\f\r" for byte in range(256)]
+
+
+def test_distinct_values_are_in_order():
+    top = np.uint64((1 << 64) - 1)
+    for values in ([], [top], [top, 3, top - np.uint64(1), 3, 0, top]):
+        values = np.array(values, np.uint64)
+        assert m._distinct(values).tolist() == sorted(set(values.tolist()))
+
+
 def test_awkward_rows(spark):
     docs = awkward_rows(spark)
     rows = m.score(docs.withColumn("learn", F.lit(True))).collect()
